@@ -59,3 +59,14 @@ def clean_series_name(raw: ColumnOrName) -> Column:
     r = _col(raw)
     parts = F.filter(F.transform(F.split(r, ";"), lambda p: F.trim(p)), lambda p: p != "")
     return F.coalesce(F.try_element_at(parts, F.lit(-1)), F.trim(r))
+
+
+def pearson(a: ColumnOrName, b: ColumnOrName) -> Column:
+    """Pearson r as an aggregate, NULL (not an ANSI error) for a constant input.
+
+    Pairwise complete like ``corr``: both moments only see rows where a and b
+    are non-null."""
+    x, y = _col(a), _col(b)
+    both = x.isNotNull() & y.isNotNull()
+    xs, ys = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from panelcast.functions.periods import period_quarter
-from panelcast.functions.scalars import pct_change, quarter_cos, quarter_sin, rate_regime
+from panelcast.functions.scalars import pct_change, pearson, quarter_cos, quarter_sin, rate_regime
 
 PRICE = "price"
 TARGET = "target"
@@ -269,7 +269,7 @@ def autocorrelation(
     lagged = df.select(entity, value, *[F.lag(value, k).over(w).alias(f"l{k}") for k in range(1, max_lag + 1)])
     per_entity = lagged.groupBy(entity).agg(
         F.count(value).alias("n"),
-        *[F.corr(value, f"l{k}").alias(f"c{k}") for k in range(1, max_lag + 1)],
+        *[pearson(value, f"l{k}").alias(f"c{k}") for k in range(1, max_lag + 1)],
     )
     stacked = per_entity.select(
         entity, "n",

@@ -62,3 +62,376 @@ def q_feature_matrix(spark, sf_dir):
     panel, vocab = panel_and_vocab(spark, sf_dir)
     m = feat.build_features(panel, vocab)
     return round6(m.select("entity", "period", *feat.feature_columns(vocab), "target"))
+
+
+# ---------------------------------------------------------------------------
+# Panel build pieces, periods
+# ---------------------------------------------------------------------------
+
+from panelcast.functions.periods import next_period, parse_period, period_label  # noqa: E402
+from panelcast.operators import reports as rep  # noqa: E402
+from panelcast.operators.forecasts import BASELINES, ENSEMBLE, baseline_frame  # noqa: E402
+from panelcast.operators.splits import SplitConfig, distinct_periods_list, plan_folds, tag_folds, with_split  # noqa: E402
+from panelcast.operators.evaluation import metric_exprs  # noqa: E402
+from panelcast.sources import testdata as td  # noqa: E402
+
+# Split boundaries and walk-forward plan for the testdata panel
+# (orders span 1995Q1-2001Q3).
+TESTDATA_SPLIT = SplitConfig(train_end="1998Q4", val_end="1999Q4")
+CV_SPLITS, CV_MIN_TRAIN, CV_VAL = 3, 8, 4
+FOCUS_ENTITY = "NATION_1"
+MODELS = [*BASELINES, ENSEMBLE]
+
+
+@query("panel_profile")
+def q_panel_profile(spark, sf_dir):
+    """Rows, entities and period range of the panel."""
+    p = testdata_panel(spark, sf_dir)
+    return p.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("entity").alias("n_entities"),
+        F.min("period").alias("min_period"), F.max("period").alias("max_period"),
+    )
+
+
+@query("driver_quarterly")
+def q_driver_quarterly(spark, sf_dir):
+    """Q2/Q3: native-frequency driver series resampled to quarters (last / mean)."""
+    from panelcast.operators.resample import resample_to_quarter
+
+    obs = td.driver_observations(spark, sf_dir)
+    q = resample_to_quarter(obs, method={"cash_rate": "last", "cpi": "mean", "unemployment_rate": "last"})
+    return round6(q)
+
+
+@query("drivers_aligned")
+def q_drivers_aligned(spark, sf_dir):
+    """Quarters where all three drivers exist (one pivot aggregate)."""
+    return round6(td.quarterly_drivers(spark, sf_dir))
+
+
+@query("period_labels")
+def q_period_labels(spark, sf_dir):
+    """Distinct periods with label, next label and label round trip."""
+    periods = testdata_panel(spark, sf_dir).select("period").distinct()
+    return periods.select(
+        "period", period_label("period").alias("label"),
+        period_label(next_period("period")).alias("next_label"),
+        parse_period(period_label("period")).alias("parsed"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# Window features
+# ---------------------------------------------------------------------------
+
+def _panel_features(spark, sf_dir, with_target=True):
+    panel, vocab = panel_and_vocab(spark, sf_dir)
+    return feat.add_all_features(panel, vocab, with_target=with_target), vocab
+
+
+@query("rolling_stats")
+def q_rolling_stats(spark, sf_dir):
+    df = feat.add_rolling_stats(feat.add_price_changes(testdata_panel(spark, sf_dir)))
+    return round6(df.select("entity", "period", "rppi_qoq_pct", "rolling_mean_4q", "rolling_std_4q"))
+
+
+@query("lagged_changes")
+def q_lagged_changes(spark, sf_dir):
+    df = feat.add_lagged_changes(feat.add_price_changes(testdata_panel(spark, sf_dir)))
+    return round6(df.select("entity", "period", "rppi_qoq_pct_lag1", "rppi_yoy_pct_lag1"))
+
+
+@query("momentum")
+def q_momentum(spark, sf_dir):
+    """Signed streak of the qoq sign, acceleration and their lags."""
+    df = feat.add_momentum_features(feat.add_price_changes(testdata_panel(spark, sf_dir)))
+    return round6(df.select(
+        "entity", "period", "rppi_qoq_pct", "momentum_streak", "momentum_streak_lag1",
+        "price_accel", "price_acceleration_lag1",
+    ))
+
+
+@query("macro_features")
+def q_macro_features(spark, sf_dir):
+    """W8-W10 (partitioned by entity)."""
+    df = testdata_panel(spark, sf_dir)
+    df = feat.add_unemployment_features(feat.add_cpi_features(feat.add_cash_rate_features(df)))
+    return round6(df.select(
+        "entity", "period", "cash_rate_delta", "cash_rate_lag1", "cash_rate_delta_lag1",
+        "cpi_yoy_pct", "cpi_lag1", "cpi_yoy_pct_lag1", "unemp_delta", "unemp_lag1", "unemp_delta_lag1",
+    ))
+
+
+@query("rate_regime")
+def q_rate_regime(spark, sf_dir):
+    """F1 on the lagged cash rate."""
+    df = feat.add_rate_regime(feat.add_cash_rate_features(testdata_panel(spark, sf_dir)))
+    return round6(df.select("entity", "period", "cash_rate_lag1", "rate_regime"))
+
+
+@query("seasonal")
+def q_seasonal(spark, sf_dir):
+    df = feat.add_seasonal_features(testdata_panel(spark, sf_dir))
+    return round6(df.select("entity", "period", "quarter", "quarter_sin", "quarter_cos"))
+
+
+@query("entity_dummies")
+def q_entity_dummies(spark, sf_dir):
+    panel, vocab = panel_and_vocab(spark, sf_dir)
+    df = feat.add_entity_dummies(panel, vocab)
+    return df.select("entity", "period", *[feat.dummy_name(v) for v in vocab])
+
+
+@query("rebase")
+def q_rebase(spark, sf_dir):
+    """Price / first price of the entity * 100."""
+    df = feat.rebase(testdata_panel(spark, sf_dir), "price")
+    return round6(df.select("entity", "period", "price", "price_rebased"))
+
+
+@query("acf")
+def q_acf(spark, sf_dir):
+    """Autocorrelation of qoq change, lags 1..8, averaged over entities."""
+    df = feat.add_price_changes(testdata_panel(spark, sf_dir))
+    return round6(feat.autocorrelation(df, "rppi_qoq_pct", 8))
+
+
+@query("inference_matrix")
+def q_inference_matrix(spark, sf_dir):
+    """complete feature rows without requiring a target."""
+    panel, vocab = panel_and_vocab(spark, sf_dir)
+    m = feat.build_inference(panel, vocab)
+    return round6(m.select("entity", "period", *feat.feature_columns(vocab)))
+
+
+@query("latest_rows")
+def q_latest_rows(spark, sf_dir):
+    """last complete feature row per entity and the period it predicts."""
+    panel, vocab = panel_and_vocab(spark, sf_dir)
+    latest = feat.latest_rows(feat.build_inference(panel, vocab))
+    return round6(latest.select("entity", "period", "predict_period", *feat.NUMERIC_FEATURES))
+
+
+# ---------------------------------------------------------------------------
+# Splits, prediction frame, reports
+# ---------------------------------------------------------------------------
+
+def features_of(spark, sf_dir):
+    panel, vocab = panel_and_vocab(spark, sf_dir)
+    return feat.build_features(panel, vocab), vocab
+
+
+def frame_of(spark, sf_dir):
+    features, _ = features_of(spark, sf_dir)
+    return baseline_frame(features, TESTDATA_SPLIT)
+
+
+@query("splits")
+def q_splits(spark, sf_dir):
+    """Split label of every training row."""
+    features, _ = features_of(spark, sf_dir)
+    return with_split(features, TESTDATA_SPLIT).select("entity", "period", "split")
+
+
+@query("split_sizes")
+def q_split_sizes(spark, sf_dir):
+    features, _ = features_of(spark, sf_dir)
+    return rep.split_sizes(with_split(features, TESTDATA_SPLIT))
+
+
+@query("prediction_frame")
+def q_prediction_frame(spark, sf_dir):
+    """M3/M8/M9: baselines with residual-std intervals and their inverse-MAE blend."""
+    return round6(frame_of(spark, sf_dir))
+
+
+@query("metrics_by_split")
+def q_metrics_by_split(spark, sf_dir):
+    """A1/A6."""
+    return round6(rep.metrics_by_split(frame_of(spark, sf_dir)))
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    """A2."""
+    return round6(rep.model_comparison(frame_of(spark, sf_dir)))
+
+
+@query("coverage")
+def q_coverage(spark, sf_dir):
+    """A3 on the validation split."""
+    return round6(rep.interval_coverage(frame_of(spark, sf_dir)))
+
+
+@query("leaderboard")
+def q_leaderboard(spark, sf_dir):
+    """A5."""
+    return round6(rep.leaderboard(frame_of(spark, sf_dir)))
+
+
+@query("period_means")
+def q_period_means(spark, sf_dir):
+    """A7."""
+    return round6(rep.period_means(frame_of(spark, sf_dir)))
+
+
+@query("interval_series")
+def q_interval_series(spark, sf_dir):
+    """A8."""
+    return round6(rep.interval_series(frame_of(spark, sf_dir), FOCUS_ENTITY))
+
+
+@query("entity_model_mae")
+def q_entity_model_mae(spark, sf_dir):
+    """A9."""
+    return round6(rep.entity_model_mae(frame_of(spark, sf_dir), MODELS))
+
+
+@query("residual_summary")
+def q_residual_summary(spark, sf_dir):
+    """A10 (moments)."""
+    return round6(rep.residual_summary(frame_of(spark, sf_dir)))
+
+
+@query("residual_histogram")
+def q_residual_histogram(spark, sf_dir):
+    """A10 (25-bin density histogram per model)."""
+    return round6(rep.residual_histogram(frame_of(spark, sf_dir)))
+
+
+def _target_parts(spark, sf_dir):
+    features, _ = features_of(spark, sf_dir)
+    part = F.when(F.col("period") <= TESTDATA_SPLIT.val_end_p, "train_val").otherwise("test")
+    return features.withColumn("part", part).withColumn(
+        "nbins", F.when(F.col("part") == "train_val", 30).otherwise(15)
+    )
+
+
+@query("target_histogram")
+def q_target_histogram(spark, sf_dir):
+    """30 bins for train+val, 15 for test."""
+    return round6(rep.histogram(_target_parts(spark, sf_dir), "target", ["part"], "nbins"))
+
+
+@query("describe_target")
+def q_describe_target(spark, sf_dir):
+    """A12."""
+    return rep.describe(_target_parts(spark, sf_dir), "target", ["part"])
+
+
+@query("rate_target_fit")
+def q_rate_target_fit(spark, sf_dir):
+    """Target on cash rate, train split."""
+    features, _ = features_of(spark, sf_dir)
+    train = features.where(F.col("period") <= TESTDATA_SPLIT.train_end_p)
+    return round6(rep.linear_fit(train, "cash_rate", "target"))
+
+
+@query("seasonal_target")
+def q_seasonal_target(spark, sf_dir):
+    """A14."""
+    features, _ = features_of(spark, sf_dir)
+    return round6(rep.seasonal_profile(features))
+
+
+@query("feature_target_corr")
+def q_feature_target_corr(spark, sf_dir):
+    """A15 over all model inputs, train split."""
+    features, vocab = features_of(spark, sf_dir)
+    train = features.where(F.col("period") <= TESTDATA_SPLIT.train_end_p)
+    return round6(rep.feature_target_corr(train, feat.feature_columns(vocab)))
+
+
+@query("correlation_matrix")
+def q_correlation_matrix(spark, sf_dir):
+    """A16 over the 19 numeric features."""
+    features, _ = features_of(spark, sf_dir)
+    return round6(rep.correlation_matrix(features, feat.NUMERIC_FEATURES))
+
+
+@query("driver_ranges")
+def q_driver_ranges(spark, sf_dir):
+    """A17 (drivers per split)."""
+    features, _ = features_of(spark, sf_dir)
+    return round6(rep.driver_ranges(with_split(features, TESTDATA_SPLIT), td.DRIVERS))
+
+
+@query("target_by_entity")
+def q_target_by_entity(spark, sf_dir):
+    """A17 (target per entity)."""
+    features, _ = features_of(spark, sf_dir)
+    return round6(rep.target_by_entity(features))
+
+
+@query("residual_spread")
+def q_residual_spread(spark, sf_dir):
+    """A18."""
+    return round6(rep.residual_spread(frame_of(spark, sf_dir)))
+
+
+@query("direction_confusion")
+def q_direction_confusion(spark, sf_dir):
+    """A19 (counts)."""
+    return rep.direction_confusion(frame_of(spark, sf_dir))
+
+
+@query("direction_accuracy")
+def q_direction_accuracy(spark, sf_dir):
+    """A19 (accuracy)."""
+    return round6(rep.direction_accuracy(frame_of(spark, sf_dir)))
+
+
+@query("direction_by_entity")
+def q_direction_by_entity(spark, sf_dir):
+    """A20."""
+    return round6(rep.direction_by_entity(frame_of(spark, sf_dir), MODELS))
+
+
+@query("residual_series")
+def q_residual_series(spark, sf_dir):
+    """A24."""
+    return round6(rep.residual_series(frame_of(spark, sf_dir)))
+
+
+@query("pred_actual_bounds")
+def q_pred_actual_bounds(spark, sf_dir):
+    """A26."""
+    return round6(rep.pred_actual_bounds(frame_of(spark, sf_dir)))
+
+
+def _folds(features):
+    return plan_folds(distinct_periods_list(features), CV_SPLITS, CV_MIN_TRAIN, CV_VAL)
+
+
+@query("walk_forward_folds")
+def q_walk_forward_folds(spark, sf_dir):
+    """M14 fold plan from the distinct periods of the training matrix."""
+    from panelcast.operators.splits import fold_table
+
+    features, _ = features_of(spark, sf_dir)
+    return fold_table(spark, _folds(features))
+
+
+def _cv_metrics(spark, sf_dir):
+    features, _ = features_of(spark, sf_dir)
+    folds = _folds(features)
+    base = features.select("entity", "period", F.col("target").alias("y"), *[
+        F.col(c).alias(f"pred_{m}") for m, c in BASELINES.items()
+    ])
+    val = tag_folds(base, folds).where(F.col("role") == "val")
+    long = val.select("fold", "y", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("model"), F.col(f"pred_{m}").alias("pred")) for m in BASELINES
+    ])))
+    return long.groupBy("fold", "model").agg(*metric_exprs())
+
+
+@query("cv_fold_metrics")
+def q_cv_fold_metrics(spark, sf_dir):
+    """M14 metrics per fold for the baseline forecasters."""
+    return round6(_cv_metrics(spark, sf_dir))
+
+
+@query("cv_summary")
+def q_cv_summary(spark, sf_dir):
+    """A23."""
+    return round6(rep.cv_summary(_cv_metrics(spark, sf_dir)))

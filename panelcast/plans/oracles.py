@@ -39,3 +39,300 @@ FROM feat_all""")
 ORACLES["feature_matrix"] = with_features(
     f"SELECT entity, period, {cols6(*FEATURE_COLS, 'target')} FROM feat"
 )
+
+from panelcast.operators.evaluation import z_value  # noqa: E402
+from panelcast.plans.sqlgen import TRAIN_END_P, VAL_END_P, metrics_sql, pearson_sql, split_case, with_frame  # noqa: E402
+
+Z90 = z_value(0.90)
+MODELS = ["naive", "rolling_mean", "ensemble"]
+
+
+def frame_sql(body: str) -> str:
+    return with_frame(body, Z90)
+
+
+ORACLES["panel_profile"] = with_panel("""
+SELECT count(*) AS n_rows, count(DISTINCT entity) AS n_entities,
+       min(period) AS min_period, max(period) AS max_period FROM panel""")
+
+ORACLES["driver_quarterly"] = with_panel(f"SELECT series_id, period, {r6('value', 'value')} FROM quarterly")
+
+ORACLES["drivers_aligned"] = with_panel(
+    f"SELECT period, {cols6('cash_rate', 'cpi', 'unemployment_rate')} FROM drivers"
+)
+
+LABEL = "concat(CAST(period // 4 AS VARCHAR), 'Q', CAST(period % 4 + 1 AS VARCHAR))"
+ORACLES["period_labels"] = with_panel(f"""
+SELECT period, {LABEL} AS label,
+       concat(CAST((period + 1) // 4 AS VARCHAR), 'Q', CAST((period + 1) % 4 + 1 AS VARCHAR)) AS next_label,
+       period AS parsed
+FROM (SELECT DISTINCT period FROM panel)""")
+
+ORACLES["rolling_stats"] = with_features(
+    f"SELECT entity, period, {cols6('rppi_qoq_pct', 'rolling_mean_4q', 'rolling_std_4q')} FROM feat_all"
+)
+ORACLES["lagged_changes"] = with_features(
+    f"SELECT entity, period, {cols6('rppi_qoq_pct_lag1', 'rppi_yoy_pct_lag1')} FROM feat_all"
+)
+ORACLES["momentum"] = with_features(f"""
+SELECT entity, period, {cols6('rppi_qoq_pct', 'momentum_streak', 'momentum_streak_lag1',
+                              'price_accel', 'price_acceleration_lag1')} FROM feat_all""")
+ORACLES["macro_features"] = with_features(f"""
+SELECT entity, period, {cols6('cash_rate_delta', 'cash_rate_lag1', 'cash_rate_delta_lag1', 'cpi_yoy_pct',
+                              'cpi_lag1', 'cpi_yoy_pct_lag1', 'unemp_delta', 'unemp_lag1', 'unemp_delta_lag1')}
+FROM feat_all""")
+ORACLES["rate_regime"] = with_features(
+    f"SELECT entity, period, {cols6('cash_rate_lag1', 'rate_regime')} FROM feat_all"
+)
+ORACLES["seasonal"] = with_features(
+    f"SELECT entity, period, quarter, {cols6('quarter_sin', 'quarter_cos')} FROM feat_all"
+)
+ORACLES["entity_dummies"] = with_features(
+    "SELECT entity, period, " + ", ".join(dummy_name(v) for v in NATION_VOCAB) + " FROM feat_all"
+)
+ORACLES["rebase"] = with_panel(f"""
+SELECT entity, period, {r6('price', 'price')},
+       {r6('price / first_value(price) OVER (PARTITION BY entity ORDER BY period) * 100.0', 'price_rebased')}
+FROM panel""")
+
+_ACF_LAGS = ",\n         ".join(f"lag(rppi_qoq_pct, {k}) OVER w AS l{k}" for k in range(1, 9))
+_ACF_CORR = ",\n         ".join(f"{pearson_sql('rppi_qoq_pct', f'l{k}')} AS c{k}" for k in range(1, 9))
+_ACF_STACK = "\n  UNION ALL ".join(f"SELECT entity, n, {k} AS lag, c{k} AS acf FROM per_entity" for k in range(1, 9))
+ORACLES["acf"] = with_features(f""",
+lagged AS (
+  SELECT entity, rppi_qoq_pct,
+         {_ACF_LAGS}
+  FROM feat_all WINDOW w AS (PARTITION BY entity ORDER BY period)
+),
+per_entity AS (
+  SELECT entity, count(rppi_qoq_pct) AS n,
+         {_ACF_CORR}
+  FROM lagged GROUP BY entity
+),
+stacked AS (
+  {_ACF_STACK}
+)
+SELECT CAST(lag AS INTEGER) AS lag, {r6('avg(acf)', 'acf')}, {r6('1.96 / sqrt(avg(n))', 'band')},
+       count(acf) AS n_entities
+FROM stacked GROUP BY lag""".replace("WITH ", "WITH ", 1)).replace("\n,\nlagged", ",\nlagged")
+
+_INF_REQ = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLS)
+ORACLES["inference_matrix"] = with_features(
+    f"SELECT entity, period, {cols6(*FEATURE_COLS)} FROM feat_all WHERE {_INF_REQ}"
+)
+ORACLES["latest_rows"] = with_features(f""",
+inf AS (SELECT * FROM feat_all WHERE {_INF_REQ}),
+last AS (
+  SELECT *, row_number() OVER (PARTITION BY entity ORDER BY period DESC) AS rk FROM inf
+)
+SELECT entity, period, CAST(period + 1 AS INTEGER) AS predict_period, {cols6(*NUMERIC_FEATURES)}
+FROM last WHERE rk = 1""").replace("\n,\ninf", ",\ninf")
+
+ORACLES["splits"] = with_features(f"SELECT entity, period, {split_case()} AS split FROM feat")
+ORACLES["split_sizes"] = with_features(f""",
+s AS (SELECT period, {split_case()} AS split FROM feat)
+SELECT coalesce(split, 'total') AS split, count(*) AS n, min(period) AS min_period, max(period) AS max_period
+FROM s GROUP BY ROLLUP (split)""").replace("\n,\ns AS", ",\ns AS")
+
+ORACLES["prediction_frame"] = frame_sql(
+    f"SELECT entity, period, split, model, {cols6('y', 'pred', 'lo', 'hi')} FROM pf"
+)
+ORACLES["metrics_by_split"] = frame_sql(f"SELECT model, split, {metrics_sql()} FROM pf GROUP BY model, split")
+
+_CMP = ",\n       ".join(
+    metrics_sql(where=f"split = '{s}'", prefix=f"{s}_", names=("mae", "rmse", "r2", "directional_accuracy"))
+    for s in ("train", "val", "test")
+)
+ORACLES["model_comparison"] = frame_sql(f"SELECT model, {_CMP} FROM pf GROUP BY model")
+
+INSIDE = "CAST(y >= lo AND y <= hi AS DOUBLE)"
+ORACLES["coverage"] = frame_sql(
+    f"SELECT model, {r6(f'avg({INSIDE})', 'coverage')}, count(*) AS n FROM pf WHERE split = 'val' GROUP BY model"
+)
+ORACLES["leaderboard"] = frame_sql(f""",
+per_model AS (
+  SELECT model, {metrics_sql(names=('mae', 'rmse', 'r2', 'directional_accuracy'))},
+         avg(abs(y - pred)) AS mae_raw,
+         CASE WHEN max(abs(hi - lo)) > 0 THEN avg({INSIDE}) END AS cov
+  FROM pf WHERE split = 'test' GROUP BY model
+)
+SELECT model, mae, rmse, r2, directional_accuracy, {r6('cov', 'coverage')},
+       CAST(row_number() OVER (ORDER BY mae_raw, model) AS INTEGER) AS rank
+FROM per_model""").replace("\n,\nper_model", ",\nper_model")
+
+ORACLES["period_means"] = frame_sql(f"""
+SELECT model, period, {r6('avg(y)', 'mean_actual')}, {r6('avg(pred)', 'mean_pred')}, count(*) AS n
+FROM pf WHERE split = 'test' GROUP BY model, period""")
+
+ORACLES["interval_series"] = frame_sql(f"""
+SELECT model, entity, period, {cols6('y', 'pred', 'lo', 'hi')}, CAST(y >= lo AND y <= hi AS INTEGER) AS inside
+FROM pf WHERE split = 'val'
+  AND (entity = 'NATION_1' OR NOT EXISTS (SELECT 1 FROM pf WHERE split = 'val' AND entity = 'NATION_1'))""")
+
+_PIV = ", ".join(r6(f"avg(abs(y - pred)) FILTER (WHERE model = '{m}')", m) for m in MODELS)
+ORACLES["entity_model_mae"] = frame_sql(f"SELECT entity, {_PIV} FROM pf WHERE split = 'test' GROUP BY entity")
+
+ORACLES["residual_summary"] = frame_sql(f"""
+SELECT model, {r6('avg(y - pred)', 'mu')}, {r6('stddev_pop(y - pred)', 'sigma')}, count(*) AS n
+FROM pf WHERE split = 'test' GROUP BY model""")
+
+
+def hist_sql(source: str, key: str) -> str:
+    """Histogram body over ``source(<key>, v, nb)``; mirrors reports.histogram."""
+    return f"""
+hs AS (SELECT {key}, v, nb FROM {source} WHERE v IS NOT NULL),
+st AS (SELECT {key}, min(v) AS lo, max(v) AS hi, count(*) AS total, max(nb) AS nb FROM hs GROUP BY {key}),
+cnt AS (
+  SELECT h.{key},
+         CAST(CASE WHEN st.hi - st.lo > 0
+                   THEN least(floor((h.v - st.lo) / (st.hi - st.lo) * st.nb), st.nb - 1) ELSE 0 END AS INTEGER) AS bin,
+         count(*) AS c
+  FROM hs h JOIN st ON h.{key} = st.{key} GROUP BY 1, 2
+),
+grid AS (SELECT st.*, CAST(unnest(range(0, st.nb)) AS INTEGER) AS bin FROM st)
+SELECT g.{key}, g.bin,
+       {r6('g.lo + g.bin * ((g.hi - g.lo) / g.nb)', 'bin_lo')},
+       {r6('CASE WHEN g.bin = g.nb - 1 THEN g.hi ELSE g.lo + (g.bin + 1) * ((g.hi - g.lo) / g.nb) END', 'bin_hi')},
+       CAST(coalesce(c.c, 0) AS BIGINT) AS count,
+       {r6('coalesce(c.c, 0) / (g.total * CASE WHEN g.hi - g.lo > 0 THEN (g.hi - g.lo) / g.nb END)', 'density')}
+FROM grid g LEFT JOIN cnt c ON g.{key} = c.{key} AND g.bin = c.bin"""
+
+
+ORACLES["residual_histogram"] = frame_sql(f""",
+rsrc AS (SELECT model, y - pred AS v, 25 AS nb FROM pf WHERE split = 'test'),
+{hist_sql('rsrc', 'model').lstrip()}""").replace("\n,\nrsrc", ",\nrsrc")
+
+PART = f"CASE WHEN period <= {VAL_END_P} THEN 'train_val' ELSE 'test' END"
+ORACLES["target_histogram"] = with_features(f""",
+tsrc AS (SELECT {PART} AS part, target AS v, CASE WHEN period <= {VAL_END_P} THEN 30 ELSE 15 END AS nb FROM feat),
+{hist_sql('tsrc', 'part').lstrip()}""").replace("\n,\ntsrc", ",\ntsrc")
+
+ORACLES["describe_target"] = with_features(f"""
+SELECT {PART} AS part, count(target) AS count, round(avg(target), 3) AS mean, round(stddev_samp(target), 3) AS std,
+       round(min(target), 3) AS min, round(quantile_cont(target, 0.25), 3) AS q25,
+       round(quantile_cont(target, 0.5), 3) AS q50, round(quantile_cont(target, 0.75), 3) AS q75,
+       round(max(target), 3) AS max
+FROM feat GROUP BY 1""")
+
+ORACLES["rate_target_fit"] = with_features(f"""
+SELECT {r6('regr_slope(target, cash_rate)', 'slope')}, {r6('regr_intercept(target, cash_rate)', 'intercept')},
+       {r6(pearson_sql('cash_rate', 'target'), 'r')}, CAST(regr_count(target, cash_rate) AS BIGINT) AS n
+FROM feat WHERE period <= {TRAIN_END_P}""")
+
+ORACLES["seasonal_target"] = with_features(f"""
+SELECT quarter, {r6('avg(target)', 'mean')}, {r6('stddev_samp(target)', 'std')}, count(target) AS n
+FROM feat GROUP BY quarter""")
+
+def _ftc_row(c: str) -> str:
+    r = pearson_sql(c, "target")
+    return (f"SELECT '{c}' AS feature, {r6(r, 'corr')}, {r6(f'abs({r})', 'abs_corr')} "
+            f"FROM feat WHERE period <= {TRAIN_END_P}")
+
+
+_FTC = "\nUNION ALL ".join(_ftc_row(c) for c in FEATURE_COLS)
+ORACLES["feature_target_corr"] = with_features(_FTC)
+
+_PAIRS = [(a, b) for i, a in enumerate(NUMERIC_FEATURES) for b in NUMERIC_FEATURES[i:]]
+_CM_AGG = ",\n         ".join(f"{pearson_sql(a, b)} AS c{i}" for i, (a, b) in enumerate(_PAIRS))
+_CM_ROWS = []
+for _i, (_a, _b) in enumerate(_PAIRS):
+    _v = f"c{_i}" if _a != _b else f"CASE WHEN c{_i} IS NOT NULL THEN 1.0 END"
+    _CM_ROWS.append(f"SELECT '{_a}' AS feature_a, '{_b}' AS feature_b, {r6(_v, 'corr')} FROM cm")
+    if _a != _b:
+        _CM_ROWS.append(f"SELECT '{_b}', '{_a}', {r6(_v, 'corr')} FROM cm")
+ORACLES["correlation_matrix"] = with_features(f""",
+cm AS (SELECT {_CM_AGG} FROM feat)
+{chr(10).join(('UNION ALL ' if k else '') + r for k, r in enumerate(_CM_ROWS))}""").replace("\n,\ncm AS", ",\ncm AS")
+
+ORACLES["driver_ranges"] = with_features(f"""
+SELECT {split_case()} AS split,
+       {', '.join(r6(f'{fn}({d})', f'{d}_{fn}') for d in ('cash_rate', 'cpi', 'unemployment_rate') for fn in ('min', 'max'))}
+FROM feat GROUP BY 1""")
+
+ORACLES["target_by_entity"] = with_features(f"""
+SELECT entity, {r6('min(target)', 'target_min')}, {r6('max(target)', 'target_max')}, {r6('avg(target)', 'target_mean')}
+FROM feat GROUP BY entity""")
+
+ORACLES["residual_spread"] = frame_sql(f""",
+rr AS (SELECT model, entity, y - pred AS r FROM pf WHERE split = 'val'),
+box AS (
+  SELECT model, entity, stddev_samp(r) AS std, quantile_cont(r, 0.25) AS q1,
+         quantile_cont(r, 0.5) AS median, quantile_cont(r, 0.75) AS q3
+  FROM rr GROUP BY model, entity
+),
+fence AS (
+  SELECT rr.model, rr.entity, min(r) AS whisker_lo, max(r) AS whisker_hi
+  FROM rr JOIN box ON rr.model = box.model AND rr.entity = box.entity
+  WHERE r >= q1 - 1.5 * (q3 - q1) AND r <= q3 + 1.5 * (q3 - q1)
+  GROUP BY rr.model, rr.entity
+)
+SELECT b.model, b.entity, {cols6('std', 'q1', 'median', 'q3', 'whisker_lo', 'whisker_hi')}
+FROM box b LEFT JOIN fence f ON b.model = f.model AND b.entity = f.entity""").replace("\n,\nrr AS", ",\nrr AS")
+
+BAND = "CASE WHEN {x} > 0.1 THEN 'up' WHEN {x} < -0.1 THEN 'down' ELSE 'flat' END"
+ORACLES["direction_confusion"] = frame_sql(f""",
+lab AS (SELECT model, {BAND.format(x='y')} AS actual, {BAND.format(x='pred')} AS predicted FROM pf WHERE split = 'val')
+SELECT model, actual, count(*) FILTER (WHERE predicted = 'down') AS down,
+       count(*) FILTER (WHERE predicted = 'flat') AS flat, count(*) FILTER (WHERE predicted = 'up') AS up
+FROM lab GROUP BY model, actual""").replace("\n,\nlab AS", ",\nlab AS")
+
+ORACLES["direction_accuracy"] = frame_sql(f"""
+SELECT model, {r6(f"avg(CAST(({BAND.format(x='y')}) = ({BAND.format(x='pred')}) AS DOUBLE))", 'accuracy')}, count(*) AS n
+FROM pf WHERE split = 'val' GROUP BY model""")
+
+_DPIV = ", ".join(r6(f"avg(CAST(sign(pred) = sign(y) AS DOUBLE)) FILTER (WHERE model = '{m}')", m) for m in MODELS)
+ORACLES["direction_by_entity"] = frame_sql(f"SELECT entity, {_DPIV} FROM pf WHERE split = 'val' GROUP BY entity")
+
+ORACLES["residual_series"] = frame_sql(f"""
+SELECT model, split, entity, period, {r6('y - pred', 'residual')} FROM pf WHERE split IN ('val', 'test')""")
+
+ORACLES["pred_actual_bounds"] = frame_sql(f"""
+SELECT model, {r6('1.1 * greatest(max(abs(y)), max(abs(pred)))', 'bound')}, count(*) AS n
+FROM pf WHERE split = 'test' AND model <> 'ensemble' GROUP BY model""")
+
+# Walk-forward plan of the testdata panel.
+CV_SPLITS, CV_MIN_TRAIN, CV_VAL = 3, 8, 4
+FOLD_CTES = f""",
+pp AS (SELECT period, CAST(row_number() OVER (ORDER BY period) - 1 AS INTEGER) AS idx FROM (SELECT DISTINCT period FROM feat)),
+tt AS (SELECT count(*) AS total FROM pp),
+prm AS (SELECT total, total - {CV_MIN_TRAIN} - {CV_VAL} AS available,
+               greatest(1, (total - {CV_MIN_TRAIN} - {CV_VAL}) // {CV_SPLITS}) AS step FROM tt),
+offs AS (SELECT unnest(range(0, available, step)) AS off, total FROM prm),
+offs2 AS (SELECT off, total, CAST(row_number() OVER (ORDER BY off) - 1 AS INTEGER) AS fold FROM offs),
+plan AS (
+  SELECT o.fold, {CV_MIN_TRAIN} + o.off - 1 AS t_idx, {CV_MIN_TRAIN} + o.off - 1 + {CV_VAL} AS v_idx, o.total
+  FROM offs2 o WHERE o.fold < {CV_SPLITS}
+),
+folds AS (
+  SELECT p.fold, a.period AS train_end, b.period AS val_end
+  FROM plan p JOIN pp a ON a.idx = p.t_idx JOIN pp b ON b.idx = least(p.v_idx, p.total - 1)
+  WHERE p.v_idx < p.total
+),
+cvlong AS (
+  SELECT f.fold, 'naive' AS model, s.target AS y, s.rppi_qoq_pct_lag1 AS pred
+  FROM feat s JOIN folds f ON s.period > f.train_end AND s.period <= f.val_end
+  UNION ALL
+  SELECT f.fold, 'rolling_mean', s.target, s.rolling_mean_4q
+  FROM feat s JOIN folds f ON s.period > f.train_end AND s.period <= f.val_end
+),
+cvm AS (
+  SELECT fold, model, avg(abs(y - pred)) AS mae,
+         CASE WHEN var_pop(y) * count(y) > 0 THEN 1.0 - sum((y - pred) * (y - pred)) / (var_pop(y) * count(y)) ELSE 0.0 END AS r2,
+         avg(CAST(sign(pred) = sign(y) AS DOUBLE)) AS directional_accuracy
+  FROM cvlong GROUP BY fold, model
+)"""
+ORACLES["walk_forward_folds"] = with_features(
+    FOLD_CTES + "\nSELECT fold, CAST(train_end AS INTEGER) AS train_end, CAST(val_end AS INTEGER) AS val_end FROM folds"
+).replace("\n,\npp AS", ",\npp AS")
+ORACLES["cv_fold_metrics"] = with_features(FOLD_CTES + f"""
+SELECT f.fold, 'naive' AS model, {metrics_sql(pred='s.rppi_qoq_pct_lag1', y='s.target')}
+FROM feat s JOIN folds f ON s.period > f.train_end AND s.period <= f.val_end GROUP BY f.fold
+UNION ALL
+SELECT f.fold, 'rolling_mean' AS model, {metrics_sql(pred='s.rolling_mean_4q', y='s.target')}
+FROM feat s JOIN folds f ON s.period > f.train_end AND s.period <= f.val_end GROUP BY f.fold""").replace("\n,\npp AS", ",\npp AS")
+ORACLES["cv_summary"] = with_features(FOLD_CTES + f"""
+SELECT model, {r6('avg(mae)', 'mae_mean')}, {r6('stddev_pop(mae)', 'mae_std')},
+       {r6('avg(r2)', 'r2_mean')}, {r6('stddev_pop(r2)', 'r2_std')},
+       {r6('avg(directional_accuracy)', 'directional_accuracy_mean')},
+       {r6('stddev_pop(directional_accuracy)', 'directional_accuracy_std')}, count(*) AS n_folds
+FROM cvm GROUP BY model""").replace("\n,\npp AS", ",\npp AS")

@@ -160,3 +160,79 @@ def with_features(body: str, vocab: Sequence[str] = NATION_VOCAB) -> str:
 
 def with_panel(body: str) -> str:
     return f"WITH {panel_ctes()}\n{body}"
+
+
+# Testdata split boundaries as period integers (1998Q4, 1999Q4).
+TRAIN_END_P = 1998 * 4 + 3
+VAL_END_P = 1999 * 4 + 3
+
+
+def split_case(col: str = "period") -> str:
+    return f"CASE WHEN {col} <= {TRAIN_END_P} THEN 'train' WHEN {col} <= {VAL_END_P} THEN 'val' ELSE 'test' END"
+
+
+def frame_ctes(z: float) -> str:
+    """CTEs sp (features + split), long1 (baselines with bounds), pf (+ ensemble)."""
+    return f"""
+sp AS (SELECT *, {split_case()} AS split FROM feat),
+long0 AS (
+  SELECT 'naive' AS model, split, entity, period, target AS y, rppi_qoq_pct_lag1 AS pred FROM sp
+  UNION ALL
+  SELECT 'rolling_mean', split, entity, period, target, rolling_mean_4q FROM sp
+),
+vstats AS (
+  SELECT model, stddev_pop(y - pred) AS sd, avg(abs(y - pred)) AS mae
+  FROM long0 WHERE split = 'val' GROUP BY model
+),
+vw AS (
+  SELECT model, CASE WHEN sd > 0 THEN {z!r} * sd ELSE 0.0 END AS half,
+         (1.0 / mae) / sum(1.0 / mae) OVER () AS w
+  FROM vstats
+),
+long1 AS (
+  SELECT l.model, l.split, l.entity, l.period, l.y, l.pred,
+         l.pred - v.half AS lo, l.pred + v.half AS hi, v.w
+  FROM long0 l JOIN vw v ON l.model = v.model
+),
+ens AS (
+  SELECT 'ensemble' AS model, split, entity, period, any_value(y) AS y,
+         sum(w * pred) AS pred, sum(w * lo) AS lo, sum(w * hi) AS hi
+  FROM long1 GROUP BY split, entity, period
+),
+pf AS (
+  SELECT model, split, entity, period, y, pred, lo, hi FROM long1
+  UNION ALL
+  SELECT model, split, entity, period, y, pred, lo, hi FROM ens
+)"""
+
+
+def with_frame(body: str, z: float, vocab: Sequence[str] = NATION_VOCAB) -> str:
+    return f"WITH {panel_ctes()},{feature_ctes(vocab)},{frame_ctes(z)}\n{body}"
+
+
+def metrics_sql(y: str = "y", pred: str = "pred", where: str | None = None, prefix: str = "",
+                names: Sequence[str] = ("mae", "rmse", "r2", "mape", "directional_accuracy", "n_samples")) -> str:
+    """Metric aggregates; ``where`` adds a FILTER clause to every aggregate."""
+    f = f" FILTER (WHERE {where})" if where else ""
+    r = f"({y} - {pred})"
+    exprs = {
+        "mae": f"avg(abs({r})){f}",
+        "rmse": f"sqrt(avg({r} * {r}){f})",
+        "r2": f"CASE WHEN var_pop({y}){f} * count({y}){f} > 0 THEN 1.0 - sum({r} * {r}){f} / (var_pop({y}){f} * count({y}){f}) ELSE 0.0 END",
+        "mape": f"avg(CASE WHEN {y} <> 0 THEN abs({r} / {y}) END){f} * 100",
+        "directional_accuracy": f"avg(CAST(sign({pred}) = sign({y}) AS DOUBLE)){f}",
+        "n_samples": f"count(*){f}",
+    }
+    out = []
+    for n in names:
+        e = exprs[n]
+        out.append(f"{e} AS {prefix}{n}" if n == "n_samples" else f"round(({e}) * 1000000.0) / 1000000.0 AS {prefix}{n}")
+    return ",\n       ".join(out)
+
+
+def pearson_sql(a: str, b: str) -> str:
+    """Mirror of functions.scalars.pearson (pairwise complete, NULL when constant)."""
+    xa = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {a} END"
+    xb = f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {b} END"
+    return (f"CASE WHEN stddev_samp({xa}) * stddev_samp({xb}) <> 0 "
+            f"THEN covar_samp({xa}, {xb}) / (stddev_samp({xa}) * stddev_samp({xb})) END")
