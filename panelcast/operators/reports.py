@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from panelcast.functions.scalars import banded_direction, pearson
 from panelcast.operators.evaluation import compare_models, inside, metric_exprs
 
-RESID = F.col("y") - F.col("pred")
+def resid() -> Column:
+    return F.col("y") - F.col("pred")
 
 
 def split_sizes(df: DataFrame, split: str = "split", period: str = "period") -> DataFrame:
@@ -77,7 +78,7 @@ def entity_model_mae(pf: DataFrame, models: Sequence[str], split: str = "test")
     """Entity x model MAE (explicit pivot values)."""
     return (
         pf.where(F.col("split") == split)
-        .groupBy("entity").pivot("model", list(models)).agg(F.avg(F.abs(RESID)))
+        .groupBy("entity").pivot("model", list(models)).agg(F.avg(F.abs(resid())))
     )
 
 
@@ -117,12 +118,12 @@ def histogram(df: DataFrame, value: str, by: Sequence[str], bins: int | str) ->
 def residual_summary(pf: DataFrame, split: str = "test") -> DataFrame:
     """A10: mean and population std of residuals per model."""
     return pf.where(F.col("split") == split).groupBy("model").agg(
-        F.avg(RESID).alias("mu"), F.stddev_pop(RESID).alias("sigma"), F.count(F.lit(1)).alias("n"),
+        F.avg(resid()).alias("mu"), F.stddev_pop(resid()).alias("sigma"), F.count(F.lit(1)).alias("n"),
     )
 
 
 def residual_histogram(pf: DataFrame, split: str = "test", bins: int = 25) -> DataFrame:
-    rows = pf.where(F.col("split") == split).withColumn("residual", RESID)
+    rows = pf.where(F.col("split") == split).withColumn("residual", resid())
     return histogram(rows, "residual", ["model"], bins)
 
 
@@ -207,7 +208,7 @@ def target_by_entity(df: DataFrame, target: str = "target", entity: str = "entit
 def residual_spread(pf: DataFrame, split: str = "val", approx: bool = False) -> DataFrame:
     """Per (model, entity): sample std, quartiles, 1.5 IQR whiskers
     (extreme residuals inside the fences). Two aggregates joined on the key."""
-    rows = pf.where(F.col("split") == split).select("model", "entity", RESID.alias("r"))
+    rows = pf.where(F.col("split") == split).select("model", "entity", resid().alias("r"))
     box = rows.groupBy("model", "entity").agg(
         F.stddev_samp("r").alias("std"), _quantiles(F.col("r"), (0.25, 0.5, 0.75), approx).alias("q"),
     ).select(
@@ -250,7 +251,7 @@ def cv_summary(fold_metrics: DataFrame, by: Sequence[str] = ("model",)) -> DataF
 
 def residual_series(pf: DataFrame, splits: Sequence[str] = ("val", "test")) -> DataFrame:
     """Residual per row of the later splits."""
-    return pf.where(F.col("split").isin(list(splits))).select("model", "split", "entity", "period", RESID.alias("residual"))
+    return pf.where(F.col("split").isin(list(splits))).select("model", "split", "entity", "period", resid().alias("residual"))
 
 
 def pred_actual_bounds(pf: DataFrame, split: str = "test", exclude: Sequence[str] = ("ensemble",), pad: float = 1.1) -> DataFrame:

@@ -435,3 +435,166 @@ def q_cv_fold_metrics(spark, sf_dir):
 def q_cv_summary(spark, sf_dir):
     """A23."""
     return round6(rep.cv_summary(_cv_metrics(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# Models (rows-only checks: fits are iterative, not SQL)
+# ---------------------------------------------------------------------------
+
+from panelcast.ml import registry as reg  # noqa: E402
+from panelcast.ml.linear import fit_ridge, with_val_std  # noqa: E402
+from panelcast.ml.training import train_and_evaluate, wide_scores  # noqa: E402
+from panelcast.ml.trees import SEARCH_SPACE  # noqa: E402
+from panelcast.operators.evaluation import z_value  # noqa: E402
+from panelcast.operators.forecasts import stack  # noqa: E402
+from panelcast.operators.splits import split_rows  # noqa: E402
+from panelcast.session import cut_lineage  # noqa: E402
+
+# Search budget of the registered training query (the library default is
+# 50 trials over 100-800 trees; see README).
+ML_TRIALS = 3
+ML_SPACE = {**SEARCH_SPACE, "max_iter": (10, 40)}
+ES_PARAMS = {"maxIter": 60, "maxDepth": 4, "stepSize": 0.1}
+TOP_K = 15
+
+
+def ml_inputs(spark, sf_dir):
+    """Checkpointed training matrix (lineage cut before the iterative fits)."""
+    features, vocab = features_of(spark, sf_dir)
+    return cut_lineage(features), feat.feature_columns(vocab)
+
+
+def ridge_of(features, cols):
+    train = split_rows(features, "train", TESTDATA_SPLIT)
+    val = split_rows(features, "val", TESTDATA_SPLIT)
+    return with_val_std(fit_ridge(train, cols), val)
+
+
+@query("ridge_predictions")
+def q_ridge_predictions(spark, sf_dir):
+    """M1-M3: standardised ridge (alpha by contiguous 5-fold CV), residual-std interval."""
+    features, cols = ml_inputs(spark, sf_dir)
+    model = ridge_of(features, cols)
+    wide = wide_scores(features, TESTDATA_SPLIT, {"ridge": model})
+    return round6(stack(wide, ["ridge"], with_bounds=True))
+
+
+def _top_k(spark, pairs):
+    """Top-k importances normalised to the largest."""
+    top = pairs[:TOP_K]
+    peak = max((v for _, v in top), default=0.0) or 1.0
+    rows = [(i + 1, f, float(v), float(v) / peak) for i, (f, v) in enumerate(top)]
+    return spark.createDataFrame(rows, "rank INT, feature STRING, importance DOUBLE, relative DOUBLE")
+
+
+@query("ridge_importance")
+def q_ridge_importance(spark, sf_dir):
+    """|coefficient| ranking."""
+    features, cols = ml_inputs(spark, sf_dir)
+    return round6(_top_k(spark, ridge_of(features, cols).importance()))
+
+
+@query("ridge_attribution")
+def q_ridge_attribution(spark, sf_dir):
+    """Mean |contribution| per feature over all test rows, top 15.
+    One aggregate with a column per feature, then stacked and ranked."""
+    features, cols = ml_inputs(spark, sf_dir)
+    model = ridge_of(features, cols)
+    test = split_rows(features, "test", TESTDATA_SPLIT)
+    wide = test.agg(*[F.avg(F.abs(F.lit(model.coef[j]) * model.z(j))).alias(f"a{j}") for j in range(len(cols))])
+    long = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(f"a{j}").alias("mean_abs_attribution")) for j, c in enumerate(cols)
+    ])))
+    return round6(long.orderBy(F.desc("mean_abs_attribution"), "feature").limit(TOP_K))
+
+
+@query("ridge_explain")
+def q_ridge_explain(spark, sf_dir):
+    """Per-row additive contributions (map) and base; sum + base = prediction."""
+    features, cols = ml_inputs(spark, sf_dir)
+    model = ridge_of(features, cols)
+    contrib, base = model.attribution()
+    test = split_rows(features, "test", TESTDATA_SPLIT)
+    out = test.select(
+        "entity", "period", model.prediction().alias("pred"), base.alias("base_value"),
+        F.transform_values(contrib, lambda k, v: F.round(v, 6)).alias("contributions"),
+    )
+    return round6(out)
+
+
+def _ridge_folds(spark, sf_dir):
+    features, cols = ml_inputs(spark, sf_dir)
+    folds = _folds(features)
+    rows = []
+    for f in folds:
+        cfg = SplitConfig(f.train_end, f.val_end)
+        model = fit_ridge(split_rows(features, "train", cfg), cols)
+        val = split_rows(features, "val", cfg).select(F.col("target").alias("y"), model.prediction().alias("pred"))
+        rows.append(val.agg(*metric_exprs()).withColumn("fold", F.lit(f.fold)).withColumn("model", F.lit("ridge")))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+@query("ridge_walk_forward")
+def q_ridge_walk_forward(spark, sf_dir):
+    """Expanding-window folds, ridge refit per fold, validation metrics."""
+    return round6(_ridge_folds(spark, sf_dir))
+
+
+@query("ridge_cv_summary")
+def q_ridge_cv_summary(spark, sf_dir):
+    """A23 for ridge."""
+    return round6(rep.cv_summary(_ridge_folds(spark, sf_dir)))
+
+
+def _training(spark, sf_dir):
+    features, cols = ml_inputs(spark, sf_dir)
+    return train_and_evaluate(
+        features, TESTDATA_SPLIT, cols, n_trials=ML_TRIALS, space=ML_SPACE, es_params=ES_PARAMS,
+    )
+
+
+@query("training_metrics")
+def q_training_metrics(spark, sf_dir):
+    """M13 (+M4-M9): ridge, searched GBT, early-stopped GBT and their blend;
+    metrics for every model and split in one aggregate."""
+    return round6(_training(spark, sf_dir).metrics)
+
+
+@query("training_frame")
+def q_training_frame(spark, sf_dir):
+    """M13 long prediction frame with intervals (conformal for trees)."""
+    return round6(_training(spark, sf_dir).frame)
+
+
+@query("gbt_importance")
+def q_gbt_importance(spark, sf_dir):
+    """M10/A21 for the early-stopped boosted trees."""
+    from panelcast.ml.trees import fit_gbt_early_stopping
+
+    features, cols = ml_inputs(spark, sf_dir)
+    train = split_rows(features, "train", TESTDATA_SPLIT)
+    val = split_rows(features, "val", TESTDATA_SPLIT)
+    model = fit_gbt_early_stopping(train, val, cols, params=ES_PARAMS)
+    return round6(_top_k(spark, model.importance()))
+
+
+@query("model_registry")
+def q_model_registry(spark, sf_dir):
+    """Save the ridge model with its metrics, list the registry and
+    pick the best entry by test RMSE."""
+    features, cols = ml_inputs(spark, sf_dir)
+    model = ridge_of(features, cols)
+    wide = wide_scores(features, TESTDATA_SPLIT, {"ridge": model})
+    frame = stack(wide, ["ridge"], with_bounds=True)
+    m = frame.groupBy("split").agg(*metric_exprs(names=("mae", "rmse", "r2", "directional_accuracy"))).collect()
+    metrics = {r.split: {k: float(r[k]) for k in ("mae", "rmse", "r2", "directional_accuracy")} for r in m}
+    cov = frame.where(F.col("split") == "val").agg(F.avg(rep.inside())).first()[0]
+    root = reg.scratch_path(spark, f"registry-{abs(hash(sf_dir))}")
+    reg.save(spark, root, model, "1", metrics, cov)
+    loaded, meta = reg.load(spark, root, "ridge", "1")
+    if not reg.feature_set_matches(meta, cols):
+        raise ValueError("stored feature columns differ from the current ones")
+    return reg.best_model(spark, root).select("name", "version", "kind", "feature_cols", "test_rmse", "calibration_coverage")
