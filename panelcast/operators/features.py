@@ -197,8 +197,12 @@ def add_target(
 def add_all_features(
     panel: DataFrame, vocabulary: Sequence[str], *, with_target: bool = True,
     entity: str = "entity", period: str = "period", prefix: str = "entity_",
+    dummy_col: str | None = None,
 ) -> DataFrame:
-    """All derived columns, before null filtering (same order as the model build)."""
+    """All derived columns, before null filtering (same order as the model build).
+
+    Windows are partitioned by ``entity``; dummies encode ``dummy_col``
+    (default: ``entity``), e.g. windows per request id, dummies per name."""
     kw = {"entity": entity, "period": period}
     df = add_price_lags(panel, **kw)
     df = add_price_changes(df, **kw)
@@ -210,7 +214,7 @@ def add_all_features(
     df = add_unemployment_features(df, **kw)
     df = add_rate_regime(df)
     df = add_seasonal_features(df, period=period)
-    df = add_entity_dummies(df, vocabulary, entity=entity, prefix=prefix)
+    df = add_entity_dummies(df, vocabulary, entity=dummy_col or entity, prefix=prefix)
     if with_target:
         df = add_target(df, **kw)
     return df
@@ -227,10 +231,11 @@ def build_features(
 
 def build_inference(
     panel: DataFrame, vocabulary: Sequence[str], *, entity: str = "entity",
-    period: str = "period", prefix: str = "entity_",
+    period: str = "period", prefix: str = "entity_", dummy_col: str | None = None,
 ) -> DataFrame:
     """Like :func:`build_features` but keeps rows whose target is unknown."""
-    df = add_all_features(panel, vocabulary, with_target=False, entity=entity, period=period, prefix=prefix)
+    df = add_all_features(panel, vocabulary, with_target=False, entity=entity, period=period, prefix=prefix,
+                          dummy_col=dummy_col)
     return df.dropna(subset=feature_columns(vocabulary, prefix))
 
 

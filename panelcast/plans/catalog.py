@@ -598,3 +598,161 @@ def q_model_registry(spark, sf_dir):
     if not reg.feature_set_matches(meta, cols):
         raise ValueError("stored feature columns differ from the current ones")
     return reg.best_model(spark, root).select("name", "version", "kind", "feature_cols", "test_rmse", "calibration_coverage")
+
+
+# ---------------------------------------------------------------------------
+# Requests, scoring, links, request log, streams
+# ---------------------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from panelcast.ml import scoring as sc  # noqa: E402
+from panelcast.operators import requestlog as rl  # noqa: E402
+from panelcast.operators import requests as rq  # noqa: E402
+from panelcast.session import scratch_path  # noqa: E402
+from panelcast.sources.weblinks import discover_links  # noqa: E402
+from panelcast.streaming import jobs as sj  # noqa: E402
+
+# Fixed value: href pattern of the link-discovery query.
+LINK_PATTERN = "tion|ment"
+
+
+@query("vector_requests")
+def q_vector_requests(spark, sf_dir):
+    """F7 input: flat scoring requests derived from every panel cell."""
+    return round6(td.vector_requests(spark, sf_dir))
+
+
+@query("vector_request_errors")
+def q_vector_request_errors(spark, sf_dir):
+    """rule violations of the vector requests (valid rows excluded)."""
+    reqs = td.vector_requests(spark, sf_dir)
+    _, invalid = rq.split_valid(rq.validate_vector(reqs, vocabulary(spark, sf_dir)))
+    return sc.error_table(invalid)
+
+
+@query("raw_panel")
+def q_raw_panel(spark, sf_dir):
+    """Raw histories paired positionally into (request, period) rows."""
+    return round6(rq.raw_to_panel(td.raw_requests(spark, sf_dir)))
+
+
+@query("raw_request_errors")
+def q_raw_request_errors(spark, sf_dir):
+    """raw-history rule violations (lengths, periods, ranges)."""
+    reqs = td.raw_requests(spark, sf_dir)
+    _, invalid = rq.split_valid(rq.validate_raw(reqs, vocabulary(spark, sf_dir)))
+    return sc.error_table(invalid)
+
+
+def _scoring_model(spark, sf_dir):
+    features, cols = ml_inputs(spark, sf_dir)
+    return ridge_of(features, cols), vocabulary(spark, sf_dir)
+
+
+@query("score_vector_requests")
+def q_score_vector_requests(spark, sf_dir):
+    """Valid vector requests scored (next quarter, interval, direction)."""
+    model, vocab = _scoring_model(spark, sf_dir)
+    preds, _ = sc.score_vector_requests(td.vector_requests(spark, sf_dir), model, vocab)
+    return preds
+
+
+@query("batch_counts")
+def q_batch_counts(spark, sf_dir):
+    """Success and error counts of the scored request batch."""
+    model, vocab = _scoring_model(spark, sf_dir)
+    preds, errors = sc.score_vector_requests(td.vector_requests(spark, sf_dir), model, vocab)
+    return sc.batch_counts(preds, errors)
+
+
+@query("score_raw_requests")
+def q_score_raw_requests(spark, sf_dir):
+    """Raw histories -> features per request -> last row -> prediction."""
+    model, vocab = _scoring_model(spark, sf_dir)
+    preds, _ = sc.score_raw_requests(td.raw_requests(spark, sf_dir), model, vocab)
+    return preds
+
+
+@query("raw_scoring_errors")
+def q_raw_scoring_errors(spark, sf_dir):
+    """M19 error table (invalid requests and histories without a feature row)."""
+    model, vocab = _scoring_model(spark, sf_dir)
+    _, errors = sc.score_raw_requests(td.raw_requests(spark, sf_dir), model, vocab)
+    return errors
+
+
+@query("explain_vector_requests")
+def q_explain_vector_requests(spark, sf_dir):
+    """M20 (vector): per-request contributions and base value."""
+    model, vocab = _scoring_model(spark, sf_dir)
+    valid, _ = rq.split_valid(rq.validate_vector(td.vector_requests(spark, sf_dir), vocab))
+    inputs = rq.map_vector_request(valid, vocab)
+    return sc.explain_ridge(inputs, model).select(
+        "request_id", "entity", F.round("pred", 4).alias("predicted_qoq_pct_change"), "base_value", "shap_values",
+    )
+
+
+@query("explain_raw_requests")
+def q_explain_raw_requests(spark, sf_dir):
+    """M20 (raw): contributions for the last complete row of each history."""
+    model, vocab = _scoring_model(spark, sf_dir)
+    valid, _ = rq.split_valid(rq.validate_raw(td.raw_requests(spark, sf_dir), vocab))
+    latest = rq.raw_latest_features(valid, vocab)
+    return sc.explain_ridge(latest, model).select(
+        "request_id", "entity", "predict_period", F.round("pred", 4).alias("predicted_qoq_pct_change"),
+        "base_value", "shap_values",
+    )
+
+
+@query("link_discovery")
+def q_link_discovery(spark, sf_dir):
+    """First matching anchor link of every stored page (NULL if none)."""
+    return discover_links(td.table(spark, sf_dir, "pages"), LINK_PATTERN)
+
+
+@query("request_counts")
+def q_request_counts(spark, sf_dir):
+    """Requests per (endpoint, status) from the event log."""
+    return rl.request_counts(rl.events_as_requests(td.table(spark, sf_dir, "events")))
+
+
+@query("latency_histogram")
+def q_latency_histogram(spark, sf_dir):
+    """Cumulative latency buckets per endpoint."""
+    return round6(rl.latency_histogram(rl.events_as_requests(td.table(spark, sf_dir, "events"))))
+
+
+def _stream_dirs(spark, tag):
+    base = scratch_path(spark, f"stream-{tag}-{uuid.uuid4().hex[:12]}")
+    return f"{base}/out", f"{base}/checkpoint"
+
+
+@query("stream_request_metrics")
+def q_stream_request_metrics(spark, sf_dir):
+    """Hourly request metrics from the event log as a stream (watermarked
+    event-time windows, complete output so the run's result is whole)."""
+    events = td.table(spark, sf_dir, "events")
+    out, ckpt = _stream_dirs(spark, "metrics")
+    res = sj.request_metrics_stream(spark, sf_dir, events.schema, out, ckpt,
+                                    output_mode="complete", file_glob="events.parquet")
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return round6(res.select(
+        F.date_format("window_start", fmt).alias("window_start"), F.date_format("window_end", fmt).alias("window_end"),
+        *[c for c in res.columns if c not in ("window_start", "window_end")],
+    ))
+
+
+@query("stream_scoring")
+def q_stream_scoring(spark, sf_dir):
+    """Vector requests scored as a stream (foreachBatch to prediction and
+    error tables); the requests are first written to the shared folder."""
+    model, vocab = _scoring_model(spark, sf_dir)
+    out, ckpt = _stream_dirs(spark, "scoring")
+    src = out.rsplit("/", 1)[0] + "/requests"
+    reqs = td.vector_requests(spark, sf_dir)
+    reqs.write.mode("overwrite").parquet(src)
+    return sj.scoring_stream(
+        spark, src, reqs.schema, out, ckpt,
+        lambda batch: sc.score_vector_requests(batch, model, vocab),
+    ).drop("batch_id")

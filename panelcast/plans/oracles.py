@@ -336,3 +336,156 @@ SELECT model, {r6('avg(mae)', 'mae_mean')}, {r6('stddev_pop(mae)', 'mae_std')},
        {r6('avg(directional_accuracy)', 'directional_accuracy_mean')},
        {r6('stddev_pop(directional_accuracy)', 'directional_accuracy_std')}, count(*) AS n_folds
 FROM cvm GROUP BY model""").replace("\n,\npp AS", ",\npp AS")
+
+# ---------------------------------------------------------------------------
+# Requests, links, request log, stream
+# ---------------------------------------------------------------------------
+
+VR_CTE = """,
+vr AS (
+  SELECT entity || ':' || CAST(period AS VARCHAR) AS request_id, entity,
+         CAST(period // 4 AS INTEGER) AS year, CAST(period % 4 + 1 AS INTEGER) AS quarter,
+         price AS rppi_current, rppi_lag_1 AS rppi_lag1, rppi_lag_2 AS rppi_lag2, rppi_lag_4 AS rppi_lag4,
+         rppi_qoq_pct AS rppi_qoq_pct_current, rppi_yoy_pct AS rppi_yoy_pct_current,
+         rolling_mean_4q, rolling_std_4q, momentum_streak_lag1 AS momentum_streak,
+         price_acceleration_lag1 AS price_acceleration, cash_rate, cash_rate_lag1 AS cash_rate_prev, cpi,
+         lag(cpi, 4) OVER (PARTITION BY entity ORDER BY period) AS cpi_prev_year,
+         unemployment_rate, unemp_lag1 AS unemployment_rate_prev
+  FROM feat_all
+)"""
+
+ORACLES["vector_requests"] = with_features(VR_CTE + f"""
+SELECT request_id, entity, year, quarter,
+       {cols6('rppi_current', 'rppi_lag1', 'rppi_lag2', 'rppi_lag4', 'rppi_qoq_pct_current', 'rppi_yoy_pct_current',
+              'rolling_mean_4q', 'rolling_std_4q', 'momentum_streak', 'price_acceleration', 'cash_rate',
+              'cash_rate_prev', 'cpi', 'cpi_prev_year', 'unemployment_rate', 'unemployment_rate_prev')}
+FROM vr""").replace("\n,\nvr AS", ",\nvr AS")
+
+_KNOWN = ", ".join(f"'{v}'" for v in NATION_VOCAB)
+
+
+def _fail(cond: str, msg: str) -> str:
+    return f"CASE WHEN NOT coalesce({cond}, false) THEN '{msg}' END"
+
+
+_VEC_RULES = [
+    _fail(f"entity IN ({_KNOWN})", "entity: not a known entity"),
+    _fail("quarter BETWEEN 1 AND 4", "quarter: must be 1, 2, 3 or 4"),
+    _fail("year BETWEEN 2000 AND 2050", "year: must be between 2000 and 2050"),
+    *[_fail(f"{f} > 0", f"{f}: must be greater than 0")
+      for f in ("rppi_current", "rppi_lag1", "rppi_lag2", "rppi_lag4", "cpi", "cpi_prev_year")],
+    *[_fail(f"{f} IS NOT NULL AND NOT isnan({f})", f"{f}: required")
+      for f in ("rppi_qoq_pct_current", "rppi_yoy_pct_current", "rolling_mean_4q")],
+    _fail("rolling_std_4q >= 0", "rolling_std_4q: must be at least 0"),
+    *[_fail(f"{f} BETWEEN 0.0 AND 30.0", f"{f}: must be between 0 and 30") for f in ("cash_rate", "cash_rate_prev")],
+    *[_fail(f"{f} BETWEEN 0.0 AND 100.0", f"{f}: must be between 0 and 100")
+      for f in ("unemployment_rate", "unemployment_rate_prev")],
+    _fail("(CASE WHEN rppi_lag4 <> 0 THEN rppi_current / rppi_lag4 END) > 0.5 "
+          "AND (CASE WHEN rppi_lag4 <> 0 THEN rppi_current / rppi_lag4 END) < 2.0",
+          "rppi_current / rppi_lag4 is outside the plausible range (0.5-2.0)"),
+]
+ORACLES["vector_request_errors"] = with_features(VR_CTE + """,
+errs AS (
+  SELECT request_id, entity, list_filter([
+    """ + ",\n    ".join(_VEC_RULES) + """
+  ], lambda x: x IS NOT NULL) AS e FROM vr
+)
+SELECT request_id, entity, array_to_string(e, '; ') AS detail FROM errs WHERE len(e) > 0""").replace("\n,\nvr AS", ",\nvr AS")
+
+RAW_CTE = """,
+rr0 AS (
+  SELECT entity, period, price, cash_rate, cpi, unemployment_rate,
+         CAST(period // 4 AS INTEGER) AS y, CAST(period % 4 + 1 AS INTEGER) AS q
+  FROM panel
+),
+rawreq AS (
+  SELECT entity || ':' || CAST(period AS VARCHAR) AS request_id, entity,
+         list({'year': y, 'quarter': q, 'rppi_index': price}) OVER w AS r,
+         list({'year': y, 'quarter': q, 'cash_rate': cash_rate, 'cpi': cpi, 'unemployment_rate': unemployment_rate}) OVER w AS m
+  FROM rr0
+  WINDOW w AS (PARTITION BY entity ORDER BY period ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)
+)"""
+
+
+def _all(lst: str, pred: str) -> str:
+    return f"coalesce(list_bool_and(list_transform({lst}, lambda o: {pred})), true)"
+
+
+_RAW_RULES = [
+    _fail(f"entity IN ({_KNOWN})", "entity: not a known entity"),
+    _fail("len(r) BETWEEN 6 AND 40", "rppi_history: must have 6 to 40 items"),
+    _fail("len(m) BETWEEN 6 AND 40", "macro_history: must have 6 to 40 items"),
+    _fail("len(r) = len(m)", "rppi_history and macro_history must have the same length"),
+    _fail("len(r) = len(m) AND coalesce(list_bool_and(list_transform(range(1, len(r) + 1), "
+          "lambda i: r[i].year = m[i].year AND r[i].quarter = m[i].quarter)), true)",
+          "period mismatch between rppi_history and macro_history"),
+    _fail(_all("r", "o.year BETWEEN 2000 AND 2050 AND o.quarter BETWEEN 1 AND 4"),
+          "rppi_history: year must be between 2000 and 2050, quarter 1-4"),
+    _fail(_all("m", "o.year BETWEEN 2000 AND 2050 AND o.quarter BETWEEN 1 AND 4"),
+          "macro_history: year must be between 2000 and 2050, quarter 1-4"),
+    _fail(_all("r", "o.rppi_index > 0"), "rppi_history: rppi_index must be greater than 0"),
+    _fail(_all("m", "o.cash_rate BETWEEN 0.0 AND 30.0"), "macro_history: cash_rate must be between 0 and 30"),
+    _fail(_all("m", "o.cpi > 0"), "macro_history: cpi must be greater than 0"),
+    _fail(_all("m", "o.unemployment_rate BETWEEN 0.0 AND 100.0"),
+          "macro_history: unemployment_rate must be between 0 and 100"),
+]
+ORACLES["raw_request_errors"] = with_panel(RAW_CTE + """,
+errs AS (
+  SELECT request_id, entity, list_filter([
+    """ + ",\n    ".join(_RAW_RULES) + """
+  ], lambda x: x IS NOT NULL) AS e FROM rawreq
+)
+SELECT request_id, entity, array_to_string(e, '; ') AS detail FROM errs WHERE len(e) > 0""").replace("\n,\nrr0 AS", ",\nrr0 AS")
+
+ORACLES["raw_panel"] = with_panel(f""",
+pr AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY period) AS rn FROM panel)
+SELECT a.entity || ':' || CAST(a.period AS VARCHAR) AS request_id, a.entity, b.period,
+       {r6('b.price', 'price')}, {r6('b.cash_rate', 'cash_rate')}, {r6('b.cpi', 'cpi')},
+       {r6('b.unemployment_rate', 'unemployment_rate')}
+FROM pr a JOIN pr b ON a.entity = b.entity AND b.rn BETWEEN a.rn - 5 AND a.rn""").replace("\n,\npr AS", ",\npr AS")
+
+ORACLES["link_discovery"] = r"""
+WITH hrefs AS (
+  SELECT page_id, url,
+         list_filter(
+           regexp_extract_all(regexp_replace(html, '(?is)<script.*?</script>|<!--.*?-->', '', 'g'),
+                              '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1),
+           lambda h: regexp_matches(h, '(?i)tion|ment'))[1] AS first
+  FROM pages
+)
+SELECT page_id, url,
+       CASE WHEN starts_with(first, 'http') THEN first
+            ELSE regexp_extract(url, '^(https?://[^/?#]+)', 1) || first END AS link
+FROM hrefs"""
+
+REQLOG = """
+lg AS (
+  SELECT CAST(ts AS TIMESTAMP) AS ts, '/api/' || event_type AS endpoint,
+         CASE WHEN event_type = 'error' THEN '500' ELSE '200' END AS status, value / 100.0 AS latency
+  FROM events
+)"""
+ORACLES["request_counts"] = "WITH" + REQLOG + "\nSELECT endpoint, status, count(*) AS requests FROM lg GROUP BY 1, 2"
+
+_BOUNDS = [("0.05", 0.05), ("0.1", 0.1), ("0.25", 0.25), ("0.5", 0.5), ("1", 1.0), ("2.5", 2.5)]
+_HIST_AGG = ", ".join(f"count(*) FILTER (WHERE latency <= {b!r}) AS b{i}" for i, (_, b) in enumerate(_BOUNDS))
+_HIST_ROWS = "\nUNION ALL ".join(
+    [f"SELECT endpoint, {r6('latency_sum', 'latency_sum')}, '{lab}' AS le, b{i} AS count FROM ha"
+     for i, (lab, _) in enumerate(_BOUNDS)]
+    + [f"SELECT endpoint, {r6('latency_sum', 'latency_sum')}, '+Inf' AS le, inf AS count FROM ha"]
+)
+ORACLES["latency_histogram"] = "WITH" + REQLOG + f""",
+ha AS (
+  SELECT endpoint, {_HIST_AGG}, count(*) AS inf, sum(latency) AS latency_sum
+  FROM lg WHERE starts_with(endpoint, '/api/') GROUP BY endpoint
+)
+{_HIST_ROWS}"""
+
+_LE = ", ".join(
+    f"count(*) FILTER (WHERE latency <= {b!r}) AS le_{str(b).replace('.', '_')}" for _, b in _BOUNDS
+)
+ORACLES["stream_request_metrics"] = "WITH" + REQLOG + f"""
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,
+       endpoint, count(*) AS requests, count(*) FILTER (WHERE status = '500') AS errors,
+       {r6('sum(latency)', 'latency_sum')}, {_LE}
+FROM lg GROUP BY date_trunc('hour', ts), endpoint"""

@@ -143,3 +143,55 @@ def testdata_panel(spark: SparkSession, sf_dir: str, level: str = "nation") -> D
     """(entity, period, price, cash_rate, cpi, unemployment_rate)."""
     prices = order_prices(spark, sf_dir, level).select("entity", "period", "price")
     return attach_drivers(prices, quarterly_drivers(spark, sf_dir))
+
+
+def vector_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One flat scoring request per panel cell, filled from the panel history
+    (current values, positional lags, lagged rolling stats and momentum).
+    Cells without enough history keep NULLs and are rejected by validation."""
+    from panelcast.operators import features as feat
+
+    panel = testdata_panel(spark, sf_dir)
+    w = feat.panel_window()
+    df = feat.add_momentum_features(feat.add_rolling_stats(feat.add_price_changes(panel)))
+    return df.select(
+        F.concat_ws(":", "entity", F.col("period").cast("string")).alias("request_id"),
+        "entity",
+        (F.floor(F.col("period") / 4)).cast("int").alias("year"),
+        (F.pmod(F.col("period"), F.lit(4)) + 1).cast("int").alias("quarter"),
+        F.col("price").alias("rppi_current"),
+        F.lag("price", 1).over(w).alias("rppi_lag1"),
+        F.lag("price", 2).over(w).alias("rppi_lag2"),
+        F.lag("price", 4).over(w).alias("rppi_lag4"),
+        F.col("rppi_qoq_pct").alias("rppi_qoq_pct_current"),
+        F.col("rppi_yoy_pct").alias("rppi_yoy_pct_current"),
+        "rolling_mean_4q", "rolling_std_4q",
+        F.col("momentum_streak_lag1").alias("momentum_streak"),
+        F.col("price_acceleration_lag1").alias("price_acceleration"),
+        "cash_rate",
+        F.lag("cash_rate", 1).over(w).alias("cash_rate_prev"),
+        "cpi",
+        F.lag("cpi", 4).over(w).alias("cpi_prev_year"),
+        "unemployment_rate",
+        F.lag("unemployment_rate", 1).over(w).alias("unemployment_rate_prev"),
+    )
+
+
+def raw_requests(spark: SparkSession, sf_dir: str, history: int = 6) -> DataFrame:
+    """One raw-history request per panel cell: the trailing ``history`` rows of
+    the entity (fewer at the start of a series, which validation rejects).
+    The frame is a bounded row window, so each array holds <= ``history`` items."""
+    from panelcast.operators import features as feat
+
+    panel = testdata_panel(spark, sf_dir)
+    w = feat.panel_window().rowsBetween(-(history - 1), 0)
+    year = (F.floor(F.col("period") / 4)).cast("int").alias("year")
+    quarter = (F.pmod(F.col("period"), F.lit(4)) + 1).cast("int").alias("quarter")
+    r = F.struct(year, quarter, F.col("price").alias("rppi_index"))
+    m = F.struct(year, quarter, "cash_rate", "cpi", "unemployment_rate")
+    return panel.select(
+        F.concat_ws(":", "entity", F.col("period").cast("string")).alias("request_id"),
+        "entity",
+        F.collect_list(r).over(w).alias("rppi_history"),
+        F.collect_list(m).over(w).alias("macro_history"),
+    )
