@@ -756,3 +756,58 @@ def q_stream_scoring(spark, sf_dir):
         spark, src, reqs.schema, out, ckpt,
         lambda batch: sc.score_vector_requests(batch, model, vocab),
     ).drop("batch_id")
+
+
+# ---------------------------------------------------------------------------
+# Ingestion from workbooks and the rate CSV
+# ---------------------------------------------------------------------------
+
+from panelcast.sources import ingest as ing  # noqa: E402
+from panelcast.sources import sheets as sh  # noqa: E402
+
+
+def _exported(spark, sf_dir):
+    """Write the workbook cells and the rate CSV to the shared folder (as a
+    delivery would) and return the paths."""
+    base = scratch_path(spark, f"ingest-{uuid.uuid4().hex[:12]}")
+    cells, sheets, lines = td.workbook_exports(spark, sf_dir, "region")
+    cells.write.mode("overwrite").parquet(f"{base}/cells")
+    sheets.write.mode("overwrite").parquet(f"{base}/sheets")
+    lines.write.mode("overwrite").text(f"{base}/rates")
+    return base
+
+
+@query("ingest_round_trip")
+def q_ingest_round_trip(spark, sf_dir):
+    """Workbooks + rate CSV -> quarterly region panel -> parquet -> reload."""
+    base = _exported(spark, sf_dir)
+    cells = spark.read.parquet(f"{base}/cells")
+    sheets = spark.read.parquet(f"{base}/sheets")
+    panel = ing.ingest_panel(spark, cells, sheets, f"{base}/rates", vocabulary(spark, sf_dir, "region"))
+    ing.write_panel(panel, f"{base}/panel")
+    return round6(ing.load_panel(spark, f"{base}/panel"))
+
+
+@query("rate_csv_series")
+def q_rate_csv_series(spark, sf_dir):
+    """The daily cash-rate column read back from the exported CSV."""
+    base = _exported(spark, sf_dir)
+    return round6(sh.read_rate_csv(spark, f"{base}/rates"))
+
+
+@query("sheet_headers")
+def q_sheet_headers(spark, sf_dir):
+    """Data-sheet choice, cleaned and de-duplicated series names,
+    and the series each selection rule picks."""
+    base = _exported(spark, sf_dir)
+    cells = sh.sheet_cells(spark.read.parquet(f"{base}/cells"), spark.read.parquet(f"{base}/sheets"))
+    headers = sh.series_headers(cells)
+    q = sh.quarterly_values(sh.sheet_values(cells))
+    vocab = vocabulary(spark, sf_dir, "region")
+    picked = (
+        sh.price_series(headers.where(F.col("file") == "rppi"), vocab).select("file", "col_idx", F.lit("price").alias("role"))
+        .unionByName(sh.cpi_series(headers.where(F.col("file") == "cpi")).select("file", "col_idx", F.lit("cpi").alias("role")))
+        .unionByName(sh.unemployment_series(headers.where(F.col("file") == "labour"), q.where(F.col("file") == "labour"))
+                     .select("file", "col_idx", F.lit("unemployment").alias("role")))
+    )
+    return headers.join(picked, ["file", "col_idx"], "left").select("file", "col_idx", "raw", "series", "role")

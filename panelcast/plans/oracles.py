@@ -489,3 +489,10 @@ SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
        endpoint, count(*) AS requests, count(*) FILTER (WHERE status = '500') AS errors,
        {r6('sum(latency)', 'latency_sum')}, {_LE}
 FROM lg GROUP BY date_trunc('hour', ts), endpoint"""
+
+ORACLES["ingest_round_trip"] = with_panel(
+    f"SELECT entity, period, {cols6('price', 'cash_rate', 'cpi', 'unemployment_rate')} FROM panel", level="region"
+)
+ORACLES["rate_csv_series"] = with_panel(
+    f"SELECT obs_date, {r6('value', 'value')} FROM obs WHERE series_id = 'cash_rate' AND value IS NOT NULL"
+)

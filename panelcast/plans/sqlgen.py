@@ -24,12 +24,17 @@ def period_expr(ts: str) -> str:
     return f"CAST(year({ts}) * 4 + quarter({ts}) - 1 AS INTEGER)"
 
 
-def panel_ctes() -> str:
+def panel_ctes(level: str = "nation") -> str:
     """CTEs cust, prices, daily, months, obs, quarterly, drivers, panel."""
+    if level == "nation":
+        cust = """SELECT c.c_custkey, n.n_name AS entity
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+    else:
+        cust = """SELECT c.c_custkey, r.r_name AS entity
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"""
     return f"""
 cust AS (
-  SELECT c.c_custkey, n.n_name AS entity
-  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  {cust}
 ),
 prices AS (
   SELECT cu.entity, {period_expr('o.o_orderdate')} AS period,
@@ -158,8 +163,8 @@ def with_features(body: str, vocab: Sequence[str] = NATION_VOCAB) -> str:
     return f"WITH {panel_ctes()},{feature_ctes(vocab)}\n{body}"
 
 
-def with_panel(body: str) -> str:
-    return f"WITH {panel_ctes()}\n{body}"
+def with_panel(body: str, level: str = "nation") -> str:
+    return f"WITH {panel_ctes(level)}\n{body}"
 
 
 # Testdata split boundaries as period integers (1998Q4, 1999Q4).

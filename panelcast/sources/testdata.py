@@ -195,3 +195,112 @@ def raw_requests(spark: SparkSession, sf_dir: str, history: int = 6) -> DataFram
         F.collect_list(r).over(w).alias("rppi_history"),
         F.collect_list(m).over(w).alias("macro_history"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Workbook and rate-CSV exports of the testdata series (inputs of the
+# ingestion job, written by Spark to shared storage).
+# ---------------------------------------------------------------------------
+
+# Descriptive text of the exported workbooks and CSV.
+PRICE_HEADER = "Residential Property Price Index ;  {} ;"
+CHANGE_HEADER = "Percentage Change from Previous Period ;  {} ;"
+WEIGHTED_HEADER = "Residential Property Price Index ;  Weighted average of eight capital cities ;"
+CPI_HEADERS = ("Index Numbers ;  Food ;", "Index Numbers ;  All groups CPI, Australia ;")
+LABOUR_HEADERS = ("Employed total ;  Persons ;", "Unemployment rate ;  Persons ;  Trend ;",
+                  "Unemployment rate ;  Persons ;  Seasonally Adjusted ;")
+METADATA_LABELS = ("Unit", "Series Type", "Data Type", "Frequency", "Collection Month",
+                   "Series Start", "Series End", "No. Obs", "Series ID")
+RATE_CSV_HEAD = (
+    "﻿F1 Interest Rates and Yields - Money Market",
+    "Title,Cash Rate Target,Change in Cash Rate Target",
+    "Description,Cash rate target,Change in target",
+    "Frequency,Daily,Daily",
+    "Type,Original,Original",
+    "Units,Per cent per annum,Percentage points",
+    "Source,Derived,Derived",
+    "Publication date,2001-12-31,2001-12-31",
+    "Series ID,CASHRATE,CASHCHANGE",
+    "Unique identifier,CASHRATE,CASHCHANGE",
+    "",
+    "",
+)
+
+
+def _quarter_end_serial(period) -> object:
+    year = F.floor(period / 4).cast("int")
+    quarter = F.pmod(period, F.lit(4)) + 1
+    end = F.last_day(F.make_date(year, quarter * 3, F.lit(1)))
+    return F.datediff(end, F.lit("1899-12-30").cast("date")).cast("string")
+
+
+def _header_cells(spark: SparkSession, file: str, sheet: str, headers: list[str]) -> DataFrame:
+    rows = [(file, sheet, 0, j + 1, h) for j, h in enumerate(headers)]
+    rows += [(file, sheet, i + 1, 0, label) for i, label in enumerate(METADATA_LABELS)]
+    from panelcast.sources.sheets import CELL_SCHEMA
+
+    return spark.createDataFrame(rows, CELL_SCHEMA)
+
+
+def workbook_exports(spark: SparkSession, sf_dir: str, level: str = "region"):
+    """(cells, sheets, rate_lines): the panel's series in workbook layout.
+
+    Data cells grow with the panel (entities x quarters) and the calendar
+    (months, days); header and metadata cells are a fixed handful."""
+    vocab = vocabulary(spark, sf_dir, level)
+    prices = order_prices(spark, sf_dir, level)
+    k = len(vocab)
+    pos = F.array_position(F.array(*[F.lit(v) for v in vocab]), F.col("entity")).cast("int")
+    row = (F.col("period") + 10).cast("int")
+    price_cells = prices.select(
+        F.lit("rppi").alias("file"), F.lit("Data1").alias("sheet"), row.alias("row_idx"),
+        F.inline(F.array(
+            F.struct(pos.alias("col_idx"), F.col("price").cast("string").alias("value")),
+            F.struct((pos + k).alias("col_idx"), F.lit("n/a").alias("value")),
+        )))
+    per_period = prices.groupBy("period").agg(F.avg("price").alias("avg_price"))
+    period_cells = per_period.select(
+        F.lit("rppi").alias("file"), F.lit("Data1").alias("sheet"), row.alias("row_idx"),
+        F.inline(F.array(
+            F.struct(F.lit(0).alias("col_idx"), _quarter_end_serial(F.col("period")).alias("value")),
+            F.struct(F.lit(2 * k + 1).alias("col_idx"), F.col("avg_price").cast("string").alias("value")),
+        )))
+    footnote = spark.createDataFrame([("rppi", "Data1", 1 << 20, 0, "Source: derived from the order tables.")],
+                                     "file STRING, sheet STRING, row_idx INT, col_idx INT, value STRING")
+    price_headers = [PRICE_HEADER.format(v) for v in vocab] + [CHANGE_HEADER.format(v) for v in vocab] + [WEIGHTED_HEADER]
+
+    obs = driver_observations(spark, sf_dir)
+    from panelcast.operators.resample import resample_to_quarter
+
+    cpi_q = resample_to_quarter(obs.where(F.col("series_id") == "cpi"), "mean")
+    cpi_cells = cpi_q.select(
+        F.lit("cpi").alias("file"), F.lit("Data1").alias("sheet"), (F.col("period") + 10).cast("int").alias("row_idx"),
+        F.inline(F.array(
+            F.struct(F.lit(0).alias("col_idx"), _quarter_end_serial(F.col("period")).alias("value")),
+            F.struct(F.lit(1).alias("col_idx"), (F.col("value") * 0.9).cast("string").alias("value")),
+            F.struct(F.lit(2).alias("col_idx"), F.col("value").cast("string").alias("value")),
+        )))
+    months = obs.where(F.col("series_id") == "unemployment_rate")
+    month_row = (F.year("obs_date") * 12 + F.month("obs_date") + 10).cast("int")
+    labour_cells = months.select(
+        F.lit("labour").alias("file"), F.lit("Data1").alias("sheet"), month_row.alias("row_idx"),
+        F.inline(F.array(
+            F.struct(F.lit(0).alias("col_idx"), F.date_format("obs_date", "yyyy-MM-dd").alias("value")),
+            F.struct(F.lit(1).alias("col_idx"), (F.col("value") * 1000).cast("string").alias("value")),
+            F.struct(F.lit(2).alias("col_idx"), (F.col("value") + 1).cast("string").alias("value")),
+            F.struct(F.lit(3).alias("col_idx"), F.col("value").cast("string").alias("value")),
+        )))
+    cells = (price_cells.unionByName(period_cells).unionByName(footnote)
+             .unionByName(_header_cells(spark, "rppi", "Data1", price_headers))
+             .unionByName(cpi_cells).unionByName(_header_cells(spark, "cpi", "Data1", list(CPI_HEADERS)))
+             .unionByName(labour_cells).unionByName(_header_cells(spark, "labour", "Data1", list(LABOUR_HEADERS))))
+    sheets = spark.createDataFrame(
+        [("rppi", 0, "Contents"), ("rppi", 1, "Data1"), ("cpi", 0, "Data1"),
+         ("labour", 0, "Index"), ("labour", 1, "Data1"), ("labour", 2, "Enquiries")],
+        "file STRING, sheet_idx INT, sheet STRING")
+
+    cash = obs.where(F.col("series_id") == "cash_rate")
+    data_lines = cash.select(F.concat_ws(",", F.date_format("obs_date", "dd-MMM-yyyy"),
+                                         F.col("value").cast("string"), F.lit("")).alias("value"))
+    head = spark.createDataFrame([(line,) for line in RATE_CSV_HEAD], "value STRING")
+    return cells, sheets, head.unionByName(data_lines)
