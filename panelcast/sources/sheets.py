@@ -10,10 +10,12 @@ cells are joined to their row's date and column's series name.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from panelcast.functions.periods import excel_serial_to_date, period_of
 from panelcast.functions.scalars import clean_series_name, nan_to_null
@@ -133,19 +135,24 @@ def read_rate_csv(spark: SparkSession, path: str) -> DataFrame:
     The header row is found by content (first field 'Title'), data rows by
     the ``dd-Mon-yyyy`` pattern; the value column is the header naming the
     cash rate target, else the first column with more than 50 numbers.
-    Only the header row and one count per column reach the driver."""
-    raw = spark.read.option("header", False).option("encoding", "UTF-8").csv(path)
+    Only the header line and one count per column reach the driver; the
+    CSV is read with an explicit all-string schema as wide as the header.
+    """
+    lines = spark.read.text(path)
+    first_field = F.lower(F.trim(F.regexp_replace(F.split(F.col("value"), ",").getItem(0), "^\ufeff", "")))
+    head = lines.where(first_field == RATE_HEADER_FIRST_FIELD).limit(1).collect()
+    if head:
+        header = next(csv.reader([head[0].value]))
+    else:
+        width = lines.where(F.col("value").rlike(RATE_DATE)).agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
+        header = [""] * width
+    schema = StructType([StructField(f"_c{i}", StringType()) for i in range(len(header))])
+    raw = spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE").csv(path)
     cols = raw.columns
-    first = F.regexp_replace(F.col(cols[0]), "^﻿", "")
-    header = raw.where(F.lower(F.trim(first)) == RATE_HEADER_FIRST_FIELD).limit(1).collect()
+    first = F.regexp_replace(F.col(cols[0]), "^\ufeff", "")
     data = raw.where(F.trim(first).rlike(RATE_DATE))
-    target = None
-    if header:
-        for c in cols[1:]:
-            if header[0][c] is not None and RATE_SERIES in header[0][c].lower():
-                target = c
-                break
-    if target is None:
+    target = next((cols[i] for i in range(1, len(header)) if RATE_SERIES in header[i].lower()), None)
+    if target is None and len(cols) > 1:
         counts = data.agg(*[F.count(F.col(c).try_cast("double")).alias(c) for c in cols[1:]]).first()
         target = next((c for c in cols[1:] if counts[c] > 50), None)
     if target is None:
