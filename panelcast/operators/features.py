@@ -199,25 +199,54 @@ def add_all_features(
     entity: str = "entity", period: str = "period", prefix: str = "entity_",
     dummy_col: str | None = None,
 ) -> DataFrame:
-    """All derived columns, before null filtering (same order as the model build).
-
-    Windows are partitioned by ``entity``; dummies encode ``dummy_col``
-    (default: ``entity``), e.g. windows per request id, dummies per name."""
-    kw = {"entity": entity, "period": period}
-    df = add_price_lags(panel, **kw)
-    df = add_price_changes(df, **kw)
-    df = add_rolling_stats(df, **kw)
-    df = add_lagged_changes(df, **kw)
-    df = add_momentum_features(df, **kw)
-    df = add_cash_rate_features(df, **kw)
-    df = add_cpi_features(df, **kw)
-    df = add_unemployment_features(df, **kw)
-    df = add_rate_regime(df)
-    df = add_seasonal_features(df, period=period)
-    df = add_entity_dummies(df, vocabulary, entity=dummy_col or entity, prefix=prefix)
+    """All derived columns, before null filtering.
+
+    Same columns as chaining the ``add_*`` functions, built as four
+    projections (one per dependency level) so the analyser sees a shallow
+    plan; every window shares ``partitionBy(entity).orderBy(period)``, so the
+    physical plan has one exchange and one sort. Windows are partitioned by
+    ``entity``; dummies encode ``dummy_col`` (default: ``entity``), e.g.
+    windows per request id and dummies per name.
+    """
+    w = _w(entity, period)
+    lag = lambda c, k=1: F.lag(c, k).over(w)
+    c = F.col
+    level1 = {
+        "rppi_lag_1": lag(PRICE), "rppi_lag_2": lag(PRICE, 2), "rppi_lag_4": lag(PRICE, 4),
+        "rppi_qoq_pct": pct_change(c(PRICE), lag(PRICE)),
+        "rppi_yoy_pct": pct_change(c(PRICE), lag(PRICE, 4)),
+        "cash_rate_delta": c("cash_rate") - lag("cash_rate"), "cash_rate_lag1": lag("cash_rate"),
+        "cpi_yoy_pct": pct_change(c("cpi"), lag("cpi", 4)), "cpi_lag1": lag("cpi"),
+        "unemp_delta": c("unemployment_rate") - lag("unemployment_rate"), "unemp_lag1": lag("unemployment_rate"),
+        "_rn": F.row_number().over(w),
+        "quarter": period_quarter(period),
+    }
+    df = panel.select("*", *[v.alias(k) for k, v in level1.items()])
+    sign = F.signum(c("rppi_qoq_pct"))
+    mean, std = rolling_mean_std("rppi_qoq_pct", 4, 2, w)
+    level2 = {
+        "rolling_mean_4q": mean, "rolling_std_4q": std,
+        "rppi_qoq_pct_lag1": lag("rppi_qoq_pct"), "rppi_yoy_pct_lag1": lag("rppi_yoy_pct"),
+        "price_accel": c("rppi_qoq_pct") - lag("rppi_qoq_pct"),
+        "cash_rate_delta_lag1": lag("cash_rate_delta"),
+        "cpi_yoy_pct_lag1": lag("cpi_yoy_pct"),
+        "unemp_delta_lag1": lag("unemp_delta"),
+        "rate_regime": rate_regime("cash_rate_lag1"),
+        "quarter_sin": quarter_sin("quarter"), "quarter_cos": quarter_cos("quarter"),
+        "_start": F.when((c("_rn") == 1) | ~sign.eqNullSafe(F.lag(sign, 1).over(w)), c("_rn")),
+    }
     if with_target:
-        df = add_target(df, **kw)
-    return df
+        level2[TARGET] = F.lead("rppi_qoq_pct", 1).over(w)
+    df = df.select("*", *[v.alias(k) for k, v in level2.items()])
+    run_start = F.max("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    df = df.select("*", (sign * (c("_rn") - run_start + 1)).alias("momentum_streak"))
+    dummies = {dummy_name(v, prefix): (c(dummy_col or entity) == F.lit(v)).cast("int") for v in vocabulary}
+    return df.select(
+        *[x for x in df.columns if x not in ("_rn", "_start")],
+        lag("momentum_streak").alias("momentum_streak_lag1"),
+        lag("price_accel").alias("price_acceleration_lag1"),
+        *[v.alias(k) for k, v in dummies.items()],
+    )
 
 
 def build_features(

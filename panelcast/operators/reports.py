@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -176,10 +177,43 @@ def feature_target_corr(df: DataFrame, features: Sequence[str], target: str = "t
     return long.withColumn("abs_corr", F.abs("corr"))
 
 
-def correlation_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Long (feature_a, feature_b, corr) for all ordered pairs, one aggregate
-    of the upper triangle (pairwise-complete Pearson), mirrored."""
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i:]]
+def correlation_matrix(df: DataFrame, features: Sequence[str], method: str = "gram") -> DataFrame:
+    """Long (feature_a, feature_b, corr) for all ordered pairs.
+
+    ``gram`` (default, for complete-row inputs such as the training matrix):
+    rows with a null feature are dropped, column means come from one
+    aggregate, and the centred d x d cross-product matrix from per-partition
+    numpy partials merged by one grouped sum; only d x d numbers reach the
+    driver. ``pairwise``: one aggregate of pairwise-complete Pearson terms
+    (upper triangle, mirrored) - exact NULL handling, but 3 d^2/2 aggregates.
+    Constant columns give NULL correlations.
+    """
+    cols = list(features)
+    spark = df.sparkSession
+    if method == "gram":
+        from panelcast.ml.moments import gram_by_group
+
+        complete = df.select(*cols).dropna()
+        means = complete.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+        if means is None or means[0] is None:
+            rows = [(a, b, None) for a in cols for b in cols]
+        else:
+            centred = complete.select(*[(F.col(c) - F.lit(means[i])).alias(f"x{i}") for i, c in enumerate(cols)],
+                                      F.lit(0.0).alias("_y"))
+            g = gram_by_group(centred, [f"x{i}" for i in range(len(cols))], "_y")[0]
+            d = len(cols)
+            n = g[0, 0]
+            s = g[0, 1:d + 1]
+            cov = g[1:d + 1, 1:d + 1] - np.outer(s, s) / n
+            sd = np.sqrt(np.clip(np.diag(cov), 0, None))
+            rows = []
+            for i, a in enumerate(cols):
+                for j, b in enumerate(cols):
+                    den = sd[i] * sd[j]
+                    val = None if den == 0 or n < 2 else (1.0 if i == j else float(cov[i, j] / den))
+                    rows.append((a, b, val))
+        return spark.createDataFrame(rows, "feature_a STRING, feature_b STRING, corr DOUBLE")
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     wide = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     items = []
     for i, (a, b) in enumerate(pairs):

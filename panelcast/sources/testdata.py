@@ -132,11 +132,28 @@ def driver_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarterly_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(period, cash_rate, cpi, unemployment_rate), quarters where all exist."""
-    obs = driver_observations(spark, sf_dir)
-    methods = {"cash_rate": "last", "cpi": "mean", "unemployment_rate": "last"}
-    quarterly = resample_to_quarter(obs, method=methods)
-    return align_drivers(quarterly, DRIVERS)
+    """(period, cash_rate, cpi, unemployment_rate), quarters where all exist.
+
+    Same values as resampling the native series (last day's cash rate, mean
+    of daily unit prices, last month's return share) and aligning them, but
+    computed day -> month -> quarter with three small aggregates and no
+    window or pivot shuffle.
+    """
+    daily = daily_line_stats(spark, sf_dir)
+    cash = F.try_divide(F.col("disc_sum").cast("double"), F.col("disc_n")) * 100
+    cpi = F.try_divide(F.col("unit_sum").cast("double"), F.col("unit_n"))
+    monthly = daily.groupBy(F.trunc("day", "month").alias("month")).agg(
+        F.max_by(cash, F.when(cash.isNotNull(), F.col("day"))).alias("cash_last"),
+        F.sum(cpi).alias("cpi_sum"), F.count(cpi).alias("cpi_n"),
+        F.sum("returned").alias("returned"), F.sum("lines").alias("lines"),
+    )
+    share = F.try_divide(F.col("returned"), F.col("lines")) * 100
+    quarterly = monthly.groupBy(period_of("month").alias("period")).agg(
+        F.max_by("cash_last", F.when(F.col("cash_last").isNotNull(), F.col("month"))).alias("cash_rate"),
+        F.try_divide(F.sum("cpi_sum"), F.sum("cpi_n")).alias("cpi"),
+        F.max_by(share, F.when(share.isNotNull(), F.col("month"))).alias("unemployment_rate"),
+    )
+    return quarterly.dropna(subset=list(DRIVERS))
 
 
 def testdata_panel(spark: SparkSession, sf_dir: str, level: str = "nation") -> DataFrame:
