@@ -94,3 +94,17 @@ def explain_ridge(scored_inputs: DataFrame, model: RidgeModel) -> DataFrame:
         "base_value": F.round(F.col("pred") - total, 4),
         "shap_values": F.transform_values("contrib", lambda k, v: F.round(v, 6)),
     }).drop("contrib")
+
+
+def explain_trees(inputs: DataFrame, model: TreeModel, keys: list[str]) -> DataFrame:
+    """M20 for boosted trees: Tree SHAP contributions (6 dp), base value
+    (4 dp) and the rounded prediction; sum + base equals the prediction."""
+    from panelcast.ml.treeshap import explain_gbt
+
+    ex = explain_gbt(inputs, model.model, model.feature_cols, keys)
+    total = F.aggregate(F.map_values("shap_values"), F.lit(0.0), lambda acc, v: acc + v)
+    return ex.select(
+        *keys, F.round(F.col("base_value") + total, 4).alias("predicted_qoq_pct_change"),
+        F.round("base_value", 4).alias("base_value"),
+        F.transform_values("shap_values", lambda k, v: F.round(v, 6)).alias("shap_values"),
+    )

@@ -811,3 +811,35 @@ def q_sheet_headers(spark, sf_dir):
                      .select("file", "col_idx", F.lit("unemployment").alias("role")))
     )
     return headers.join(picked, ["file", "col_idx"], "left").select("file", "col_idx", "raw", "series", "role")
+
+
+# ---------------------------------------------------------------------------
+# Tree attributions
+# ---------------------------------------------------------------------------
+
+def _es_tree(spark, sf_dir):
+    from panelcast.ml.trees import fit_gbt_early_stopping
+
+    features, cols = ml_inputs(spark, sf_dir)
+    train = split_rows(features, "train", TESTDATA_SPLIT)
+    val = split_rows(features, "val", TESTDATA_SPLIT)
+    return features, fit_gbt_early_stopping(train, val, cols, params=ES_PARAMS)
+
+
+@query("gbt_explain")
+def q_gbt_explain(spark, sf_dir):
+    """Tree SHAP contributions of the boosted trees for every test row."""
+    features, model = _es_tree(spark, sf_dir)
+    return sc.explain_trees(split_rows(features, "test", TESTDATA_SPLIT), model, ["entity", "period"])
+
+
+@query("gbt_attribution")
+def q_gbt_attribution(spark, sf_dir):
+    """A22 for the boosted trees: mean |contribution| over all test rows, top 15."""
+    from panelcast.ml.treeshap import explain_gbt
+
+    features, model = _es_tree(spark, sf_dir)
+    ex = explain_gbt(split_rows(features, "test", TESTDATA_SPLIT), model.model, model.feature_cols, ["entity", "period"])
+    long = ex.select(F.explode("shap_values").alias("feature", "value"))
+    agg = long.groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs_attribution"))
+    return round6(agg.orderBy(F.desc("mean_abs_attribution"), "feature").limit(TOP_K))

@@ -128,3 +128,58 @@ def test_training_job(matrix):
     assert models == {"ridge", "gbt", "gbt_es", "ensemble"}
     with pytest.raises(ValueError):
         train_and_evaluate(matrix, CFG, cols, models=["svm"])
+
+
+def _random_tree(rng, depth, n_features):
+    from panelcast.ml.treeshap import FlatTree
+
+    left, right, feat, thr, val, cov = [], [], [], [], [], []
+
+    def build(d, n):
+        i = len(val)
+        left.append(-1), right.append(-1), feat.append(-1), thr.append(0.0), val.append(float(rng.normal())), cov.append(n)
+        if d < depth and n >= 2:
+            f = int(rng.integers(n_features))
+            nl = max(1.0, float(rng.integers(1, int(n))))
+            feat[i], thr[i] = f, float(rng.normal())
+            left[i] = build(d + 1, nl)
+            right[i] = build(d + 1, max(1.0, n - nl))
+        return i
+
+    build(0, 100.0)
+    return FlatTree(*(np.array(a) for a in (left, right, feat, thr, val, cov)), weight=1.0)
+
+
+def _value(tree, x, subset, j=0):
+    if tree.left[j] < 0:
+        return tree.value[j]
+    f = tree.feature[j]
+    if f in subset:
+        nxt = tree.left[j] if x[f] <= tree.threshold[j] else tree.right[j]
+        return _value(tree, x, subset, nxt)
+    lc, rc = tree.left[j], tree.right[j]
+    return (tree.cover[lc] * _value(tree, x, subset, lc) + tree.cover[rc] * _value(tree, x, subset, rc)) / tree.cover[j]
+
+
+def test_tree_shap_equals_brute_force_shapley():
+    import itertools
+    import math
+
+    from panelcast.ml.treeshap import expected_value, tree_shap
+
+    rng = np.random.default_rng(7)
+    d = 4
+    for _ in range(5):
+        tree = _random_tree(rng, depth=3, n_features=d)
+        x = rng.normal(size=d)
+        phi = np.zeros(d)
+        tree_shap(x, tree, phi)
+        brute = np.zeros(d)
+        for i in range(d):
+            others = [k for k in range(d) if k != i]
+            for size in range(d):
+                for s in itertools.combinations(others, size):
+                    wgt = math.factorial(size) * math.factorial(d - size - 1) / math.factorial(d)
+                    brute[i] += wgt * (_value(tree, x, set(s) | {i}) - _value(tree, x, set(s)))
+        assert np.allclose(phi, brute, atol=1e-10)
+        assert phi.sum() + expected_value(tree) == pytest.approx(_value(tree, x, set(range(d))))
