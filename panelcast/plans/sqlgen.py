@@ -38,16 +38,16 @@ cust AS (
 ),
 prices AS (
   SELECT cu.entity, {period_expr('o.o_orderdate')} AS period,
-         CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS price,
+         CAST(SUM(CAST(floor(o.o_totalprice * 100.0 + 0.5) AS BIGINT)) AS DOUBLE) / COUNT(*) / 100.0 AS price,
          COUNT(*) AS n_orders
   FROM orders o JOIN cust cu ON o.o_custkey = cu.c_custkey
   GROUP BY 1, 2
 ),
 daily AS (
   SELECT CAST(l_shipdate AS DATE) AS day,
-         SUM(CAST(l_discount AS DECIMAL(18,2))) AS disc_sum,
+         SUM(CAST(floor(l_discount * 100.0 + 0.5) AS BIGINT)) AS disc_sum,
          COUNT(l_discount) AS disc_n,
-         SUM(CAST(l_extendedprice / l_quantity AS DECIMAL(24,6))) AS unit_sum,
+         SUM(CAST(floor(l_extendedprice / l_quantity * 1000000.0 + 0.5) AS BIGINT)) AS unit_sum,
          COUNT(l_extendedprice / l_quantity) AS unit_n,
          COUNT(*) AS lines,
          COUNT(*) FILTER (WHERE l_returnflag = 'R') AS returned
@@ -59,9 +59,9 @@ months AS (
   FROM daily GROUP BY 1
 ),
 obs AS (
-  SELECT 'cash_rate' AS series_id, day AS obs_date, CAST(disc_sum AS DOUBLE) / disc_n * 100 AS value FROM daily
+  SELECT 'cash_rate' AS series_id, day AS obs_date, CAST(disc_sum AS DOUBLE) / disc_n AS value FROM daily
   UNION ALL
-  SELECT 'cpi', day, CAST(unit_sum AS DOUBLE) / unit_n FROM daily
+  SELECT 'cpi', day, CAST(unit_sum AS DOUBLE) / unit_n / 1000000.0 FROM daily
   UNION ALL
   SELECT 'unemployment_rate', month, CAST(returned AS DOUBLE) / lines * 100 FROM months
 ),
