@@ -35,8 +35,19 @@ MAX_VOCABULARY = 500
 DRIVERS = ("cash_rate", "cpi", "unemployment_rate")
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table of the testdata folder. The lazy DataFrame is memoised
+    per session and path, so file listing and footer reads happen once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 def vocabulary(spark: SparkSession, sf_dir: str, level: str = "nation") -> list[str]:
