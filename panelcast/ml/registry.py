@@ -1,7 +1,9 @@
 """Model registry on shared storage: ``{root}/{name}_v{version}/``.
 
 Each entry holds the model (Spark ML writer for trees, JSON for ridge) and
-a one-row JSON metadata table (name, version, training_date, feature_cols,
+a one-row JSON metadata table (tree interval parameters in ``extras``;
+quantile-boosting interval models are not persisted - a loaded tree model
+uses its conformal bounds) (name, version, training_date, feature_cols,
 metrics split -> metric -> value, calibration_coverage). Everything is
 written with Spark writers, so ``root`` may be any Hadoop file system path
 (the default is a folder under ``spark.checkpoint.dir``).
@@ -10,6 +12,7 @@ written with Spark writers, so ``root`` may be any Hadoop file system path
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +33,7 @@ METADATA_SCHEMA = StructType([
     StructField("feature_cols", ArrayType(StringType())),
     StructField("metrics", MapType(StringType(), MapType(StringType(), DoubleType()))),
     StructField("calibration_coverage", DoubleType()),
+    StructField("extras", StringType()),
 ])
 
 
@@ -52,8 +56,12 @@ def save(
     else:
         kind = "gbt"
         model.model.write().overwrite().save(f"{path}/model")
+    extras = None
+    if isinstance(model, TreeModel):
+        extras = json.dumps({"params": model.params, "val_rmse": model.val_rmse, "resid_q_lo": model.resid_q_lo,
+                             "resid_q_hi": model.resid_q_hi, "val_residual_std": model.val_residual_std})
     meta = (model.name, version, kind, dt.datetime.now(dt.timezone.utc).isoformat(),
-            list(model.feature_cols), metrics or {}, coverage)
+            list(model.feature_cols), metrics or {}, coverage, extras)
     spark.createDataFrame([meta], METADATA_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
     return path
 
@@ -71,7 +79,10 @@ def load(spark: SparkSession, root: str, name: str, version: str) -> tuple[Ridge
         text = spark.read.text(f"{path}/model").first().value
         model: RidgeModel | TreeModel = RidgeModel.from_json(text)
     else:
-        model = TreeModel(meta.name, list(meta.feature_cols), GBTRegressionModel.load(f"{path}/model"))
+        extras = json.loads(meta.extras or "{}")
+        model = TreeModel(meta.name, list(meta.feature_cols), GBTRegressionModel.load(f"{path}/model"),
+                          extras.get("params", {}), extras.get("val_rmse"), extras.get("resid_q_lo", 0.0),
+                          extras.get("resid_q_hi", 0.0), extras.get("val_residual_std", 0.0))
     return model, meta.asDict(recursive=True)
 
 

@@ -26,9 +26,7 @@ def _predict(df: DataFrame, model: ModelLike, confidence: float) -> DataFrame:
     if isinstance(model, RidgeModel):
         p, lo, hi = model.interval(z_value(confidence))
         return df.withColumns({"pred": p, "lo": lo, "hi": hi})
-    out = model.transform(df, "pred")
-    lo, hi = model.bounds(F.col("pred"))
-    return out.withColumns({"lo": lo, "hi": hi})
+    return model.with_bounds(model.transform(df, "pred"), "pred", "lo", "hi")
 
 
 def error_table(invalid: DataFrame) -> DataFrame:

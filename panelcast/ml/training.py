@@ -35,7 +35,11 @@ def fit_models(
     features: DataFrame, cfg: SplitConfig, cols: Sequence[str], models: Sequence[str] = KNOWN_MODELS, *,
     target: str = "target", n_trials: int = 50, space: dict = SEARCH_SPACE, seed: int = 42,
     es_params: dict | None = None, patience: int = 50, confidence: float = 0.90,
+    tree_intervals: str = "quantile", quantile_rounds: int = 10,
 ) -> dict[str, RidgeModel | TreeModel]:
+    """Fit the requested models. Boosted trees get quantile-boosting interval
+    models (``tree_intervals='quantile'``, lower/upper pinball loss on the
+    training rows) or split-conformal bounds (``'conformal'``)."""
     unknown = [m for m in models if m not in KNOWN_MODELS]
     if unknown:
         raise ValueError(f"unknown model(s) {unknown}; expected {KNOWN_MODELS}")
@@ -50,6 +54,12 @@ def fit_models(
         else:
             fitted[name] = calibrate(fit_gbt_early_stopping(train, val, cols, target, params=es_params,
                                                             patience=patience, seed=seed), val, target, confidence)
+        if name != "ridge" and tree_intervals == "quantile":
+            from panelcast.ml.quantile import fit_interval_models
+
+            depth = int(fitted[name].params.get("maxDepth", 3))
+            fitted[name].lower, fitted[name].upper = fit_interval_models(
+                train, cols, target, confidence=confidence, n_rounds=quantile_rounds, max_depth=depth, seed=seed)
     return fitted
 
 
@@ -69,9 +79,7 @@ def wide_scores(
             p, lo, hi = m.interval(z)
             cols.update({f"pred_{name}": p, f"lo_{name}": lo, f"hi_{name}": hi})
         else:
-            df = m.transform(df, f"pred_{name}")
-            lo, hi = m.bounds(F.col(f"pred_{name}"))
-            cols.update({f"lo_{name}": lo, f"hi_{name}": hi})
+            df = m.with_bounds(m.transform(df, f"pred_{name}"), f"pred_{name}", f"lo_{name}", f"hi_{name}")
     df = df.withColumns(cols)
     keep = [c for name in fitted for c in (f"pred_{name}", f"lo_{name}", f"hi_{name}")]
     return df.select("entity", "period", split_label(cfg).alias("split"), F.col(target).alias("y"), *keep)

@@ -50,6 +50,8 @@ class TreeModel:
     resid_q_lo: float = 0.0
     resid_q_hi: float = 0.0
     val_residual_std: float = 0.0
+    lower: object | None = None   # QuantileBooster for the lower bound (else conformal)
+    upper: object | None = None
 
     def transform(self, df: DataFrame, out: str = "pred") -> DataFrame:
         """Adds ``out``; assembles the vector only if it is missing."""
@@ -58,8 +60,16 @@ class TreeModel:
         return self.model.copy().setPredictionCol(out).transform(df)
 
     def bounds(self, pred: Column) -> tuple[Column, Column]:
+        """Conformal bounds from validation residual quantiles."""
         return pred + F.lit(self.resid_q_lo), pred + F.lit(self.resid_q_hi)
 
+    def with_bounds(self, df: DataFrame, pred: str, lo: str, hi: str) -> DataFrame:
+        """Adds ``lo``/``hi``: quantile-model bounds when fitted, else conformal."""
+        if self.lower is not None and self.upper is not None:
+            return self.upper.transform(self.lower.transform(df, lo), hi)
+        b_lo, b_hi = self.bounds(F.col(pred))
+        return df.withColumns({lo: b_lo, hi: b_hi})
+
     def importance(self) -> list[tuple[str, float]]:
         imp = self.model.featureImportances.toArray()
         return sorted(zip(self.feature_cols, [float(v) for v in imp]), key=lambda t: (-t[1], t[0]))

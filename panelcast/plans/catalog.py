@@ -843,3 +843,20 @@ def q_gbt_attribution(spark, sf_dir):
     long = ex.select(F.explode("shap_values").alias("feature", "value"))
     agg = long.groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs_attribution"))
     return round6(agg.orderBy(F.desc("mean_abs_attribution"), "feature").limit(TOP_K))
+
+
+@query("quantile_intervals")
+def q_quantile_intervals(spark, sf_dir):
+    """M7: 5 % / 95 % quantile boosting (pinball loss) fitted on the training
+    rows; coverage and mean width of the interval per split."""
+    from panelcast.ml.quantile import fit_interval_models
+
+    features, cols = ml_inputs(spark, sf_dir)
+    lo, hi = fit_interval_models(split_rows(features, "train", TESTDATA_SPLIT), cols, n_rounds=10)
+    scored = hi.transform(lo.transform(features, "lo"), "hi")
+    inside = ((F.col("target") >= F.col("lo")) & (F.col("target") <= F.col("hi"))).cast("double")
+    return round6(with_split(scored, TESTDATA_SPLIT).groupBy("split").agg(
+        F.avg(inside).alias("coverage"), F.avg(F.col("hi") - F.col("lo")).alias("mean_width"),
+        F.avg((F.col("lo") > F.col("hi")).cast("double")).alias("crossing_share"),
+        F.count(F.lit(1)).alias("n"),
+    ))

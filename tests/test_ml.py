@@ -183,3 +183,14 @@ def test_tree_shap_equals_brute_force_shapley():
                     brute[i] += wgt * (_value(tree, x, set(s) | {i}) - _value(tree, x, set(s)))
         assert np.allclose(phi, brute, atol=1e-10)
         assert phi.sum() + expected_value(tree) == pytest.approx(_value(tree, x, set(range(d))))
+
+
+def test_quantile_booster_coverage(matrix):
+    from panelcast.ml.quantile import fit_quantile_booster
+
+    cols = feat.feature_columns(ENTITIES)
+    train = split_rows(matrix, "train", CFG)
+    q = fit_quantile_booster(train, cols, 0.9, n_rounds=8, max_depth=2, learning_rate=0.3)
+    share = q.transform(train, "q").agg(F.avg((F.col("target") <= F.col("q")).cast("double"))).first()[0]
+    assert 0.75 <= share <= 1.0
+    assert len(q.trees) == 8 and all(len(v) >= 1 for v in q.leaf_values)
