@@ -860,3 +860,9 @@ def q_quantile_intervals(spark, sf_dir):
         F.avg((F.col("lo") > F.col("hi")).cast("double")).alias("crossing_share"),
         F.count(F.lit(1)).alias("n"),
     ))
+
+
+@query("target_kde")
+def q_target_kde(spark, sf_dir):
+    """A11 (KDE): Gaussian density of the target, train+val vs test, 200 points."""
+    return round6(rep.kde(_target_parts(spark, sf_dir), "target", ["part"]))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from panelcast.operators.features import NUMERIC_FEATURES, dummy_name
 from panelcast.plans.sqlgen import NATION_VOCAB, r6, with_features, with_panel
 
@@ -496,3 +498,21 @@ ORACLES["ingest_round_trip"] = with_panel(
 ORACLES["rate_csv_series"] = with_panel(
     f"SELECT obs_date, {r6('value', 'value')} FROM obs WHERE series_id = 'cash_rate' AND value IS NOT NULL"
 )
+
+SQRT_2PI = math.sqrt(2 * math.pi)
+ORACLES["target_kde"] = with_features(f""",
+kd AS (SELECT {PART} AS part, target AS v FROM feat WHERE target IS NOT NULL),
+ks AS (
+  SELECT part, count(*) AS n, stddev_samp(v) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h, min(v) AS lo, max(v) AS hi
+  FROM kd GROUP BY part
+),
+kg AS (SELECT part, n, h, lo - 3.0 * h AS a, hi + 3.0 * h AS b, CAST(unnest(range(0, 200)) AS INTEGER) AS g FROM ks),
+kt AS (
+  SELECT kg.part, kg.g, kg.n, kg.a, kg.b,
+         sum(CASE WHEN kg.h > 0 THEN exp(-0.5 * ((kg.a + kg.g * ((kg.b - kg.a) / 199) - kd.v) / kg.h)
+                                            * ((kg.a + kg.g * ((kg.b - kg.a) / 199) - kd.v) / kg.h))
+                                     / (kg.h * {SQRT_2PI!r}) END) AS k
+  FROM kg JOIN kd ON kg.part = kd.part
+  GROUP BY kg.part, kg.g, kg.n, kg.a, kg.b
+)
+SELECT part, g AS point, {r6('a + g * ((b - a) / 199)', 'x')}, {r6('k / n', 'density')} FROM kt""").replace("\n,\nkd AS", ",\nkd AS")
