@@ -523,18 +523,10 @@ def q_ridge_explain(spark, sf_dir):
 
 
 def _ridge_folds(spark, sf_dir):
+    from panelcast.ml.cv import walk_forward_cv
+
     features, cols = ml_inputs(spark, sf_dir)
-    folds = _folds(features)
-    rows = []
-    for f in folds:
-        cfg = SplitConfig(f.train_end, f.val_end)
-        model = fit_ridge(split_rows(features, "train", cfg), cols)
-        val = split_rows(features, "val", cfg).select(F.col("target").alias("y"), model.prediction().alias("pred"))
-        rows.append(val.agg(*metric_exprs()).withColumn("fold", F.lit(f.fold)).withColumn("model", F.lit("ridge")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    return walk_forward_cv(features, cols, "ridge", n_splits=CV_SPLITS, min_train=CV_MIN_TRAIN, val=CV_VAL)
 
 
 @query("ridge_walk_forward")
@@ -866,3 +858,13 @@ def q_quantile_intervals(spark, sf_dir):
 def q_target_kde(spark, sf_dir):
     """A11 (KDE): Gaussian density of the target, train+val vs test, 200 points."""
     return round6(rep.kde(_target_parts(spark, sf_dir), "target", ["part"]))
+
+
+@query("gbt_walk_forward")
+def q_gbt_walk_forward(spark, sf_dir):
+    """Walk-forward CV of the early-stopped boosted trees (pluggable model)."""
+    from panelcast.ml.cv import walk_forward_cv
+
+    features, cols = ml_inputs(spark, sf_dir)
+    return round6(walk_forward_cv(features, cols, "gbt_es", n_splits=CV_SPLITS, min_train=CV_MIN_TRAIN, val=CV_VAL,
+                                  params={"maxIter": 20, "maxDepth": 3, "stepSize": 0.1}, patience=10))

@@ -194,3 +194,14 @@ def test_quantile_booster_coverage(matrix):
     share = q.transform(train, "q").agg(F.avg((F.col("target") <= F.col("q")).cast("double"))).first()[0]
     assert 0.75 <= share <= 1.0
     assert len(q.trees) == 8 and all(len(v) >= 1 for v in q.leaf_values)
+
+
+def test_walk_forward_cv_pluggable(matrix):
+    from panelcast.ml.cv import forecaster, walk_forward_cv
+
+    cols = feat.feature_columns(ENTITIES)
+    res = walk_forward_cv(matrix, cols, "ridge", n_splits=3, min_train=16, val=4).collect()
+    assert [r.fold for r in sorted(res)] == [0, 1, 2]
+    assert all(r.n_samples == 8 * 4 for r in res)  # 8 entities x 4 validation quarters
+    with pytest.raises(ValueError):
+        forecaster("svm", cols)
