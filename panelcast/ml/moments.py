@@ -48,6 +48,9 @@ def gram_by_group(df: DataFrame, cols: Sequence[str], y: str, group: str | None
 
     Rows with a null in ``cols`` or ``y`` must be removed by the caller.
     """
+    from panelcast.session import ship_package
+
+    ship_package(df.sparkSession)
     g = F.col(group).cast("int") if group else F.lit(0)
     data = df.select(g.alias("grp"), *[F.col(c).cast("double").alias(c) for c in cols], F.col(y).cast("double").alias(y))
     parts = data.mapInPandas(_partials(list(cols), y), PARTIAL_SCHEMA)

@@ -166,6 +166,9 @@ def explain_gbt(df: DataFrame, model, feature_cols: Sequence[str], keys: Sequenc
 
     Features must be non-null (the training matrix is complete by
     construction). The flattened trees travel with the task closure."""
+    from panelcast.session import ship_package
+
+    ship_package(df.sparkSession)
     trees = flatten_gbt(model)
     cols = list(feature_cols)
     key_fields = [f for f in df.schema.fields if f.name in keys]

@@ -32,7 +32,7 @@ def build_session(
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
-    if "spark.checkpoint.dir" not in conf:
+    if "spark.checkpoint.dir" not in conf and master.startswith("local"):
         # local runs only: a cluster session names a shared folder itself
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="panelcast-ckpt-")
     for key, value in conf.items():
@@ -55,7 +55,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="panelcast-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: configure a shared folder for checkpoints on the cluster")
+        path = tempfile.mkdtemp(prefix="panelcast-ckpt-")  # local runs and tests only
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
@@ -69,3 +72,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``panelcast`` importable in Python workers (``mapInPandas``
+    closures reference its helpers): the package is zipped once per
+    application and distributed with ``addPyFile``, as ``--py-files`` would."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    target = os.path.join(tempfile.mkdtemp(prefix="panelcast-pkg-"), "panelcast.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    zf.write(path, os.path.relpath(path, root))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
