@@ -81,17 +81,19 @@ class RidgeModel:
         return RidgeModel(**json.loads(text))
 
 
-def standardisation(df: DataFrame, cols: Sequence[str]) -> tuple[list[float], list[float]]:
-    """Means and population stds in one aggregate; zero/undefined std -> 1."""
+def standardisation(df: DataFrame, cols: Sequence[str]) -> tuple[list[float], list[float], int]:
+    """Means, population stds (zero/undefined -> 1) and the row count, in one aggregate."""
     row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                 *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+                 *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)],
+                 F.count(F.lit(1)).alias("n")).first()
     mean = [float(row[f"m{i}"]) for i in range(len(cols))]
     scale = [float(row[f"s{i}"]) if row[f"s{i}"] else 1.0 for i in range(len(cols))]
-    return mean, scale
+    return mean, scale, int(row["n"])
 
 
 def contiguous_folds(
     df: DataFrame, n_folds: int = N_FOLDS, *, entity: str = "entity", period: str = "period",
+    total: int | None = None,
 ) -> DataFrame:
     """``fold`` column: K contiguous blocks of the rows in (entity, period) order,
     sizes as unshuffled K-fold (the first n % K blocks one row larger).
@@ -105,7 +107,8 @@ def contiguous_folds(
     offsets = counts.withColumn(
         "offset", F.sum("cnt").over(Window.orderBy(entity).rowsBetween(Window.unboundedPreceding, -1))
     ).fillna(0, subset=["offset"])
-    total = offsets.agg(F.sum("cnt")).first()[0] or 0
+    if total is None:
+        total = offsets.agg(F.sum("cnt")).first()[0] or 0
     sizes = [total // n_folds + (1 if k < total % n_folds else 0) for k in range(n_folds)]
     bounds = np.cumsum(sizes).tolist()
     idx = F.row_number().over(Window.partitionBy(entity).orderBy(period)) - 1 + F.col("offset")
@@ -147,13 +150,13 @@ def fit_ridge(
     alphas: Sequence[float] = ALPHAS, n_folds: int = N_FOLDS, entity: str = "entity", period: str = "period",
 ) -> RidgeModel:
     cols = list(feature_cols)
-    mean, scale = standardisation(train, cols)
+    mean, scale, n_rows = standardisation(train, cols)
     z = train.select(
         entity, period, target,
         *[((F.col(c) - F.lit(mean[j])) / F.lit(scale[j])).alias(f"z{j}") for j, c in enumerate(cols)],
     )
     zcols = [f"z{j}" for j in range(len(cols))]
-    grams = gram_by_group(contiguous_folds(z, n_folds, entity=entity, period=period), zcols, target, "fold")
+    grams = gram_by_group(contiguous_folds(z, n_folds, entity=entity, period=period, total=n_rows), zcols, target, "fold")
     total = sum(grams.values())
     scores = {}
     for a in alphas:

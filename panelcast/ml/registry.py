@@ -105,3 +105,13 @@ def best_model(spark: SparkSession, root: str) -> DataFrame:
 def feature_set_matches(meta: dict, current: list[str]) -> bool:
     """Stored feature columns equal the current ones (order included)."""
     return list(meta.get("feature_cols") or []) == list(current)
+
+
+def dry_run(spark: SparkSession, model: RidgeModel | TreeModel) -> None:
+    """Score an empty frame with the model's input columns (schema check)."""
+    from pyspark.sql.types import DoubleType as _D
+
+    schema = StructType([StructField(c, _D()) for c in model.feature_cols])
+    empty = spark.createDataFrame([], schema)
+    out = model.transform(empty, "pred")
+    out.select("pred").collect()

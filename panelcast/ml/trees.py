@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -99,15 +100,20 @@ def _rmse(model: GBTRegressionModel, val_vec: DataFrame, target: str) -> float:
 def search_gbt(
     train: DataFrame, val: DataFrame, cols: Sequence[str], target: str = "target", *,
     n_trials: int = 50, seed: int = 42, space: dict = SEARCH_SPACE, name: str = "gbt",
+    timeout_seconds: float | None = 300.0,
 ) -> TreeModel:
-    """Best of ``n_trials`` sampled configurations by validation RMSE."""
+    """Best of ``n_trials`` sampled configurations by validation RMSE; the
+    search also stops once ``timeout_seconds`` have passed (after >= 1 trial)."""
     asm = assembler(cols)
     tr = asm.transform(train).select(VECTOR, target).persist()
     va = asm.transform(val).select(VECTOR, target).persist()
     try:
         rng = random.Random(seed)
         best = None
+        started = time.monotonic()
         for _ in range(n_trials):
+            if best is not None and timeout_seconds is not None and time.monotonic() - started > timeout_seconds:
+                break
             params = sample_params(rng, space)
             model = _gbt(params, seed, target).fit(tr)
             score = _rmse(model, va, target)

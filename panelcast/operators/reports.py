@@ -196,13 +196,16 @@ def correlation_matrix(df: DataFrame, features: Sequence[str], method: str = "gr
         from panelcast.ml.moments import gram_by_group
 
         complete = df.select(*cols).dropna()
-        means = complete.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-        if means is None or means[0] is None:
+        # means as one scalar subquery (it reuses the input's exchanges), so
+        # centring and the Gram pass are a single job
+        means = complete.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)])
+        centred = complete.withColumn("_m", means.select(F.struct(*means.columns)).scalar()).select(
+            *[(F.col(c) - F.col("_m")[f"m{i}"]).alias(f"x{i}") for i, c in enumerate(cols)], F.lit(0.0).alias("_y"))
+        grams = gram_by_group(centred, [f"x{i}" for i in range(len(cols))], "_y")
+        if 0 not in grams:
             rows = [(a, b, None) for a in cols for b in cols]
         else:
-            centred = complete.select(*[(F.col(c) - F.lit(means[i])).alias(f"x{i}") for i, c in enumerate(cols)],
-                                      F.lit(0.0).alias("_y"))
-            g = gram_by_group(centred, [f"x{i}" for i in range(len(cols))], "_y")[0]
+            g = grams[0]
             d = len(cols)
             n = g[0, 0]
             s = g[0, 1:d + 1]

@@ -589,6 +589,7 @@ def q_model_registry(spark, sf_dir):
     loaded, meta = reg.load(spark, root, "ridge", "1")
     if not reg.feature_set_matches(meta, cols):
         raise ValueError("stored feature columns differ from the current ones")
+    reg.dry_run(spark, loaded)
     return reg.best_model(spark, root).select("name", "version", "kind", "feature_cols", "test_rmse", "calibration_coverage")
 
 

@@ -109,3 +109,27 @@ def test_describe_quartiles(spark):
     df = spark.createDataFrame([(float(x),) for x in [1, 2, 3, 4]], "v DOUBLE")
     r = rep.describe(df, "v").first()
     assert (r.q25, r.q50, r.q75) == (1.75, 2.5, 3.25) and r["count"] == 4
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, "model STRING, split STRING, entity STRING, period INT, y DOUBLE, pred DOUBLE, lo DOUBLE, hi DOUBLE")
+
+
+def test_leaderboard_ranks_by_mae_and_nulls_degenerate_coverage(spark):
+    rows = []
+    for i in range(4):
+        rows.append(("a", "test", "e", i, 1.0, 1.5, 0.0, 2.0))   # mae 0.5, covered
+        rows.append(("b", "test", "e", i, 1.0, 1.1, 1.1, 1.1))   # mae 0.1, lo == hi
+    lb = {r.model: r for r in rep.leaderboard(_frame(spark, rows)).collect()}
+    assert lb["b"].rank == 1 and lb["a"].rank == 2
+    assert lb["b"].coverage is None and lb["a"].coverage == 1.0
+
+
+def test_confusion_and_entity_pivot(spark):
+    rows = [("m", "val", "x", 0, 1.0, 0.5, 0.0, 0.0), ("m", "val", "x", 1, -1.0, 0.05, 0.0, 0.0),
+            ("m", "val", "y", 0, 0.0, -2.0, 0.0, 0.0)]
+    pf = _frame(spark, rows)
+    conf = {r.actual: (r.down, r.flat, r.up) for r in rep.direction_confusion(pf).collect()}
+    assert conf == {"up": (0, 0, 1), "down": (0, 1, 0), "flat": (1, 0, 0)}
+    mae = {r.entity: r.m for r in rep.entity_model_mae(pf.withColumn("split", F.lit("test")), ["m"]).collect()}
+    assert mae["x"] == pytest.approx((0.5 + 1.05) / 2) and mae["y"] == pytest.approx(2.0)
