@@ -7,14 +7,35 @@ rounded to 6 decimals on both sides by :func:`round6`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcast.functions.periods import next_period, parse_period, period_label
+from panelcast.ml import registry as reg
+from panelcast.ml import scoring as sc
+from panelcast.ml.linear import fit_ridge, with_val_std
+from panelcast.ml.training import train_and_evaluate, wide_scores
+from panelcast.ml.trees import SEARCH_SPACE
 from panelcast.operators import features as feat
+from panelcast.operators import reports as rep
+from panelcast.operators import requestlog as rl
+from panelcast.operators import requests as rq
+from panelcast.operators.evaluation import metric_exprs
+from panelcast.operators.forecasts import BASELINES, ENSEMBLE, baseline_frame, stack
+from panelcast.operators.splits import (
+    SplitConfig, distinct_periods_list, plan_folds, split_rows, tag_folds, with_split,
+)
 from panelcast.plans.present import round6
+from panelcast.session import cut_lineage, scratch_path
+from panelcast.sources import ingest as ing
+from panelcast.sources import sheets as sh
+from panelcast.sources import testdata as td
 from panelcast.sources.testdata import testdata_panel, vocabulary
+from panelcast.sources.weblinks import discover_links
+from panelcast.streaming import jobs as sj
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -68,12 +89,6 @@ def q_feature_matrix(spark, sf_dir):
 # Panel build pieces, periods
 # ---------------------------------------------------------------------------
 
-from panelcast.functions.periods import next_period, parse_period, period_label  # noqa: E402
-from panelcast.operators import reports as rep  # noqa: E402
-from panelcast.operators.forecasts import BASELINES, ENSEMBLE, baseline_frame  # noqa: E402
-from panelcast.operators.splits import SplitConfig, distinct_periods_list, plan_folds, tag_folds, with_split  # noqa: E402
-from panelcast.operators.evaluation import metric_exprs  # noqa: E402
-from panelcast.sources import testdata as td  # noqa: E402
 
 # Split boundaries and walk-forward plan for the testdata panel
 # (orders span 1995Q1-2001Q3).
@@ -441,14 +456,6 @@ def q_cv_summary(spark, sf_dir):
 # Models (rows-only checks: fits are iterative, not SQL)
 # ---------------------------------------------------------------------------
 
-from panelcast.ml import registry as reg  # noqa: E402
-from panelcast.ml.linear import fit_ridge, with_val_std  # noqa: E402
-from panelcast.ml.training import train_and_evaluate, wide_scores  # noqa: E402
-from panelcast.ml.trees import SEARCH_SPACE  # noqa: E402
-from panelcast.operators.evaluation import z_value  # noqa: E402
-from panelcast.operators.forecasts import stack  # noqa: E402
-from panelcast.operators.splits import split_rows  # noqa: E402
-from panelcast.session import cut_lineage  # noqa: E402
 
 # Search budget of the registered training query (the library default is
 # 50 trials over 100-800 trees; see README).
@@ -597,14 +604,6 @@ def q_model_registry(spark, sf_dir):
 # Requests, scoring, links, request log, streams
 # ---------------------------------------------------------------------------
 
-import uuid  # noqa: E402
-
-from panelcast.ml import scoring as sc  # noqa: E402
-from panelcast.operators import requestlog as rl  # noqa: E402
-from panelcast.operators import requests as rq  # noqa: E402
-from panelcast.session import scratch_path  # noqa: E402
-from panelcast.sources.weblinks import discover_links  # noqa: E402
-from panelcast.streaming import jobs as sj  # noqa: E402
 
 # Fixed value: href pattern of the link-discovery query.
 LINK_PATTERN = "tion|ment"
@@ -755,9 +754,6 @@ def q_stream_scoring(spark, sf_dir):
 # Ingestion from workbooks and the rate CSV
 # ---------------------------------------------------------------------------
 
-from panelcast.sources import ingest as ing  # noqa: E402
-from panelcast.sources import sheets as sh  # noqa: E402
-
 
 def _exported(spark, sf_dir):
     """Write the workbook cells and the rate CSV to the shared folder (as a
