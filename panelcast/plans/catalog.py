@@ -42,6 +42,21 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
 
+_FITTED: dict[tuple[str, str, str], object] = {}
+
+
+def fitted_once(fn):
+    """Memoise a model fit per (application, sf_dir): queries that score or
+    explain the same model reuse the fitted parameters instead of refitting."""
+    def wrapper(spark, sf_dir):
+        key = (spark.sparkContext.applicationId, sf_dir, fn.__name__)
+        if key not in _FITTED:
+            _FITTED[key] = fn(spark, sf_dir)
+        return _FITTED[key]
+    wrapper.__name__ = fn.__name__
+    return wrapper
+
+
 def query(name: str):
     def register(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
@@ -548,6 +563,7 @@ def q_ridge_cv_summary(spark, sf_dir):
     return round6(rep.cv_summary(_ridge_folds(spark, sf_dir)))
 
 
+@fitted_once
 def _training(spark, sf_dir):
     features, cols = ml_inputs(spark, sf_dir)
     return train_and_evaluate(
@@ -637,6 +653,7 @@ def q_raw_request_errors(spark, sf_dir):
     return sc.error_table(invalid)
 
 
+@fitted_once
 def _scoring_model(spark, sf_dir):
     features, cols = ml_inputs(spark, sf_dir)
     return ridge_of(features, cols), vocabulary(spark, sf_dir)
@@ -806,6 +823,7 @@ def q_sheet_headers(spark, sf_dir):
 # Tree attributions
 # ---------------------------------------------------------------------------
 
+@fitted_once
 def _es_tree(spark, sf_dir):
     from panelcast.ml.trees import fit_gbt_early_stopping
 
