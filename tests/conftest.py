@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from panelcast.session import build_session  # noqa: E402
 
 PANEL_SCHEMA = "entity STRING, period INT, price DOUBLE, cash_rate DOUBLE, cpi DOUBLE, unemployment_rate DOUBLE"
-ENTITIES = ["Sydney", "Melbourne", "Brisbane", "Adelaide", "Perth", "Hobart", "Darwin", "Canberra"]
+ENTITIES = ["Alpha", "Bravo", "Charlie", "Delta", "Echo", "Foxtrot", "Golf", "Hotel"]
 START = 2010 * 4  # 2010Q1
 
 
@@ -47,6 +47,6 @@ def sample_panel(spark):
 def two_entity_panel(spark):
     rows = []
     for i in range(10):
-        rows.append(("Sydney", 2015 * 4 + i, 100.0 + i, 1.0, 100.0, 5.0))
-        rows.append(("Melbourne", 2015 * 4 + i, 200.0 + i, 1.0, 100.0, 5.0))
+        rows.append(("Alpha", 2015 * 4 + i, 100.0 + i, 1.0, 100.0, 5.0))
+        rows.append(("Bravo", 2015 * 4 + i, 200.0 + i, 1.0, 100.0, 5.0))
     return spark.createDataFrame(rows, PANEL_SCHEMA)

@@ -22,33 +22,33 @@ def by_key(df, *cols):
 
 def test_lags_do_not_leak_across_entities(two_entity_panel):
     out = by_key(feat.add_price_lags(two_entity_panel), "rppi_lag_1", "rppi_lag_2", "rppi_lag_4")
-    first_mel = min(p for (e, p) in out if e == "Melbourne")
-    assert out[("Melbourne", first_mel)] == (None, None, None)
-    assert out[("Melbourne", first_mel + 1)][0] == 200.0
+    first_mel = min(p for (e, p) in out if e == "Bravo")
+    assert out[("Bravo", first_mel)] == (None, None, None)
+    assert out[("Bravo", first_mel + 1)][0] == 200.0
 
 
 def test_lag_values(two_entity_panel):
     out = by_key(feat.add_price_lags(two_entity_panel), "rppi_lag_1", "rppi_lag_4")
     p = 2015 * 4 + 6
-    assert out[("Sydney", p)] == (105.0, 102.0)
+    assert out[("Alpha", p)] == (105.0, 102.0)
 
 
 def test_price_changes(two_entity_panel):
     out = by_key(feat.add_price_changes(two_entity_panel), "rppi_qoq_pct", "rppi_yoy_pct")
     p = 2015 * 4 + 4
-    assert out[("Sydney", p)][0] == pytest.approx((104 / 103 - 1) * 100)
-    assert out[("Sydney", p)][1] == pytest.approx((104 / 100 - 1) * 100)
-    assert out[("Sydney", 2015 * 4)] == (None, None)
+    assert out[("Alpha", p)][0] == pytest.approx((104 / 103 - 1) * 100)
+    assert out[("Alpha", p)][1] == pytest.approx((104 / 100 - 1) * 100)
+    assert out[("Alpha", 2015 * 4)] == (None, None)
 
 
 def test_input_not_mutated(two_entity_panel):
     cols = list(two_entity_panel.columns)
-    feat.add_all_features(two_entity_panel, ["Sydney", "Melbourne"])
+    feat.add_all_features(two_entity_panel, ["Alpha", "Bravo"])
     assert two_entity_panel.columns == cols
 
 
 def test_rolling_stats_match_list_maths(sample_panel):
-    df = feat.add_rolling_stats(feat.add_price_changes(sample_panel)).where(F.col("entity") == "Perth")
+    df = feat.add_rolling_stats(feat.add_price_changes(sample_panel)).where(F.col("entity") == "Echo")
     rows = sorted(df.select("period", "rppi_qoq_pct", "rolling_mean_4q", "rolling_std_4q").collect())
     qoq = [r.rppi_qoq_pct for r in rows]
     for i, r in enumerate(rows):
@@ -104,8 +104,8 @@ def test_streak_matches_loop(spark, values):
 def test_momentum_lags_stay_in_entity(two_entity_panel):
     df = feat.add_momentum_features(feat.add_price_changes(two_entity_panel))
     out = by_key(df, "momentum_streak_lag1", "price_acceleration_lag1")
-    assert out[("Melbourne", 2015 * 4)] == (None, None)
-    assert out[("Melbourne", 2015 * 4 + 1)][0] is None
+    assert out[("Bravo", 2015 * 4)] == (None, None)
+    assert out[("Bravo", 2015 * 4 + 1)][0] is None
 
 
 def test_macro_features(spark):
@@ -123,8 +123,8 @@ def test_macro_features(spark):
 def test_target_is_next_qoq(two_entity_panel):
     out = by_key(feat.add_target(two_entity_panel), "rppi_qoq_pct", "target")
     p = 2015 * 4 + 3
-    assert out[("Sydney", p)][1] == pytest.approx(out[("Sydney", p + 1)][0])
-    assert out[("Sydney", 2015 * 4 + 9)][1] is None
+    assert out[("Alpha", p)][1] == pytest.approx(out[("Alpha", p + 1)][0])
+    assert out[("Alpha", 2015 * 4 + 9)][1] is None
 
 
 def test_rate_regime_edges(spark):
@@ -148,8 +148,8 @@ def test_dummies_unknown_entity_all_zero(spark):
 
 
 def test_inference_needs_six_periods(spark, sample_panel):
-    six = sample_panel.where((F.col("entity") == "Sydney") & (F.col("period") < 2010 * 4 + 6))
-    five = sample_panel.where((F.col("entity") == "Sydney") & (F.col("period") < 2010 * 4 + 5))
+    six = sample_panel.where((F.col("entity") == "Alpha") & (F.col("period") < 2010 * 4 + 6))
+    five = sample_panel.where((F.col("entity") == "Alpha") & (F.col("period") < 2010 * 4 + 5))
     assert feat.build_inference(six, ENTITIES).count() == 1
     assert feat.build_inference(five, ENTITIES).count() == 0
 
@@ -172,8 +172,8 @@ def test_latest_rows_predict_next_period(sample_panel):
 
 def test_rebase_starts_at_100(two_entity_panel):
     out = by_key(feat.rebase(two_entity_panel, "price"), "price_rebased")
-    assert out[("Melbourne", 2015 * 4)][0] == pytest.approx(100.0)
-    assert out[("Melbourne", 2015 * 4 + 2)][0] == pytest.approx(202 / 200 * 100)
+    assert out[("Bravo", 2015 * 4)][0] == pytest.approx(100.0)
+    assert out[("Bravo", 2015 * 4 + 2)][0] == pytest.approx(202 / 200 * 100)
 
 
 def test_feature_windows_share_one_exchange(sample_panel):

@@ -39,8 +39,8 @@ def model(sample_panel):
 
 
 def test_vector_validation_variants(spark):
-    df = vector_df(spark, [("Sydney", {}), ("Atlantis", {}), ("Sydney", {"rppi_current": -10.0}),
-                           ("Sydney", {"cash_rate": 35.0}), ("Sydney", {"rppi_lag4": 50.0})])
+    df = vector_df(spark, [("Alpha", {}), ("Atlantis", {}), ("Alpha", {"rppi_current": -10.0}),
+                           ("Alpha", {"cash_rate": 35.0}), ("Alpha", {"rppi_lag4": 50.0})])
     errs = {r.request_id: r.errors for r in rq.validate_vector(df, ENTITIES).collect()}
     assert errs["r0"] == []
     assert errs["r1"] == ["entity: not a known entity"]
@@ -50,17 +50,17 @@ def test_vector_validation_variants(spark):
 
 
 def test_defaults_and_mapping(spark):
-    df = rq.map_vector_request(rq.with_defaults(vector_df(spark, [("Sydney", {})])), ENTITIES)
+    df = rq.map_vector_request(rq.with_defaults(vector_df(spark, [("Alpha", {})])), ENTITIES)
     r = df.first()
     assert r.momentum_streak_lag1 == 0.0 and r.price_acceleration_lag1 == 0.0
     assert r.cash_rate_delta_lag1 == pytest.approx(-0.25)
     assert r.rate_regime == 1.0 and r.rppi_qoq_pct_lag1 == 1.35
     assert r.cpi_yoy_pct_lag1 == pytest.approx((115 / 112 - 1) * 100)
-    assert r[feat.dummy_name("Sydney")] == 1 and r[feat.dummy_name("Perth")] == 0
+    assert r[feat.dummy_name("Alpha")] == 1 and r[feat.dummy_name("Echo")] == 0
 
 
 def test_batch_scoring_isolates_errors(spark, model):
-    df = vector_df(spark, [("Sydney", {}), ("Atlantis", {}), ("Perth", {})])
+    df = vector_df(spark, [("Alpha", {}), ("Atlantis", {}), ("Echo", {})])
     preds, errors = sc.score_vector_requests(df, model, ENTITIES)
     p = {r.request_id: r for r in preds.collect()}
     assert set(p) == {"r0", "r2"}
@@ -72,7 +72,7 @@ def test_batch_scoring_isolates_errors(spark, model):
     assert (c.success_count, c.error_count) == (2, 1)
 
 
-def raw_df(spark, n=6, start=2019 * 4, entity="Sydney", macro_shift=0, macro_len=None, rid="q"):
+def raw_df(spark, n=6, start=2019 * 4, entity="Alpha", macro_shift=0, macro_len=None, rid="q"):
     def yq(p):
         return p // 4, p % 4 + 1
     r = [(*yq(start + i), 150.0 + i) for i in range(n)]
@@ -108,6 +108,6 @@ def test_raw_pairing_is_positional(spark):
 
 
 def test_explain_additive(spark, model):
-    inputs = rq.map_vector_request(rq.with_defaults(vector_df(spark, [("Sydney", {})])), ENTITIES)
+    inputs = rq.map_vector_request(rq.with_defaults(vector_df(spark, [("Alpha", {})])), ENTITIES)
     r = sc.explain_ridge(inputs, model).first()
     assert sum(r.shap_values.values()) + r.base_value == pytest.approx(r.pred, abs=1e-3)

@@ -23,11 +23,10 @@ def test_excel_serial(spark):
 
 
 @pytest.mark.parametrize("raw,expected", [
-    ("Residential Property Price Index ;  Sydney ;", "Sydney"),
-    ("Residential Property Price Index ;  Weighted average of eight capital cities ;",
-     "Weighted average of eight capital cities"),
-    ("Melbourne", "Melbourne"),
-    ("  Index ;  Brisbane  ;  ", "Brisbane"),
+    ("Price Index ;  Alpha ;", "Alpha"),
+    ("Price Index ;  Weighted average of all regions ;", "Weighted average of all regions"),
+    ("Bravo", "Bravo"),
+    ("  Index ;  Charlie  ;  ", "Charlie"),
 ])
 def test_clean_series_name(spark, raw, expected):
     df = spark.createDataFrame([(raw,)], "raw STRING")
@@ -53,12 +52,12 @@ def test_resample_last_and_mean(spark):
 
 
 RATE_CSV = (
-    "\ufeffF1 Interest Rates and Yields – Money Market\n"
+    "\ufeffInterest rates - daily series\n"
     "Title,Cash Rate Target,Change in Cash Rate Target\n"
-    "Description,Cash rate target set by RBA,Change in target\n"
+    "Description,Policy rate target,Change in target\n"
     "Frequency,Daily,Daily\nType,Original,Original\nUnits,Per cent per annum,Percentage points\n"
-    "Source,RBA,RBA\nPublication date,2024-01-15,2024-01-15\nSeries ID,FIRMMCRTD,FIRMMCRTC\n"
-    "Unique identifier,FIRMMCRTD,FIRMMCRTC\n\n\n"
+    "Source,Central bank,Central bank\nPublication date,2024-01-15,2024-01-15\nSeries ID,RATE1,RATE2\n"
+    "Unique identifier,RATE1,RATE2\n\n\n"
     "04-Jan-2011,4.75,\n05-Jan-2011,4.75,\n06-Jan-2011,4.75,\n01-Nov-2011,4.50,-0.25\n"
 )
 
@@ -72,7 +71,7 @@ def test_rate_csv(spark, tmp_path):
 
 
 def workbook(spark):
-    cells = [("wb", "Data1", 0, 1, "Index ;  Sydney ;"), ("wb", "Data1", 0, 2, "Index ;  Sydney ;"),
+    cells = [("wb", "Data1", 0, 1, "Index ;  Alpha ;"), ("wb", "Data1", 0, 2, "Index ;  Alpha ;"),
              ("wb", "Data1", 0, 3, "Unemployment rate ;  Persons ;  Seasonally Adjusted ;")]
     cells += [("wb", "Data1", i, 0, "meta") for i in range(1, 10)]
     months = [(2010, 1), (2010, 2), (2010, 3), (2010, 4)]
@@ -92,12 +91,12 @@ def test_workbook_parsing(spark):
     assert sh.data_sheet(sheets).first().sheet == "Data1"
     data = sh.sheet_cells(cells, sheets)
     names = {r.col_idx: r.series for r in sh.series_headers(data).collect()}
-    assert names == {1: "Sydney", 2: "Sydney_1", 3: "Seasonally Adjusted"}
+    assert names == {1: "Alpha", 2: "Alpha_1", 3: "Seasonally Adjusted"}
     q = {(r.series, r.period): r.value for r in sh.quarterly_values(sh.sheet_values(data)).collect()}
-    assert q[("Sydney", 2010 * 4)] == 102.0          # last month of Q1
-    assert q[("Sydney_1", 2010 * 4)] == 1.0          # last non-null (row 12 is not a number)
-    assert q[("Sydney", 2010 * 4 + 1)] == 103.0
-    assert len([k for k in q if k[0] == "Sydney"]) == 2  # footnote row dropped
+    assert q[("Alpha", 2010 * 4)] == 102.0          # last month of Q1
+    assert q[("Alpha_1", 2010 * 4)] == 1.0          # last non-null (row 12 is not a number)
+    assert q[("Alpha", 2010 * 4 + 1)] == 103.0
+    assert len([k for k in q if k[0] == "Alpha"]) == 2  # footnote row dropped
 
 
 def test_sheet_fallbacks(spark):
