@@ -29,6 +29,7 @@ class TrainingResult:
     weights: dict[str, float]
     frame: DataFrame           # long: model, split, entity, period, y, pred, lo, hi
     metrics: DataFrame         # model x split metrics
+    coverage: DataFrame        # model -> validation interval coverage
 
 
 def fit_models(
@@ -104,8 +105,12 @@ def add_ensemble(wide: DataFrame, members: Sequence[str]) -> tuple[DataFrame, di
 
 def train_and_evaluate(
     features: DataFrame, cfg: SplitConfig, cols: Sequence[str], models: Sequence[str] = KNOWN_MODELS, *,
-    ensemble: bool = True, confidence: float = 0.90, **fit_kw,
+    ensemble: bool = True, confidence: float = 0.90, registry_root: str | None = None, version: str = "1",
+    **fit_kw,
 ) -> TrainingResult:
+    """Fit, score all rows, evaluate every (model, split) in one aggregate,
+    measure validation coverage, blend the two boosted models, and (with
+    ``registry_root``) save every fitted model with its metrics and coverage."""
     fitted = fit_models(features, cfg, cols, models, confidence=confidence, **fit_kw)
     wide = wide_scores(features, cfg, fitted, confidence=confidence)
     names = list(fitted)
@@ -116,4 +121,17 @@ def train_and_evaluate(
         names.append(ENSEMBLE)
     frame = stack(wide, names, with_bounds=True)
     metrics = frame.groupBy("model", "split").agg(*metric_exprs())
-    return TrainingResult(fitted, weights, frame, metrics)
+    coverage = frame.where(F.col("split") == "val").groupBy("model").agg(
+        F.avg(((F.col("y") >= F.col("lo")) & (F.col("y") <= F.col("hi"))).cast("double")).alias("coverage"),
+        F.count(F.lit(1)).alias("n"))
+    if registry_root:
+        from panelcast.ml import registry as reg
+
+        by_model: dict[str, dict[str, dict[str, float]]] = {}
+        for r in metrics.collect():  # models x splits rows
+            by_model.setdefault(r.model, {})[r.split] = {
+                k: float(r[k]) for k in ("mae", "rmse", "r2", "directional_accuracy") if r[k] is not None}
+        cov = {r.model: r.coverage for r in coverage.collect()}
+        for name, model in fitted.items():
+            reg.save(features.sparkSession, registry_root, model, version, by_model.get(name, {}), cov.get(name))
+    return TrainingResult(fitted, weights, frame, metrics, coverage)

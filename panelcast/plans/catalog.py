@@ -566,8 +566,10 @@ def q_ridge_cv_summary(spark, sf_dir):
 @fitted_once
 def _training(spark, sf_dir):
     features, cols = ml_inputs(spark, sf_dir)
+    root = scratch_path(spark, f"registry-training-{uuid.uuid4().hex[:12]}")
     return train_and_evaluate(
         features, TESTDATA_SPLIT, cols, n_trials=ML_TRIALS, space=ML_SPACE, es_params=ES_PARAMS,
+        registry_root=root,
     )
 
 
@@ -584,6 +586,12 @@ def q_training_frame(spark, sf_dir):
     return round6(_training(spark, sf_dir).frame)
 
 
+@query("training_coverage")
+def q_training_coverage(spark, sf_dir):
+    """Validation interval coverage of every trained model."""
+    return round6(_training(spark, sf_dir).coverage)
+
+
 @query("gbt_importance")
 def q_gbt_importance(spark, sf_dir):
     """M10/A21 for the early-stopped boosted trees."""
