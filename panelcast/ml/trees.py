@@ -163,7 +163,7 @@ def calibrate(model: TreeModel, val: DataFrame, target: str = "target", confiden
     scored = model.transform(val, "pred")
     r = F.col(target) - F.col("pred")
     qs = [(1 - confidence) / 2, (1 + confidence) / 2]
-    row = scored.agg(F.percentile(r, F.array(*[F.lit(q) for q in qs])).alias("q"), F.stddev_pop(r).alias("sd")).first()
+    row = scored.agg(F.percentile_approx(r, qs, 100000).alias("q"), F.stddev_pop(r).alias("sd")).first()
     if row.q is not None:
         model.resid_q_lo, model.resid_q_hi = float(row.q[0]), float(row.q[1])
     model.val_residual_std = float(row.sd or 0.0)

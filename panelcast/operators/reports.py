@@ -137,13 +137,22 @@ def _quantiles(x: Column, qs: Sequence[float], approx: bool) -> Column:
 
 
 def describe(df: DataFrame, value: str, by: Sequence[str] = (), *, digits: int = 3, approx: bool = False) -> DataFrame:
-    """Count, mean, sample std, min, quartiles (linear), max; rounded."""
+    """Count, mean, sample std, min, quartiles (linear), max; rounded.
+
+    Quartiles are exact (:func:`exact_quantiles`, no whole-group buffer) or,
+    with ``approx=True``, ``percentile_approx``."""
     x = F.col(value)
-    q = _quantiles(x, (0.25, 0.5, 0.75), approx)
-    agg = df.groupBy(*by).agg(
+    keys = list(by) or ["_all"]
+    src = df if by else df.withColumn("_all", F.lit(0))
+    base = src.groupBy(*keys).agg(
         F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max"),
+        F.min(x).alias("min"), F.max(x).alias("max"),
     )
+    if approx:
+        quart = src.groupBy(*keys).agg(F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).alias("q"))
+    else:
+        quart = exact_quantiles(src, value, (0.25, 0.5, 0.75), keys)
+    agg = base.join(quart, keys, "left")
     r = lambda c: F.round(c, digits)
     return agg.select(
         *by, "count", r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std"), r(F.col("min")).alias("min"),
@@ -248,10 +257,14 @@ def residual_spread(pf: DataFrame, split: str = "val", approx: bool = False) ->
     """Per (model, entity): sample std, quartiles, 1.5 IQR whiskers
     (extreme residuals inside the fences). Two aggregates joined on the key."""
     rows = pf.where(F.col("split") == split).select("model", "entity", resid().alias("r"))
-    box = rows.groupBy("model", "entity").agg(
-        F.stddev_samp("r").alias("std"), _quantiles(F.col("r"), (0.25, 0.5, 0.75), approx).alias("q"),
-    ).select(
-        "model", "entity", "std", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
+    keys = ["model", "entity"]
+    spread = rows.groupBy(*keys).agg(F.stddev_samp("r").alias("std"))
+    if approx:
+        quart = rows.groupBy(*keys).agg(_quantiles(F.col("r"), (0.25, 0.5, 0.75), True).alias("q"))
+    else:
+        quart = exact_quantiles(rows, "r", (0.25, 0.5, 0.75), keys)
+    box = spread.join(quart, keys).select(
+        *keys, "std", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
     )
     iqr = F.col("q3") - F.col("q1")
     fenced = rows.join(box, ["model", "entity"]).where(
@@ -325,3 +338,57 @@ def kde(df: DataFrame, value: str, by: Sequence[str], grid: int = 200, cut: floa
     summed = pts.groupBy(*by, "g", "n", "a", "b").agg(F.sum(k).alias("k"))
     return summed.select(*by, F.col("g").alias("point"), (F.col("a") + F.col("g") * step).alias("x"),
                          (F.col("k") / F.col("n")).alias("density"))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
+                    accuracy: int = 10000) -> DataFrame:
+    """Exact linear-interpolation quantiles ((n-1)p rule) without buffering a
+    whole group in one task.
+
+    ``percentile_approx`` brackets each target rank (rank error <= n/accuracy);
+    only the rows inside the bracket (about 4n/accuracy per group and
+    quantile) are ranked with a window, after counting the rows below it.
+    Result: (by..., q ARRAY<DOUBLE>) in the order of ``probs``; a bracket that
+    misses its ranks (never expected) falls back to ``percentile`` for that group.
+    """
+    v = F.col(value)
+    user_keys = list(by)
+    by = user_keys or ["_all"]
+    keys = [F.col(c) for c in user_keys] or [F.lit(0).alias("_all")]
+    data = df.where(v.isNotNull()).select(*keys, v.cast("double").alias("v"))
+    eps = 2.0 / accuracy
+    lows = [max(0.0, p - eps) for p in probs]
+    highs = [min(1.0, p + eps) for p in probs]
+    stats = data.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("v", lows + highs, accuracy).alias("br"))
+    k = len(probs)
+    items = F.array(*[F.struct(
+        F.lit(i).alias("i"), F.lit(float(p)).alias("p"),
+        F.col("br")[i].alias("lo"), F.col("br")[k + i].alias("hi")) for i, p in enumerate(probs)])
+    brackets = stats.select(*by, "n", F.inline(items))
+    joined = data.join(brackets, list(by))
+    below = joined.groupBy(*by, "i").agg(F.count_if(F.col("v") < F.col("lo")).alias("below"))
+    band = joined.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))).select(*by, "i", "p", "n", "v")
+    band = band.join(below, [*by, "i"])
+    rank = F.row_number().over(Window.partitionBy(*by, "i").orderBy("v")) - 1 + F.col("below")
+    h = (F.col("n") - 1) * F.col("p")
+    lo_rank = F.floor(h)
+    ranked = band.withColumn("rank", rank).withColumn("h", h).withColumn("k", lo_rank)
+    picked = ranked.where((F.col("rank") == F.col("k")) | (F.col("rank") == F.col("k") + 1)).groupBy(*by, "i").agg(
+        F.max(F.when(F.col("rank") == F.col("k"), F.col("v"))).alias("vk"),
+        F.max(F.when(F.col("rank") == F.col("k") + 1, F.col("v"))).alias("vk1"),
+        F.first("h").alias("h"), F.first("k").alias("k"), F.first("n").alias("n"))
+    q = F.when(F.col("n") == 1, F.col("vk")).otherwise(
+        F.col("vk") + (F.col("h") - F.col("k")) * (F.coalesce(F.col("vk1"), F.col("vk")) - F.col("vk")))
+    ok = F.col("vk").isNotNull() & ((F.col("vk1").isNotNull()) | (F.col("h") == F.col("k")))
+    per_q = picked.select(*by, "i", F.when(ok, q).alias("q"))
+    assembled = per_q.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("i", "q"))).alias("qs"))
+    result = assembled.select(*by, F.transform("qs", lambda s: s["q"]).alias("q"),
+                              F.size("qs").alias("_found"),
+                              F.exists("qs", lambda s: s["q"].isNull()).alias("_missing"))
+    good = result.where((F.col("_found") == k) & ~F.col("_missing")).select(*by, "q")
+    bad_keys = result.where((F.col("_found") != k) | F.col("_missing")).select(*by)
+    fallback = data.join(bad_keys, list(by), "left_semi").groupBy(*by).agg(
+        F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q"))
+    out = good.unionByName(fallback)
+    return out if user_keys else out.drop("_all")

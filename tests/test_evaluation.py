@@ -133,3 +133,16 @@ def test_confusion_and_entity_pivot(spark):
     assert conf == {"up": (0, 0, 1), "down": (0, 1, 0), "flat": (1, 0, 0)}
     mae = {r.entity: r.m for r in rep.entity_model_mae(pf.withColumn("split", F.lit("test")), ["m"]).collect()}
     assert mae["x"] == pytest.approx((0.5 + 1.05) / 2) and mae["y"] == pytest.approx(2.0)
+
+
+def test_exact_quantiles_match_numpy(spark):
+    rng = np.random.default_rng(0)
+    rows = [("a" if i % 3 else "b", float(x)) for i, x in enumerate(rng.normal(size=6000))]
+    rows += [("c", 5.0), ("d", 1.0), ("d", 2.0)] + [("e", float(v)) for v in [1, 1, 1, 2, 2, 3]]
+    df = spark.createDataFrame(rows, "g STRING, x DOUBLE")
+    got = {r.g: r.q for r in rep.exact_quantiles(df, "x", [0.25, 0.5, 0.75], ["g"], accuracy=500).collect()}
+    for g in "abcde":
+        ref = np.quantile([x for k, x in rows if k == g], [0.25, 0.5, 0.75])
+        assert got[g] == pytest.approx(list(ref), abs=0, rel=0)
+    whole = rep.exact_quantiles(df, "x", [0.5]).first().q
+    assert whole[0] == pytest.approx(np.quantile([x for _, x in rows], 0.5), abs=0, rel=0)
