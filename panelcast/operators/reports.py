@@ -93,6 +93,8 @@ def histogram(df: DataFrame, value: str, by: Sequence[str], bins: int | str) ->
     per-group ``sequence`` of bin ids left-joined to the counts); both sides
     of that join are aggregates of size groups x bins.
     """
+    if not by:
+        return histogram(df.withColumn("_all", F.lit(0)), value, ["_all"], bins).drop("_all")
     v = F.col(value)
     nb = F.lit(bins) if isinstance(bins, int) else F.col(bins)
     data = df.where(v.isNotNull()).select(*by, v.alias("v"), nb.cast("int").alias("nb"))
@@ -323,6 +325,8 @@ def kde(df: DataFrame, value: str, by: Sequence[str], grid: int = 200, cut: floa
     kernel terms are summed per (group, grid point) with partial aggregation;
     the per-group statistics are an equi-join on the group key. Groups with
     a single value or no spread get NULL densities."""
+    if not by:
+        return kde(df.withColumn("_all", F.lit(0)), value, ["_all"], grid, cut).drop("_all")
     v = F.col(value)
     data = df.where(v.isNotNull()).select(*by, v.alias("v"))
     stats = data.groupBy(*by).agg(

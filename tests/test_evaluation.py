@@ -146,3 +146,11 @@ def test_exact_quantiles_match_numpy(spark):
         assert got[g] == pytest.approx(list(ref), abs=0, rel=0)
     whole = rep.exact_quantiles(df, "x", [0.5]).first().q
     assert whole[0] == pytest.approx(np.quantile([x for _, x in rows], 0.5), abs=0, rel=0)
+
+
+def test_ungrouped_histogram_and_kde(spark):
+    df = spark.createDataFrame([(float(x),) for x in range(10)], "v DOUBLE")
+    h = rep.histogram(df, "v", [], 5).collect()
+    assert sum(r["count"] for r in h) == 10 and len(h) == 5
+    k = rep.kde(df, "v", [], grid=50).collect()
+    assert len(k) == 50 and all(r.density >= 0 for r in k)
