@@ -259,14 +259,12 @@ def residual_spread(pf: DataFrame, split: str = "val", approx: bool = False) ->
     """Per (model, entity): sample std, quartiles, 1.5 IQR whiskers
     (extreme residuals inside the fences). Two aggregates joined on the key."""
     rows = pf.where(F.col("split") == split).select("model", "entity", resid().alias("r"))
-    keys = ["model", "entity"]
-    spread = rows.groupBy(*keys).agg(F.stddev_samp("r").alias("std"))
-    if approx:
-        quart = rows.groupBy(*keys).agg(_quantiles(F.col("r"), (0.25, 0.5, 0.75), True).alias("q"))
-    else:
-        quart = exact_quantiles(rows, "r", (0.25, 0.5, 0.75), keys)
-    box = spread.join(quart, keys).select(
-        *keys, "std", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
+    # a (model, entity) group holds one entity's quarters in the split (bounded
+    # by the calendar), so the exact percentile aggregate is safe here
+    box = rows.groupBy("model", "entity").agg(
+        F.stddev_samp("r").alias("std"), _quantiles(F.col("r"), (0.25, 0.5, 0.75), approx).alias("q"),
+    ).select(
+        "model", "entity", "std", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
     )
     iqr = F.col("q3") - F.col("q1")
     fenced = rows.join(box, ["model", "entity"]).where(
@@ -350,10 +348,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     whole group in one task.
 
     ``percentile_approx`` brackets each target rank (rank error <= n/accuracy);
-    only the rows inside the bracket (about 4n/accuracy per group and
-    quantile) are ranked with a window, after counting the rows below it.
-    Result: (by..., q ARRAY<DOUBLE>) in the order of ``probs``; a bracket that
-    misses its ranks (never expected) falls back to ``percentile`` for that group.
+    the rows below the bracket are counted, the nearest values just outside
+    it are kept, and only the rows inside it (about 4n/accuracy per group and
+    quantile) are ranked with a window. Result: (by..., q ARRAY<DOUBLE>) in
+    the order of ``probs``. A rank outside the widened bracket (it would break
+    the approximation's guarantee) raises an error instead of a wrong value.
     """
     v = F.col(value)
     user_keys = list(by)
@@ -370,29 +369,36 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         F.lit(i).alias("i"), F.lit(float(p)).alias("p"),
         F.col("br")[i].alias("lo"), F.col("br")[k + i].alias("hi")) for i, p in enumerate(probs)])
     brackets = stats.select(*by, "n", F.inline(items))
+    h = (F.col("n") - 1) * F.col("p")
+    brackets = brackets.withColumns({"h": h, "k": F.floor(h)})
     joined = data.join(brackets, list(by))
-    below = joined.groupBy(*by, "i").agg(F.count_if(F.col("v") < F.col("lo")).alias("below"))
-    band = joined.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))).select(*by, "i", "p", "n", "v")
-    band = band.join(below, [*by, "i"])
+    lo, hi = F.col("lo"), F.col("hi")
+    edges = joined.groupBy(*by, "i").agg(
+        F.count_if(F.col("v") < lo).alias("below"),
+        F.count_if((F.col("v") >= lo) & (F.col("v") <= hi)).alias("band_n"),
+        F.max(F.when(F.col("v") < lo, F.col("v"))).alias("prev"),
+        F.min(F.when(F.col("v") > hi, F.col("v"))).alias("next"),
+    )
+    band = joined.where((F.col("v") >= lo) & (F.col("v") <= hi)).select(*by, "i", "k", "v").join(
+        edges.select(*by, "i", "below"), [*by, "i"])
     rank = F.row_number().over(Window.partitionBy(*by, "i").orderBy("v")) - 1 + F.col("below")
-    h = (F.col("n") - 1) * F.col("p")
-    lo_rank = F.floor(h)
-    ranked = band.withColumn("rank", rank).withColumn("h", h).withColumn("k", lo_rank)
-    picked = ranked.where((F.col("rank") == F.col("k")) | (F.col("rank") == F.col("k") + 1)).groupBy(*by, "i").agg(
-        F.max(F.when(F.col("rank") == F.col("k"), F.col("v"))).alias("vk"),
-        F.max(F.when(F.col("rank") == F.col("k") + 1, F.col("v"))).alias("vk1"),
-        F.first("h").alias("h"), F.first("k").alias("k"), F.first("n").alias("n"))
-    q = F.when(F.col("n") == 1, F.col("vk")).otherwise(
-        F.col("vk") + (F.col("h") - F.col("k")) * (F.coalesce(F.col("vk1"), F.col("vk")) - F.col("vk")))
-    ok = F.col("vk").isNotNull() & ((F.col("vk1").isNotNull()) | (F.col("h") == F.col("k")))
-    per_q = picked.select(*by, "i", F.when(ok, q).alias("q"))
-    assembled = per_q.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("i", "q"))).alias("qs"))
-    result = assembled.select(*by, F.transform("qs", lambda s: s["q"]).alias("q"),
-                              F.size("qs").alias("_found"),
-                              F.exists("qs", lambda s: s["q"].isNull()).alias("_missing"))
-    good = result.where((F.col("_found") == k) & ~F.col("_missing")).select(*by, "q")
-    bad_keys = result.where((F.col("_found") != k) | F.col("_missing")).select(*by)
-    fallback = data.join(bad_keys, list(by), "left_semi").groupBy(*by).agg(
-        F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q"))
-    out = good.unionByName(fallback)
+    ranked = band.withColumn("rank", rank).where((F.col("rank") == F.col("k")) | (F.col("rank") == F.col("k") + 1))
+    picked = ranked.groupBy(*by, "i").agg(
+        F.max(F.when(F.col("rank") == F.col("k"), F.col("v"))).alias("bk"),
+        F.max(F.when(F.col("rank") == F.col("k") + 1, F.col("v"))).alias("bk1"))
+    full = brackets.select(*by, "i", "n", "h", "k").join(edges, [*by, "i"]).join(picked, [*by, "i"], "left")
+
+    def at(rank_col: Column, from_band: Column) -> Column:
+        return F.coalesce(from_band,
+                          F.when(rank_col == F.col("below") - 1, F.col("prev")),
+                          F.when(rank_col == F.col("below") + F.col("band_n"), F.col("next")))
+
+    vk, vk1 = at(F.col("k"), F.col("bk")), at(F.col("k") + 1, F.col("bk1"))
+    exact_hit = F.col("h") == F.col("k")
+    q = F.when(exact_hit, vk).otherwise(vk + (F.col("h") - F.col("k")) * (vk1 - vk))
+    ok = vk.isNotNull() & (exact_hit | vk1.isNotNull())
+    checked = F.when(ok, q).otherwise(F.raise_error(F.lit("exact_quantiles: rank outside the bracket")).cast("double"))
+    per_q = full.select(*by, "i", checked.alias("q"))
+    out = per_q.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("i", "q"))).alias("qs")).select(
+        *by, F.transform("qs", lambda s_: s_["q"]).alias("q"))
     return out if user_keys else out.drop("_all")
