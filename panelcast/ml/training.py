@@ -36,7 +36,7 @@ def fit_models(
     features: DataFrame, cfg: SplitConfig, cols: Sequence[str], models: Sequence[str] = KNOWN_MODELS, *,
     target: str = "target", n_trials: int = 50, space: dict = SEARCH_SPACE, seed: int = 42,
     es_params: dict | None = None, patience: int = 50, confidence: float = 0.90,
-    tree_intervals: str = "quantile", quantile_rounds: int = 10,
+    tree_intervals: str = "quantile", quantile_rounds: int = 10, parallelism: int = 1,
 ) -> dict[str, RidgeModel | TreeModel]:
     """Fit the requested models. Boosted trees get quantile-boosting interval
     models (``tree_intervals='quantile'``, lower/upper pinball loss on the
@@ -50,8 +50,8 @@ def fit_models(
         if name == "ridge":
             fitted[name] = with_val_std(fit_ridge(train, cols, target), val, target)
         elif name == "gbt":
-            fitted[name] = calibrate(search_gbt(train, val, cols, target, n_trials=n_trials, space=space, seed=seed),
-                                     val, target, confidence)
+            fitted[name] = calibrate(search_gbt(train, val, cols, target, n_trials=n_trials, space=space, seed=seed,
+                                                parallelism=parallelism), val, target, confidence)
         else:
             fitted[name] = calibrate(fit_gbt_early_stopping(train, val, cols, target, params=es_params,
                                                             patience=patience, seed=seed), val, target, confidence)

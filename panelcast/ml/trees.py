@@ -100,27 +100,38 @@ def _rmse(model: GBTRegressionModel, val_vec: DataFrame, target: str) -> float:
 def search_gbt(
     train: DataFrame, val: DataFrame, cols: Sequence[str], target: str = "target", *,
     n_trials: int = 50, seed: int = 42, space: dict = SEARCH_SPACE, name: str = "gbt",
-    timeout_seconds: float | None = 300.0,
+    timeout_seconds: float | None = 300.0, parallelism: int = 1,
 ) -> TreeModel:
-    """Best of ``n_trials`` sampled configurations by validation RMSE; the
-    search also stops once ``timeout_seconds`` have passed (after >= 1 trial)."""
+    """Best of ``n_trials`` sampled configurations by validation RMSE.
+
+    Configurations are drawn up front from a seeded generator and the winner
+    is chosen by (RMSE, trial index), so ``parallelism`` > 1 (concurrent fits
+    from driver threads, each its own Spark jobs) changes wall time only.
+    No new trial starts once ``timeout_seconds`` have passed (>= 1 trial runs).
+    """
     asm = assembler(cols)
     tr = asm.transform(train).select(VECTOR, target).persist()
     va = asm.transform(val).select(VECTOR, target).persist()
+    rng = random.Random(seed)
+    candidates = [sample_params(rng, space) for _ in range(n_trials)]
+    started = time.monotonic()
+
+    def trial(i: int):
+        if i > 0 and timeout_seconds is not None and time.monotonic() - started > timeout_seconds:
+            return None
+        model = _gbt(candidates[i], seed, target).fit(tr)
+        return _rmse(model, va, target), i, model
+
     try:
-        rng = random.Random(seed)
-        best = None
-        started = time.monotonic()
-        for _ in range(n_trials):
-            if best is not None and timeout_seconds is not None and time.monotonic() - started > timeout_seconds:
-                break
-            params = sample_params(rng, space)
-            model = _gbt(params, seed, target).fit(tr)
-            score = _rmse(model, va, target)
-            if best is None or score < best[0]:
-                best = (score, params, model)
-        score, params, model = best
-        return TreeModel(name, list(cols), model, params, score)
+        if parallelism <= 1:
+            results = [trial(i) for i in range(n_trials)]
+        else:
+            from concurrent.futures import ThreadPoolExecutor
+
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                results = list(pool.map(trial, range(n_trials)))
+        score, i, model = min((r for r in results if r is not None), key=lambda r: (r[0], r[1]))
+        return TreeModel(name, list(cols), model, candidates[i], score)
     finally:
         tr.unpersist()
         va.unpersist()

@@ -569,7 +569,7 @@ def _training(spark, sf_dir):
     root = scratch_path(spark, f"registry-training-{uuid.uuid4().hex[:12]}")
     return train_and_evaluate(
         features, TESTDATA_SPLIT, cols, n_trials=ML_TRIALS, space=ML_SPACE, es_params=ES_PARAMS,
-        registry_root=root,
+        registry_root=root, parallelism=ML_TRIALS,
     )
 
 
