@@ -2,8 +2,8 @@
 
 Each entry holds the model (Spark ML writer for trees, JSON for ridge) and
 a one-row JSON metadata table (tree interval parameters in ``extras``;
-quantile-boosting interval models are not persisted - a loaded tree model
-uses its conformal bounds) (name, version, training_date, feature_cols,
+quantile-boosting interval models are saved tree by tree under
+``lower/`` and ``upper/`` with their leaf values in ``extras``) (name, version, training_date, feature_cols,
 metrics split -> metric -> value, calibration_coverage). Everything is
 written with Spark writers, so ``root`` may be any Hadoop file system path
 (the default is a folder under ``spark.checkpoint.dir``).
@@ -58,8 +58,18 @@ def save(
         model.model.write().overwrite().save(f"{path}/model")
     extras = None
     if isinstance(model, TreeModel):
-        extras = json.dumps({"params": model.params, "val_rmse": model.val_rmse, "resid_q_lo": model.resid_q_lo,
-                             "resid_q_hi": model.resid_q_hi, "val_residual_std": model.val_residual_std})
+        info = {"params": model.params, "val_rmse": model.val_rmse, "resid_q_lo": model.resid_q_lo,
+                "resid_q_hi": model.resid_q_hi, "val_residual_std": model.val_residual_std}
+        for side in ("lower", "upper"):
+            booster = getattr(model, side)
+            if booster is None:
+                continue
+            for k, tree in enumerate(booster.trees):
+                tree.write().overwrite().save(f"{path}/{side}/tree_{k}")
+            info[side] = {"alpha": booster.alpha, "init": booster.init, "learning_rate": booster.learning_rate,
+                          "n_trees": len(booster.trees),
+                          "leaf_values": [sorted(v.items()) for v in booster.leaf_values]}
+        extras = json.dumps(info)
     meta = (model.name, version, kind, dt.datetime.now(dt.timezone.utc).isoformat(),
             list(model.feature_cols), metrics or {}, coverage, extras)
     spark.createDataFrame([meta], METADATA_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
@@ -83,6 +93,18 @@ def load(spark: SparkSession, root: str, name: str, version: str) -> tuple[Ridge
         model = TreeModel(meta.name, list(meta.feature_cols), GBTRegressionModel.load(f"{path}/model"),
                           extras.get("params", {}), extras.get("val_rmse"), extras.get("resid_q_lo", 0.0),
                           extras.get("resid_q_hi", 0.0), extras.get("val_residual_std", 0.0))
+        for side in ("lower", "upper"):
+            info = extras.get(side)
+            if not info:
+                continue
+            from pyspark.ml.regression import DecisionTreeRegressionModel
+
+            from panelcast.ml.quantile import QuantileBooster
+
+            booster = QuantileBooster(info["alpha"], list(meta.feature_cols), info["init"], info["learning_rate"])
+            booster.trees = [DecisionTreeRegressionModel.load(f"{path}/{side}/tree_{k}") for k in range(info["n_trees"])]
+            booster.leaf_values = [{float(a): float(b) for a, b in pairs} for pairs in info["leaf_values"]]
+            setattr(model, side, booster)
     return model, meta.asDict(recursive=True)
 
 

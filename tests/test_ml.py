@@ -205,3 +205,18 @@ def test_walk_forward_cv_pluggable(matrix):
     assert all(r.n_samples == 8 * 4 for r in res)  # 8 entities x 4 validation quarters
     with pytest.raises(ValueError):
         forecaster("svm", cols)
+
+
+def test_registry_keeps_quantile_interval_models(spark, matrix, tmp_path):
+    from panelcast.ml.quantile import fit_interval_models
+
+    cols = feat.feature_columns(ENTITIES)
+    train, val = split_rows(matrix, "train", CFG), split_rows(matrix, "val", CFG)
+    tree = fit_gbt_early_stopping(train, val, cols, params={"maxIter": 4, "maxDepth": 2, "stepSize": 0.3}, patience=2)
+    tree.lower, tree.upper = fit_interval_models(train, cols, n_rounds=3, max_depth=2)
+    root = str(tmp_path / "reg")
+    reg.save(spark, root, tree, "2")
+    loaded, _ = reg.load(spark, root, tree.name, "2")
+    a = tree.with_bounds(tree.transform(val, "p"), "p", "lo", "hi").select("lo", "hi").collect()
+    b = loaded.with_bounds(loaded.transform(val, "p"), "p", "lo", "hi").select("lo", "hi").collect()
+    assert a == b
