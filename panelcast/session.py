@@ -20,6 +20,23 @@ CORE_CONF = {
 }
 
 
+# Sizing for a large cluster (e.g. 1000 executors over ~100 TB); pass as
+# ``extra=CLUSTER_CONF`` or set in the cluster's defaults. AQE picks the
+# reducer count from measured shuffle sizes (target ~256 MB per partition,
+# starting from a high ceiling), scans split at 512 MB, skewed join
+# partitions (> 5x the median and > 1 GB) are split, and small join sides
+# are broadcast from measured sizes only up to 64 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(
     master: str = "local[8]",
     shuffle_partitions: int = 8,

@@ -126,3 +126,23 @@ def test_link_discovery(spark):
                                    (2, "http://other.example.com/", "<p>none</p>")], "page_id LONG, url STRING, html STRING")
     got = {r.page_id: r.link for r in discover_links(pages, r"\.xlsx$").collect()}
     assert got == {1: "https://site.example.com/media/641601.XLSX", 2: None}
+
+
+def test_link_discovery_whole_pages_match_python(spark):
+    import re as _re
+
+    from panelcast.sources.weblinks import ANCHOR_HREF, ORIGIN, SCRIPT_OR_COMMENT
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = {r.page_id: r.link for r in discover_links(pages, "tion|ment").collect()}
+    for r in pages.collect():
+        body = _re.sub(SCRIPT_OR_COMMENT, "", r.html)
+        hrefs = _re.findall("(?i)" + ANCHOR_HREF, body)
+        hit = next((h for h in hrefs if _re.search("(?i)tion|ment", h)), None)
+        if hit is None:
+            want = None
+        elif hit.startswith("http"):
+            want = hit
+        else:
+            want = _re.match(ORIGIN, r.url).group(1) + hit if _re.match(ORIGIN, r.url) else hit
+        assert got[r.page_id] == want, r.page_id
