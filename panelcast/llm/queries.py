@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import simhash
+from panelcast.llm import simhash, substring
 from panelcast.llm.common import read_table
 
 
@@ -15,8 +15,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, k=3)
 
 
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that repeat from smaller documents, removed."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_substring": op2_substring,
 }
 
 ORACLES: dict[str, str] = {}
