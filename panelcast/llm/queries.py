@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import simhash, substring
+from panelcast.llm import decontaminate, simhash, substring
 from panelcast.llm.common import read_table
 
 
@@ -21,9 +21,16 @@ def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and the verified overlaps."""
+    return decontaminate.contaminated(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substring": op2_substring,
+    "op7_decontamination": op7_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
