@@ -12,76 +12,101 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain, filterfalse
+
+import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks in parallel
 
 from tokenizers import Tokenizer  # noqa: E402
 
 #: pieces that a worker remembers at a time
-PIECE_CACHE = 500_000
+PIECE_CACHE = 1_000_000
+#: pieces that are encoded as one text
+JOINED_WORDS = 1 << 14
 #: characters of text whose new pieces are encoded in one call
 CALL_CHARS = 2 << 20
 
-_DOUBLE_SPACE = re.compile(r"\s\s")
+#: neighbouring white space; NUL; what may join a following stop or comma
+_ODD = re.compile(r"\s\s|\x00|\W[.,]|_[.,]|\u0130")
 
 
 class TextEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids; strings of special tokens are ordinary text."""
+    """Encodes texts to ids, as arrays of unsigned 32-bit integers; strings of
+    special tokens are ordinary text."""
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.width = int(self.kind[-1])
         self.pieces: dict[str, bytes] = {}
+        comma = self.tokenizer.encode(",", add_special_tokens=False).ids
+        if len(comma) != 1:
+            raise ValueError("a comma must be one id of the vocabulary")
+        self.comma = comma[0]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [b"".join([i.to_bytes(4, "little") for i in e.ids]) for e in found]
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of pieces that are letters only: encoded in one text, a comma after each."""
+        out: list[bytes] = []
+        for i in range(0, len(words), JOINED_WORDS):
+            part = words[i : i + JOINED_WORDS]
+            raw = self._library([",".join(part) + ","])[0]
+            w = self.width
+            ends = (np.flatnonzero(np.frombuffer(raw, self.kind) == self.comma) * w).tolist()
+            if len(ends) != len(part):
+                out += self._library(part)
+            else:
+                out += [raw[j:k] for j, k in zip([0, *(e + w for e in ends)], ends, strict=False)]
+        return out
 
-    def _learn(self, new: set[str]) -> None:
-        """Remember new pieces; one that ends in an ASCII letter and a stop or comma is made of the two."""
-        known = self.pieces
-        ends = dict(zip(".,", self._library([".", ","]), strict=True))
-        stems = {p: p[:-1] for p in new if p[-1:] in ends and p[-2:-1].isascii() and p[-2:-1].isalpha()}
-        bare = [p for p in new.difference(stems).union(stems.values()) if p not in known]
-        known.update(zip(bare, self._library(bare), strict=True))
-        for piece, stem in stems.items():
-            known[piece] = known[stem] + ends[piece[-1]]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def _learn(self, new: list[str]) -> None:
+        words = [p for p in new if (w := p.lstrip(" \n")).isalpha() and (w.isascii() or w.lower().isalpha())]
+        self.pieces.update(zip(words, self._words(words), strict=True))
+        others = [p for p in new if p not in self.pieces]
+        self.pieces.update(zip(others, self._library(others), strict=True))
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; null gives none."""
-        out: list[bytes] = [b""] * len(texts)
+        out: list[np.ndarray] = [np.zeros(0, "<u4")] * len(texts)
         start = 0
         while start < len(texts):
             end, held = start, 0
             while end < len(texts) and (end == start or held < CALL_CHARS):
                 held += len(texts[end] or "")
                 end += 1
-            self._encode_some(texts, start, end, out)
+            for i, raw in self._encode_some(texts, start, end):
+                out[i] = np.frombuffer(raw, self.kind).astype("<u4")
             start = end
         return out
 
-    def _encode_some(self, texts: list[str | None], start: int, end: int, out: list[bytes]) -> None:
-        cut: dict[int, list[str]] = {}
+    def _encode_some(self, texts: list[str | None], start: int, end: int) -> list[tuple[int, bytes]]:
+        cut: list[tuple[int, list[str]]] = []
         whole = []
         for i in range(start, end):
             text = texts[i]
             if not text:
                 continue
-            if "\x00" in text or _DOUBLE_SPACE.search(text):
+            odd = set(_ODD.findall(text))
+            if any(len(x) == 2 and x.isspace() or x == "\x00" for x in odd):
                 whole.append(i)
-            else:
-                cut[i] = text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")
-        for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        new = set().union(*cut.values()).difference(self.pieces)
-        if new:
-            if len(self.pieces) + len(new) > PIECE_CACHE:
-                self.pieces.clear()
-                new = set().union(*cut.values())
-            self._learn(new)
-        get = self.pieces.__getitem__
-        for i, pieces in cut.items():
-            out[i] = b"".join(map(get, pieces))
+                continue
+            if not odd:  # stops and commas follow letters or digits only, and so are pieces of their own
+                for stop in ". ", ", ", ".\n", ",\n":
+                    text = text.replace(stop, f"\x00{stop[0]}{stop[1]}")
+            cut.append((i, text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")))
+        out = list(zip(whole, self._library([texts[i] for i in whole]), strict=True))
+        known = self.pieces
+        new = set(filterfalse(known.__contains__, chain.from_iterable(p for _, p in cut)))
+        if len(known) + len(new) > PIECE_CACHE:
+            known.clear()
+            new = set(chain.from_iterable(p for _, p in cut))
+        self._learn(list(new))
+        return out + [(i, b"".join(map(known.__getitem__, pieces))) for i, pieces in cut]
 
 
 _encoders: dict[int, TextEncoder] = {}
