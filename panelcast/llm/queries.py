@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import decontaminate, packing, simhash, substring
+from panelcast.llm import decontaminate, packing, repair, simhash, substring
 from panelcast.llm.common import read_table
 
 
@@ -23,6 +23,14 @@ def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as ids in Re-Pair files, and what the files hold when read back."""
+    docs = read_table(spark, sf_dir, "documents")
+    folder, manifest = repair.write_ids(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return repair.read_ids(spark, folder, manifest, end_id=1).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item and the verified overlaps."""
     return decontaminate.contaminated(
@@ -39,6 +47,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substring": op2_substring,
+    "op5_token_files": op5_token_files,
     "op7_decontamination": op7_decontamination,
     "op10_packing": op10_packing,
 }
