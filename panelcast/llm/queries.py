@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import decontaminate, packing, repair, simhash, substring
+from panelcast.llm import decontaminate, packing, quality, repair, simhash, substring, toxicity
 from panelcast.llm.common import read_table
 
 
@@ -31,12 +31,28 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned outside the fold with crc32(doc_id) mod 3 = 1."""
+    docs = read_table(spark, sf_dir, "documents")
+    scores = toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", F.coalesce(toxicity.fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item and the verified overlaps."""
     return decontaminate.contaminated(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned outside the fold with crc32(doc_id) mod 5 = 0."""
+    docs = read_table(spark, sf_dir, "documents")
+    scores = quality.score(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", F.coalesce(toxicity.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 ids."""
     pieces = packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -48,7 +64,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substring": op2_substring,
     "op5_token_files": op5_token_files,
+    "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
+    "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
 
