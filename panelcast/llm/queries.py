@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import decontaminate, packing, quality, repair, simhash, substring, toxicity
+from panelcast.llm import decontaminate, packing, quality, repair, simhash, substring, toxicity, unigram, warc
 from panelcast.llm.common import read_table
 
 
@@ -23,6 +23,11 @@ def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of all documents."""
+    return unigram.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as ids in Re-Pair files, and what the files hold when read back."""
     docs = read_table(spark, sf_dir, "documents")
@@ -45,6 +50,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back in byte ranges."""
+    folder, manifest = warc.write_archives(read_table(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, folder, manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, learned outside the fold with crc32(doc_id) mod 5 = 0."""
     docs = read_table(spark, sf_dir, "documents")
@@ -63,9 +75,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substring": op2_substring,
+    "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
+    "op8_warc": op8_warc,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
