@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import decontaminate, packing, quality, repair, simhash, substring, toxicity, unigram, warc
+from panelcast.llm import decontaminate, packing, quality, quantise, repair, simhash, substring, toxicity, unigram, warc
 from panelcast.llm.common import read_table
 
 
@@ -23,6 +23,11 @@ def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate embeddings of the whole table: cosine of at least 0.9."""
+    return quantise.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram token counts of all documents."""
     return unigram.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -75,6 +80,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substring": op2_substring,
+    "op3_embeddings": op3_embeddings,
     "op4_token_counts": op4_token_counts,
     "op5_token_files": op5_token_files,
     "op6_toxicity": op6_toxicity,
