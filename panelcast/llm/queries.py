@@ -90,4 +90,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_substring": r"""
+        with w as (
+          select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+        g as (
+          select doc_id, i, array_to_string(ws[i + 1 : i + 13], ' ') as k
+          from (select doc_id, ws, unnest(range(0, len(ws) - 12)) as i from w)),
+        f as (select k, min(doc_id) as least_id from g group by k),
+        hit as (select distinct doc_id, i from g join f using (k) where least_id < doc_id),
+        covered as (select distinct doc_id, unnest(range(i, i + 13)) as pos from hit),
+        word as (select doc_id, unnest(ws) as word, unnest(range(0, len(ws))) as pos from w),
+        kept as (
+          select doc_id, string_agg(word, ' ' order by pos) as t, count(*) as n
+          from word anti join covered using (doc_id, pos) group by doc_id)
+        select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed,
+               sha256(coalesce(t, '')) as kept_sha256
+        from w left join kept on kept.doc_id = w.doc_id""",
+    "op3_embeddings": r"""
+        with recursive v as (
+          select vec_id, embedding::double[] as e from embeddings
+          where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        link as (
+          select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id
+          where list_cosine_similarity(a.e, b.e) >= 0.9),
+        reach as (select a, b from link union select r.a, l.b from reach r join link l on l.a = r.b),
+        n as (select a, count(*) as n from link group by a),
+        c as (select a, min(b) as least_id from reach group by a)
+        select vec_id, coalesce(n.n, 0)::bigint as n_links, least(vec_id, coalesce(least_id, vec_id)) as component_id,
+               vec_id = least(vec_id, coalesce(least_id, vec_id)) as kept
+        from embeddings left join n on n.a = vec_id left join c on c.a = vec_id""",
+    "op8_warc": r"""
+        with p as (
+          select page_id, octet_length(encode(coalesce(html, ''))) as size, sha256(coalesce(html, '')) as digest
+          from pages),
+        f as (select digest, min(page_id) as least_id from p where size >= 100 group by digest)
+        select page_id, size::bigint as payload_bytes, p.digest as payload_digest,
+               case when least_id is null or least_id = page_id then 'response' else 'revisit' end as record_type,
+               case when least_id <> page_id then least_id end as refers_to
+        from p left join f on f.digest = p.digest""",
+}
