@@ -31,6 +31,8 @@ from panelcast.llm.tokens import encoder_for
 CAPACITY = 1024
 #: ids of padding that a cut is worth
 SENTENCE_COST, INSIDE_COST = 2.0, 24.0
+#: sentence ends offered as cuts are about so many ids apart
+SENTENCE_STEP = 16
 #: cuts inside sentences longer than LONG_SENTENCE are offered every INSIDE_STEP ids
 LONG_SENTENCE, INSIDE_STEP = 64, 16
 #: unpadded sequences shorter than the capacity, and what each is charged
@@ -49,6 +51,8 @@ def offered_cuts(ids: np.ndarray, sentence_end: np.ndarray, end_id: int) -> tupl
     cost[1:][ids == end_id] = 0.0
     cost[[0, -1]] = 0.0
     good = np.flatnonzero(cost < INSIDE_COST)
+    # a sentence's end is offered once in every SENTENCE_STEP ids, a document's always
+    good = good[(cost[good] == 0) | np.r_[True, good[1:] // SENTENCE_STEP != good[:-1] // SENTENCE_STEP]]
     gaps = np.diff(good)
     wide = np.flatnonzero(gaps > LONG_SENTENCE)
     inner = [np.arange(good[i] + INSIDE_STEP, good[i + 1], INSIDE_STEP) for i in wide]

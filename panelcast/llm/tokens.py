@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain, filterfalse
 
 import numpy as np
 
@@ -27,8 +26,21 @@ JOINED_WORDS = 1 << 14
 #: characters of text whose new pieces are encoded in one call
 CALL_CHARS = 2 << 20
 
-#: neighbouring white space; NUL; what may join a following stop or comma
-_ODD = re.compile(r"\s\s|\x00|\W[.,]|_[.,]|\u0130")
+#: a stop or comma that may join what stands before it
+_JOINED_STOP = re.compile(r"[.,](?<=[\W_].)")
+
+
+class _Pieces(dict):
+    """Ids of known pieces. A new piece gets an empty array of bytes, to be filled, and is noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> bytearray:
+        value = self[piece] = bytearray()
+        self.new.append(piece)
+        return value
 
 
 class TextEncoder:
@@ -40,7 +52,7 @@ class TextEncoder:
         self.tokenizer.encode_special_tokens = True
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.width = int(self.kind[-1])
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = _Pieces()
         comma = self.tokenizer.encode(",", add_special_tokens=False).ids
         if len(comma) != 1:
             raise ValueError("a comma must be one id of the vocabulary")
@@ -64,11 +76,17 @@ class TextEncoder:
                 out += [raw[j:k] for j, k in zip([0, *(e + w for e in ends)], ends, strict=False)]
         return out
 
-    def _learn(self, new: list[str]) -> None:
-        words = [p for p in new if (w := p.lstrip(" \n")).isalpha() and (w.isascii() or w.lower().isalpha())]
-        self.pieces.update(zip(words, self._words(words), strict=True))
-        others = [p for p in new if p not in self.pieces]
-        self.pieces.update(zip(others, self._library(others), strict=True))
+    def _learn(self) -> None:
+        """Encode the new pieces: letters only in one text, others one by one."""
+        new, self.pieces.new = self.pieces.new, []
+        words, others = [], []
+        for p in new:
+            w = p.lstrip(" \n")
+            (words if w.isalpha() and (w.isascii() or w.lower().isalpha()) else others).append(p)
+        for part, found in (words, self._words(words)), (others, self._library(others)):
+            for p, ids in zip(part, found, strict=True):
+                self.pieces[p].extend(ids)  # also where a text already holds it
+                self.pieces[p] = ids
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; null gives none."""
@@ -85,28 +103,27 @@ class TextEncoder:
         return out
 
     def _encode_some(self, texts: list[str | None], start: int, end: int) -> list[tuple[int, bytes]]:
-        cut: list[tuple[int, list[str]]] = []
+        if len(self.pieces) > PIECE_CACHE:
+            self.pieces.clear()
+        known = self.pieces.__getitem__
+        held: list[tuple[int, list[bytes]]] = []
         whole = []
         for i in range(start, end):
             text = texts[i]
             if not text:
                 continue
-            odd = set(_ODD.findall(text))
-            if any(len(x) == 2 and x.isspace() or x == "\x00" for x in odd):
+            spaced = text.replace("\n", " ")
+            if "  " in spaced or not spaced.isprintable():  # neighbouring or other white space, control characters
                 whole.append(i)
                 continue
-            if not odd:  # stops and commas follow letters or digits only, and so are pieces of their own
+            if not _JOINED_STOP.search(text) and "\u0130" not in text:
+                # stops and commas follow letters or digits only, and so are pieces of their own
                 for stop in ". ", ", ", ".\n", ",\n":
-                    text = text.replace(stop, f"\x00{stop[0]}{stop[1]}")
-            cut.append((i, text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")))
+                    text = text.replace(stop, f"\x00{stop}")
+            held.append((i, list(map(known, text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")))))
         out = list(zip(whole, self._library([texts[i] for i in whole]), strict=True))
-        known = self.pieces
-        new = set(filterfalse(known.__contains__, chain.from_iterable(p for _, p in cut)))
-        if len(known) + len(new) > PIECE_CACHE:
-            known.clear()
-            new = set(chain.from_iterable(p for _, p in cut))
-        self._learn(list(new))
-        return out + [(i, b"".join(map(known.__getitem__, pieces))) for i, pieces in cut]
+        self._learn()
+        return out + [(i, b"".join(ids)) for i, ids in held]
 
 
 _encoders: dict[int, TextEncoder] = {}
