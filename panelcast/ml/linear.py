@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.ml.moments import gram_by_group
+from panelcast.session import cut_lineage
 
 # Regularisation grid and number of CV folds.
 ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0, 1000.0)
@@ -99,14 +100,18 @@ def contiguous_folds(
     sizes as unshuffled K-fold (the first n % K blocks one row larger).
 
     The global row index is a row number inside each entity plus the entity's
-    offset; offsets come from the per-entity count table (one row per entity),
-    so no window ever spans the whole table.
+    offset. Offsets are a prefix sum in two levels: entities are dealt into
+    sorted ranges, each range adds up its own entities, and only the totals of
+    the ranges (a row per partition) are added up in one place.
     """
     counts = df.groupBy(entity).agg(F.count(F.lit(1)).alias("cnt"))
-    # window over the aggregated count table (one row per entity)
-    offsets = counts.withColumn(
-        "offset", F.sum("cnt").over(Window.orderBy(entity).rowsBetween(Window.unboundedPreceding, -1))
-    ).fillna(0, subset=["offset"])
+    ranged = cut_lineage(counts.repartitionByRange(entity).withColumn("range", F.spark_partition_id()))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranged.groupBy("range").agg(F.sum("cnt").alias("range_cnt")).select(
+        "range", F.coalesce(F.sum("range_cnt").over(before.orderBy("range")), F.lit(0)).alias("range_offset"))
+    inside = F.coalesce(F.sum("cnt").over(before.partitionBy("range").orderBy(entity)), F.lit(0))
+    offsets = ranged.withColumn("inside", inside).join(ranges, "range").select(
+        entity, "cnt", (F.col("range_offset") + F.col("inside")).alias("offset"))
     if total is None:
         total = offsets.agg(F.sum("cnt")).first()[0] or 0
     sizes = [total // n_folds + (1 if k < total % n_folds else 0) for k in range(n_folds)]

@@ -68,7 +68,7 @@ def score_raw_requests(
     )
     short = valid.join(latest.select("request_id"), "request_id", "left_anti").select(
         "request_id", "entity",
-        F.lit("not enough history to compute all features; provide at least 6 consecutive quarters").alias("detail"),
+        F.lit("history too short or with gaps: no quarter has all features").alias("detail"),
     )
     return preds, error_table(invalid).unionByName(short)
 

@@ -100,14 +100,16 @@ def _rmse(model: GBTRegressionModel, val_vec: DataFrame, target: str) -> float:
 def search_gbt(
     train: DataFrame, val: DataFrame, cols: Sequence[str], target: str = "target", *,
     n_trials: int = 50, seed: int = 42, space: dict = SEARCH_SPACE, name: str = "gbt",
-    timeout_seconds: float | None = 300.0, parallelism: int = 1,
+    timeout_seconds: float | None = None, parallelism: int = 1,
 ) -> TreeModel:
     """Best of ``n_trials`` sampled configurations by validation RMSE.
 
     Configurations are drawn up front from a seeded generator and the winner
     is chosen by (RMSE, trial index), so ``parallelism`` > 1 (concurrent fits
     from driver threads, each its own Spark jobs) changes wall time only.
-    No new trial starts once ``timeout_seconds`` have passed (>= 1 trial runs).
+    All trials run unless ``timeout_seconds`` is given: then no new trial
+    starts once they have passed (one always runs). ``params['trials']`` of the result
+    says how many were fitted.
     """
     asm = assembler(cols)
     tr = asm.transform(train).select(VECTOR, target).persist()
@@ -130,8 +132,9 @@ def search_gbt(
 
             with ThreadPoolExecutor(max_workers=parallelism) as pool:
                 results = list(pool.map(trial, range(n_trials)))
-        score, i, model = min((r for r in results if r is not None), key=lambda r: (r[0], r[1]))
-        return TreeModel(name, list(cols), model, candidates[i], score)
+        done = [r for r in results if r is not None]
+        score, i, model = min(done, key=lambda r: (r[0], r[1]))
+        return TreeModel(name, list(cols), model, {**candidates[i], "trials": len(done)}, score)
     finally:
         tr.unpersist()
         va.unpersist()

@@ -31,11 +31,10 @@ def align_drivers(
 def attach_drivers(prices: DataFrame, drivers: DataFrame) -> DataFrame:
     """Inner join of per-entity observations with the national drivers.
 
-    ``drivers`` holds at most one row per calendar quarter (four per year),
-    so its size is bounded by the calendar, not by the data volume: it is
-    broadcast and the large side is never shuffled for this join.
+    ``drivers`` holds at most one row per quarter; the optimizer broadcasts it
+    when its measured size allows.
     """
-    return prices.join(F.broadcast(drivers), "period")
+    return prices.join(drivers, "period")
 
 
 def union_panels(*panels: DataFrame) -> DataFrame:
@@ -44,8 +43,3 @@ def union_panels(*panels: DataFrame) -> DataFrame:
     for p in panels[1:]:
         out = out.unionByName(p)
     return out
-
-
-def distinct_periods(df: DataFrame, period: str = "period") -> DataFrame:
-    """Sorted distinct periods (a few hundred rows at most)."""
-    return df.select(period).distinct().orderBy(period)

@@ -63,10 +63,12 @@ def period_means(pf: DataFrame, split: str = "test") -> DataFrame:
 
 def interval_series(pf: DataFrame, entity_value: str, split: str = "val") -> DataFrame:
     """One entity's interval series with an inside flag; all entities if
-    the entity has no row in the split (checked with a bounded ``limit(1)``)."""
+    the entity has no row in the split."""
     rows = pf.where(F.col("split") == split)
     one = rows.where(F.col("entity") == entity_value)
-    chosen = one if one.limit(1).count() > 0 else rows
+    # one row at most: whether the entity occurs is part of the plan, not a job of its own
+    found = one.agg((F.count(F.lit(1)) > 0).alias("found"))
+    chosen = rows.withColumn("found", found.scalar()).where(~F.col("found") | (F.col("entity") == entity_value))
     return chosen.select("model", "entity", "period", "y", "pred", "lo", "hi", inside().cast("int").alias("inside"))
 
 
@@ -85,6 +87,19 @@ def entity_model_mae(pf: DataFrame, models: Sequence[str], split: str = "test")
     )
 
 
+#: parts that the rows of one group are spread over in a join with per-group rows
+GROUP_PARTS = 64
+
+
+def with_group_rows(rows: DataFrame, groups: DataFrame, by: Sequence[str], value: str = "v") -> DataFrame:
+    """``rows`` joined with per-group rows, without meeting in a task per group:
+    each group's rows are spread over ``GROUP_PARTS`` parts by their value's
+    hash, and the per-group rows are repeated for each part."""
+    parts = groups.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(GROUP_PARTS - 1))))
+    spread = rows.withColumn("_part", F.pmod(F.xxhash64(value), F.lit(GROUP_PARTS)).cast("int"))
+    return spread.join(parts, [*by, "_part"]).drop("_part")
+
+
 def histogram(df: DataFrame, value: str, by: Sequence[str], bins: int | str) -> DataFrame:
     """Equal-width histogram on [min, max] per group with density.
 
@@ -106,8 +121,7 @@ def histogram(df: DataFrame, value: str, by: Sequence[str], bins: int | str) ->
     idx = F.when(
         span > 0, F.least(F.floor((F.col("v") - F.col("lo")) / span * F.col("nb")), F.col("nb") - 1),
     ).otherwise(F.lit(0)).cast("int")
-    # stats has one row per group: AQE broadcasts it when its measured size is small
-    binned = data.drop("nb").join(stats, list(by))
+    binned = with_group_rows(data.drop("nb"), stats, by)
     counts = binned.groupBy(*by, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = stats.select(*by, "lo", "hi", "total", "nb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bin"))
     out = grid.join(counts, [*by, "bin"], "left").fillna(0, subset=["count"])
@@ -319,7 +333,7 @@ def kde(df: DataFrame, value: str, by: Sequence[str], grid: int = 200, cut: floa
     """Gaussian kernel density per group on ``grid`` points spanning
     [min - cut*h, max + cut*h], bandwidth h = sample std * n^(-1/5) (Scott).
 
-    Each value is expanded against the fixed grid (a bounded multiplier) and
+    Each distinct value is expanded against the fixed grid (a bounded multiplier) and
     kernel terms are summed per (group, grid point) with partial aggregation;
     the per-group statistics are an equi-join on the group key. Groups with
     a single value or no spread get NULL densities."""
@@ -332,12 +346,13 @@ def kde(df: DataFrame, value: str, by: Sequence[str], grid: int = 200, cut: floa
     ).withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     stats = stats.withColumns({"a": F.col("lo") - F.lit(cut) * F.col("h"), "b": F.col("hi") + F.lit(cut) * F.col("h")})
     step = (F.col("b") - F.col("a")) / F.lit(grid - 1)
-    pts = data.join(stats, list(by)).select(
-        *by, "n", "h", "a", "b", "v", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
+    counted = data.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("c"))
+    pts = with_group_rows(counted, stats, by).select(
+        *by, "n", "h", "a", "b", "v", "c", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
     x = F.col("a") + F.col("g") * step
     u = (x - F.col("v")) / F.col("h")
     k = F.when(F.col("h") > 0, F.exp(F.lit(-0.5) * u * u) / (F.col("h") * F.lit(math.sqrt(2 * math.pi))))
-    summed = pts.groupBy(*by, "g", "n", "a", "b").agg(F.sum(k).alias("k"))
+    summed = pts.groupBy(*by, "g", "n", "a", "b").agg(F.sum(k * F.col("c")).alias("k"))
     return summed.select(*by, F.col("g").alias("point"), (F.col("a") + F.col("g") * step).alias("x"),
                          (F.col("k") / F.col("n")).alias("density"))
 
@@ -349,9 +364,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
 
     ``percentile_approx`` brackets each target rank (rank error <= n/accuracy);
     the rows below the bracket are counted, the nearest values just outside
-    it are kept, and only the rows inside it (about 4n/accuracy per group and
-    quantile; 4e6 rows at 1e12 values with the default accuracy) are ranked
-    with a window. Result: (by..., q ARRAY<DOUBLE>) in
+    it are kept, and the rows inside it are counted per distinct value before
+    the shuffle, so ties of any number are one row. Only the distinct values
+    (about 4n/accuracy per group and quantile) are ranked, by a running sum. Result: (by..., q ARRAY<DOUBLE>) in
     the order of ``probs``. A rank outside the widened bracket (it would break
     the approximation's guarantee) raises an error instead of a wrong value.
     """
@@ -372,7 +387,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     brackets = stats.select(*by, "n", F.inline(items))
     h = (F.col("n") - 1) * F.col("p")
     brackets = brackets.withColumns({"h": h, "k": F.floor(h)})
-    joined = data.join(brackets, list(by))
+    joined = with_group_rows(data, brackets, by)
     lo, hi = F.col("lo"), F.col("hi")
     edges = joined.groupBy(*by, "i").agg(
         F.count_if(F.col("v") < lo).alias("below"),
@@ -380,13 +395,17 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         F.max(F.when(F.col("v") < lo, F.col("v"))).alias("prev"),
         F.min(F.when(F.col("v") > hi, F.col("v"))).alias("next"),
     )
-    band = joined.where((F.col("v") >= lo) & (F.col("v") <= hi)).select(*by, "i", "k", "v").join(
-        edges.select(*by, "i", "below"), [*by, "i"])
-    rank = F.row_number().over(Window.partitionBy(*by, "i").orderBy("v")) - 1 + F.col("below")
-    ranked = band.withColumn("rank", rank).where((F.col("rank") == F.col("k")) | (F.col("rank") == F.col("k") + 1))
-    picked = ranked.groupBy(*by, "i").agg(
-        F.max(F.when(F.col("rank") == F.col("k"), F.col("v"))).alias("bk"),
-        F.max(F.when(F.col("rank") == F.col("k") + 1, F.col("v"))).alias("bk1"))
+    inside_band = joined.where((F.col("v") >= lo) & (F.col("v") <= hi))
+    distinct = inside_band.groupBy(*by, "i", "k", "v").agg(F.count(F.lit(1)).alias("c"))
+    band = distinct.join(edges.select(*by, "i", "below"), [*by, "i"])
+    # ranks first .. last of a value, over the distinct values of the band
+    last = F.sum("c").over(Window.partitionBy(*by, "i").orderBy("v")) - 1 + F.col("below")
+    ranked = band.withColumn("last", last).withColumn("first", F.col("last") - F.col("c") + 1)
+
+    def at_rank(r: Column) -> Column:
+        return F.max(F.when((F.col("first") <= r) & (r <= F.col("last")), F.col("v")))
+
+    picked = ranked.groupBy(*by, "i").agg(at_rank(F.col("k")).alias("bk"), at_rank(F.col("k") + 1).alias("bk1"))
     full = brackets.select(*by, "i", "n", "h", "k").join(edges, [*by, "i"]).join(picked, [*by, "i"], "left")
 
     def at(rank_col: Column, from_band: Column) -> Column:

@@ -29,9 +29,9 @@ YEAR_MIN, YEAR_MAX = 2000, 2050
 RATE_MIN, RATE_MAX = 0.0, 30.0
 UNEMP_MIN, UNEMP_MAX = 0.0, 100.0
 HISTORY_MIN, HISTORY_MAX = 6, 40
-BATCH_MIN, BATCH_MAX = 1, 100
 PLAUSIBLE_LO, PLAUSIBLE_HI = 0.5, 2.0
 
+# Fields of a flat request.
 VECTOR_FIELDS = [
     "rppi_current", "rppi_lag1", "rppi_lag2", "rppi_lag4", "rppi_qoq_pct_current", "rppi_yoy_pct_current",
     "rolling_mean_4q", "rolling_std_4q", "momentum_streak", "price_acceleration",
@@ -72,7 +72,7 @@ def vector_rules(vocabulary: Sequence[str]) -> list[Column]:
         rules.append(_rule(c(f).between(UNEMP_MIN, UNEMP_MAX), f"{f}: must be between {UNEMP_MIN:g} and {UNEMP_MAX:g}"))
     ratio = F.try_divide(c("rppi_current"), c("rppi_lag4"))
     rules.append(_rule((ratio > PLAUSIBLE_LO) & (ratio < PLAUSIBLE_HI),
-                       f"rppi_current / rppi_lag4 is outside the plausible range ({PLAUSIBLE_LO}-{PLAUSIBLE_HI})"))
+                       f"rppi_current: plausible values are {PLAUSIBLE_LO} to {PLAUSIBLE_HI} times rppi_lag4"))
     return rules
 
 

@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,27 +65,22 @@ class Fold:
 
 
 def plan_folds(periods: list[int], n_splits: int = 5, min_train: int = 24, val: int = 8) -> list[Fold]:
-    """Expanding-window folds over sorted distinct periods.
+    """Expanding-window folds over the distinct periods.
 
-    ``available = T - min_train - val`` must be >= 1; folds start every
-    ``max(1, available // n_splits)`` periods, at most ``n_splits`` of them.
+    Fold ``i`` trains on the first ``min_train + i * step`` periods and
+    validates on the ``val`` periods after them. The ``spare`` periods beyond
+    the first fold's are dealt out evenly: ``step = max(1, spare // n_splits)``,
+    and a fold starts at each multiple of ``step`` below ``spare``, up to
+    ``n_splits`` of them. At least one spare period is needed.
     """
-    p = sorted(set(periods))
-    total = len(p)
-    available = total - min_train - val
-    if available < 1:
-        raise ValueError(
-            f"not enough periods for walk-forward CV: need more than {min_train + val}, got {total}"
-        )
-    step = max(1, available // n_splits)
-    folds = []
-    for i, off in enumerate(list(range(0, available, step))[:n_splits]):
-        t_idx = min_train + off - 1
-        v_idx = t_idx + val
-        if v_idx >= total:
-            break
-        folds.append(Fold(i, p[t_idx], p[min(v_idx, total - 1)]))
-    return folds
+    calendar = sorted(set(periods))
+    spare = len(calendar) - min_train - val
+    if spare < 1:
+        raise ValueError(f"walk-forward folds need at least {min_train + val + 1} periods; there are {len(calendar)}")
+    step = max(1, spare // n_splits)
+    count = min(n_splits, math.ceil(spare / step))
+    train_sizes = [min_train + i * step for i in range(count)]
+    return [Fold(i, calendar[n - 1], calendar[n + val - 1]) for i, n in enumerate(train_sizes)]
 
 
 def distinct_periods_list(df: DataFrame, period: str = "period") -> list[int]:

@@ -656,7 +656,7 @@ def q_raw_panel(spark, sf_dir):
 @query("raw_request_errors")
 def q_raw_request_errors(spark, sf_dir):
     """raw-history rule violations (lengths, periods, ranges)."""
-    reqs = td.raw_requests(spark, sf_dir)
+    reqs = td.faulty_raw_requests(spark, sf_dir)
     _, invalid = rq.split_valid(rq.validate_raw(reqs, vocabulary(spark, sf_dir)))
     return sc.error_table(invalid)
 
@@ -695,7 +695,7 @@ def q_score_raw_requests(spark, sf_dir):
 def q_raw_scoring_errors(spark, sf_dir):
     """M19 error table (invalid requests and histories without a feature row)."""
     model, vocab = _scoring_model(spark, sf_dir)
-    _, errors = sc.score_raw_requests(td.raw_requests(spark, sf_dir), model, vocab)
+    _, errors = sc.score_raw_requests(td.faulty_raw_requests(spark, sf_dir), model, vocab)
     return errors
 
 

@@ -297,18 +297,14 @@ CV_SPLITS, CV_MIN_TRAIN, CV_VAL = 3, 8, 4
 FOLD_CTES = f""",
 pp AS (SELECT period, CAST(row_number() OVER (ORDER BY period) - 1 AS INTEGER) AS idx FROM (SELECT DISTINCT period FROM feat)),
 tt AS (SELECT count(*) AS total FROM pp),
-prm AS (SELECT total, total - {CV_MIN_TRAIN} - {CV_VAL} AS available,
+prm AS (SELECT total - {CV_MIN_TRAIN} - {CV_VAL} AS spare,
                greatest(1, (total - {CV_MIN_TRAIN} - {CV_VAL}) // {CV_SPLITS}) AS step FROM tt),
-offs AS (SELECT unnest(range(0, available, step)) AS off, total FROM prm),
-offs2 AS (SELECT off, total, CAST(row_number() OVER (ORDER BY off) - 1 AS INTEGER) AS fold FROM offs),
-plan AS (
-  SELECT o.fold, {CV_MIN_TRAIN} + o.off - 1 AS t_idx, {CV_MIN_TRAIN} + o.off - 1 + {CV_VAL} AS v_idx, o.total
-  FROM offs2 o WHERE o.fold < {CV_SPLITS}
-),
 folds AS (
-  SELECT p.fold, a.period AS train_end, b.period AS val_end
-  FROM plan p JOIN pp a ON a.idx = p.t_idx JOIN pp b ON b.idx = least(p.v_idx, p.total - 1)
-  WHERE p.v_idx < p.total
+  SELECT CAST(n.fold AS INTEGER) AS fold, a.period AS train_end, b.period AS val_end
+  FROM (SELECT unnest(range({CV_SPLITS})) AS fold) n
+  JOIN prm ON n.fold * prm.step < prm.spare
+  JOIN pp a ON a.idx = {CV_MIN_TRAIN} + n.fold * prm.step - 1
+  JOIN pp b ON b.idx = {CV_MIN_TRAIN} + n.fold * prm.step + {CV_VAL} - 1
 ),
 cvlong AS (
   SELECT f.fold, 'naive' AS model, s.target AS y, s.rppi_qoq_pct_lag1 AS pred
@@ -346,7 +342,7 @@ FROM cvm GROUP BY model""").replace("\n,\npp AS", ",\npp AS")
 VR_CTE = """,
 vr AS (
   SELECT entity || ':' || CAST(period AS VARCHAR) AS request_id, entity,
-         CAST(period // 4 AS INTEGER) AS year, CAST(period % 4 + 1 AS INTEGER) AS quarter,
+         CAST(period // 4 + 10 AS INTEGER) AS year, CAST(period % 4 + 1 AS INTEGER) AS quarter,
          price AS rppi_current, rppi_lag_1 AS rppi_lag1, rppi_lag_2 AS rppi_lag2, rppi_lag_4 AS rppi_lag4,
          rppi_qoq_pct AS rppi_qoq_pct_current, rppi_yoy_pct AS rppi_yoy_pct_current,
          rolling_mean_4q, rolling_std_4q, momentum_streak_lag1 AS momentum_streak,
@@ -384,7 +380,7 @@ _VEC_RULES = [
       for f in ("unemployment_rate", "unemployment_rate_prev")],
     _fail("(CASE WHEN rppi_lag4 <> 0 THEN rppi_current / rppi_lag4 END) > 0.5 "
           "AND (CASE WHEN rppi_lag4 <> 0 THEN rppi_current / rppi_lag4 END) < 2.0",
-          "rppi_current / rppi_lag4 is outside the plausible range (0.5-2.0)"),
+          "rppi_current: plausible values are 0.5 to 2.0 times rppi_lag4"),
 ]
 ORACLES["vector_request_errors"] = with_features(VR_CTE + """,
 errs AS (
@@ -394,10 +390,19 @@ errs AS (
 )
 SELECT request_id, entity, array_to_string(e, '; ') AS detail FROM errs WHERE len(e) > 0""").replace("\n,\nvr AS", ",\nvr AS")
 
+ORACLES["batch_counts"] = with_features(VR_CTE + """,
+errs AS (
+  SELECT len(list_filter([
+    """ + ",\n    ".join(_VEC_RULES) + """
+  ], lambda x: x IS NOT NULL)) AS n FROM vr
+)
+SELECT count(*) FILTER (WHERE n = 0) AS success_count, count(*) FILTER (WHERE n > 0) AS error_count
+FROM errs""").replace("\n,\nvr AS", ",\nvr AS")
+
 RAW_CTE = """,
 rr0 AS (
   SELECT entity, period, price, cash_rate, cpi, unemployment_rate,
-         CAST(period // 4 AS INTEGER) AS y, CAST(period % 4 + 1 AS INTEGER) AS q
+         CAST(period // 4 + 10 AS INTEGER) AS y, CAST(period % 4 + 1 AS INTEGER) AS q
   FROM panel
 ),
 rawreq AS (
@@ -406,6 +411,14 @@ rawreq AS (
          list({'year': y, 'quarter': q, 'cash_rate': cash_rate, 'cpi': cpi, 'unemployment_rate': unemployment_rate}) OVER w AS m
   FROM rr0
   WINDOW w AS (PARTITION BY entity ORDER BY period ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)
+),
+faulty AS (
+  SELECT request_id, entity, r,
+         CASE WHEN p % 7 = 0 THEN m[1 : len(m) - 1]
+              WHEN p % 11 = 0 THEN list_transform(m, lambda o: {'year': o.year + 1, 'quarter': o.quarter,
+                'cash_rate': o.cash_rate, 'cpi': o.cpi, 'unemployment_rate': o.unemployment_rate})
+              ELSE m END AS m
+  FROM (SELECT *, CAST(split_part(request_id, ':', 2) AS INTEGER) AS p FROM rawreq)
 )"""
 
 
@@ -435,13 +448,16 @@ ORACLES["raw_request_errors"] = with_panel(RAW_CTE + """,
 errs AS (
   SELECT request_id, entity, list_filter([
     """ + ",\n    ".join(_RAW_RULES) + """
-  ], lambda x: x IS NOT NULL) AS e FROM rawreq
+  ], lambda x: x IS NOT NULL) AS e FROM faulty
 )
 SELECT request_id, entity, array_to_string(e, '; ') AS detail FROM errs WHERE len(e) > 0""").replace("\n,\nrr0 AS", ",\nrr0 AS")
 
+# a valid request holds consecutive quarters only, so none is too short for features
+ORACLES["raw_scoring_errors"] = ORACLES["raw_request_errors"]
+
 ORACLES["raw_panel"] = with_panel(f""",
 pr AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY period) AS rn FROM panel)
-SELECT a.entity || ':' || CAST(a.period AS VARCHAR) AS request_id, a.entity, b.period,
+SELECT a.entity || ':' || CAST(a.period AS VARCHAR) AS request_id, a.entity, CAST(b.period + 40 AS INTEGER) AS period,
        {r6('b.price', 'price')}, {r6('b.cash_rate', 'cash_rate')}, {r6('b.cpi', 'cpi')},
        {r6('b.unemployment_rate', 'unemployment_rate')}
 FROM pr a JOIN pr b ON a.entity = b.entity AND b.rn BETWEEN a.rn - 5 AND a.rn""").replace("\n,\npr AS", ",\npr AS")

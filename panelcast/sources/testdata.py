@@ -17,7 +17,7 @@ overflow into an error instead of a wrong sum.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.periods import period_of
@@ -181,6 +181,15 @@ def testdata_panel(spark: SparkSession, sf_dir: str, level: str = "nation") -> D
     return attach_drivers(prices, quarterly_drivers(spark, sf_dir))
 
 
+#: the orders lie in the 1990s; requests speak of as many years later, inside the valid range
+REQUEST_YEARS_LATER = 10
+
+
+def _request_quarter() -> tuple[Column, Column]:
+    year = (F.floor(F.col("period") / 4) + REQUEST_YEARS_LATER).cast("int").alias("year")
+    return year, (F.pmod(F.col("period"), F.lit(4)) + 1).cast("int").alias("quarter")
+
+
 def vector_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flat scoring request per panel cell, filled from the panel history
     (current values, positional lags, lagged rolling stats and momentum).
@@ -193,8 +202,7 @@ def vector_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(
         F.concat_ws(":", "entity", F.col("period").cast("string")).alias("request_id"),
         "entity",
-        (F.floor(F.col("period") / 4)).cast("int").alias("year"),
-        (F.pmod(F.col("period"), F.lit(4)) + 1).cast("int").alias("quarter"),
+        *_request_quarter(),
         F.col("price").alias("rppi_current"),
         F.lag("price", 1).over(w).alias("rppi_lag1"),
         F.lag("price", 2).over(w).alias("rppi_lag2"),
@@ -221,8 +229,7 @@ def raw_requests(spark: SparkSession, sf_dir: str, history: int = 6) -> DataFram
 
     panel = testdata_panel(spark, sf_dir)
     w = feat.panel_window().rowsBetween(-(history - 1), 0)
-    year = (F.floor(F.col("period") / 4)).cast("int").alias("year")
-    quarter = (F.pmod(F.col("period"), F.lit(4)) + 1).cast("int").alias("quarter")
+    year, quarter = _request_quarter()
     r = F.struct(year, quarter, F.col("price").alias("rppi_index"))
     m = F.struct(year, quarter, "cash_rate", "cpi", "unemployment_rate")
     return panel.select(
@@ -233,6 +240,18 @@ def raw_requests(spark: SparkSession, sf_dir: str, history: int = 6) -> DataFram
     )
 
 
+def faulty_raw_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw requests with two kinds of faults mixed in: every seventh period's
+    macro history lacks its last item, every eleventh's is a year late."""
+    requests = raw_requests(spark, sf_dir)
+    period = F.element_at(F.split("request_id", ":"), -1).cast("int")
+    macro = F.col("macro_history")
+    late = F.transform(macro, lambda o: o.withField("year", o["year"] + 1))
+    shorter = F.slice(macro, F.lit(1), F.greatest(F.size(macro) - 1, F.lit(0)))
+    return requests.withColumn(
+        "macro_history", F.when(period % 7 == 0, shorter).when(period % 11 == 0, late).otherwise(macro))
+
+
 # ---------------------------------------------------------------------------
 # Workbook and rate-CSV exports of the testdata series (inputs of the
 # ingestion job, written by Spark to shared storage).
@@ -247,18 +266,11 @@ LABOUR_HEADERS = ("Employed total ;  Persons ;", "Unemployment rate ;  Persons ;
                   "Unemployment rate ;  Persons ;  Seasonally Adjusted ;")
 METADATA_LABELS = ("Unit", "Series Type", "Data Type", "Frequency", "Collection Month",
                    "Series Start", "Series End", "No. Obs", "Series ID")
+# free text above the column titles; the file begins with a byte order mark
 RATE_CSV_HEAD = (
-    "﻿Interest rates - daily series",
-    "Title,Cash Rate Target,Change in Cash Rate Target",
-    "Description,Cash rate target,Change in target",
-    "Frequency,Daily,Daily",
-    "Type,Original,Original",
-    "Units,Per cent per annum,Percentage points",
-    "Source,Derived,Derived",
-    "Publication date,2001-12-31,2001-12-31",
-    "Series ID,CASHRATE,CASHCHANGE",
-    "Unique identifier,CASHRATE,CASHCHANGE",
-    "",
+    "\ufeffRates derived from order totals (test data)",
+    "one line per order date; the second column stays empty",
+    "Title,Cash Rate Target,Daily step",
     "",
 )
 
