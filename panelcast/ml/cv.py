@@ -82,6 +82,8 @@ def walk_forward_cv(
         fitted = fc.fit(train, val_rows)
         scored = fitted.transform(val_rows, "pred").select(F.col(target).alias("y"), "pred")
         parts.append(scored.agg(*metric_exprs()).select(F.lit(f.fold).alias("fold"), F.lit(model).alias("model"), "*"))
+    if not parts:
+        raise ValueError("no fold has both training and validation rows")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

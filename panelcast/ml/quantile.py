@@ -54,8 +54,8 @@ class QuantileBooster:
 
 def fit_quantile_booster(
     train: DataFrame, cols: Sequence[str], alpha: float, target: str = "target", *,
-    n_rounds: int = 20, max_depth: int = 3, learning_rate: float = 0.1, min_instances: int = 5,
-    seed: int = 42, checkpoint_every: int = 5,
+    n_rounds: int = 100, max_depth: int = 3, learning_rate: float = 0.1, min_instances: int = 5,
+    subsampling_rate: float = 1.0, seed: int = 42, checkpoint_every: int = 10,
 ) -> QuantileBooster:
     data = assembler(cols).transform(train).select(VECTOR, F.col(target).alias("y"))
     init = data.agg(F.percentile_approx("y", alpha, QUANTILE_ACCURACY)).first()[0]
@@ -64,7 +64,8 @@ def fit_quantile_booster(
     for k in range(n_rounds):
         step = data.withColumn("g", F.lit(alpha) - (F.col("y") < F.col("f")).cast("double"))
         tree = DecisionTreeRegressor(featuresCol=VECTOR, labelCol="g", maxDepth=max_depth,
-                                     minInstancesPerNode=min_instances, seed=seed + k, leafCol="leaf").fit(step)
+                                     minInstancesPerNode=min_instances, seed=seed + k, leafCol="leaf").fit(
+            step if subsampling_rate >= 1.0 else step.sample(subsampling_rate, seed=seed + k))
         leaves = tree.transform(step).groupBy("leaf").agg(
             F.percentile_approx(F.col("y") - F.col("f"), alpha, QUANTILE_ACCURACY).alias("v")).collect()
         model.trees.append(tree)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import math
 
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from pyspark.sql.types import (
     ArrayType, DoubleType, MapType, StringType, StructField, StructType,
 )
 
+from panelcast.ml.blend import BlendModel
 from panelcast.ml.linear import RidgeModel
 from panelcast.ml.trees import TreeModel
 from panelcast.session import scratch_path
@@ -46,17 +48,23 @@ def entry_path(root: str, name: str, version: str) -> str:
 
 
 def save(
-    spark: SparkSession, root: str, model: RidgeModel | TreeModel, version: str,
+    spark: SparkSession, root: str, model: RidgeModel | TreeModel | BlendModel, version: str,
     metrics: dict[str, dict[str, float]] | None = None, coverage: float | None = None,
 ) -> str:
     path = entry_path(root, model.name, version)
     if isinstance(model, RidgeModel):
         kind = "ridge"
         spark.createDataFrame([(model.to_json(),)], "value STRING").coalesce(1).write.mode("overwrite").text(f"{path}/model")
-    else:
+    elif isinstance(model, TreeModel):
         kind = "gbt"
         model.model.write().overwrite().save(f"{path}/model")
+    else:  # the members are entries inside the blend's
+        kind = "blend"
+        for m in model.members:
+            save(spark, f"{path}/members", m, version)
     extras = None
+    if isinstance(model, BlendModel):
+        extras = json.dumps({"members": [m.name for m in model.members], "weights": model.weights})
     if isinstance(model, TreeModel):
         info = {"params": model.params, "val_rmse": model.val_rmse, "resid_q_lo": model.resid_q_lo,
                 "resid_q_hi": model.resid_q_hi, "val_residual_std": model.val_residual_std}
@@ -76,7 +84,7 @@ def save(
     return path
 
 
-def load(spark: SparkSession, root: str, name: str, version: str) -> tuple[RidgeModel | TreeModel, dict]:
+def load(spark: SparkSession, root: str, name: str, version: str) -> tuple[RidgeModel | TreeModel | BlendModel, dict]:
     """Model and its metadata; FileNotFoundError if the entry is missing."""
     path = entry_path(root, name, version)
     try:
@@ -87,7 +95,11 @@ def load(spark: SparkSession, root: str, name: str, version: str) -> tuple[Ridge
         raise FileNotFoundError(path)
     if meta.kind == "ridge":
         text = spark.read.text(f"{path}/model").first().value
-        model: RidgeModel | TreeModel = RidgeModel.from_json(text)
+        model: RidgeModel | TreeModel | BlendModel = RidgeModel.from_json(text)
+    elif meta.kind == "blend":
+        info = json.loads(meta.extras)
+        members = [load(spark, f"{path}/members", m, version)[0] for m in info["members"]]
+        model = BlendModel(members, info["weights"], meta.name)
     else:
         extras = json.loads(meta.extras or "{}")
         model = TreeModel(meta.name, list(meta.feature_cols), GBTRegressionModel.load(f"{path}/model"),
@@ -129,11 +141,20 @@ def feature_set_matches(meta: dict, current: list[str]) -> bool:
     return list(meta.get("feature_cols") or []) == list(current)
 
 
-def dry_run(spark: SparkSession, model: RidgeModel | TreeModel) -> None:
-    """Score an empty frame with the model's input columns (schema check)."""
-    from pyspark.sql.types import DoubleType as _D
+def load_best(spark: SparkSession, root: str, current: list[str]) -> tuple[RidgeModel | TreeModel | BlendModel, dict]:
+    """The entry with the lowest test RMSE, checked against the current
+    features and with a row scored before it is handed out."""
+    best = best_model(spark, root).first()
+    model, meta = load(spark, root, best["name"], best["version"])
+    if not feature_set_matches(meta, current):
+        raise ValueError(f"{meta['name']} was trained on other features than the current ones")
+    dry_run(spark, model)
+    return model, meta
+
 
-    schema = StructType([StructField(c, _D()) for c in model.feature_cols])
-    empty = spark.createDataFrame([], schema)
-    out = model.transform(empty, "pred")
-    out.select("pred").collect()
+def dry_run(spark: SparkSession, model: RidgeModel | TreeModel | BlendModel) -> None:
+    """Score one row of zeros; errors if the model cannot score it or gives no finite number."""
+    zeros = spark.range(1).select(*[F.lit(0.0).alias(c) for c in model.feature_cols])
+    value = model.transform(zeros, "pred").select("pred").first()[0]
+    if value is None or not math.isfinite(value):
+        raise ValueError(f"{model.name} scores a row of zeros as {value}")

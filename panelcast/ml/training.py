@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.ml.blend import BlendModel
 from panelcast.ml.linear import RidgeModel, fit_ridge, with_val_std
 from panelcast.ml.trees import SEARCH_SPACE, TreeModel, assembler, calibrate, fit_gbt_early_stopping, search_gbt
 from panelcast.operators.evaluation import inverse_mae_weights, metric_exprs, z_value
@@ -36,11 +37,15 @@ def fit_models(
     features: DataFrame, cfg: SplitConfig, cols: Sequence[str], models: Sequence[str] = KNOWN_MODELS, *,
     target: str = "target", n_trials: int = 50, space: dict = SEARCH_SPACE, seed: int = 42,
     es_params: dict | None = None, patience: int = 50, confidence: float = 0.90,
-    tree_intervals: str = "quantile", quantile_rounds: int = 10, parallelism: int = 1,
+    tree_intervals: str = "quantile", quantile_rounds: int | None = None, parallelism: int = 1,
+    timeout_seconds: float | None = None,
 ) -> dict[str, RidgeModel | TreeModel]:
     """Fit the requested models. Boosted trees get quantile-boosting interval
     models (``tree_intervals='quantile'``, lower/upper pinball loss on the
-    training rows) or split-conformal bounds (``'conformal'``)."""
+    training rows, with the point model's tree count, depth, step, leaf size and
+    subsampling; ``quantile_rounds`` overrides the tree count) or
+    split-conformal bounds (``'conformal'``). All search trials run unless
+    ``timeout_seconds`` is given."""
     unknown = [m for m in models if m not in KNOWN_MODELS]
     if unknown:
         raise ValueError(f"unknown model(s) {unknown}; expected {KNOWN_MODELS}")
@@ -51,16 +56,21 @@ def fit_models(
             fitted[name] = with_val_std(fit_ridge(train, cols, target), val, target)
         elif name == "gbt":
             fitted[name] = calibrate(search_gbt(train, val, cols, target, n_trials=n_trials, space=space, seed=seed,
-                                                parallelism=parallelism), val, target, confidence)
+                                                parallelism=parallelism, timeout_seconds=timeout_seconds),
+                                     val, target, confidence)
         else:
             fitted[name] = calibrate(fit_gbt_early_stopping(train, val, cols, target, params=es_params,
                                                             patience=patience, seed=seed), val, target, confidence)
         if name != "ridge" and tree_intervals == "quantile":
             from panelcast.ml.quantile import fit_interval_models
 
-            depth = int(fitted[name].params.get("maxDepth", 3))
+            tuned = fitted[name].params
             fitted[name].lower, fitted[name].upper = fit_interval_models(
-                train, cols, target, confidence=confidence, n_rounds=quantile_rounds, max_depth=depth, seed=seed)
+                train, cols, target, confidence=confidence, seed=seed,
+                n_rounds=quantile_rounds or int(tuned.get("maxIter", 100)), max_depth=int(tuned.get("maxDepth", 3)),
+                learning_rate=float(tuned.get("stepSize", 0.1)),
+                min_instances=int(tuned.get("minInstancesPerNode", 1)),
+                subsampling_rate=float(tuned.get("subsamplingRate", 1.0)))
     return fitted
 
 
@@ -110,7 +120,7 @@ def train_and_evaluate(
 ) -> TrainingResult:
     """Fit, score all rows, evaluate every (model, split) in one aggregate,
     measure validation coverage, blend the two boosted models, and (with
-    ``registry_root``) save every fitted model with its metrics and coverage."""
+    ``registry_root``) save every fitted model and the blend with their metrics and coverage."""
     fitted = fit_models(features, cfg, cols, models, confidence=confidence, **fit_kw)
     wide = wide_scores(features, cfg, fitted, confidence=confidence)
     names = list(fitted)
@@ -132,6 +142,8 @@ def train_and_evaluate(
             by_model.setdefault(r.model, {})[r.split] = {
                 k: float(r[k]) for k in ("mae", "rmse", "r2", "directional_accuracy") if r[k] is not None}
         cov = {r.model: r.coverage for r in coverage.collect()}
+        if weights:
+            fitted = {**fitted, ENSEMBLE: BlendModel([fitted[m] for m in members], [weights[m] for m in members])}
         for name, model in fitted.items():
             reg.save(features.sparkSession, registry_root, model, version, by_model.get(name, {}), cov.get(name))
     return TrainingResult(fitted, weights, frame, metrics, coverage)

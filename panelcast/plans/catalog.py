@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.periods import next_period, parse_period, period_label
@@ -42,21 +44,6 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
 
-_FITTED: dict[tuple[str, str, str], object] = {}
-
-
-def fitted_once(fn):
-    """Memoise a model fit per (application, sf_dir): queries that score or
-    explain the same model reuse the fitted parameters instead of refitting."""
-    def wrapper(spark, sf_dir):
-        key = (spark.sparkContext.applicationId, sf_dir, fn.__name__)
-        if key not in _FITTED:
-            _FITTED[key] = fn(spark, sf_dir)
-        return _FITTED[key]
-    wrapper.__name__ = fn.__name__
-    return wrapper
-
-
 def query(name: str):
     def register(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
@@ -563,47 +550,86 @@ def q_ridge_cv_summary(spark, sf_dir):
     return round6(rep.cv_summary(_ridge_folds(spark, sf_dir)))
 
 
-@fitted_once
-def _training(spark, sf_dir):
-    features, cols = ml_inputs(spark, sf_dir)
-    root = scratch_path(spark, f"registry-training-{uuid.uuid4().hex[:12]}")
-    return train_and_evaluate(
-        features, TESTDATA_SPLIT, cols, n_trials=ML_TRIALS, space=ML_SPACE, es_params=ES_PARAMS,
-        registry_root=root, parallelism=ML_TRIALS,
-    )
+def _input_mark(spark, sf_dir):
+    """Changes whenever a file of the tables that the panel is built from does."""
+    files = [spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{sf_dir.rstrip('/')}/{t}.parquet")
+             .select("path", "length", "modificationTime") for t in ("orders", "lineitem", "customer", "nation", "region")]
+    every = files[0]
+    for f in files[1:]:
+        every = every.unionByName(f)
+    return every.agg(F.expr("hex(bit_xor(xxhash64(path, length, modificationTime)))")).first()[0]
+
+
+def _trained(spark, sf_dir):
+    """Folder of the training job's results in the shared folder: the registry
+    (``models``) and the prediction frame (``frame``, written last). They are
+    made once for the tables as they are and read back by every query."""
+    root = scratch_path(spark, f"training-{_input_mark(spark, sf_dir)}")
+    try:
+        spark.read.text(f"{root}/frame/_SUCCESS")
+    except AnalysisException:
+        features, cols = ml_inputs(spark, sf_dir)
+        done = train_and_evaluate(
+            features, TESTDATA_SPLIT, cols, n_trials=ML_TRIALS, space=ML_SPACE, es_params=ES_PARAMS,
+            registry_root=f"{root}/models", parallelism=ML_TRIALS)
+        done.frame.write.mode("overwrite").parquet(f"{root}/frame")
+    return root
+
+
+def _training_frame(spark, sf_dir):
+    return spark.read.parquet(f"{_trained(spark, sf_dir)}/frame")
 
 
 @query("training_metrics")
 def q_training_metrics(spark, sf_dir):
     """M13 (+M4-M9): ridge, searched GBT, early-stopped GBT and their blend;
     metrics for every model and split in one aggregate."""
-    return round6(_training(spark, sf_dir).metrics)
+    return round6(_training_frame(spark, sf_dir).groupBy("model", "split").agg(*metric_exprs()))
 
 
 @query("training_frame")
 def q_training_frame(spark, sf_dir):
     """M13 long prediction frame with intervals (conformal for trees)."""
-    return round6(_training(spark, sf_dir).frame)
+    return round6(_training_frame(spark, sf_dir))
 
 
 @query("training_coverage")
 def q_training_coverage(spark, sf_dir):
     """Validation interval coverage of every trained model."""
-    return round6(_training(spark, sf_dir).coverage)
+    val = _training_frame(spark, sf_dir).where(F.col("split") == "val")
+    return round6(val.groupBy("model").agg(F.avg(rep.inside()).alias("coverage"), F.count(F.lit(1)).alias("n")))
 
 
 @query("gbt_importance")
 def q_gbt_importance(spark, sf_dir):
-    """M10/A21 for the early-stopped boosted trees."""
-    from panelcast.ml.trees import fit_gbt_early_stopping
+    """M10/A21 for the early-stopped boosted trees, loaded from the registry."""
+    model, _ = reg.load(spark, f"{_trained(spark, sf_dir)}/models", "gbt_es", "1")
+    return round6(_top_k(spark, model.importance()))
 
-    features, cols = ml_inputs(spark, sf_dir)
-    train = split_rows(features, "train", TESTDATA_SPLIT)
-    val = split_rows(features, "val", TESTDATA_SPLIT)
-    model = fit_gbt_early_stopping(train, val, cols, params=ES_PARAMS)
+
+@query("blend_importance")
+def q_blend_importance(spark, sf_dir):
+    """Importance of the blend, loaded from the registry."""
+    model, _ = reg.load(spark, f"{_trained(spark, sf_dir)}/models", ENSEMBLE, "1")
     return round6(_top_k(spark, model.importance()))
 
 
+@query("registry_ranking")
+def q_registry_ranking(spark, sf_dir):
+    """Entries with the test RMSE of the baseline models, one of 0 and
+    one without any, listed and ranked (missing last); the first is the best."""
+    features, cols = ml_inputs(spark, sf_dir)
+    model = ridge_of(features, cols)
+    root = scratch_path(spark, f"registry-ranking-{uuid.uuid4().hex[:12]}")
+    known = {r["model"]: float(r["rmse"]) for r in rep.leaderboard(frame_of(spark, sf_dir)).collect()}  # a row per model
+    for name, rmse in {**known, "exact": 0.0, "unrated": None}.items():
+        reg.save(spark, root, replace(model, name=name), "1", {} if rmse is None else {"test": {"rmse": rmse}})
+    best = reg.best_model(spark, root).first()["name"]
+    rank = F.row_number().over(Window.orderBy(F.col("test_rmse").asc_nulls_last(), "name"))  # a row per entry
+    return round6(reg.list_models(spark, root).select(
+        "name", "version", "test_rmse", rank.alias("rank"), (F.col("name") == best).alias("is_best")))
+
+
 @query("model_registry")
 def q_model_registry(spark, sf_dir):
     """Save the ridge model with its metrics, list the registry and
@@ -615,7 +641,7 @@ def q_model_registry(spark, sf_dir):
     m = frame.groupBy("split").agg(*metric_exprs(names=("mae", "rmse", "r2", "directional_accuracy"))).collect()
     metrics = {r.split: {k: float(r[k]) for k in ("mae", "rmse", "r2", "directional_accuracy")} for r in m}
     cov = frame.where(F.col("split") == "val").agg(F.avg(rep.inside())).first()[0]
-    root = reg.scratch_path(spark, f"registry-{abs(hash(sf_dir))}")
+    root = scratch_path(spark, f"registry-{uuid.uuid4().hex[:12]}")
     reg.save(spark, root, model, "1", metrics, cov)
     loaded, meta = reg.load(spark, root, "ridge", "1")
     if not reg.feature_set_matches(meta, cols):
@@ -661,10 +687,11 @@ def q_raw_request_errors(spark, sf_dir):
     return sc.error_table(invalid)
 
 
-@fitted_once
 def _scoring_model(spark, sf_dir):
-    features, cols = ml_inputs(spark, sf_dir)
-    return ridge_of(features, cols), vocabulary(spark, sf_dir)
+    """The registry's best model, checked and dry-run as a service would load it."""
+    vocab = vocabulary(spark, sf_dir)
+    model, _ = reg.load_best(spark, f"{_trained(spark, sf_dir)}/models", feat.feature_columns(vocab))
+    return model, vocab
 
 
 @query("score_vector_requests")
@@ -704,10 +731,7 @@ def q_explain_vector_requests(spark, sf_dir):
     """M20 (vector): per-request contributions and base value."""
     model, vocab = _scoring_model(spark, sf_dir)
     valid, _ = rq.split_valid(rq.validate_vector(td.vector_requests(spark, sf_dir), vocab))
-    inputs = rq.map_vector_request(valid, vocab)
-    return sc.explain_ridge(inputs, model).select(
-        "request_id", "entity", F.round("pred", 4).alias("predicted_qoq_pct_change"), "base_value", "shap_values",
-    )
+    return sc.explain(rq.map_vector_request(valid, vocab), model, ["request_id", "entity"])
 
 
 @query("explain_raw_requests")
@@ -716,10 +740,7 @@ def q_explain_raw_requests(spark, sf_dir):
     model, vocab = _scoring_model(spark, sf_dir)
     valid, _ = rq.split_valid(rq.validate_raw(td.raw_requests(spark, sf_dir), vocab))
     latest = rq.raw_latest_features(valid, vocab)
-    return sc.explain_ridge(latest, model).select(
-        "request_id", "entity", "predict_period", F.round("pred", 4).alias("predicted_qoq_pct_change"),
-        "base_value", "shap_values",
-    )
+    return sc.explain(latest, model, ["request_id", "entity", "predict_period"])
 
 
 @query("link_discovery")
@@ -748,11 +769,11 @@ def _stream_dirs(spark, tag):
 @query("stream_request_metrics")
 def q_stream_request_metrics(spark, sf_dir):
     """Hourly request metrics from the event log as a stream (watermarked
-    event-time windows, complete output so the run's result is whole)."""
+    event-time windows; the latest update of each window, so the result is whole)."""
     events = td.table(spark, sf_dir, "events")
     out, ckpt = _stream_dirs(spark, "metrics")
     res = sj.request_metrics_stream(spark, sf_dir, events.schema, out, ckpt,
-                                    output_mode="complete", file_glob="events.parquet")
+                                    output_mode="update", file_glob="events.parquet")
     fmt = "yyyy-MM-dd HH:mm:ss"
     return round6(res.select(
         F.date_format("window_start", fmt).alias("window_start"), F.date_format("window_end", fmt).alias("window_end"),
@@ -769,10 +790,12 @@ def q_stream_scoring(spark, sf_dir):
     src = out.rsplit("/", 1)[0] + "/requests"
     reqs = td.vector_requests(spark, sf_dir)
     reqs.write.mode("overwrite").parquet(src)
-    return sj.scoring_stream(
+    preds, errors = sj.scoring_stream(
         spark, src, reqs.schema, out, ckpt,
         lambda batch: sc.score_vector_requests(batch, model, vocab),
-    ).drop("batch_id")
+    )
+    return preds.drop("batch_id").unionByName(
+        errors.select("request_id", "entity", "detail"), allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------------------
@@ -831,14 +854,9 @@ def q_sheet_headers(spark, sf_dir):
 # Tree attributions
 # ---------------------------------------------------------------------------
 
-@fitted_once
 def _es_tree(spark, sf_dir):
-    from panelcast.ml.trees import fit_gbt_early_stopping
-
-    features, cols = ml_inputs(spark, sf_dir)
-    train = split_rows(features, "train", TESTDATA_SPLIT)
-    val = split_rows(features, "val", TESTDATA_SPLIT)
-    return features, fit_gbt_early_stopping(train, val, cols, params=ES_PARAMS)
+    features, _ = features_of(spark, sf_dir)
+    return features, reg.load(spark, f"{_trained(spark, sf_dir)}/models", "gbt_es", "1")[0]
 
 
 @query("gbt_explain")
@@ -867,7 +885,9 @@ def q_quantile_intervals(spark, sf_dir):
     from panelcast.ml.quantile import fit_interval_models
 
     features, cols = ml_inputs(spark, sf_dir)
-    lo, hi = fit_interval_models(split_rows(features, "train", TESTDATA_SPLIT), cols, n_rounds=10)
+    tuned = reg.load(spark, f"{_trained(spark, sf_dir)}/models", "gbt_es", "1")[0].params
+    lo, hi = fit_interval_models(split_rows(features, "train", TESTDATA_SPLIT), cols, n_rounds=int(tuned["maxIter"]),
+                                 max_depth=int(tuned["maxDepth"]), learning_rate=float(tuned["stepSize"]))
     scored = hi.transform(lo.transform(features, "lo"), "hi")
     inside = ((F.col("target") >= F.col("lo")) & (F.col("target") <= F.col("hi"))).cast("double")
     return round6(with_split(scored, TESTDATA_SPLIT).groupBy("split").agg(

@@ -162,6 +162,15 @@ SELECT model, mae, rmse, r2, directional_accuracy, {r6('cov', 'coverage')},
        CAST(row_number() OVER (ORDER BY mae_raw, model) AS INTEGER) AS rank
 FROM per_model""").replace("\n,\nper_model", ",\nper_model")
 
+ORACLES["registry_ranking"] = frame_sql(f""",
+entries AS (
+  SELECT model AS name, {metrics_sql(names=('rmse',))} FROM pf WHERE split = 'test' GROUP BY model
+  UNION ALL VALUES ('exact', 0.0), ('unrated', NULL)
+)
+SELECT name, '1' AS version, rmse AS test_rmse,
+       CAST(row_number() OVER (ORDER BY rmse ASC NULLS LAST, name) AS INTEGER) AS rank, name = 'exact' AS is_best
+FROM entries""").replace("\n,\nentries", ",\nentries")
+
 ORACLES["period_means"] = frame_sql(f"""
 SELECT model, period, {r6('avg(y)', 'mean_actual')}, {r6('avg(pred)', 'mean_pred')}, count(*) AS n
 FROM pf WHERE split = 'test' GROUP BY model, period""")
@@ -532,3 +541,24 @@ kt AS (
   GROUP BY kg.part, kg.g, kg.n, kg.a, kg.b
 )
 SELECT part, g AS point, {r6('a + g * ((b - a) / 199)', 'x')}, {r6('k / n', 'density')} FROM kt""").replace("\n,\nkd AS", ",\nkd AS")
+
+ORACLES["sheet_headers"] = """
+WITH r AS (SELECT r_name, row_number() OVER (ORDER BY r_regionkey) AS k, count(*) OVER () AS n FROM region),
+h AS (
+  SELECT 'rppi' AS file, k AS col_idx, 'Price Index ;  ' || r_name || ' ;' AS raw FROM r
+  UNION ALL SELECT 'rppi', k + n, 'Percentage Change from Previous Period ;  ' || r_name || ' ;' FROM r
+  UNION ALL SELECT 'rppi', 2 * count(*) + 1, 'Price Index ;  Weighted average of all regions ;' FROM r
+  UNION ALL VALUES ('cpi', 1, 'Index Numbers ;  Food ;'), ('cpi', 2, 'Index Numbers ;  All groups CPI, national ;'),
+    ('labour', 1, 'Employed total ;  Persons ;'), ('labour', 2, 'Unemployment rate ;  Persons ;  Trend ;'),
+    ('labour', 3, 'Unemployment rate ;  Persons ;  Seasonally Adjusted ;')
+),
+c AS (
+  SELECT *, list_filter(list_transform(string_split(raw, ';'), lambda t: trim(t)), lambda t: t <> '')[-1] AS name FROM h
+),
+s AS (SELECT *, row_number() OVER (PARTITION BY file, name ORDER BY col_idx) - 1 AS again FROM c)
+SELECT file, CAST(col_idx AS INTEGER) AS col_idx, raw,
+       name || CASE WHEN again > 0 THEN '_' || again ELSE '' END AS series,
+       CASE WHEN file = 'rppi' AND raw LIKE 'Price Index%' THEN 'price'
+            WHEN file = 'cpi' AND raw LIKE '%All groups CPI%' THEN 'cpi'
+            WHEN file = 'labour' AND raw ILIKE '%unemployment rate%seasonally%' THEN 'unemployment' END AS role
+FROM s"""

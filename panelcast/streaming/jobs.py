@@ -48,9 +48,10 @@ def request_metrics_stream(spark: SparkSession, events_dir: str, schema: StructT
 
     ``append`` writes each window once, after the watermark passes its end
     (windows still open when the run stops are emitted by a later run).
-    ``complete`` rewrites the whole (windows x endpoints) table every
-    micro-batch, so the sink is whole when the run stops; state is bounded by
-    the number of windows, not by the number of requests.
+    ``update`` writes the windows that a micro-batch changed into a folder of
+    that batch (a replayed batch overwrites its own); the result holds the
+    latest row of each window, so none is lost, and the watermark frees the
+    state of windows that are past.
     """
     reader = spark.readStream.schema(schema)
     if file_glob:
@@ -60,24 +61,31 @@ def request_metrics_stream(spark: SparkSession, events_dir: str, schema: StructT
     writer = metrics.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if output_mode == "append":
         q = writer.outputMode("append").format("parquet").option("path", out_path).start()
-    else:
-        def overwrite(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(out_path)
+        q.awaitTermination()
+        return spark.read.schema(metrics.schema).parquet(out_path)
+    if output_mode != "update":
+        raise ValueError(f"unknown output mode {output_mode!r}; expected append or update")
 
-        q = writer.outputMode("complete").foreachBatch(overwrite).start()
-    q.awaitTermination()
-    return spark.read.parquet(out_path)
+    def changed(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    writer.outputMode("update").foreachBatch(changed).start().awaitTermination()
+    rows = spark.read.parquet(out_path)
+    values = [c for c in metrics.columns if c not in ("window_start", "window_end", "endpoint")]
+    latest = rows.groupBy("window_start", "window_end", "endpoint").agg(
+        F.max_by(F.struct(*values), "batch_id").alias("latest"))
+    return latest.select("window_start", "window_end", "endpoint", "latest.*")
 
 
 def scoring_stream(spark: SparkSession, requests_path: str, schema: StructType, out_path: str,
-                   checkpoint: str, score_batch) -> DataFrame:
+                   checkpoint: str, score_batch) -> tuple[DataFrame, DataFrame]:
     """Run S1 over the request files present now; ``score_batch(df)`` returns
     (predictions, errors). Outputs land in ``out_path/{predictions,errors}``
-    partitioned by batch id."""
+    partitioned by batch id; both tables are returned."""
     stream = spark.readStream.schema(schema).parquet(requests_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        preds, errors = score_batch(batch)
+        preds, errors = score_batch(batch)  # validates once; both tables read its result
         for name, df in (("predictions", preds), ("errors", errors)):
             (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
@@ -86,4 +94,4 @@ def scoring_stream(spark: SparkSession, requests_path: str, schema: StructType,
     q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{out_path}/predictions")
+    return spark.read.parquet(f"{out_path}/predictions"), spark.read.parquet(f"{out_path}/errors")

@@ -154,3 +154,33 @@ def test_ungrouped_histogram_and_kde(spark):
     assert sum(r["count"] for r in h) == 10 and len(h) == 5
     k = rep.kde(df, "v", [], grid=50).collect()
     assert len(k) == 50 and all(r.density >= 0 for r in k)
+
+
+def test_exact_quantiles_of_a_million_ties(spark):
+    from panelcast.operators.reports import exact_quantiles
+
+    ties = spark.range(1_000_000).select(F.lit("g").alias("g"), F.lit(1.0).alias("v"))
+    rest = spark.range(10).select(F.lit("g").alias("g"), (F.col("id") + 2).cast("double").alias("v"))
+    found = exact_quantiles(ties.union(rest), "v", [0.0, 0.25, 0.5, 1.0], ["g"]).first()["q"]
+    assert found == [1.0, 1.0, 1.0, 11.0]
+
+
+def test_group_statistics_do_not_meet_in_a_task_per_group(spark):
+    from panelcast.operators.reports import exact_quantiles, histogram, kde
+
+    rows = spark.range(100).select((F.col("id") % 2).alias("grp"), F.col("id").cast("double").alias("v"))
+    for out in (histogram(rows, "v", ["grp"], 5), kde(rows, "v", ["grp"], 10), exact_quantiles(rows, "v", [0.5], ["grp"])):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "_part" in plan
+
+
+def test_fold_plan_follows_its_rule():
+    from panelcast.operators.splits import plan_folds
+
+    for total in range(34, 80):
+        for n_splits in (1, 3, 5, 20):
+            spare = total - 32
+            step = max(1, spare // n_splits)
+            folds = plan_folds(list(range(total)), n_splits)
+            assert len(folds) == len(range(0, spare, step)[:n_splits])
+            assert all(f.train_end == 23 + f.fold * step and f.val_end == f.train_end + 8 < total for f in folds)

@@ -220,3 +220,55 @@ def test_registry_keeps_quantile_interval_models(spark, matrix, tmp_path):
     a = tree.with_bounds(tree.transform(val, "p"), "p", "lo", "hi").select("lo", "hi").collect()
     b = loaded.with_bounds(loaded.transform(val, "p"), "p", "lo", "hi").select("lo", "hi").collect()
     assert a == b
+
+
+def test_blend_is_saved_and_scores_alike_after_loading(spark, sample_panel, tmp_path):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from panelcast.ml import registry as reg
+    from panelcast.ml.blend import BlendModel
+    from panelcast.ml.linear import RidgeModel
+    from panelcast.ml.scoring import _predict, explain
+    from panelcast.ml.trees import fit_gbt_early_stopping
+
+    rng = np.random.default_rng(0)
+    rows = [(i, float(a), float(b), float(2 * a - b)) for i, (a, b) in enumerate(rng.normal(size=(120, 2)))]
+    data = spark.createDataFrame(rows, "key int, a double, b double, target double").cache()
+    tree = fit_gbt_early_stopping(data, data, ["a", "b"], params={"maxIter": 5, "maxDepth": 2, "stepSize": 0.3})
+    ridge = RidgeModel(["a", "b"], [0.0, 0.0], [1.0, 1.0], [1.9, -1.1], 0.05, 1.0, val_residual_std=0.2)
+    blend = BlendModel.fit([tree, ridge], data)
+    assert abs(sum(blend.weights) - 1) < 1e-9 and blend.weights[1] > blend.weights[0]
+    assert abs(sum(v for _, v in blend.importance()) - 1) < 1e-9
+    root = str(tmp_path / "models")
+    reg.save(spark, root, blend, "3", {"test": {"rmse": 0.1}})
+    loaded, meta = reg.load_best(spark, root, ["a", "b"])
+    assert meta["kind"] == "blend" and loaded.weights == blend.weights
+    for model in (blend, loaded):
+        out = _predict(data, model, 0.9).select("key", "pred", "lo", "hi").orderBy("key").collect()
+        first = out if model is blend else first
+        assert out == first and all(r["lo"] <= r["hi"] for r in out)
+    ex = explain(data, loaded, ["key"])
+    assert ex.count() == 120 and ex.agg(F.max("gap")).first()[0] <= 1e-6
+
+
+def test_dry_run_scores_a_row(spark):
+    import pytest
+
+    from panelcast.ml import registry as reg
+    from panelcast.ml.linear import RidgeModel
+
+    reg.dry_run(spark, RidgeModel(["a"], [0.0], [1.0], [1.0], 0.0, 1.0))
+    with pytest.raises(Exception):  # noqa: B017 - a scale of 0 divides by zero
+        reg.dry_run(spark, RidgeModel(["a"], [0.0], [0.0], [1.0], 0.0, 1.0))
+
+
+def test_fold_offsets_match_plain_numbering(spark):
+    from panelcast.ml.linear import contiguous_folds
+
+    rows = [(f"e{(i * 37) % 23:02d}", i) for i in range(211)]
+    frame = spark.createDataFrame(rows, "entity string, period int")
+    found = {(r["entity"], r["period"]): r["fold"] for r in contiguous_folds(frame, 5).collect()}
+    order = sorted(rows)
+    bounds = [43, 85, 127, 169, 211]
+    assert found == {k: next(f for f, b in enumerate(bounds) if i < b) for i, k in enumerate(order)}

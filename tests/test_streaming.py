@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def test_stream_metrics_equal_batch(spark, tmp_path):
     events = spark.read.parquet(f"{SF}/events.parquet")
     out = sj.request_metrics_stream(spark, SF, events.schema, str(tmp_path / "out"), str(tmp_path / "ckpt"),
-                                    output_mode="complete", file_glob="events.parquet")
+                                    output_mode="update", file_glob="events.parquet")
     batch = sj.windowed_request_metrics(events_as_requests(events))
     cols = ["window_start", "endpoint", "requests", "errors"]
     assert sorted(out.select(cols).collect()) == sorted(batch.select(cols).collect())
@@ -36,6 +36,19 @@ def test_scoring_stream(spark, tmp_path):
         ok = F.col("x") >= 0
         return batch.where(ok).withColumn("y", F.col("x") * 2), batch.where(~ok)
 
-    out = sj.scoring_stream(spark, str(tmp_path / "in"), src.schema, str(tmp_path / "out"), str(tmp_path / "ckpt"), score)
+    out, errors = sj.scoring_stream(
+        spark, str(tmp_path / "in"), src.schema, str(tmp_path / "out"), str(tmp_path / "ckpt"), score)
     assert sorted(r.y for r in out.collect()) == [0.0, 2.0, 4.0]
-    assert spark.read.parquet(str(tmp_path / "out" / "errors")).count() == 2
+    assert sorted(r.id for r in errors.collect()) == [0, 1]
+
+
+def test_updates_of_later_runs_replace_a_window(spark, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    source = str(tmp_path / "in")
+    for half in (0, 1):
+        events.where(F.pmod(F.xxhash64(*events.columns), F.lit(2)) == half).coalesce(1).write.mode("append").parquet(source)
+        out = sj.request_metrics_stream(spark, source, events.schema, str(tmp_path / "out"), str(tmp_path / "ckpt"),
+                                        watermark="10000 days", output_mode="update")
+    batch = sj.windowed_request_metrics(events_as_requests(events))
+    cols = ["window_start", "endpoint", "requests", "errors"]
+    assert sorted(out.select(cols).collect()) == sorted(batch.select(cols).collect())
