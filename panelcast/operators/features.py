@@ -185,6 +185,19 @@ def add_entity_dummies(
     })
 
 
+def add_sparse_entity(df: DataFrame, *, entity: str = "entity", out: str = "entity_vec") -> DataFrame:
+    """The same one-hot code as one sparse vector column, for any number of
+    entities: a row carries one index, however wide the code is. Indices follow
+    the names' order; NULL gives the empty vector."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+
+    at, known = f"_{out}_at", df.where(F.col(entity).isNotNull())
+    indexer = StringIndexer(inputCol=entity, outputCol=at, stringOrderType="alphabetAsc", handleInvalid="keep")
+    indexed = indexer.fit(known).transform(df)
+    encoder = OneHotEncoder(inputCols=[at], outputCols=[out], dropLast=True)  # the last is "none of them"
+    return encoder.fit(indexed).transform(indexed).drop(at)
+
+
 def add_target(
     df: DataFrame, *, price: str = PRICE, entity: str = "entity", period: str = "period",
 ) -> DataFrame:

@@ -29,7 +29,8 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# dense one-hot columns are only built for small dimensions
+# dense one-hot columns are only built for small dimensions;
+# features.add_sparse_entity has no such limit
 MAX_VOCABULARY = 500
 
 DRIVERS = ("cash_rate", "cpi", "unemployment_rate")

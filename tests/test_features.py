@@ -180,3 +180,14 @@ def test_feature_windows_share_one_exchange(sample_panel):
     m = feat.build_features(sample_panel, ENTITIES)
     plan = m._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(entity") <= 1
+
+
+def test_sparse_entity_code_equals_the_dense_one(spark):
+    names = [f"n{i:04d}" for i in range(700)]
+    rows = [(n,) for n in names] + [(None,), ("n0003",)]
+    from panelcast.operators.features import add_sparse_entity
+
+    out = add_sparse_entity(spark.createDataFrame(rows, "entity string")).collect()
+    for r in out:
+        hot = [] if r["entity"] is None else [names.index(r["entity"])]
+        assert r["entity_vec"].size == 700 and r["entity_vec"].indices.tolist() == hot
