@@ -562,3 +562,88 @@ SELECT file, CAST(col_idx AS INTEGER) AS col_idx, raw,
             WHEN file = 'cpi' AND raw LIKE '%All groups CPI%' THEN 'cpi'
             WHEN file = 'labour' AND raw ILIKE '%unemployment rate%seasonally%' THEN 'unemployment' END AS role
 FROM s"""
+
+# ---------------------------------------------------------------------------
+# Ridge: normal equations solved by Gauss-Jordan elimination (the matrices are
+# positive definite, so no pivoting is needed), alpha by contiguous 5-fold CV
+# ---------------------------------------------------------------------------
+
+_D = len(FEATURE_COLS)
+RIDGE_CTES = f"""
+sp AS (SELECT *, {split_case()} AS split FROM feat),
+allx AS (
+  SELECT entity, period, split, target AS y,
+         list_value({", ".join(f"CAST({c} AS DOUBLE)" for c in FEATURE_COLS)}) AS x FROM sp
+),
+tr AS (
+  SELECT x, y, idx, CASE WHEN idx < r * (q + 1) THEN idx // (q + 1) ELSE r + (idx - r * (q + 1)) // q END AS fold
+  FROM (SELECT x, y, row_number() OVER (ORDER BY entity, period) - 1 AS idx,
+               count(*) OVER () // 5 AS q, count(*) OVER () % 5 AS r FROM allx WHERE split = 'train')
+),
+one AS (SELECT j, avg(x[j]) AS mu, stddev_pop(x[j]) AS sd FROM tr, range(1, {_D + 1}) t(j) GROUP BY j),
+ms AS (SELECT list(mu ORDER BY j) AS mu, list(CASE WHEN sd > 0 THEN sd ELSE 1.0 END ORDER BY j) AS sd FROM one),
+zx AS (
+  SELECT entity, period, split, y, list_transform(x, lambda e, j: (e - mu[j]) / sd[j]) AS z FROM allx, ms
+),
+zt AS (SELECT fold, y, list_transform(x, lambda e, j: (e - mu[j]) / sd[j]) AS z FROM tr, ms),
+gr AS (
+  SELECT fold, i, j, sum(r[i] * r[j]) AS s
+  FROM (SELECT fold, list_concat([1.0], z, [y]) AS r FROM zt), range(1, {_D + 3}) a(i), range(1, {_D + 3}) b(j)
+  GROUP BY fold, i, j
+),
+tot AS (SELECT i, j, sum(s) AS s FROM gr GROUP BY i, j),
+kept AS (
+  SELECT gr.fold AS held, i, j, tot.s - gr.s AS s FROM gr JOIN tot USING (i, j)
+  UNION ALL SELECT -1, i, j, s FROM tot
+),
+gm AS (
+  SELECT held, list(g ORDER BY i) AS g FROM (SELECT held, i, list(s ORDER BY j) AS g FROM kept GROUP BY held, i) GROUP BY held
+),
+al AS (SELECT unnest([0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]) AS alpha, unnest(range(6)) AS pos),
+gj(held, alpha, pos, k, m) AS (
+  SELECT held, CAST(alpha AS DOUBLE), pos, CAST(1 AS BIGINT),
+         list_transform(range(1, {_D + 1}), lambda i: list_concat(
+           list_transform(range(1, {_D + 1}), lambda j: g[i + 1][j + 1] - g[1][i + 1] * g[1][j + 1] / g[1][1]
+             + CASE WHEN i = j THEN CAST(alpha AS DOUBLE) ELSE 0.0 END),
+           [g[i + 1][{_D + 2}] - g[1][i + 1] * g[1][{_D + 2}] / g[1][1]]))
+  FROM gm, al
+  UNION ALL
+  SELECT held, alpha, pos, k + 1,
+         list_transform(m, lambda line, i: CASE WHEN i = k THEN p
+           ELSE list_transform(line, lambda e, j: e - line[k] * p[j]) END)
+  FROM (SELECT *, list_transform(m[k], lambda e: e / m[k][k]) AS p FROM gj WHERE k <= {_D})
+),
+sol AS (
+  SELECT held, alpha, pos, w,
+         g[1][{_D + 2}] / g[1][1] - list_sum(list_transform(w, lambda e, j: e * g[1][j + 1] / g[1][1])) AS b0
+  FROM (SELECT held, alpha, pos, list_transform(m, lambda line: line[{_D + 1}]) AS w FROM gj WHERE k = {_D + 1})
+  JOIN gm USING (held)
+),
+r2 AS (
+  SELECT alpha, pos, held, 1 - sum((y - b0 - list_dot_product(w, z)) ** 2) / (var_pop(y) * count(*)) AS r2
+  FROM zt JOIN sol ON sol.held = zt.fold GROUP BY alpha, pos, held
+),
+chosen AS (SELECT alpha FROM r2 GROUP BY alpha, pos ORDER BY avg(r2) DESC, pos LIMIT 1),
+rm AS (SELECT w, b0 FROM sol JOIN chosen USING (alpha) WHERE held = -1),
+rp AS (SELECT entity, period, split, y, z, b0 + list_dot_product(w, z) AS pred FROM zx, rm),
+names AS (SELECT unnest({FEATURE_COLS!r}) AS feature, unnest(range(1, {_D + 1})) AS j)"""
+
+
+def with_ridge(body: str) -> str:
+    return with_features("," + RIDGE_CTES + body).replace("\n,\nsp AS", ",\nsp AS").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+ORACLES["ridge_predictions"] = with_ridge(f"""
+SELECT 'ridge' AS model, split, entity, period, {cols6('y', 'pred')},
+       {r6('pred - half', 'lo')}, {r6('pred + half', 'hi')}
+FROM rp, (SELECT {Z90!r} * stddev_pop(y - pred) AS half FROM rp WHERE split = 'val')""")
+
+ORACLES["ridge_importance"] = with_ridge(f"""
+SELECT CAST(row_number() OVER (ORDER BY v DESC, feature) AS INTEGER) AS rank, feature,
+       {r6('v', 'importance')}, {r6('v / max(v) OVER ()', 'relative')}
+FROM (SELECT feature, abs(w[j]) AS v FROM names, rm) ORDER BY v DESC, feature LIMIT 15""")
+
+ORACLES["ridge_attribution"] = with_ridge(f"""
+SELECT feature, {r6('v', 'mean_abs_attribution')}
+FROM (SELECT feature, avg(abs(w[j] * z[j])) AS v FROM names, rm, rp WHERE split = 'test' GROUP BY feature)
+ORDER BY v DESC, feature LIMIT 15""")
