@@ -673,6 +673,22 @@ def q_vector_request_errors(spark, sf_dir):
     return sc.error_table(invalid)
 
 
+@query("vector_features")
+def q_vector_features(spark, sf_dir):
+    """model inputs mapped from the valid requests, and the response
+    fields (rounding, direction) of a forecast that repeats the current change."""
+    vocab = vocabulary(spark, sf_dir)
+    valid, _ = rq.split_valid(rq.validate_vector(td.vector_requests(spark, sf_dir), vocab))
+    change = F.col("rppi_qoq_pct_current")
+    year, quarter = rq.next_year_quarter(F.col("year"), F.col("quarter"))
+    answer = [year.alias("next_year"), quarter.alias("next_quarter"),
+              *rq.response_columns(change, change - 1, change + 1)]
+    with_answer = valid.select("*", *answer)
+    inputs = rq.map_vector_request(with_answer, vocab)
+    answers = ["next_year", "next_quarter", "predicted_qoq_pct_change", "direction", "lower", "upper", "confidence"]
+    return round6(inputs.select("request_id", *feat.feature_columns(vocab), *answers))
+
+
 @query("raw_panel")
 def q_raw_panel(spark, sf_dir):
     """Raw histories paired positionally into (request, period) rows."""

@@ -408,6 +408,33 @@ errs AS (
 SELECT count(*) FILTER (WHERE n = 0) AS success_count, count(*) FILTER (WHERE n > 0) AS error_count
 FROM errs""").replace("\n,\nvr AS", ",\nvr AS")
 
+_MAPPED = {
+    "rppi_lag_1": "rppi_lag1", "rppi_lag_2": "rppi_lag2", "rppi_lag_4": "rppi_lag4",
+    "rppi_qoq_pct_lag1": "rppi_qoq_pct_current", "rppi_yoy_pct_lag1": "rppi_yoy_pct_current",
+    "rolling_mean_4q": "rolling_mean_4q", "rolling_std_4q": "rolling_std_4q",
+    "momentum_streak_lag1": "coalesce(momentum_streak, 0)", "price_acceleration_lag1": "coalesce(price_acceleration, 0)",
+    "cash_rate_lag1": "cash_rate_prev", "cash_rate_delta_lag1": "cash_rate - cash_rate_prev",
+    "rate_regime": "CAST(CAST(cash_rate_prev >= 1 AS INTEGER) + CAST(cash_rate_prev >= 3 AS INTEGER) "
+                   "+ CAST(cash_rate_prev >= 6 AS INTEGER) AS DOUBLE)",
+    "cpi_lag1": "cpi", "cpi_yoy_pct_lag1": "(cpi / cpi_prev_year - 1) * 100",
+    "unemp_lag1": "unemployment_rate_prev", "unemp_delta_lag1": "unemployment_rate - unemployment_rate_prev",
+    "quarter_sin": "sin(2 * pi() * quarter / 4)", "quarter_cos": "cos(2 * pi() * quarter / 4)",
+}
+ORACLES["vector_features"] = with_features(VR_CTE + """,
+ok AS (
+  SELECT * FROM (SELECT *, list_filter([
+    """ + ",\n    ".join(_VEC_RULES) + f"""
+  ], lambda x: x IS NOT NULL) AS e FROM vr) WHERE len(e) = 0
+)
+SELECT request_id, {", ".join(r6(e, n) for n, e in _MAPPED.items())}, quarter,
+       {", ".join(f"CAST(entity = '{v}' AS INTEGER) AS {dummy_name(v)}" for v in NATION_VOCAB)},
+       CAST(year + quarter // 4 AS INTEGER) AS next_year, CAST(quarter % 4 + 1 AS INTEGER) AS next_quarter,
+       round(rppi_qoq_pct_current, 4) AS predicted_qoq_pct_change,
+       CASE WHEN rppi_qoq_pct_current > 0 THEN 'up' WHEN rppi_qoq_pct_current < 0 THEN 'down' ELSE 'flat' END AS direction,
+       round(rppi_qoq_pct_current - 1, 4) AS lower, round(rppi_qoq_pct_current + 1, 4) AS upper,
+       CAST(0.9 AS DOUBLE) AS confidence
+FROM ok""").replace("\n,\nvr AS", ",\nvr AS")
+
 RAW_CTE = """,
 rr0 AS (
   SELECT entity, period, price, cash_rate, cpi, unemployment_rate,
