@@ -25,6 +25,7 @@ from panelcast.operators import features as feat
 from panelcast.operators import reports as rep
 from panelcast.operators import requestlog as rl
 from panelcast.operators import requests as rq
+from panelcast.operators.align import union_panels
 from panelcast.operators.evaluation import metric_exprs
 from panelcast.operators.forecasts import BASELINES, ENSEMBLE, baseline_frame, stack
 from panelcast.operators.splits import (
@@ -913,6 +914,15 @@ def q_quantile_intervals(spark, sf_dir):
     ))
 
 
+@query("panel_union")
+def q_panel_union(spark, sf_dir):
+    """The panels of both levels as one."""
+    return round6(union_panels(*[
+        testdata_panel(spark, sf_dir, level).select(
+            F.lit(level).alias("level"), "entity", "period", "price", "cash_rate", "cpi", "unemployment_rate")
+        for level in ("nation", "region")]))
+
+
 @query("target_kde")
 def q_target_kde(spark, sf_dir):
     """A11 (KDE): Gaussian density of the target, train+val vs test, 200 points."""

@@ -674,3 +674,39 @@ ORACLES["ridge_attribution"] = with_ridge(f"""
 SELECT feature, {r6('v', 'mean_abs_attribution')}
 FROM (SELECT feature, avg(abs(w[j] * z[j])) AS v FROM names, rm, rp WHERE split = 'test' GROUP BY feature)
 ORDER BY v DESC, feature LIMIT 15""")
+
+
+# walk-forward folds of the ridge: the same solution with each fold's own split
+_FOLD_ONLY = FOLD_CTES[: FOLD_CTES.index("cvlong AS (")].rstrip().rstrip(",").lstrip(",")
+
+
+def _ridge_fold(fold: int) -> str:
+    """(fold, y, pred) of one fold's validation rows."""
+    split = (f"CASE WHEN period <= (SELECT train_end FROM folds WHERE fold = {fold}) THEN 'train' "
+             f"WHEN period <= (SELECT val_end FROM folds WHERE fold = {fold}) THEN 'val' END")
+    ctes = RIDGE_CTES.replace(split_case(), split)
+    return (with_features("," + _FOLD_ONLY + "," + ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+            + f"\nSELECT CAST({fold} AS INTEGER) AS fold, y, pred FROM rp WHERE split = 'val' "
+              f"AND EXISTS (SELECT 1 FROM folds WHERE fold = {fold})")
+
+
+_RIDGE_FOLDS = "\nUNION ALL\n".join(f"SELECT * FROM ({_ridge_fold(i)})" for i in range(CV_SPLITS))
+ORACLES["ridge_walk_forward"] = f"""
+SELECT fold, 'ridge' AS model, {metrics_sql()}
+FROM ({_RIDGE_FOLDS}) GROUP BY fold"""
+ORACLES["ridge_cv_summary"] = f"""
+WITH m AS (
+  SELECT fold, avg(abs(y - pred)) AS mae,
+         CASE WHEN var_pop(y) * count(y) > 0 THEN 1.0 - sum((y - pred) * (y - pred)) / (var_pop(y) * count(y)) ELSE 0.0 END AS r2,
+         avg(CAST(sign(pred) = sign(y) AS DOUBLE)) AS directional_accuracy
+  FROM ({_RIDGE_FOLDS}) GROUP BY fold
+)
+SELECT 'ridge' AS model, {r6('avg(mae)', 'mae_mean')}, {r6('stddev_pop(mae)', 'mae_std')},
+       {r6('avg(r2)', 'r2_mean')}, {r6('stddev_pop(r2)', 'r2_std')},
+       {r6('avg(directional_accuracy)', 'directional_accuracy_mean')},
+       {r6('stddev_pop(directional_accuracy)', 'directional_accuracy_std')}, count(*) AS n_folds
+FROM m"""
+
+ORACLES["panel_union"] = " UNION ALL ".join(
+    f"SELECT * FROM ({with_panel('SELECT ' + repr(level) + ' AS level, entity, period, ' + cols6('price', 'cash_rate', 'cpi', 'unemployment_rate') + ' FROM panel', level)})"
+    for level in ("nation", "region"))
