@@ -3,10 +3,11 @@
 The fitted ensemble is flattened once on the driver into per-tree node
 arrays (children, split feature, threshold, leaf value, training cover);
 its size is bounded by the model (trees x nodes), not by the data. Rows are
-explained in ``mapInPandas`` tasks: for every row and tree the exact
-Shapley values under the tree's own cover distribution are accumulated
-(Lundberg et al., "Consistent individualized feature attribution for tree
-ensembles", algorithm 2), weighted by the ensemble's tree weights.
+explained in ``mapInPandas`` tasks, all rows of a batch at a time: a leaf's
+exact Shapley values under the tree's own cover distribution (Lundberg et
+al., "Consistent individualized feature attribution for tree ensembles")
+depend on a row only through the path features that it agrees with, so they
+are computed per pattern and looked up, weighted by the tree weights.
 Per row, ``sum(values) + base == prediction``.
 """
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -75,90 +77,87 @@ def expected_value(tree: FlatTree) -> float:
     return float((tree.value[leaves] * tree.cover[leaves]).sum() / tree.cover[0])
 
 
-def _extend(m: list, pz: float, po: float, pi: int) -> None:
-    n = len(m)
-    m.append([pi, pz, po, 1.0 if n == 0 else 0.0])
-    for i in range(n - 1, -1, -1):
-        m[i + 1][3] += po * m[i][3] * (i + 1) / (n + 1)
-        m[i][3] = pz * m[i][3] * (n - i) / (n + 1)
-
-
-def _unwind(m: list, i: int) -> list:
-    m = [list(e) for e in m]
-    last = len(m) - 1
-    n = m[last][3]
-    z, o = m[i][1], m[i][2]
-    for j in range(last - 1, -1, -1):
-        if o != 0:
-            t = m[j][3]
-            m[j][3] = n * (last + 1) / ((j + 1) * o)
-            n = t - m[j][3] * z * (last - j) / (last + 1)
-        else:
-            m[j][3] = m[j][3] * (last + 1) / (z * (last - j))
-    for j in range(i, last):
-        m[j][0], m[j][1], m[j][2] = m[j + 1][0], m[j + 1][1], m[j + 1][2]
-    return m[:last]
-
-
-def _unwound_sum(m: list, i: int) -> float:
-    last = len(m) - 1
-    z, o = m[i][1], m[i][2]
-    n = m[last][3]
-    total = 0.0
-    for j in range(last - 1, -1, -1):
-        if o != 0:
-            w = n * (last + 1) / ((j + 1) * o)
-            total += w
-            n = m[j][3] - w * z * (last - j) / (last + 1)
-        else:
-            total += m[j][3] * (last + 1) / (z * (last - j))
-    return total
+@dataclass
+class Leaf:
+    """One leaf as a game of the features on its path: a feature agrees with a
+    row if ``low < x <= high``, and ``share`` is the part of the training rows that
+    pass its splits. ``value`` is the leaf's output."""
+
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray
+    value: float
+
+
+def leaves_of(tree: FlatTree) -> list[Leaf]:
+    found, stack = [], [(0, {})]
+    while stack:
+        j, path = stack.pop()
+        if tree.left[j] < 0:
+            names = sorted(path)
+            low, high, share = (np.array([path[f][i] for f in names]) for i in range(3))
+            found.append(Leaf(np.array(names, int), low, high, share, float(tree.value[j])))
+            continue
+        f, t = int(tree.feature[j]), float(tree.threshold[j])
+        low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
+        for child, bounds in ((tree.left[j], (low, min(high, t))), (tree.right[j], (max(low, t), high))):
+            stack.append((int(child), {**path, f: (*bounds, share * tree.cover[child] / tree.cover[j])}))
+    return found
+
+
+def leaf_values(leaf: Leaf, agrees: np.ndarray) -> np.ndarray:
+    """Shapley values of a leaf's features (columns) for patterns of agreement (rows).
+
+    With the features of a set known, the leaf's expected output is its value
+    times one (agrees) or zero per known feature times the share per unknown one. The sums over sets
+    of equal size are the coefficients of the product of ``share + agrees * t``.
+    """
+    m = len(leaf.features)
+    out = np.empty((len(agrees), m))
+    weight = np.array([1 / (m * comb(m - 1, s)) for s in range(m)])
+    for k in range(m):
+        sums = np.zeros((len(agrees), m))
+        sums[:, 0] = 1.0
+        for j in range(m):
+            if j != k:
+                shifted = np.zeros_like(sums)
+                shifted[:, 1:] = sums[:, :-1] * agrees[:, j : j + 1]
+                sums = sums * leaf.share[j] + shifted
+        out[:, k] = leaf.value * (agrees[:, k] - leaf.share[k]) * (sums @ weight)
+    return out
+
+
+def _add_tree(X: np.ndarray, tree: FlatTree, out: np.ndarray, weight: float = 1.0) -> None:
+    for leaf in leaves_of(tree):
+        if not len(leaf.features):
+            continue
+        x = X[:, leaf.features]
+        agrees = (x > leaf.low) & (x <= leaf.high)
+        mask = agrees @ (1 << np.arange(len(leaf.features)))
+        patterns, first, which = np.unique(mask, return_index=True, return_inverse=True)
+        values = leaf_values(leaf, agrees[first].astype(float))
+        out[:, leaf.features] += weight * values[which]
 
 
 def tree_shap(x: np.ndarray, tree: FlatTree, phi: np.ndarray) -> None:
     """Adds this tree's (unweighted) Shapley values for row ``x`` to ``phi``."""
-    L, R, Fe, T, V, C = tree.left, tree.right, tree.feature, tree.threshold, tree.value, tree.cover
-
-    def recurse(j: int, m: list, pz: float, po: float, pi: int) -> None:
-        m = [list(e) for e in m]
-        _extend(m, pz, po, pi)
-        if L[j] < 0:
-            for i in range(1, len(m)):
-                phi[m[i][0]] += _unwound_sum(m, i) * (m[i][2] - m[i][1]) * V[j]
-            return
-        f = Fe[j]
-        hot, cold = (L[j], R[j]) if x[f] <= T[j] else (R[j], L[j])
-        iz = io = 1.0
-        k = next((i for i in range(1, len(m)) if m[i][0] == f), None)
-        if k is not None:
-            iz, io = m[k][1], m[k][2]
-            m = _unwind(m, k)
-        recurse(hot, m, iz * C[hot] / C[j], io, f)
-        recurse(cold, m, iz * C[cold] / C[j], 0.0, f)
-
-    recurse(0, [], 1.0, 1.0, -1)
+    out = np.zeros((1, len(phi)))
+    _add_tree(np.asarray(x, float)[None], tree, out)
+    phi += out[0]
 
 
 def explain_rows(X: np.ndarray, trees: Sequence[FlatTree]) -> tuple[np.ndarray, float]:
     """(n x d) Shapley values of the weighted ensemble and its base value.
 
-    A row's values for one tree depend only on its split outcomes at the
-    tree's internal nodes, so rows are grouped by that outcome pattern
-    (vectorised) and the recursion runs once per distinct pattern."""
-    n, d = X.shape
-    out = np.zeros((n, d))
+    A leaf's values depend only on which of its path's features agree with
+    the row: rows get a bit mask per leaf, the values of each mask that
+    occurs are computed once, and rows look theirs up.
+    """
+    out = np.zeros(X.shape)
     for t in trees:
-        internal = np.flatnonzero(t.left >= 0)
-        if internal.size == 0:
-            continue
-        goes_left = X[:, t.feature[internal]] <= t.threshold[internal]
-        patterns, first, inverse = np.unique(goes_left, axis=0, return_index=True, return_inverse=True)
-        per_pattern = np.zeros((len(patterns), d))
-        for k, r in enumerate(first):
-            tree_shap(X[r], t, per_pattern[k])
-        out += t.weight * per_pattern[inverse.reshape(-1)]
-    base = float(sum(t.weight * expected_value(t) for t in trees))
-    return out, base
+        _add_tree(X, t, out, t.weight)
+    return out, float(sum(t.weight * expected_value(t) for t in trees))
 
 
 def explain_gbt(df: DataFrame, model, feature_cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
