@@ -47,17 +47,19 @@ def replaced_pairs(seq: np.ndarray, barrier: int, limit: int, least: int) -> np.
     """Codes ``left << 32 | right`` of the most frequent pairs, ascending; no
     symbol is a left in one and a right in another, so that only a symbol
     doubled can overlap itself."""
-    left, right = seq[:-1].astype(np.int64), seq[1:].astype(np.int64)
-    codes = np.sort(((left << 32) | right)[(left != barrier) & (right != barrier)])
+    bits, kind = (16, np.uint32) if int(seq.max()) >> 16 == 0 else (32, np.uint64)
+    left, right = seq[:-1], seq[1:]
+    codes = np.sort(((left.astype(kind) << kind(bits)) | right)[(left != barrier) & (right != barrier)])
     first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, np.int64)
     counts = np.diff(np.append(first, len(codes)))
     often = np.flatnonzero(counts >= least)
     order = often[np.lexsort((codes[first[often]], -counts[often]))]
     lefts, rights, doubled, chosen = set(), set(), set(), []
-    for code in codes[first[order]].tolist():
+    for packed in codes[first[order]].tolist():
         if len(chosen) == limit:
             break
-        a, b = code >> 32, code & 0xFFFFFFFF
+        a, b = packed >> bits, packed & ((1 << bits) - 1)
+        code = a << 32 | b
         if a == b:
             if a in lefts or a in rights or a in doubled:
                 continue
@@ -109,7 +111,7 @@ class Grammar:
         rule = symbols.astype(np.int64) - self.first
         return np.where(rule >= 0, self.lengths[np.maximum(rule, 0)], 1)
 
-    def expand(self, symbols: np.ndarray) -> np.ndarray:
+    def _undone(self, symbols: np.ndarray) -> np.ndarray:
         """The ids of some symbols; each pass undoes one level of rules."""
         symbols = symbols.astype(np.int64)
         while len(self.rules) and (is_rule := symbols >= self.first).any():
@@ -122,6 +124,31 @@ class Grammar:
             symbols = out
         return symbols.astype("<u4")
 
+    @functools.cached_property
+    def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rules one after the other, and where each rule's begin."""
+        return self._undone(np.arange(self.first, self.first + len(self.rules))), np.cumsum(self.lengths) - self.lengths
+
+    def expand(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids of some symbols: those of each rule are copied from its expansion."""
+        if not len(self.rules) or not len(symbols):
+            return symbols.astype("<u4")
+        flat, begins = self._expansions
+        rule = symbols.astype(np.int32) - np.int32(self.first)
+        is_rule = rule >= 0
+        size = np.ones(len(symbols), np.int32)
+        size[is_rule] = self.lengths[rule[is_rule]]
+        at = np.cumsum(size, dtype=np.int64) - size
+        # places in the expansions, counted on from where each rule's symbol stands
+        shift = np.zeros(len(symbols), np.int64)
+        shift[is_rule] = begins[rule[is_rule]] - at[is_rule]
+        out = np.empty(int(at[-1] + size[-1]), "<u4")
+        out[at[~is_rule]] = symbols[~is_rule]
+        from_rule = np.repeat(is_rule, size)
+        where = np.flatnonzero(from_rule)
+        out[where] = flat[where + np.repeat(shift[is_rule], size[is_rule])]
+        return out
+
 
 def compress(ids: np.ndarray, barrier: int, first: int, rounds: int = ROUNDS, round_pairs: int = ROUND_PAIRS,
              least: int = LEAST_COUNT) -> Grammar:
