@@ -36,9 +36,9 @@ from panelcast.session import ship_package
 WINDOW = 13
 #: any WINDOW words hold a whole aligned block of this many words
 BLOCK = (WINDOW + 1) // 2
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 #: hashes that a hash range should hold over all chunks
-RANGE_WORDS = 2 << 20
+RANGE_WORDS = 1 << 20
 #: bits kept of an anchor hash; false anchors only cost work
 ANCHOR_BITS = 46
 NO_ID = np.iinfo(np.int64).max  # rows without an id come after all others
