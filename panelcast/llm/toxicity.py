@@ -34,7 +34,7 @@ PREFIXES = (3, 4, 5, 6, 7, 8)
 #: a feature must occur in so many positives, and so many times oftener there than in unlabelled text
 LEAST_POSITIVES, LEAST_LIFT = 4, 10.0
 FEATURES = 20_000
-STEPS, RATE, DECAY = 600, 0.05, 2e-5
+STEPS, RATE, DECAY = 400, 0.05, 1e-4
 WORD_CACHE = 500_000
 _STRIP = ".,;:!?\"'()[]{}*%$&#|<>-_"
 
