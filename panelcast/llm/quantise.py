@@ -39,8 +39,9 @@ SAMPLE, SAMPLE_VALUES = 20_000, 1 << 22
 LIST_SIZE, SAMPLE_PER_LIST = 256, 8
 SUB_DIM, CODES = 8, 256
 ROUNDS = 8
-#: how many standard deviations of a random direction the visited lists cover
-SPREAD = 3.5
+#: how many standard deviations of a random direction the visited lists cover; a link is
+#: found if either end visits the other's list
+SPREAD = 2.0
 #: members and queries compared at a time
 BLOCK_MEMBERS, BLOCK_QUERIES, QUERY_ROWS = 4096, 8192, 512
 SEED = 5
@@ -78,6 +79,7 @@ def _nearest(x: np.ndarray, centres: np.ndarray, spherical: bool) -> np.ndarray:
 @dataclass
 class ProductQuantiser:
     dim: int  # a multiple of SUB_DIM; shorter vectors are padded with zeros
+    width: int  # components of the longest vector
     threshold: float
     coarse: np.ndarray  # lists x dim, of length 1
     codebooks: np.ndarray  # subspaces x codes x SUB_DIM
@@ -103,26 +105,26 @@ class ProductQuantiser:
 
         ``y = t x + s u`` with ``u`` a unit vector across ``x`` prefers list ``c`` to the home
         list only if ``t x.(c - home) + s u.(c - home) >= 0``; a random ``u`` meets
-        ``c - home`` with standard deviation ``|c - home| / sqrt(dim - 1)``.
+        ``c - home`` with standard deviation ``|c - home| / sqrt(width - 1)``.
         """
         t = self.threshold
         s = math.sqrt(max(0.0, 1 - t * t))
         products = x @ self.coarse.T
         behind = products[np.arange(len(x)), home][:, None] - products  # x.(home - c)
         between = np.maximum(0.0, 2 - 2 * (self.coarse[home] @ self.coarse.T))
-        across = np.sqrt(np.maximum(0.0, between - behind**2) / max(1, self.dim - 1))
+        across = np.sqrt(np.maximum(0.0, between - behind**2) / max(1, self.width - 1))
         return t * behind <= SPREAD * s * across
 
 
-def fit(sample: np.ndarray, n: int, threshold: float) -> ProductQuantiser:
-    """Fit on unit vectors (padded) for an index of ``n`` vectors."""
+def fit(sample: np.ndarray, n: int, threshold: float, width: int) -> ProductQuantiser:
+    """Fit on unit vectors (``width`` components and padding) for an index of ``n`` vectors."""
     rng = np.random.default_rng(SEED)
     lists = max(1, min(math.ceil(n / LIST_SIZE), len(sample) // SAMPLE_PER_LIST))
     coarse = _k_means(sample, lists, rng, spherical=True)
     rest = sample - coarse[_nearest(sample, coarse, spherical=True)]
     books = [_k_means(rest[:, i : i + SUB_DIM], min(CODES, len(sample)), rng, spherical=False)
              for i in range(0, sample.shape[1], SUB_DIM)]
-    return ProductQuantiser(sample.shape[1], threshold, coarse, np.stack(books))
+    return ProductQuantiser(sample.shape[1], width, threshold, coarse, np.stack(books))
 
 
 ENTRY_SCHEMA = "id long, weight long, home int, visits array<int>, code binary, rest double, vector binary"
@@ -245,7 +247,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     padded = np.zeros((len(sample), dim))
     for i, v in enumerate(sample):
         padded[i, : len(v)] = v
-    model = spark.sparkContext.broadcast(fit(unit_rows(padded), n, threshold))  # bounded by the sample
+    model = spark.sparkContext.broadcast(fit(unit_rows(padded), n, threshold, width))  # bounded by the sample
 
     indexed = materialize(arrow_map(classes.select("id", "weight", "v"), functools.partial(_index_batches, model=model),
                                     ENTRY_SCHEMA), "quantise-index")
