@@ -16,7 +16,6 @@ only the cuts well before a segment's end are kept, the rest joins the next.
 from __future__ import annotations
 
 import functools
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +30,6 @@ from panelcast.llm.tokens import encoder_for
 CAPACITY = 1024
 #: ids of padding that a cut is worth
 SENTENCE_COST, INSIDE_COST = 2.0, 24.0
-#: sentence ends offered as cuts are about so many ids apart
-SENTENCE_STEP = 16
 #: cuts inside sentences longer than LONG_SENTENCE are offered every INSIDE_STEP ids
 LONG_SENTENCE, INSIDE_STEP = 64, 16
 #: unpadded sequences shorter than the capacity, and what each is charged
@@ -51,8 +48,6 @@ def offered_cuts(ids: np.ndarray, sentence_end: np.ndarray, end_id: int) -> tupl
     cost[1:][ids == end_id] = 0.0
     cost[[0, -1]] = 0.0
     good = np.flatnonzero(cost < INSIDE_COST)
-    # a sentence's end is offered once in every SENTENCE_STEP ids, a document's always
-    good = good[(cost[good] == 0) | np.r_[True, good[1:] // SENTENCE_STEP != good[:-1] // SENTENCE_STEP]]
     gaps = np.diff(good)
     wide = np.flatnonzero(gaps > LONG_SENTENCE)
     inner = [np.arange(good[i] + INSIDE_STEP, good[i + 1], INSIDE_STEP) for i in wide]
@@ -66,30 +61,31 @@ def best_cuts(places: np.ndarray, costs: np.ndarray, capacity: int = CAPACITY) -
     Gaps between places must not exceed ``capacity``.
     """
     n = len(places)
-    sources: list[list[int]] = [[] for _ in range(n)]
+    shorts: dict[int, list[tuple[int, float]]] = {}
     for size in SHORT_SIZES:
         if size < capacity:
             at = np.searchsorted(places, places - size)
             for j in np.flatnonzero((places >= size) & (places[np.minimum(at, n - 1)] == places - size)).tolist():
-                sources[j].append(int(at[j]))
+                shorts.setdefault(j, []).append((int(at[j]), size + SHORT_COST))
     place, cost = places.tolist(), costs.tolist()
-    best, before = [0.0] * n, [0] * n
-    queue: deque[tuple[float, int, int]] = deque([(0.0 + place[0], place[0], 0)])
+    keys, before = [0.0] * n, [0] * n  # a key is the least cost up to a place, plus the place
+    # places of ascending keys from ``queue[head]`` on; a new key exceeds the head's, so that one stays
+    queue, head = [0], 0
     for j in range(1, n):
-        here = place[j]
-        while queue[0][1] < here - capacity:
-            queue.popleft()
-        head = queue[0]
-        total, source = head[0] + capacity - here, head[2]
-        for i in sources[j]:
-            if best[i] + SHORT_COST < total:
-                total, source = best[i] + SHORT_COST, i
-        total += cost[j]
-        best[j], before[j] = total, source
-        key = total + here
-        while queue and queue[-1][0] >= key:
+        least = place[j] - capacity
+        while place[queue[head]] < least:
+            head += 1
+        source = queue[head]
+        key = keys[source] + capacity
+        if j in shorts:
+            for i, charge in shorts[j]:
+                if keys[i] + charge < key:
+                    key, source = keys[i] + charge, i
+        keys[j] = key = key + cost[j]
+        before[j] = source
+        while keys[queue[-1]] >= key:
             queue.pop()
-        queue.append((key, here, j))
+        queue.append(j)
     cuts, j = [place[-1]], n - 1
     while j:
         j = before[j]

@@ -119,6 +119,17 @@ def test_cuts_are_optimal(seed, monkeypatch):
     assert own == pytest.approx(slow_cost(places.tolist(), costs.tolist(), 64))
 
 
+def test_every_sentence_end_is_offered():
+    ends = np.zeros(4, bool)
+    ends[2] = True
+    ids = np.tile(np.array([1, 1, 1, 1, 2], "<u4"), 420)  # sentences of 5 ids
+    places, costs = packing.offered_cuts(ids, ends, 0)
+    assert places.tolist() == list(range(0, 2101, 5)) and set(costs[1:-1].tolist()) == {packing.SENTENCE_COST}
+    ids = np.insert(ids[:-1], 0, [1, 1, 1, 2])  # a boundary at 1024
+    cuts = packing.best_cuts(*packing.offered_cuts(ids, ends, 0))
+    assert 1024 in cuts
+
+
 def check_pieces(rows, ids, capacity):
     by_doc, by_sequence = {}, {}
     for r in rows:
