@@ -20,7 +20,6 @@ from panelcast.ml import registry as reg
 from panelcast.ml import scoring as sc
 from panelcast.ml.linear import fit_ridge, with_val_std
 from panelcast.ml.training import train_and_evaluate, wide_scores
-from panelcast.ml.trees import SEARCH_SPACE
 from panelcast.operators import features as feat
 from panelcast.operators import reports as rep
 from panelcast.operators import requestlog as rl
@@ -460,11 +459,8 @@ def q_cv_summary(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
-# Search budget of the registered training query (the library default is
-# 50 trials over 100-800 trees; see README).
-ML_TRIALS = 3
-ML_SPACE = {**SEARCH_SPACE, "max_iter": (10, 40)}
-ES_PARAMS = {"maxIter": 60, "maxDepth": 4, "stepSize": 0.1}
+#: concurrent fits of the registered search, which has the library's whole budget; changes wall time only
+ML_PARALLELISM = 8
 TOP_K = 15
 
 
@@ -565,14 +561,13 @@ def _trained(spark, sf_dir):
     """Folder of the training job's results in the shared folder: the registry
     (``models``) and the prediction frame (``frame``, written last). They are
     made once for the tables as they are and read back by every query."""
-    root = scratch_path(spark, f"training-{_input_mark(spark, sf_dir)}")
+    root = scratch_path(spark, f"training-whole-budget-{_input_mark(spark, sf_dir)}")
     try:
         spark.read.text(f"{root}/frame/_SUCCESS")
     except AnalysisException:
         features, cols = ml_inputs(spark, sf_dir)
         done = train_and_evaluate(
-            features, TESTDATA_SPLIT, cols, n_trials=ML_TRIALS, space=ML_SPACE, es_params=ES_PARAMS,
-            registry_root=f"{root}/models", parallelism=ML_TRIALS)
+            features, TESTDATA_SPLIT, cols, registry_root=f"{root}/models", parallelism=ML_PARALLELISM)
         done.frame.write.mode("overwrite").parquet(f"{root}/frame")
     return root
 
@@ -935,5 +930,4 @@ def q_gbt_walk_forward(spark, sf_dir):
     from panelcast.ml.cv import walk_forward_cv
 
     features, cols = ml_inputs(spark, sf_dir)
-    return round6(walk_forward_cv(features, cols, "gbt_es", n_splits=CV_SPLITS, min_train=CV_MIN_TRAIN, val=CV_VAL,
-                                  params={"maxIter": 20, "maxDepth": 3, "stepSize": 0.1}, patience=10))
+    return round6(walk_forward_cv(features, cols, "gbt_es", n_splits=CV_SPLITS, min_train=CV_MIN_TRAIN, val=CV_VAL))

@@ -272,3 +272,25 @@ def test_fold_offsets_match_plain_numbering(spark):
     order = sorted(rows)
     bounds = [43, 85, 127, 169, 211]
     assert found == {k: next(f for f, b in enumerate(bounds) if i < b) for i, k in enumerate(order)}
+
+
+def test_registered_training_has_the_whole_budget(spark, monkeypatch, tmp_path):
+    from panelcast.ml import cv
+    from panelcast.plans import catalog
+
+    class Called(Exception):
+        pass
+
+    def caught(*args, **kw):
+        raise Called({k: v for k, v in kw.items() if v is not None})
+
+    monkeypatch.setattr(catalog, "ml_inputs", lambda spark, sf_dir: (None, []))
+    monkeypatch.setattr(catalog, "_input_mark", lambda spark, sf_dir: "mark")
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(catalog, "train_and_evaluate", caught)
+    monkeypatch.setattr(cv, "walk_forward_cv", caught)
+    cuts = {"n_trials", "space", "es_params", "patience", "quantile_rounds", "timeout_seconds", "params"}
+    for query in (catalog.q_training_metrics, catalog.q_gbt_walk_forward):
+        with pytest.raises(Called) as e:
+            query(spark, "nowhere")
+        assert not cuts & set(e.value.args[0])
