@@ -7,7 +7,8 @@ term's largest impact in a block bounds what it can add there. For each
 passage the bounds of all blocks are summed at once; blocks below the
 threshold are skipped, and block-max WAND walks the postings of the others.
 Every item at or above the threshold is retrieved and then verified: the
-passage must hold the shingles of its question and of its answer.
+passage must hold the shingles of its question and of its answer. A long item
+is retrieved by even parts, and verified as a whole around the part.
 
 Items are indexed in groups of bounded size, one broadcast index and one pass
 over the documents each, so the number of items is not limited.
@@ -33,7 +34,7 @@ OVERLAP = 0.8
 #: retrieved at this share of an item's own BM25 score
 THRESHOLD = 0.6
 K1, B = 1.2, 0.75
-#: longest run of words indexed as one item; a longer item is indexed in parts
+#: longest run of words indexed as one item; a longer item is retrieved by parts of even length
 PART_WORDS = 256
 #: characters of item text per broadcast index
 GROUP_CHARS = 8 << 20
@@ -83,6 +84,7 @@ class ItemIndex:
         self.terms: dict[str, int] = {}
         self.item_ids: list[int] = []
         self.checks: list[tuple[frozenset, frozenset]] = []
+        self.spans: list[tuple[int, int] | None] = []  # of a part: its place in its item, and the item's words
         texts: list[list[int]] = []
         for item_id, text in items:
             question, answer = question_and_answer(text or "")
@@ -90,17 +92,13 @@ class ItemIndex:
             if not words:
                 continue
             both = tuple(frozenset(shingles([self._term(w) for w in x])) for x in (question, answer))
-            if len(words) <= PART_WORDS:
-                pieces = [(words, both)]
-            else:  # parts are their own question and answer
-                pieces = []
-                for i in range(0, len(words), PART_WORDS):
-                    own = frozenset(shingles([self._term(w) for w in words[i : i + PART_WORDS]]))
-                    pieces.append((words[i : i + PART_WORDS], (own, own)))
-            for piece, check in pieces:
-                texts.append([self._term(w) for w in piece])
+            parts = -(-len(words) // PART_WORDS)
+            edges = [len(words) * i // parts for i in range(parts + 1)]
+            for start, stop in zip(edges[:-1], edges[1:], strict=True):
+                texts.append([self._term(w) for w in words[start:stop]])
                 self.item_ids.append(item_id)
-                self.checks.append(check)
+                self.checks.append(both)
+                self.spans.append((start, len(words)) if parts > 1 else None)
         self.tile = max([SHINGLE, *map(len, texts)])
         self._impacts(texts)
 
@@ -115,6 +113,7 @@ class ItemIndex:
         order = sorted(range(n), key=lambda i: (max(set(texts[i]), key=lambda t: (held[t], t)), i))
         self.item_ids = [self.item_ids[i] for i in order]
         self.checks = [self.checks[i] for i in order]
+        self.spans = [self.spans[i] for i in order]
         self.block = max(1, math.ceil(n / BLOCKS))
         self.postings: list[dict[int, list[tuple[int, float]]]] = [{} for _ in self.terms]
         self.bounds = np.zeros((len(self.terms), max(1, math.ceil(n / self.block))), np.float32)
@@ -190,6 +189,10 @@ def _bounds_by_tile(index: ItemIndex, tile: np.ndarray, term: np.ndarray, n_tile
     return out
 
 
+def _runs(words: list[int]) -> set[tuple[int, ...]]:
+    return {tuple(words[i : i + n]) for n in range(1, SHINGLE + 1) for i in range(len(words) - n + 1)}
+
+
 def find_in_texts(index: ItemIndex, ids: _TokenIds, texts: list[str | None], threshold: float,
                   overlap: float) -> list[tuple[int, int, float, float, float]]:
     """``(text number, item number, score, question overlap, answer overlap)`` of
@@ -226,10 +229,12 @@ def find_in_texts(index: ItemIndex, ids: _TokenIds, texts: list[str | None], thr
             words = arrays[k][start : start + 2 * index.tile]
             terms, grams = np.unique(words[words >= 0]).tolist(), None
         for item, score in index.block_max_wand(terms, block, threshold):
-            if grams is None:
-                run = words.tolist()
-                grams = {tuple(run[i : i + n]) for n in range(1, SHINGLE + 1) for i in range(len(run) - n + 1)}
-            q, a = (len(grams & x) / len(x) for x in index.checks[item])
+            if span := index.spans[item]:  # where the whole item lies if the part is in the passage
+                begin = start - span[0]
+                around = _runs(arrays[k][max(0, begin - index.tile) : begin + span[1] + 2 * index.tile].tolist())
+            else:
+                around = grams = _runs(words.tolist()) if grams is None else grams
+            q, a = (len(around & x) / len(x) for x in index.checks[item])
             if q >= overlap and a >= overlap:
                 key = (int(owner[p]), item)
                 best[key] = max(best.get(key, (0.0, 0.0, 0.0)), (score, q, a))
@@ -259,7 +264,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     the BM25 score as a share of the item's own, and the shares of the
     question's and the answer's ``SHINGLE``-word runs in the passage, both at
     least ``overlap``. Passages are all pairs of neighbouring tiles as long as
-    the longest indexed item, so an item lies whole in one. Null or empty texts and items match
+    the longest indexed item, so an item lies whole in one. An item of more than
+    ``PART_WORDS`` words has the score of its best part, and its passage
+    is widened by where the part stands in the item, so that all of it is
+    looked for. Null or empty texts and items match
     nothing; rows without an id are reported with a null id; repeated
     documents or items are each reported; empty tables give an empty table.
     Other columns are not read.

@@ -143,6 +143,20 @@ def test_edited_passages_are_verified(spark, benchmark):
     assert [r["doc_id"] for r in decontaminate.contaminated(frame, benchmark).collect()] == [0]
 
 
+def test_long_items_are_verified_whole(spark):
+    words = [f"q{i}" for i in range(256)] + ["the"]  # one word more than a part
+    long = [f"r{i}" for i in range(700)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(long[:600]) + ". " + " ".join(long[600:]))],
+                                  "item_id long, text string")
+    other = " ".join(f"z{i}" for i in range(300))
+    cases = [(0, f"{other} {' '.join(words)} {other}"), (1, f"the {other}"), (2, " ".join(words[100:])),
+             (3, f"{other} {' '.join(long)} {other}"), (4, f"{other} {' '.join(long[:600])} {other}"),
+             (5, f"{other} {' '.join(long[400:])} {other}")]
+    frame = spark.createDataFrame(cases, "doc_id long, text string")
+    found = decontaminate.contaminated(frame, items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 1), (3, 2)}
+
+
 PAGE = "page_id long, url string, html string, digest string, first long"
 
 
