@@ -2,12 +2,14 @@
 
 Coarse centroids (spherical k-means) split the vectors into lists; what a
 vector differs from its centroid is coded by the nearest of 256 learned
-residuals in each subspace. A query visits its own list and all lists that a
-vector within the threshold may lie in, and gets its inner products with a
-list's coded vectors from one lookup table per subspace. By Cauchy-Schwarz a
+residuals in each subspace. A query visits all groups of lists in which a
+vector within the threshold of it may lie, and gets its inner products with
+their coded vectors from one lookup table per subspace. The visits follow from
+the geometry of the centroids alone, whatever the data. By Cauchy-Schwarz a
 coded product errs by at most the length of what the code leaves over, which
 is stored with the code: whatever may reach the threshold is reranked by exact
-cosine in double precision, so within the visited lists no link is lost.
+cosine in double precision, so no link is lost. Where the centroids do not
+separate the vectors, all groups are visited.
 
 Equal vectors are one class before anything is compared. Lists are compared in
 blocks of bounded size; a block returns, per vector, how many links it has
@@ -39,9 +41,10 @@ SAMPLE, SAMPLE_VALUES = 20_000, 1 << 22
 LIST_SIZE, SAMPLE_PER_LIST = 256, 8
 SUB_DIM, CODES = 8, 256
 ROUNDS = 8
-#: how many standard deviations of a random direction the visited lists cover; a link is
-#: found if either end visits the other's list
-SPREAD = 2.0
+#: neighbouring lists that are visited together
+GROUP_LISTS = 16
+#: added to the bound on visits against rounding
+ROUNDING = 1e-9
 #: members and queries compared at a time
 BLOCK_MEMBERS, BLOCK_QUERIES, QUERY_ROWS = 4096, 8192, 512
 SEED = 5
@@ -79,7 +82,6 @@ def _nearest(x: np.ndarray, centres: np.ndarray, spherical: bool) -> np.ndarray:
 @dataclass
 class ProductQuantiser:
     dim: int  # a multiple of SUB_DIM; shorter vectors are padded with zeros
-    width: int  # components of the longest vector
     threshold: float
     coarse: np.ndarray  # lists x dim, of length 1
     codebooks: np.ndarray  # subspaces x codes x SUB_DIM
@@ -104,27 +106,37 @@ class ProductQuantiser:
         """Flags of the lists that vectors within the threshold of ``x`` may be assigned to.
 
         ``y = t x + s u`` with ``u`` a unit vector across ``x`` prefers list ``c`` to the home
-        list only if ``t x.(c - home) + s u.(c - home) >= 0``; a random ``u`` meets
-        ``c - home`` with standard deviation ``|c - home| / sqrt(width - 1)``.
+        list only if ``t x.(c - home) + s u.(c - home) >= 0``, and ``u.(c - home)`` is at most
+        the length of ``c - home`` across ``x``; a larger ``t`` only lowers the sum.
         """
         t = self.threshold
         s = math.sqrt(max(0.0, 1 - t * t))
         products = x @ self.coarse.T
         behind = products[np.arange(len(x)), home][:, None] - products  # x.(home - c)
-        between = np.maximum(0.0, 2 - 2 * (self.coarse[home] @ self.coarse.T))
-        across = np.sqrt(np.maximum(0.0, between - behind**2) / max(1, self.width - 1))
-        return t * behind <= SPREAD * s * across
-
-
-def fit(sample: np.ndarray, n: int, threshold: float, width: int) -> ProductQuantiser:
-    """Fit on unit vectors (``width`` components and padding) for an index of ``n`` vectors."""
+        norms = (self.coarse**2).sum(1)
+        between = norms[home][:, None] + norms - 2 * (self.coarse[home] @ self.coarse.T)
+        across = np.sqrt(np.maximum(0.0, between - behind**2))
+        return t * behind <= s * across + ROUNDING
+
+    def visited_groups(self, x: np.ndarray, home: np.ndarray) -> list[np.ndarray]:
+        """Numbers, from the own one on, of the groups of lists that ``x`` visits; a pair of
+        vectors in two groups is found by the one whose group has the smaller number."""
+        lists = self.visited(x, home)
+        lists[np.arange(len(x)), home] = True
+        groups = np.logical_or.reduceat(lists, np.arange(0, lists.shape[1], GROUP_LISTS), axis=1)
+        groups &= np.arange(groups.shape[1]) >= home[:, None] // GROUP_LISTS
+        return [np.flatnonzero(g).astype(np.int32) for g in groups]
+
+
+def fit(sample: np.ndarray, n: int, threshold: float) -> ProductQuantiser:
+    """Fit on unit vectors for an index of ``n`` vectors."""
     rng = np.random.default_rng(SEED)
     lists = max(1, min(math.ceil(n / LIST_SIZE), len(sample) // SAMPLE_PER_LIST))
     coarse = _k_means(sample, lists, rng, spherical=True)
     rest = sample - coarse[_nearest(sample, coarse, spherical=True)]
     books = [_k_means(rest[:, i : i + SUB_DIM], min(CODES, len(sample)), rng, spherical=False)
              for i in range(0, sample.shape[1], SUB_DIM)]
-    return ProductQuantiser(sample.shape[1], width, threshold, coarse, np.stack(books))
+    return ProductQuantiser(sample.shape[1], threshold, coarse, np.stack(books))
 
 
 ENTRY_SCHEMA = "id long, weight long, home int, visits array<int>, code binary, rest double, vector binary"
@@ -139,11 +151,9 @@ def _index_batches(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.Reco
             x = unit_rows(raw)
             home = _nearest(x, model.coarse, spherical=True)
             codes, rest = model.encode(x, home)
-            visits = model.visited(x, home)
-            visits[np.arange(len(x)), home] = True
             yield pa.RecordBatch.from_arrays([
                 part.column(0), part.column(1), pa.array(home.astype(np.int32)),
-                pa.array([np.flatnonzero(v).astype(np.int32) for v in visits], pa.list_(pa.int32())),
+                pa.array(model.visited_groups(x, home), pa.list_(pa.int32())),
                 pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(rest),
                 pa.array([v.tobytes() for v in x], pa.binary()),
             ], ["id", "weight", "home", "visits", "code", "rest", "vector"])
@@ -163,7 +173,7 @@ def _forest(rows: np.ndarray, linked: list[np.ndarray], q_ids: np.ndarray, m_ids
 
 
 def _compare(members: pa.Table, queries: pa.Table, model) -> pa.Table:
-    """Links between one block of a list's members and one block of its queries."""
+    """Links between one block of a group's members and one block of its queries."""
     model = model.value
     dim, subs = model.dim, len(model.codebooks)
     if not (members.num_rows and queries.num_rows):
@@ -173,28 +183,24 @@ def _compare(members: pa.Table, queries: pa.Table, model) -> pa.Table:
     def read(t: pa.Table, column: str, kind: str, width: int) -> np.ndarray:
         return np.frombuffer(b"".join(t.column(column).to_pylist()), kind).reshape(-1, width)
 
-    here = members.column("list")[0].as_py()
     m_ids, m_weight = members.column("id").to_numpy(), members.column("weight").to_numpy()
     q_ids, q_weight = queries.column("id").to_numpy(), queries.column("weight").to_numpy()
-    q_home = queries.column("home").to_numpy()
+    m_home = members.column("home").to_numpy()
+    inside = queries.column("home").to_numpy() // GROUP_LISTS == m_home[0] // GROUP_LISTS
     m_vectors, q_vectors = read(members, "vector", "<f8", dim), read(queries, "vector", "<f8", dim)
     codes, rest = read(members, "code", "u1", subs), members.column("rest").to_numpy()
-    visits = np.zeros((len(m_ids), len(model.coarse)), bool)
-    for i, v in enumerate(members.column("visits").to_pylist()):
-        visits[i, v] = True
     q_count, m_count = np.zeros(len(q_ids), np.int64), np.zeros(len(m_ids), np.int64)
     rows, linked = [], []
     for start in range(0, len(q_ids), QUERY_ROWS):
         q = q_vectors[start : start + QUERY_ROWS]
-        estimate = np.repeat((q @ model.coarse[here])[:, None], len(m_ids), axis=1).astype(np.float32)
+        estimate = (q @ model.coarse.T).astype(np.float32)[:, m_home]
         for m, book in enumerate(model.codebooks):
             table = (q[:, m * SUB_DIM : (m + 1) * SUB_DIM] @ book.T).astype(np.float32)
             estimate += table[:, codes[:, m]]
         at_q, at_m = np.nonzero(estimate >= (model.threshold - rest - 1e-5).astype(np.float32))
         at_q = at_q + start
-        # a pair that both sides find is the smaller id's
-        both = (q_home[at_q] == here) | visits[at_m, q_home[at_q]]
-        own = np.where(both, q_ids[at_q] < m_ids[at_m], q_ids[at_q] != m_ids[at_m])
+        # within their own group both sides find a pair; it is the smaller id's
+        own = ~inside[at_q] | (q_ids[at_q] < m_ids[at_m])
         at_q, at_m = at_q[own], at_m[own]
         near = np.zeros(len(at_q), bool)
         for i in range(0, len(at_q), 1 << 15):
@@ -247,24 +253,25 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     padded = np.zeros((len(sample), dim))
     for i, v in enumerate(sample):
         padded[i, : len(v)] = v
-    model = spark.sparkContext.broadcast(fit(unit_rows(padded), n, threshold, width))  # bounded by the sample
+    model = spark.sparkContext.broadcast(fit(unit_rows(padded), n, threshold))  # bounded by the sample
 
     indexed = materialize(arrow_map(classes.select("id", "weight", "v"), functools.partial(_index_batches, model=model),
                                     ENTRY_SCHEMA), "quantise-index")
-    visits = indexed.select("id", "weight", "home", "vector", F.explode("visits").alias("list"))
-    # a row per list: blocks of members and of queries
-    size = indexed.groupBy(F.col("home").alias("list")).agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("m"))
-    asked = visits.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("q"))
-    blocks = F.broadcast(materialize(size.join(asked, "list"), "quantise-blocks"))  # a row per list of the model
+    visits = indexed.select("id", "weight", "home", "vector", F.explode("visits").alias("group"))
+    # a row per group: blocks of members and of queries
+    grouped = indexed.withColumn("group", F.expr(f"home div {GROUP_LISTS}").cast("int"))
+    size = grouped.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("m"))
+    asked = visits.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("q"))
+    blocks = F.broadcast(materialize(size.join(asked, "group"), "quantise-blocks"))  # a row per group of the model
     spread = F.xxhash64("id", F.lit(1))
-    members = indexed.withColumnRenamed("home", "list").join(blocks, "list").select(
-        "list", F.pmod(spread, "m").alias("mb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("q") - 1)).alias("qb"),
-        "id", "weight", "visits", "code", "rest", "vector")
-    queries = visits.join(blocks, "list").select(
-        "list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("mb"),
+    members = grouped.join(blocks, "group").select(
+        "group", F.pmod(spread, "m").alias("mb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("q") - 1)).alias("qb"),
+        "id", "weight", "home", "code", "rest", "vector")
+    queries = visits.join(blocks, "group").select(
+        "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("mb"),
         F.pmod(spread, "q").alias("qb"), "id", "weight", "home", "vector")
     queries = queries.toDF(*queries.columns)  # columns of its own, beside those of members
-    key = ["list", "mb", "qb"]
+    key = ["group", "mb", "qb"]
     found = materialize(members.groupBy(*key).cogroup(queries.groupBy(*key)).applyInArrow(
         functools.partial(_compare, model=model), "id long, n long, other long"), "quantise-links")
 

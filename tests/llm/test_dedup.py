@@ -171,6 +171,27 @@ def test_embeddings_match_brute_force(spark, monkeypatch):
     assert found == want
 
 
+@pytest.mark.parametrize("shape", ["mixed lengths", "few dimensions"])
+def test_embeddings_lose_no_link_at_list_borders(spark, monkeypatch, shape):
+    monkeypatch.setattr(quantise, "LIST_SIZE", 8)
+    rng = np.random.default_rng(6)
+    if shape == "few dimensions":  # two directions of 64 components
+        vectors = rng.normal(size=(400, 2)) @ rng.normal(size=(2, 64))
+    else:
+        vectors = rng.normal(size=(400, 8))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    if shape == "mixed lengths":
+        rows.append((400, [float(x) for x in rng.normal(size=1600)]))
+    full = np.zeros((len(rows), max(len(v) for _, v in rows)))
+    for i, v in rows:
+        full[i, : len(v)] = v
+    links = brute.cosine_links(full, 0.9)
+    root = brute.groups(len(rows), zip(*np.nonzero(links), strict=True))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in quantise.near_duplicates(frame).collect()}
+    assert links.any() and found == {i: (int(links[i].sum()), root[i]) for i in range(len(rows))}
+
+
 def test_embedding_edge_rows(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]),
