@@ -38,7 +38,6 @@ MAGIC, VERSION = b"RPID", 1
 HEADER = struct.Struct("<4sHHIQQQ")
 #: ids of a shard (a longer document makes a longer shard)
 SHARD_IDS = 1 << 21
-ROUNDS = 6
 #: pairs replaced in a round, and how often one must occur
 ROUND_PAIRS, LEAST_COUNT = 2048, 16
 
@@ -150,13 +149,15 @@ class Grammar:
         return out
 
 
-def compress(ids: np.ndarray, barrier: int, first: int, rounds: int = ROUNDS, round_pairs: int = ROUND_PAIRS,
+def compress(ids: np.ndarray, barrier: int, first: int, round_pairs: int = ROUND_PAIRS,
              least: int = LEAST_COUNT) -> Grammar:
-    """Grammar of ``ids``; no rule holds ``barrier``. ``first`` exceeds all ids."""
+    """Grammar of ``ids``; no rule holds ``barrier``. ``first`` exceeds all ids.
+
+    Rounds go on until no pair occurs ``least`` times or the symbols' width is full."""
     seq = ids.astype(np.uint32)
     rules, lengths = [], np.zeros(0, np.int64)
     room = max(0, (1 << 16) - first)  # symbols stay in 16 bits where the ids do
-    for _ in range(rounds):
+    while True:
         count = sum(map(len, rules))
         limit = min(round_pairs, room - count) if room else round_pairs
         pairs = replaced_pairs(seq, barrier, limit, least) if len(seq) > 1 and limit > 0 else []

@@ -93,6 +93,16 @@ def test_grammar_expands_exactly_and_by_ranges(seed):
     assert [len(shard.grammar.expand(np.array([101 + r]))) for r in range(len(lengths))] == lengths.tolist()
 
 
+def test_grammar_goes_on_until_no_pair_is_frequent():
+    passage = np.random.default_rng(3).permutation(np.arange(10, 510))
+    documents = [np.append(np.tile(passage, 4), 1).astype("<u4") for _ in range(20)]
+    grammar = repair.compress(np.concatenate(documents), 1, 1000)
+    symbols = grammar.symbols.tolist()
+    inner = [p for p in zip(symbols[:-1], symbols[1:], strict=True) if 1 not in p]
+    assert grammar.lengths.max() >= 500 and all(inner.count(p) < repair.LEAST_COUNT for p in set(inner))
+    assert grammar.expand(grammar.symbols).tolist() == np.concatenate(documents).tolist()
+
+
 def slow_cost(places, costs, capacity):
     best = [0.0] + [float("inf")] * (len(places) - 1)
     for j in range(1, len(places)):
