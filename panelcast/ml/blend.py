@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.ml.linear import RidgeModel
-from panelcast.ml.trees import TreeModel
+from panelcast.ml.model import FittedModel, model_kind
 from panelcast.operators.evaluation import inverse_mae_weights
 from panelcast.operators.forecasts import ENSEMBLE
 
@@ -22,9 +22,10 @@ def _weighted(columns: list[str], weights: list[float]):
     return total
 
 
+@model_kind("blend")
 @dataclass
-class BlendModel:
-    members: list[RidgeModel | TreeModel]
+class BlendModel(FittedModel):
+    members: list[FittedModel]
     weights: list[float]
     name: str = ENSEMBLE
     feature_cols: list[str] = field(default_factory=list)
@@ -35,7 +36,7 @@ class BlendModel:
             raise ValueError("members of a blend need the same features")
 
     @classmethod
-    def fit(cls, members: list[RidgeModel | TreeModel], val: DataFrame, target: str = "target") -> BlendModel:
+    def fit(cls, members: list[FittedModel], val: DataFrame, target: str = "target") -> BlendModel:
         """Weights from the members' validation MAE, in one aggregate."""
         scored = val
         for i, m in enumerate(members):
@@ -51,6 +52,14 @@ class BlendModel:
             df = m.transform(df, name)
         return df.withColumn(out, _weighted(names, self.weights)).drop(*names)
 
+    def with_interval(self, df: DataFrame, pred: str = "pred", lo: str = "lo", hi: str = "hi",
+                      confidence: float = 0.90) -> DataFrame:
+        names = [[f"_{k}{i}" for i in range(len(self.members))] for k in ("pred", "lo", "hi")]
+        for m, own in zip(self.members, zip(*names, strict=True), strict=True):
+            df = m.with_interval(df, *own, confidence=confidence)
+        blended = {out: _weighted(own, self.weights) for out, own in zip((pred, lo, hi), names, strict=True)}
+        return df.withColumns(blended).drop(*sum(names, []))
+
     def importance(self) -> list[tuple[str, float]]:
         """Weighted mean of the members' importances, each scaled to add up to 1."""
         total = dict.fromkeys(self.feature_cols, 0.0)
@@ -60,3 +69,25 @@ class BlendModel:
             for c, v in pairs:
                 total[c] += w * v / whole
         return sorted(total.items(), key=lambda t: (-t[1], t[0]))
+
+    def attributions(self, df: DataFrame, values: str = "shap_values", base: str = "base_value") -> DataFrame:
+        """The members' attributions, each added to the same row, weighted and summed."""
+        for i, m in enumerate(self.members):
+            df = m.attributions(df, f"_values{i}", f"_base{i}")
+        bases = [f"_base{i}" for i in range(len(self.members))]
+        keys = F.array(*[F.lit(c) for c in self.feature_cols])
+        sums = [sum((F.col(f"_values{i}")[c] * F.lit(w) for i, w in enumerate(self.weights)), F.lit(0.0))
+                for c in self.feature_cols]
+        out = df.withColumns({values: F.map_from_arrays(keys, F.array(*sums)), base: _weighted(bases, self.weights)})
+        return out.drop(*bases, *(f"_values{i}" for i in range(len(self.members))))
+
+    def member_models(self) -> list[FittedModel]:
+        return list(self.members)
+
+    def parts(self, spark: SparkSession) -> tuple[dict, dict[str, DataFrame]]:
+        return {"weights": self.weights}, {}
+
+    @classmethod
+    def from_parts(cls, name: str, feature_cols: list[str], info: dict, table: Callable[[str], DataFrame],
+                   members: list[FittedModel]) -> BlendModel:
+        return cls(members, info["weights"], name)

@@ -1,26 +1,28 @@
 """Pluggable forecasters and walk-forward cross-validation.
 
 A forecaster factory takes the feature columns and returns an object with
-``fit(train, val) -> fitted`` where ``fitted.transform(df, out)`` adds a
-prediction column. ``FORECASTERS`` maps model names to factories (unknown
-names raise). ``walk_forward_cv`` fits one model per fold of the plan (at
-most ``n_splits``, a driver loop over a bounded plan) and returns the
-validation metrics of every fold as one DataFrame (a union of per-fold
-aggregates).
+``fit(train, val) -> FittedModel``. ``FORECASTERS`` maps model names to
+factories (unknown names raise); ``register_forecaster`` adds one. A forecaster may also have
+``fit_folds(features, folds) -> models``, which fits all folds at once: the
+boosted trees of all folds grow in one call. Others are fitted fold by fold (at
+most ``n_splits``, a driver loop over a bounded plan). Validation metrics of all folds
+are one DataFrame.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.ml import trees
+from panelcast.ml.boosting import Setting, grow
 from panelcast.ml.linear import fit_ridge
-from panelcast.ml.trees import SEARCH_SPACE, fit_gbt_early_stopping, search_gbt
+from panelcast.ml.model import FittedModel
 from panelcast.operators.evaluation import metric_exprs
-from panelcast.operators.splits import SplitConfig, distinct_periods_list, plan_folds, split_rows
+from panelcast.operators.splits import Fold, SplitConfig, distinct_periods_list, plan_folds, split_rows
 
 
 @dataclass
@@ -28,35 +30,47 @@ class RidgeForecaster:
     cols: list[str]
     target: str = "target"
 
-    def fit(self, train: DataFrame, val: DataFrame):
+    def fit(self, train: DataFrame, val: DataFrame) -> FittedModel:
         return fit_ridge(train, self.cols, self.target)
 
 
 @dataclass
 class BoostedForecaster:
+    """The best of ``settings`` by validation RMSE (one setting: no search)."""
+
     cols: list[str]
+    name: str
+    settings: list[Setting]
     target: str = "target"
-    early_stopping: bool = True
-    params: dict | None = None
-    n_trials: int = 50
-    patience: int = 50
-    seed: int = 42
 
-    def fit(self, train: DataFrame, val: DataFrame):
-        if self.early_stopping:
-            return fit_gbt_early_stopping(train, val, self.cols, self.target, params=self.params,
-                                          patience=self.patience, seed=self.seed)
-        return search_gbt(train, val, self.cols, self.target, n_trials=self.n_trials,
-                          space=self.params or SEARCH_SPACE, seed=self.seed)
+    def fit(self, train: DataFrame, val: DataFrame) -> FittedModel:
+        return trees.search(train, val, self.cols, {self.name: self.settings}, self.target)[self.name]
+
+    def fit_folds(self, features: DataFrame, folds: Sequence[Fold], period: str = "period") -> list[FittedModel]:
+        learners = [replace(s, train_to=f.train_end, val_to=f.val_end) for f in folds for s in self.settings]
+        grown = grow(features, self.cols, learners, self.target, period)
+        out, n = [], len(self.settings)
+        for i in range(len(folds)):
+            mine = list(zip(grown[i * n : (i + 1) * n], learners[i * n : (i + 1) * n], strict=True))
+            best, setting = min(mine, key=lambda m: m[0].val_rmse[m[0].best_round])
+            out.append(trees.tree_model(self.name, self.cols, best, setting, n))
+        return out
 
 
 FORECASTERS: dict[str, Callable[..., object]] = {
-    "ridge": lambda cols, **kw: RidgeForecaster(list(cols), **kw),
-    "gbt": lambda cols, **kw: BoostedForecaster(list(cols), early_stopping=False, **kw),
-    "gbt_es": lambda cols, **kw: BoostedForecaster(list(cols), early_stopping=True, **kw),
+    "ridge": lambda cols, target="target": RidgeForecaster(list(cols), target),
+    "gbt": lambda cols, target="target", settings=None: BoostedForecaster(
+        list(cols), "gbt", settings or trees.level_settings(), target),
+    "gbt_es": lambda cols, target="target", settings=None: BoostedForecaster(
+        list(cols), "gbt_es", settings or [trees.DEFAULT_LEAF], target),
 }
 
 
+def register_forecaster(name: str, factory: Callable[..., object]) -> None:
+    """Make a forecaster known to training and cross-validation."""
+    FORECASTERS[name] = factory
+
+
 def forecaster(name: str, cols: Sequence[str], **kw):
     if name not in FORECASTERS:
         raise ValueError(f"unknown model {name!r}; expected one of {sorted(FORECASTERS)}")
@@ -69,22 +83,16 @@ def walk_forward_cv(
 ) -> DataFrame:
     """(fold, model, mae, rmse, r2, mape, directional_accuracy, n_samples) per fold.
 
-    Folds with an empty train or validation part are skipped, as are none in
-    practice (the plan never reaches past the last period)."""
+    The plan's periods come from the rows, so each fold has training and
+    validation rows."""
     folds = plan_folds(distinct_periods_list(features), n_splits, min_train, val)
-    fc = forecaster(model, cols, **model_kw)
-    parts = []
-    for f in folds:
-        cfg = SplitConfig(f.train_end, f.val_end)
-        train, val_rows = split_rows(features, "train", cfg), split_rows(features, "val", cfg)
-        if train.limit(1).count() == 0 or val_rows.limit(1).count() == 0:
-            continue
-        fitted = fc.fit(train, val_rows)
-        scored = fitted.transform(val_rows, "pred").select(F.col(target).alias("y"), "pred")
-        parts.append(scored.agg(*metric_exprs()).select(F.lit(f.fold).alias("fold"), F.lit(model).alias("model"), "*"))
-    if not parts:
-        raise ValueError("no fold has both training and validation rows")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    fc = forecaster(model, cols, target=target, **model_kw)
+    splits = [(split_rows(features, "train", cfg), split_rows(features, "val", cfg))
+              for cfg in (SplitConfig(f.train_end, f.val_end) for f in folds)]
+    fitted = fc.fit_folds(features, folds) if hasattr(fc, "fit_folds") else [fc.fit(*s) for s in splits]
+    out = None
+    for f, m, (_, rows) in zip(folds, fitted, splits, strict=True):
+        scored = m.transform(rows, "pred").select(F.col(target).alias("y"), "pred")
+        part = scored.agg(*metric_exprs()).select(F.lit(f.fold).alias("fold"), F.lit(model).alias("model"), "*")
+        out = part if out is None else out.unionByName(part)
     return out

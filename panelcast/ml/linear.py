@@ -14,15 +14,16 @@ folded into the coefficients): no vector assembly, no Python on the rows.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelcast.ml.model import FittedModel, model_kind
 from panelcast.ml.moments import gram_by_group
+from panelcast.operators.evaluation import z_value
 from panelcast.session import cut_lineage
 
 # Regularisation grid and number of CV folds.
@@ -30,8 +31,9 @@ ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0, 1000.0)
 N_FOLDS = 5
 
 
+@model_kind("ridge")
 @dataclass
-class RidgeModel:
+class RidgeModel(FittedModel):
     feature_cols: list[str]
     mean: list[float]
     scale: list[float]
@@ -66,6 +68,15 @@ class RidgeModel:
         pairs = [(c, abs(w)) for c, w in zip(self.feature_cols, self.coef)]
         return sorted(pairs, key=lambda t: (-t[1], t[0]))
 
+    def with_interval(self, df: DataFrame, pred: str = "pred", lo: str = "lo", hi: str = "hi",
+                      confidence: float = 0.90) -> DataFrame:
+        p, low, high = self.interval(z_value(confidence))
+        return df.withColumns({pred: p, lo: low, hi: high})
+
+    def attributions(self, df: DataFrame, values: str = "shap_values", base: str = "base_value") -> DataFrame:
+        contrib, start = self.attribution()
+        return df.withColumns({values: contrib, base: start})
+
     def attribution(self) -> tuple[Column, Column]:
         """Additive contributions ``coef_j * z_j`` (background = training mean,
         where z is 0) as a MAP<STRING, DOUBLE>, and the base value."""
@@ -74,12 +85,13 @@ class RidgeModel:
         return F.map_from_arrays(keys, vals), F.lit(self.intercept)
 
     # -- persistence -------------------------------------------------------
-    def to_json(self) -> str:
-        return json.dumps(asdict(self))
+    def parts(self, spark: SparkSession) -> tuple[dict, dict[str, DataFrame]]:
+        return asdict(self), {}
 
-    @staticmethod
-    def from_json(text: str) -> RidgeModel:
-        return RidgeModel(**json.loads(text))
+    @classmethod
+    def from_parts(cls, name: str, feature_cols: list[str], info: dict, table: Callable[[str], DataFrame],
+                   members: list[FittedModel]) -> RidgeModel:
+        return cls(**info)
 
 
 def standardisation(df: DataFrame, cols: Sequence[str]) -> tuple[list[float], list[float], int]:

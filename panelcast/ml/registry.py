@@ -1,10 +1,9 @@
 """Model registry on shared storage: ``{root}/{name}_v{version}/``.
 
-Each entry holds the model (Spark ML writer for trees, JSON for ridge) and
-a one-row JSON metadata table (tree interval parameters in ``extras``;
-quantile-boosting interval models are saved tree by tree under
-``lower/`` and ``upper/`` with their leaf values in ``extras``) (name, version, training_date, feature_cols,
-metrics split -> metric -> value, calibration_coverage). Everything is
+Each entry holds the model's tables (one row per node for trees), the entries of its member
+models and, written last, a one-row JSON metadata table (name, version, kind, training_date,
+feature_cols, metrics split -> metric -> value, calibration_coverage, and the model's numbers in ``extras``).
+The kind names the class (``model_kind``) that makes the model again. Everything is
 written with Spark writers, so ``root`` may be any Hadoop file system path
 (the default is a folder under ``spark.checkpoint.dir``).
 """
@@ -15,16 +14,15 @@ import datetime as dt
 import json
 import math
 
-from pyspark.ml.regression import GBTRegressionModel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, DoubleType, MapType, StringType, StructField, StructType,
 )
 
-from panelcast.ml.blend import BlendModel
-from panelcast.ml.linear import RidgeModel
-from panelcast.ml.trees import TreeModel
+from panelcast.ml import blend, linear, trees  # noqa: F401 - their model kinds
+from panelcast.ml.model import KINDS, FittedModel
 from panelcast.session import scratch_path
 
 METADATA_SCHEMA = StructType([
@@ -48,75 +46,39 @@ def entry_path(root: str, name: str, version: str) -> str:
 
 
 def save(
-    spark: SparkSession, root: str, model: RidgeModel | TreeModel | BlendModel, version: str,
+    spark: SparkSession, root: str, model: FittedModel, version: str,
     metrics: dict[str, dict[str, float]] | None = None, coverage: float | None = None,
 ) -> str:
+    """Write an entry; its metadata come last, so an entry that can be read is whole."""
     path = entry_path(root, model.name, version)
-    if isinstance(model, RidgeModel):
-        kind = "ridge"
-        spark.createDataFrame([(model.to_json(),)], "value STRING").coalesce(1).write.mode("overwrite").text(f"{path}/model")
-    elif isinstance(model, TreeModel):
-        kind = "gbt"
-        model.model.write().overwrite().save(f"{path}/model")
-    else:  # the members are entries inside the blend's
-        kind = "blend"
-        for m in model.members:
-            save(spark, f"{path}/members", m, version)
-    extras = None
-    if isinstance(model, BlendModel):
-        extras = json.dumps({"members": [m.name for m in model.members], "weights": model.weights})
-    if isinstance(model, TreeModel):
-        info = {"params": model.params, "val_rmse": model.val_rmse, "resid_q_lo": model.resid_q_lo,
-                "resid_q_hi": model.resid_q_hi, "val_residual_std": model.val_residual_std}
-        for side in ("lower", "upper"):
-            booster = getattr(model, side)
-            if booster is None:
-                continue
-            for k, tree in enumerate(booster.trees):
-                tree.write().overwrite().save(f"{path}/{side}/tree_{k}")
-            info[side] = {"alpha": booster.alpha, "init": booster.init, "learning_rate": booster.learning_rate,
-                          "n_trees": len(booster.trees),
-                          "leaf_values": [sorted(v.items()) for v in booster.leaf_values]}
-        extras = json.dumps(info)
-    meta = (model.name, version, kind, dt.datetime.now(dt.timezone.utc).isoformat(),
+    members = model.member_models()
+    for m in members:
+        save(spark, f"{path}/members", m, version)
+    info, tables = model.parts(spark)
+    for name, rows in tables.items():
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
+    extras = json.dumps({**info, "_members": [m.name for m in members]})
+    meta = (model.name, version, model.kind, dt.datetime.now(dt.timezone.utc).isoformat(),
             list(model.feature_cols), metrics or {}, coverage, extras)
     spark.createDataFrame([meta], METADATA_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
     return path
 
 
-def load(spark: SparkSession, root: str, name: str, version: str) -> tuple[RidgeModel | TreeModel | BlendModel, dict]:
-    """Model and its metadata; FileNotFoundError if the entry is missing."""
+def load(spark: SparkSession, root: str, name: str, version: str) -> tuple[FittedModel, dict]:
+    """Model and its metadata; FileNotFoundError if the entry is missing, ValueError if no class of its kind is known."""
     path = entry_path(root, name, version)
     try:
         meta = spark.read.schema(METADATA_SCHEMA).json(f"{path}/metadata").first()
-    except Exception as e:  # noqa: BLE001 - missing path surfaces as an analysis error
+    except AnalysisException as e:
         raise FileNotFoundError(path) from e
     if meta is None:
         raise FileNotFoundError(path)
-    if meta.kind == "ridge":
-        text = spark.read.text(f"{path}/model").first().value
-        model: RidgeModel | TreeModel | BlendModel = RidgeModel.from_json(text)
-    elif meta.kind == "blend":
-        info = json.loads(meta.extras)
-        members = [load(spark, f"{path}/members", m, version)[0] for m in info["members"]]
-        model = BlendModel(members, info["weights"], meta.name)
-    else:
-        extras = json.loads(meta.extras or "{}")
-        model = TreeModel(meta.name, list(meta.feature_cols), GBTRegressionModel.load(f"{path}/model"),
-                          extras.get("params", {}), extras.get("val_rmse"), extras.get("resid_q_lo", 0.0),
-                          extras.get("resid_q_hi", 0.0), extras.get("val_residual_std", 0.0))
-        for side in ("lower", "upper"):
-            info = extras.get(side)
-            if not info:
-                continue
-            from pyspark.ml.regression import DecisionTreeRegressionModel
-
-            from panelcast.ml.quantile import QuantileBooster
-
-            booster = QuantileBooster(info["alpha"], list(meta.feature_cols), info["init"], info["learning_rate"])
-            booster.trees = [DecisionTreeRegressionModel.load(f"{path}/{side}/tree_{k}") for k in range(info["n_trees"])]
-            booster.leaf_values = [{float(a): float(b) for a, b in pairs} for pairs in info["leaf_values"]]
-            setattr(model, side, booster)
+    if meta.kind not in KINDS:
+        raise ValueError(f"{path}: no class is known for models of kind {meta.kind!r}")
+    info = json.loads(meta.extras)
+    members = [load(spark, f"{path}/members", m, version)[0] for m in info.pop("_members")]
+    model = KINDS[meta.kind].from_parts(meta.name, list(meta.feature_cols), info,
+                                        lambda table: spark.read.parquet(f"{path}/{table}"), members)
     return model, meta.asDict(recursive=True)
 
 
@@ -141,7 +103,7 @@ def feature_set_matches(meta: dict, current: list[str]) -> bool:
     return list(meta.get("feature_cols") or []) == list(current)
 
 
-def load_best(spark: SparkSession, root: str, current: list[str]) -> tuple[RidgeModel | TreeModel | BlendModel, dict]:
+def load_best(spark: SparkSession, root: str, current: list[str]) -> tuple[FittedModel, dict]:
     """The entry with the lowest test RMSE, checked against the current
     features and with a row scored before it is handed out."""
     best = best_model(spark, root).first()
@@ -152,7 +114,7 @@ def load_best(spark: SparkSession, root: str, current: list[str]) -> tuple[Ridge
     return model, meta
 
 
-def dry_run(spark: SparkSession, model: RidgeModel | TreeModel | BlendModel) -> None:
+def dry_run(spark: SparkSession, model: FittedModel) -> None:
     """Score one row of zeros; errors if the model cannot score it or gives no finite number."""
     zeros = spark.range(1).select(*[F.lit(0.0).alias(c) for c in model.feature_cols])
     value = model.transform(zeros, "pred").select("pred").first()[0]

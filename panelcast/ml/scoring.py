@@ -1,41 +1,21 @@
 """Batch scoring of request tables with per-row error isolation.
 
-Valid rows are mapped to model inputs and scored by a column expression
-(ridge) or a Spark ML transform (trees); invalid rows go to an error table
+Valid rows are mapped to model inputs and scored by whatever the model is
+(``FittedModel``); invalid rows go to an error table
 ``(request_id, entity, detail)``. Nothing is collected: predictions,
-errors and counts are DataFrames. The validated requests are written once
-(a checkpoint), so that validation and windows run once for both tables.
+errors and counts are DataFrames. The validated requests are stored once, so that validation and windows run once for both tables.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.ml.blend import BlendModel
-from panelcast.ml.linear import RidgeModel
-from panelcast.ml.trees import TreeModel
+from panelcast.ml.model import FittedModel
 from panelcast.operators import requests as rq
-from panelcast.operators.evaluation import z_value
-from panelcast.session import cut_lineage
-
-ModelLike = RidgeModel | TreeModel | BlendModel
-
-
-def _predict(df: DataFrame, model: ModelLike, confidence: float) -> DataFrame:
-    """Adds pred, lo, hi."""
-    if isinstance(model, RidgeModel):
-        p, lo, hi = model.interval(z_value(confidence))
-        return df.withColumns({"pred": p, "lo": lo, "hi": hi})
-    if isinstance(model, TreeModel):
-        return model.with_bounds(model.transform(df, "pred"), "pred", "lo", "hi")
-    for i, m in enumerate(model.members):
-        df = _predict(df, m, confidence).withColumnsRenamed({k: f"_{k}{i}" for k in ("pred", "lo", "hi")})
-    blended = {k: sum((F.col(f"_{k}{i}") * F.lit(w) for i, w in enumerate(model.weights)), F.lit(0.0))
-               for k in ("pred", "lo", "hi")}
-    return df.withColumns(blended).drop(*(f"_{k}{i}" for k in blended for i in range(len(model.members))))
+from panelcast.session import stored
 
 
 def error_table(invalid: DataFrame) -> DataFrame:
@@ -43,12 +23,12 @@ def error_table(invalid: DataFrame) -> DataFrame:
 
 
 def score_vector_requests(
-    requests: DataFrame, model: ModelLike, vocabulary: Sequence[str], *,
+    requests: DataFrame, model: FittedModel, vocabulary: Sequence[str], *,
     model_name: str = "ridge", model_version: str = "1", confidence: float = 0.90,
 ) -> tuple[DataFrame, DataFrame]:
     """(predictions, errors) for flat feature-vector requests."""
-    valid, invalid = rq.split_valid(cut_lineage(rq.validate_vector(requests, vocabulary)))
-    scored = _predict(rq.map_vector_request(valid, vocabulary), model, confidence)
+    valid, invalid = rq.split_valid(stored(rq.validate_vector(requests, vocabulary), "requests"))
+    scored = model.with_interval(rq.map_vector_request(valid, vocabulary), confidence=confidence)
     year, quarter = rq.next_year_quarter(F.col("year"), F.col("quarter"))
     preds = scored.select(
         "request_id", "entity", year.alias("year"), quarter.alias("quarter"),
@@ -59,18 +39,18 @@ def score_vector_requests(
 
 
 def score_raw_requests(
-    requests: DataFrame, model: ModelLike, vocabulary: Sequence[str], *,
+    requests: DataFrame, model: FittedModel, vocabulary: Sequence[str], *,
     model_name: str = "ridge", model_version: str = "1", confidence: float = 0.90,
 ) -> tuple[DataFrame, DataFrame]:
     """Histories -> panel -> features -> last complete row -> next quarter.
 
     Requests whose history yields no complete feature row become errors."""
-    valid, invalid = rq.split_valid(cut_lineage(rq.validate_raw(requests, vocabulary)))
+    valid, invalid = rq.split_valid(stored(rq.validate_raw(requests, vocabulary), "requests"))
     # each valid request once: with its latest complete row, or without features
     latest = rq.raw_latest_features(valid, vocabulary).withColumn("_complete", F.lit(True))
     asked = valid.select("request_id", F.col("entity").alias("_entity")).join(latest, "request_id", "left")
-    asked = cut_lineage(asked)
-    scored = _predict(asked.where("_complete"), model, confidence)
+    asked = stored(asked, "asked")
+    scored = model.with_interval(asked.where("_complete"), confidence=confidence)
     preds = scored.select(
         "request_id", "entity",
         (F.floor(F.col("predict_period") / 4)).cast("int").alias("year"),
@@ -94,67 +74,19 @@ def batch_counts(preds: DataFrame, errors: DataFrame) -> DataFrame:
     return marks.agg(F.sum("ok").cast("long").alias("success_count"), F.sum("bad").cast("long").alias("error_count"))
 
 
-def explain_ridge(scored_inputs: DataFrame, model: RidgeModel) -> DataFrame:
-    """M20 for ridge: contributions (6 dp) and base = pred - sum(contributions) (4 dp)."""
-    contrib, _ = model.attribution()
-    pred = model.prediction()
-    out = scored_inputs.withColumns({"pred": pred, "contrib": contrib})
-    total = F.aggregate(F.map_values("contrib"), F.lit(0.0), lambda acc, v: acc + v)
-    return out.withColumns({
-        "base_value": F.round(F.col("pred") - total, 4),
-        "shap_values": F.transform_values("contrib", lambda k, v: F.round(v, 6)),
-    }).drop("contrib")
-
-
-def explain_trees(inputs: DataFrame, model: TreeModel, keys: list[str]) -> DataFrame:
-    """M20 for boosted trees: Tree SHAP contributions (6 dp), base value
-    (4 dp) and the rounded prediction; sum + base equals the prediction."""
-    from panelcast.ml.treeshap import explain_gbt
-
-    ex = explain_gbt(inputs, model.model, model.feature_cols, keys)
-    total = F.aggregate(F.map_values("shap_values"), F.lit(0.0), lambda acc, v: acc + v)
-    return ex.select(
-        *keys, F.round(F.col("base_value") + total, 4).alias("predicted_qoq_pct_change"),
-        F.round("base_value", 4).alias("base_value"),
-        F.transform_values("shap_values", lambda k, v: F.round(v, 6)).alias("shap_values"),
-    )
-
-
-def _scaled(values: Column, weight: float) -> Column:
-    return F.transform_values(values, lambda k, v: v * F.lit(weight))
-
-
-def _attributions(inputs: DataFrame, model: ModelLike, keys: list[str]) -> DataFrame:
-    """(keys..., base_value, shap_values), unrounded; contributions add up to prediction - base."""
-    if isinstance(model, RidgeModel):
-        contrib, base = model.attribution()
-        return inputs.select(*keys, base.alias("base_value"), contrib.alias("shap_values"))
-    if isinstance(model, TreeModel):
-        from panelcast.ml.treeshap import explain_gbt
-
-        return explain_gbt(inputs, model.model, model.feature_cols, keys)
-    total = None
-    for m, w in zip(model.members, model.weights, strict=True):
-        part = _attributions(inputs, m, keys).select(
-            *keys, (F.col("base_value") * F.lit(w)).alias("base_value"),
-            _scaled(F.col("shap_values"), w).alias("shap_values"))
-        if total is None:
-            total = part
-            continue
-        other = part.withColumnsRenamed({"base_value": "_base", "shap_values": "_values"})
-        total = total.join(other, keys).select(
-            *keys, (F.col("base_value") + F.col("_base")).alias("base_value"),
-            F.map_zip_with("shap_values", "_values", lambda k, a, b: a + b).alias("shap_values"))
-    return total
-
-
-def explain(inputs: DataFrame, model: ModelLike, keys: list[str]) -> DataFrame:
+def explain(inputs: DataFrame, model: FittedModel, keys: list[str]) -> DataFrame:
     """M20 for any model: the rounded prediction, base value (4 dp) and
-    contributions (6 dp); ``gap`` is prediction - base - sum of contributions (6 dp, 0 if they add up)."""
-    ex = _attributions(inputs, model, keys)
-    scored = model.transform(inputs, "pred").select(*keys, "pred")
+    contributions (6 dp); ``gap`` is prediction - base - sum of contributions (6 dp, 0 if they add up).
+    Every input row gives one row, also if its keys repeat."""
+    out = model.attributions(model.transform(inputs, "pred"))
     total = F.aggregate(F.map_values("shap_values"), F.lit(0.0), lambda acc, v: acc + v)
-    return scored.join(ex, keys).select(
+    return out.select(
         *keys, F.round("pred", 4).alias("predicted_qoq_pct_change"), F.round("base_value", 4).alias("base_value"),
         F.transform_values("shap_values", lambda k, v: F.round(v, 6)).alias("shap_values"),
         F.round(F.abs(F.col("pred") - F.col("base_value") - total), 6).alias("gap"))
+
+
+def contribution_rows(explained: DataFrame, keys: list[str]) -> DataFrame:
+    """The contributions of ``explain`` as rows (keys..., feature, contribution, base value, prediction, gap)."""
+    rest = [c for c in explained.columns if c not in keys and c != "shap_values"]
+    return explained.select(*keys, F.explode("shap_values").alias("feature", "contribution"), *rest)

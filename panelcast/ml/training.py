@@ -1,8 +1,9 @@
 """Training job: split, fit, score every row, evaluate, blend.
 
 The feature matrix should be persisted (or checkpointed) by the caller:
-every fit re-reads only the train/val rows. Scoring is one narrow
-projection per model over the whole matrix; evaluation of all models and
+every fit re-reads only the train/val rows. The trials of both boosted
+models grow in one call, then the quantile models of both winners in a
+second one. Scoring is one pass per model over the whole matrix; evaluation of all models and
 splits is a single grouped aggregate of the long prediction frame.
 """
 
@@ -14,19 +15,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.ml import trees
 from panelcast.ml.blend import BlendModel
-from panelcast.ml.linear import RidgeModel, fit_ridge, with_val_std
-from panelcast.ml.trees import SEARCH_SPACE, TreeModel, assembler, calibrate, fit_gbt_early_stopping, search_gbt
-from panelcast.operators.evaluation import inverse_mae_weights, metric_exprs, z_value
+from panelcast.ml.cv import forecaster
+from panelcast.ml.linear import fit_ridge, with_val_std
+from panelcast.ml.model import FittedModel
+from panelcast.operators.evaluation import inverse_mae_weights, metric_exprs
 from panelcast.operators.forecasts import ENSEMBLE, stack
 from panelcast.operators.splits import SplitConfig, split_label, split_rows
 
 KNOWN_MODELS = ("ridge", "gbt", "gbt_es")
+BOOSTED = ("gbt", "gbt_es")
 
 
 @dataclass
 class TrainingResult:
-    models: dict[str, RidgeModel | TreeModel]
+    models: dict[str, FittedModel]
     weights: dict[str, float]
     frame: DataFrame           # long: model, split, entity, period, y, pred, lo, hi
     metrics: DataFrame         # model x split metrics
@@ -35,63 +39,42 @@ class TrainingResult:
 
 def fit_models(
     features: DataFrame, cfg: SplitConfig, cols: Sequence[str], models: Sequence[str] = KNOWN_MODELS, *,
-    target: str = "target", n_trials: int = 50, space: dict = SEARCH_SPACE, seed: int = 42,
-    es_params: dict | None = None, patience: int = 50, confidence: float = 0.90,
-    tree_intervals: str = "quantile", quantile_rounds: int | None = None, parallelism: int = 1,
-    timeout_seconds: float | None = None,
-) -> dict[str, RidgeModel | TreeModel]:
-    """Fit the requested models. Boosted trees get quantile-boosting interval
-    models (``tree_intervals='quantile'``, lower/upper pinball loss on the
-    training rows, with the point model's tree count, depth, step, leaf size and
-    subsampling; ``quantile_rounds`` overrides the tree count) or
-    split-conformal bounds (``'conformal'``). All search trials run unless
-    ``timeout_seconds`` is given."""
-    unknown = [m for m in models if m not in KNOWN_MODELS]
-    if unknown:
-        raise ValueError(f"unknown model(s) {unknown}; expected {KNOWN_MODELS}")
+    target: str = "target", n_trials: int = trees.N_TRIALS, level_space: dict = trees.LEVEL_SPACE,
+    leaf_space: dict = trees.LEAF_SPACE, seed: int = 42, patience: int = trees.PATIENCE, confidence: float = 0.90,
+    tree_intervals: str = "quantile",
+) -> dict[str, FittedModel]:
+    """Fit the requested models: ridge, the boosted ones (searched together), and any other name known to
+    ``cv.FORECASTERS``. Boosted trees get quantile interval
+    models (``tree_intervals='quantile'``, with all of the winner's settings) or
+    split-conformal bounds (``'conformal'``)."""
     train, val = split_rows(features, "train", cfg), split_rows(features, "val", cfg)
-    fitted: dict[str, RidgeModel | TreeModel] = {}
+    makers = {m: forecaster(m, cols, target=target) for m in models if m not in KNOWN_MODELS}
+    settings = {"gbt": lambda: trees.level_settings(n_trials, seed, level_space),
+                "gbt_es": lambda: trees.leaf_settings(n_trials, seed, leaf_space, patience)}
+    boosted = {}
+    if any(m in BOOSTED for m in models):
+        boosted = trees.search(train, val, cols, {m: settings[m]() for m in models if m in BOOSTED}, target)
+        for m in boosted.values():
+            trees.calibrate(m, val, target, confidence)
+        if tree_intervals == "quantile":
+            trees.fit_bounds(train, list(boosted.values()), target, confidence=confidence)
+    fitted: dict[str, FittedModel] = {}
     for name in models:
         if name == "ridge":
             fitted[name] = with_val_std(fit_ridge(train, cols, target), val, target)
-        elif name == "gbt":
-            fitted[name] = calibrate(search_gbt(train, val, cols, target, n_trials=n_trials, space=space, seed=seed,
-                                                parallelism=parallelism, timeout_seconds=timeout_seconds),
-                                     val, target, confidence)
         else:
-            fitted[name] = calibrate(fit_gbt_early_stopping(train, val, cols, target, params=es_params,
-                                                            patience=patience, seed=seed), val, target, confidence)
-        if name != "ridge" and tree_intervals == "quantile":
-            from panelcast.ml.quantile import fit_interval_models
-
-            tuned = fitted[name].params
-            fitted[name].lower, fitted[name].upper = fit_interval_models(
-                train, cols, target, confidence=confidence, seed=seed,
-                n_rounds=quantile_rounds or int(tuned.get("maxIter", 100)), max_depth=int(tuned.get("maxDepth", 3)),
-                learning_rate=float(tuned.get("stepSize", 0.1)),
-                min_instances=int(tuned.get("minInstancesPerNode", 1)),
-                subsampling_rate=float(tuned.get("subsamplingRate", 1.0)))
+            fitted[name] = boosted[name] if name in boosted else makers[name].fit(train, val)
     return fitted
 
 
 def wide_scores(
-    features: DataFrame, cfg: SplitConfig, fitted: dict[str, RidgeModel | TreeModel], *,
+    features: DataFrame, cfg: SplitConfig, fitted: dict[str, FittedModel], *,
     target: str = "target", confidence: float = 0.90,
 ) -> DataFrame:
     """(entity, period, split, y, pred_m, lo_m, hi_m ...) for every fitted model."""
-    z = z_value(confidence)
     df = features
-    trees = [m for m in fitted.values() if isinstance(m, TreeModel)]
-    if trees:
-        df = assembler(trees[0].feature_cols).transform(df)
-    cols = {}
     for name, m in fitted.items():
-        if isinstance(m, RidgeModel):
-            p, lo, hi = m.interval(z)
-            cols.update({f"pred_{name}": p, f"lo_{name}": lo, f"hi_{name}": hi})
-        else:
-            df = m.with_bounds(m.transform(df, f"pred_{name}"), f"pred_{name}", f"lo_{name}", f"hi_{name}")
-    df = df.withColumns(cols)
+        df = m.with_interval(df, f"pred_{name}", f"lo_{name}", f"hi_{name}", confidence)
     keep = [c for name in fitted for c in (f"pred_{name}", f"lo_{name}", f"hi_{name}")]
     return df.select("entity", "period", split_label(cfg).alias("split"), F.col(target).alias("y"), *keep)
 
@@ -125,7 +108,7 @@ def train_and_evaluate(
     wide = wide_scores(features, cfg, fitted, confidence=confidence)
     names = list(fitted)
     weights: dict[str, float] = {}
-    members = [m for m in ("gbt", "gbt_es") if m in fitted]
+    members = [m for m in BOOSTED if m in fitted]
     if ensemble and len(members) == 2:
         wide, weights = add_ensemble(wide, members)
         names.append(ENSEMBLE)

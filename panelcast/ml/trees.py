@@ -1,183 +1,193 @@
-"""Gradient-boosted trees on Spark ML with a seeded random search.
-
-* ``search_gbt``: sample hyper-parameters (seeded, log-uniform step size),
-  fit ``GBTRegressor(lossType='squared')`` on the cached training vectors,
-  score RMSE on the cached validation vectors, keep the best.
-* ``fit_gbt_early_stopping``: fit ``max_iter`` trees, read the validation
-  loss of every prefix with ``evaluateEachIteration`` and stop after
-  ``patience`` rounds without improvement; refit with the best tree count
-  and the same seed.
-* Intervals: split-conformal quantiles of the validation residuals
-  (Spark ML has no quantile loss); see README.
+"""Boosted trees: searches over sampled settings, early stopping, quantile bounds.
+
+All learners of a call are grown in lock step (``panelcast.ml.boosting``):
+
+* ``level_settings``: the first boosted model, grown level by level; each
+  trial runs all its rounds, the best validation RMSE wins.
+* ``leaf_settings``: the second one, grown best gain first up to a number of
+  leaves; each trial stops after 50 rounds without gain and keeps its best round.
+* ``fit_bounds``: lower and upper quantile models with the settings of the
+  point models, all in one call.
+
+Settings are drawn up front from a seeded generator and the winner is the
+least (RMSE, trial), so the same seed gives the same model.
 """
 
 from __future__ import annotations
 
 import math
 import random
-import time
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-VECTOR = "features_vec"
+from panelcast.ml import treeshap
+from panelcast.ml.boosting import Grown, Setting, grow
+from panelcast.ml.forest import Forest, scores
+from panelcast.ml.model import FittedModel, model_kind
 
-# Search ranges of the boosted-tree models.
-SEARCH_SPACE = {
-    "max_iter": (100, 800),
-    "max_depth": (3, 7),
-    "step_size": (1e-3, 0.3),
-    "subsampling_rate": (0.6, 1.0),
-    "feature_fraction": (0.6, 1.0),
-    "min_instances_per_node": (1, 10),
+# Search ranges of the boosted-tree models. Ranges of ``LOGARITHMIC`` are drawn on a log scale.
+LEVEL_SPACE = {
+    "rounds": (100, 800), "depth": (3, 7), "step": (1e-3, 0.3), "row_share": (0.6, 1.0),
+    "feature_share": (0.6, 1.0), "least_rows": (1, 10), "l1": (1e-8, 10.0), "l2": (1e-8, 10.0),
 }
+LEAF_SPACE = {
+    "rounds": (100, 1000), "depth": (3, 8), "step": (1e-3, 0.3), "leaves": (15, 127), "row_share": (0.6, 1.0),
+    "feature_share": (0.6, 1.0), "least_rows": (5, 50), "l1": (1e-8, 10.0), "l2": (1e-8, 10.0),
+}
+LOGARITHMIC = ("step", "l1", "l2")
+N_TRIALS = 50
+PATIENCE = 50
+#: the early-stopped model where no search is asked for
+DEFAULT_LEAF = Setting(rounds=200, depth=4, step=0.05, patience=PATIENCE)
 
 
-def assembler(cols: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(cols), outputCol=VECTOR, handleInvalid="error")
-
-
+@model_kind("boosted")
 @dataclass
-class TreeModel:
+class TreeModel(FittedModel):
     name: str
     feature_cols: list[str]
-    model: GBTRegressionModel
+    forest: Forest
     params: dict = field(default_factory=dict)
     val_rmse: float | None = None
     resid_q_lo: float = 0.0
     resid_q_hi: float = 0.0
     val_residual_std: float = 0.0
-    lower: object | None = None   # QuantileBooster for the lower bound (else conformal)
-    upper: object | None = None
+    lower: Forest | None = None   # quantile models of the bounds (else conformal)
+    upper: Forest | None = None
 
     def transform(self, df: DataFrame, out: str = "pred") -> DataFrame:
-        """Adds ``out``; assembles the vector only if it is missing."""
-        if VECTOR not in df.columns:
-            df = assembler(self.feature_cols).transform(df)
-        return self.model.copy().setPredictionCol(out).transform(df)
-
-    def bounds(self, pred: Column) -> tuple[Column, Column]:
-        """Conformal bounds from validation residual quantiles."""
-        return pred + F.lit(self.resid_q_lo), pred + F.lit(self.resid_q_hi)
+        return scores(df, {out: self.forest})
 
-    def with_bounds(self, df: DataFrame, pred: str, lo: str, hi: str) -> DataFrame:
-        """Adds ``lo``/``hi``: quantile-model bounds when fitted, else conformal."""
+    def with_interval(self, df: DataFrame, pred: str = "pred", lo: str = "lo", hi: str = "hi",
+                      confidence: float = 0.90) -> DataFrame:
+        """Bounds of the quantile models if they were fitted, else the validation residuals' quantiles around
+        the prediction; both hold for the confidence that the model was fitted with."""
         if self.lower is not None and self.upper is not None:
-            return self.upper.transform(self.lower.transform(df, lo), hi)
-        b_lo, b_hi = self.bounds(F.col(pred))
-        return df.withColumns({lo: b_lo, hi: b_hi})
+            return scores(df, {pred: self.forest, lo: self.lower, hi: self.upper})
+        df = self.transform(df, pred)
+        return df.withColumns({lo: F.col(pred) + F.lit(self.resid_q_lo), hi: F.col(pred) + F.lit(self.resid_q_hi)})
 
     def importance(self) -> list[tuple[str, float]]:
-        imp = self.model.featureImportances.toArray()
-        return sorted(zip(self.feature_cols, [float(v) for v in imp]), key=lambda t: (-t[1], t[0]))
-
-
-def sample_params(rng: random.Random, space: dict = SEARCH_SPACE) -> dict:
-    lo, hi = space["step_size"]
-    return {
-        "maxIter": rng.randint(*space["max_iter"]),
-        "maxDepth": rng.randint(*space["max_depth"]),
-        "stepSize": math.exp(rng.uniform(math.log(lo), math.log(hi))),
-        "subsamplingRate": rng.uniform(*space["subsampling_rate"]),
-        "featureSubsetStrategy": f"{rng.uniform(*space['feature_fraction']):.3f}",
-        "minInstancesPerNode": rng.randint(*space["min_instances_per_node"]),
-    }
-
-
-def _gbt(params: dict, seed: int, target: str) -> GBTRegressor:
-    return GBTRegressor(featuresCol=VECTOR, labelCol=target, lossType="squared", seed=seed, **params)
-
-
-def _rmse(model: GBTRegressionModel, val_vec: DataFrame, target: str) -> float:
-    r = F.col(target) - F.col("prediction")
-    return float(model.transform(val_vec).agg(F.sqrt(F.avg(r * r))).first()[0])
-
-
-def search_gbt(
-    train: DataFrame, val: DataFrame, cols: Sequence[str], target: str = "target", *,
-    n_trials: int = 50, seed: int = 42, space: dict = SEARCH_SPACE, name: str = "gbt",
-    timeout_seconds: float | None = None, parallelism: int = 1,
-) -> TreeModel:
-    """Best of ``n_trials`` sampled configurations by validation RMSE.
-
-    Configurations are drawn up front from a seeded generator and the winner
-    is chosen by (RMSE, trial index), so ``parallelism`` > 1 (concurrent fits
-    from driver threads, each its own Spark jobs) changes wall time only.
-    All trials run unless ``timeout_seconds`` is given: then no new trial
-    starts once they have passed (one always runs). ``params['trials']`` of the result
-    says how many were fitted.
-    """
-    asm = assembler(cols)
-    tr = asm.transform(train).select(VECTOR, target).persist()
-    va = asm.transform(val).select(VECTOR, target).persist()
-    rng = random.Random(seed)
-    candidates = [sample_params(rng, space) for _ in range(n_trials)]
-    started = time.monotonic()
-
-    def trial(i: int):
-        if i > 0 and timeout_seconds is not None and time.monotonic() - started > timeout_seconds:
-            return None
-        model = _gbt(candidates[i], seed, target).fit(tr)
-        return _rmse(model, va, target), i, model
-
-    try:
-        if parallelism <= 1:
-            results = [trial(i) for i in range(n_trials)]
+        return self.forest.importance()
+
+    def attributions(self, df: DataFrame, values: str = "shap_values", base: str = "base_value") -> DataFrame:
+        return treeshap.attributions(df, self.forest, values, base)
+
+    def parts(self, spark: SparkSession) -> tuple[dict, dict[str, DataFrame]]:
+        forests = {"point": self.forest, "lower": self.lower, "upper": self.upper}
+        info = {"params": self.params, "val_rmse": self.val_rmse, "resid_q_lo": self.resid_q_lo,
+                "resid_q_hi": self.resid_q_hi, "val_residual_std": self.val_residual_std,
+                "init": {k: f.init for k, f in forests.items() if f is not None}}
+        return info, {k: f.table(spark) for k, f in forests.items() if f is not None}
+
+    @classmethod
+    def from_parts(cls, name: str, feature_cols: list[str], info: dict, table: Callable[[str], DataFrame],
+                   members: list[FittedModel]) -> TreeModel:
+        forests = {k: Forest.from_table(table(k), feature_cols, init) for k, init in info["init"].items()}
+        return cls(name, list(feature_cols), forests["point"], info["params"], info["val_rmse"], info["resid_q_lo"],
+                   info["resid_q_hi"], info["val_residual_std"], forests.get("lower"), forests.get("upper"))
+
+
+# -- settings -----------------------------------------------------------------
+
+
+def sample_setting(rng: random.Random, space: dict, **fixed) -> Setting:
+    drawn = {}
+    for name, (low, high) in space.items():
+        if name in LOGARITHMIC:
+            drawn[name] = math.exp(rng.uniform(math.log(low), math.log(high)))
         else:
-            from concurrent.futures import ThreadPoolExecutor
-
-            with ThreadPoolExecutor(max_workers=parallelism) as pool:
-                results = list(pool.map(trial, range(n_trials)))
-        done = [r for r in results if r is not None]
-        score, i, model = min(done, key=lambda r: (r[0], r[1]))
-        return TreeModel(name, list(cols), model, {**candidates[i], "trials": len(done)}, score)
-    finally:
-        tr.unpersist()
-        va.unpersist()
-
-
-def best_prefix(errors: Sequence[float], patience: int) -> int:
-    """Number of trees at the lowest validation loss, scanning until
-    ``patience`` rounds pass without a new minimum."""
-    best_i, best_e = 0, math.inf
-    for i, e in enumerate(errors):
-        if e < best_e:
-            best_i, best_e = i, e
-        elif i - best_i >= patience:
-            break
-    return best_i + 1
-
-
-def fit_gbt_early_stopping(
-    train: DataFrame, val: DataFrame, cols: Sequence[str], target: str = "target", *,
-    params: dict | None = None, patience: int = 50, seed: int = 42, name: str = "gbt_es",
-) -> TreeModel:
-    asm = assembler(cols)
-    tr = asm.transform(train).select(VECTOR, target).persist()
-    va = asm.transform(val).select(VECTOR, target).persist()
-    try:
-        params = dict(params or {"maxIter": 200, "maxDepth": 4, "stepSize": 0.05})
-        full = _gbt(params, seed, target).fit(tr)
-        errors = full.evaluateEachIteration(va, "squared")
-        n_best = best_prefix(errors, patience)
-        model = full if n_best == params["maxIter"] else _gbt({**params, "maxIter": n_best}, seed, target).fit(tr)
-        params["maxIter"] = n_best
-        return TreeModel(name, list(cols), model, params, _rmse(model, va, target))
-    finally:
-        tr.unpersist()
-        va.unpersist()
+            drawn[name] = rng.randint(low, high) if isinstance(low, int) else rng.uniform(low, high)
+    return Setting(**drawn, **fixed)
+
+
+def level_settings(n_trials: int = N_TRIALS, seed: int = 42, space: dict = LEVEL_SPACE) -> list[Setting]:
+    rng = random.Random(seed)
+    return [sample_setting(rng, space, seed=seed) for _ in range(n_trials)]
+
+
+def leaf_settings(n_trials: int = N_TRIALS, seed: int = 42, space: dict = LEAF_SPACE,
+                  patience: int = PATIENCE) -> list[Setting]:
+    rng = random.Random(seed)
+    return [sample_setting(rng, space, seed=seed, patience=patience) for _ in range(n_trials)]
+
+
+# -- fits ---------------------------------------------------------------------
+
+
+def staged(train: DataFrame, val: DataFrame | None, cols: Sequence[str], target: str) -> DataFrame:
+    """Training rows (stage 0) and validation rows (stage 1) as one frame."""
+    rows = train.select(*cols, target, F.lit(0).alias("stage"))
+    if val is None:
+        return rows
+    return rows.unionByName(val.select(*cols, target, F.lit(1).alias("stage")))
+
+
+def tree_model(name: str, cols: Sequence[str], grown: Grown, setting: Setting, trials: int = 1) -> TreeModel:
+    params = {**asdict(setting), "trees": grown.forest.n_trees, "trials": trials}
+    return TreeModel(name, list(cols), grown.forest, params, grown.val_rmse[grown.best_round])
+
+
+def search(train: DataFrame, val: DataFrame, cols: Sequence[str], searches: dict[str, list[Setting]],
+           target: str = "target") -> dict[str, TreeModel]:
+    """The best trial of each search by (validation RMSE, trial); all trials of all searches grow in one call."""
+    trials = [(name, s) for name, settings in searches.items() for s in settings]
+    grown = grow(staged(train, val, cols, target), cols, [s for _, s in trials], target)
+    out = {}
+    for name, settings in searches.items():
+        mine = [(g.val_rmse[g.best_round], i, g, s) for i, ((n, s), g) in enumerate(zip(trials, grown, strict=True))
+                if n == name]
+        _, _, best, setting = min(mine, key=lambda m: m[:2])
+        out[name] = tree_model(name, cols, best, setting, len(settings))
+    return out
+
+
+def search_gbt(train: DataFrame, val: DataFrame, cols: Sequence[str], target: str = "target", *,
+               n_trials: int = N_TRIALS, seed: int = 42, space: dict = LEVEL_SPACE, name: str = "gbt") -> TreeModel:
+    """Best of ``n_trials`` sampled settings, grown level by level."""
+    return search(train, val, cols, {name: level_settings(n_trials, seed, space)}, target)[name]
+
+
+def search_gbt_early_stopping(train: DataFrame, val: DataFrame, cols: Sequence[str], target: str = "target", *,
+                              n_trials: int = N_TRIALS, seed: int = 42, space: dict = LEAF_SPACE,
+                              patience: int = PATIENCE, name: str = "gbt_es") -> TreeModel:
+    """Best of ``n_trials`` sampled settings, grown leaf first and stopped early."""
+    return search(train, val, cols, {name: leaf_settings(n_trials, seed, space, patience)}, target)[name]
+
+
+def fit_gbt_early_stopping(train: DataFrame, val: DataFrame, cols: Sequence[str], target: str = "target", *,
+                           setting: Setting = DEFAULT_LEAF, name: str = "gbt_es") -> TreeModel:
+    """One early-stopped setting without a search."""
+    return search(train, val, cols, {name: [setting]}, target)[name]
+
+
+def fit_quantiles(train: DataFrame, cols: Sequence[str], settings: Sequence[Setting],
+                  target: str = "target") -> list[Forest]:
+    """Forests for settings with a quantile loss, grown together."""
+    return [g.forest for g in grow(staged(train, None, cols, target), cols, settings, target)]
+
+
+def fit_bounds(train: DataFrame, models: Sequence[TreeModel], target: str = "target", *,
+               confidence: float = 0.90) -> None:
+    """Give each model its lower and upper quantile forests: ((1-c)/2, (1+c)/2), with all of its tuned settings
+    and all its rounds."""
+    keep = ("rounds", "step", "depth", "leaves", "least_rows", "row_share", "feature_share", "l1", "l2", "seed")
+    tuned = [Setting(**{k: m.params[k] for k in keep}) for m in models]
+    settings = [replace(s, quantile=q) for s in tuned for q in ((1 - confidence) / 2, (1 + confidence) / 2)]
+    forests = fit_quantiles(train, models[0].feature_cols, settings, target) if models else []
+    for i, m in enumerate(models):
+        m.lower, m.upper = forests[2 * i], forests[2 * i + 1]
 
 
 def calibrate(model: TreeModel, val: DataFrame, target: str = "target", confidence: float = 0.90) -> TreeModel:
     """Residual quantiles ((1-c)/2, (1+c)/2) and population std on validation rows."""
-    scored = model.transform(val, "pred")
     r = F.col(target) - F.col("pred")
     qs = [(1 - confidence) / 2, (1 + confidence) / 2]
-    row = scored.agg(F.percentile_approx(r, qs, 100000).alias("q"), F.stddev_pop(r).alias("sd")).first()
+    row = model.transform(val, "pred").agg(
+        F.percentile_approx(r, qs, 100000).alias("q"), F.stddev_pop(r).alias("sd")).first()
     if row.q is not None:
         model.resid_q_lo, model.resid_q_hi = float(row.q[0]), float(row.q[1])
     model.val_residual_std = float(row.sd or 0.0)

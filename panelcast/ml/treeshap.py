@@ -1,189 +1,98 @@
-"""Additive tree attributions (path-dependent Tree SHAP) for Spark GBT models.
-
-The fitted ensemble is flattened once on the driver into per-tree node
-arrays (children, split feature, threshold, leaf value, training cover);
-its size is bounded by the model (trees x nodes), not by the data. Rows are
-explained in ``mapInPandas`` tasks, all rows of a batch at a time: a leaf's
-exact Shapley values under the tree's own cover distribution (Lundberg et
-al., "Consistent individualized feature attribution for tree ensembles")
-depend on a row only through the path features that it agrees with, so they
-are computed per pattern and looked up, weighted by the tree weights.
-Per row, ``sum(values) + base == prediction``.
+"""Additive tree attributions (path-dependent Tree SHAP) as a table join.
+
+A forest becomes a table with one row per leaf: tree, value, and per feature of its path the
+interval that agrees with the leaf and the share of training rows that pass its splits (Lundberg et al.,
+"Consistent individualized feature attribution for tree ensembles"). Rows are
+joined with the leaves of every tree; a leaf's Shapley values are column
+expressions, and are added up by row and feature.
+
+With ``o`` (1 if a feature agrees, else 0) and ``z`` (its share), feature j of a leaf with value v gets
+
+    v * (o_j - z_j) * integral over t in [0, 1] of product over k != j of (z_k (1 - t) + o_k t)
+
+which is the Shapley sum over all sets of the other features, since the weight of a
+set of s of m - 1 others is the integral of t^s (1 - t)^(m-1-s). The integrand is a polynomial, so
+Gauss-Legendre nodes give the integral exactly. Per row, values and base value add up to the prediction.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
-from math import comb
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
-
-
-@dataclass
-class FlatTree:
-    left: np.ndarray
-    right: np.ndarray
-    feature: np.ndarray
-    threshold: np.ndarray
-    value: np.ndarray
-    cover: np.ndarray
-    weight: float
-
-
-def _flatten(root) -> FlatTree:
-    left, right, feat, thr, val, cov = [], [], [], [], [], []
-    stack = [(root, -1, False)]
-    while stack:
-        node, parent, is_right = stack.pop()
-        idx = len(val)
-        if parent >= 0:
-            (right if is_right else left)[parent] = idx
-        val.append(float(node.prediction()))
-        cov.append(float(node.impurityStats().count()))
-        left.append(-1)
-        right.append(-1)
-        if node.getClass().getSimpleName() == "InternalNode":
-            split = node.split()
-            if split.getClass().getSimpleName() != "ContinuousSplit":
-                raise ValueError("only continuous splits are supported")
-            feat.append(int(split.featureIndex()))
-            thr.append(float(split.threshold()))
-            stack.append((node.rightChild(), idx, True))
-            stack.append((node.leftChild(), idx, False))
-        else:
-            feat.append(-1)
-            thr.append(0.0)
-    return FlatTree(np.array(left), np.array(right), np.array(feat), np.array(thr), np.array(val), np.array(cov), 1.0)
-
-
-def flatten_gbt(model) -> list[FlatTree]:
-    """Node arrays of every tree of a ``GBTRegressionModel`` with its weight."""
-    weights = list(model.treeWeights)
-    trees = []
-    for t, w in zip(model.trees, weights):
-        ft = _flatten(t._java_obj.rootNode())
-        ft.weight = float(w)
-        trees.append(ft)
-    return trees
-
-
-def expected_value(tree: FlatTree) -> float:
-    leaves = tree.left < 0
-    return float((tree.value[leaves] * tree.cover[leaves]).sum() / tree.cover[0])
-
-
-@dataclass
-class Leaf:
-    """One leaf as a game of the features on its path: a feature agrees with a
-    row if ``low < x <= high``, and ``share`` is the part of the training rows that
-    pass its splits. ``value`` is the leaf's output."""
-
-    features: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    share: np.ndarray
-    value: float
-
-
-def leaves_of(tree: FlatTree) -> list[Leaf]:
-    found, stack = [], [(0, {})]
-    while stack:
-        j, path = stack.pop()
-        if tree.left[j] < 0:
-            names = sorted(path)
-            low, high, share = (np.array([path[f][i] for f in names]) for i in range(3))
-            found.append(Leaf(np.array(names, int), low, high, share, float(tree.value[j])))
-            continue
-        f, t = int(tree.feature[j]), float(tree.threshold[j])
-        low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
-        for child, bounds in ((tree.left[j], (low, min(high, t))), (tree.right[j], (max(low, t), high))):
-            stack.append((int(child), {**path, f: (*bounds, share * tree.cover[child] / tree.cover[j])}))
-    return found
-
-
-def leaf_values(leaf: Leaf, agrees: np.ndarray) -> np.ndarray:
-    """Shapley values of a leaf's features (columns) for patterns of agreement (rows).
-
-    With the features of a set known, the leaf's expected output is its value
-    times one (agrees) or zero per known feature times the share per unknown one. The sums over sets
-    of equal size are the coefficients of the product of ``share + agrees * t``.
-    """
-    m = len(leaf.features)
-    out = np.empty((len(agrees), m))
-    weight = np.array([1 / (m * comb(m - 1, s)) for s in range(m)])
-    for k in range(m):
-        sums = np.zeros((len(agrees), m))
-        sums[:, 0] = 1.0
-        for j in range(m):
-            if j != k:
-                shifted = np.zeros_like(sums)
-                shifted[:, 1:] = sums[:, :-1] * agrees[:, j : j + 1]
-                sums = sums * leaf.share[j] + shifted
-        out[:, k] = leaf.value * (agrees[:, k] - leaf.share[k]) * (sums @ weight)
-    return out
 
+from panelcast.ml.forest import Forest
+from panelcast.session import stored
 
-def _add_tree(X: np.ndarray, tree: FlatTree, out: np.ndarray, weight: float = 1.0) -> None:
-    for leaf in leaves_of(tree):
-        if not len(leaf.features):
-            continue
-        x = X[:, leaf.features]
-        agrees = (x > leaf.low) & (x <= leaf.high)
-        mask = agrees @ (1 << np.arange(len(leaf.features)))
-        patterns, first, which = np.unique(mask, return_index=True, return_inverse=True)
-        values = leaf_values(leaf, agrees[first].astype(float))
-        out[:, leaf.features] += weight * values[which]
+#: a leaf table of up to this many path entries (about 64 MB) is broadcast, a larger one is joined by shuffling
+BROADCAST_ENTRIES = 2_000_000
 
+LEAF_SCHEMA = "tree int, value double, path array<struct<feature:int,low:double,high:double,share:double>>"
 
-def tree_shap(x: np.ndarray, tree: FlatTree, phi: np.ndarray) -> None:
-    """Adds this tree's (unweighted) Shapley values for row ``x`` to ``phi``."""
-    out = np.zeros((1, len(phi)))
-    _add_tree(np.asarray(x, float)[None], tree, out)
-    phi += out[0]
 
+def leaf_rows(forest: Forest) -> list[tuple[int, float, list[tuple[int, float, float, float]]]]:
+    """Leaves with at least one feature on their path: tree, value, path."""
+    out = []
+    for tree, root in enumerate(forest.starts.tolist()):
+        stack: list[tuple[int, dict]] = [(root, {})]
+        while stack:
+            node, path = stack.pop()
+            child = int(forest.left[node])
+            if child < 0:
+                if path and forest.value[node] != 0.0:
+                    out.append((tree, float(forest.value[node]), [(f, *b) for f, b in sorted(path.items())]))
+                continue
+            f, cut = int(forest.feature[node]), float(forest.threshold[node])
+            low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
+            for to, bounds in ((child, (low, min(high, cut))), (child + 1, (max(low, cut), high))):
+                part = share * float(forest.cover[to]) / float(forest.cover[node])
+                stack.append((to, {**path, f: (*bounds, part)}))
+    return out
 
-def explain_rows(X: np.ndarray, trees: Sequence[FlatTree]) -> tuple[np.ndarray, float]:
-    """(n x d) Shapley values of the weighted ensemble and its base value.
 
-    A leaf's values depend only on which of its path's features agree with
-    the row: rows get a bit mask per leaf, the values of each mask that
-    occurs are computed once, and rows look theirs up.
-    """
-    out = np.zeros(X.shape)
-    for t in trees:
-        _add_tree(X, t, out, t.weight)
-    return out, float(sum(t.weight * expected_value(t) for t in trees))
+def expected_value(forest: Forest) -> float:
+    """Prediction without any feature: each tree's leaves weighted by their training rows."""
+    leaf = forest.left < 0
+    tree = np.repeat(np.arange(forest.n_trees), np.diff(np.append(forest.starts, len(forest.left))))
+    weight = forest.cover / np.maximum(forest.cover[forest.starts][tree], 1e-300) if forest.n_trees else forest.cover
+    return forest.init + float((forest.value * weight)[leaf].sum())
 
 
-def explain_gbt(df: DataFrame, model, feature_cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """(keys..., base_value, shap_values MAP<STRING,DOUBLE>) for every row of ``df``.
+def _shapley(longest: int) -> tuple[str, str, str]:
+    """SQL for the contributions of one leaf to row ``x``: agreements, products at the nodes, (feature, value) array."""
+    nodes, weights = np.polynomial.legendre.leggauss(max(1, -(-longest // 2)))
+    at = [(float((1 - t) / 2), float((1 + t) / 2), float(w / 2)) for t, w in zip(nodes, weights, strict=True)]
+    agreed = ("transform(path, p -> struct(p.feature as feature, p.share as z, "
+              "if(x[p.feature] > p.low and x[p.feature] <= p.high, 1D, 0D) as o))")
+    products = ", ".join(f"aggregate(terms, 1D, (a, t) -> a * (t.z * {u!r}D + t.o * {v!r}D))" for u, v, _ in at)
+    total = " + ".join(f"{w!r}D * products[{i}] / (t.z * {u!r}D + t.o * {v!r}D)" for i, (u, v, w) in enumerate(at))
+    return agreed, f"array({products})", f"transform(terms, t -> struct(t.feature as feature, value * (t.o - t.z) * ({total}) as v))"
 
-    Features must be non-null (the training matrix is complete by
-    construction). The flattened trees travel with the task closure."""
-    from panelcast.session import ship_package
 
-    ship_package(df.sparkSession)
-    trees = flatten_gbt(model)
-    cols = list(feature_cols)
-    key_fields = [f for f in df.schema.fields if f.name in keys]
-    schema = StructType(key_fields + [StructField("base_value", DoubleType()),
-                                      StructField("values", ArrayType(DoubleType()))])
+def attributions(df: DataFrame, forest: Forest, values: str = "shap_values", base: str = "base_value") -> DataFrame:
+    """``df``, each row once, with the contributions (map feature -> value) and the base value.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if b.empty:
-                continue
-            phi, base = explain_rows(b[cols].to_numpy(dtype=float), trees)
-            out = b[list(keys)].copy()
-            out["base_value"] = base
-            out["values"] = list(phi)
-            yield out
-
-    res = df.select(*keys, *cols).mapInPandas(run, schema)
-    names = F.array(*[F.lit(c) for c in cols])
-    return res.select(*keys, "base_value", F.map_from_arrays(names, "values").alias("shap_values"))
+    Features must not be null. Rows are numbered, so repeated keys stay apart.
+    """
+    spark: SparkSession = df.sparkSession
+    names = forest.feature_cols
+    base_value = F.lit(expected_value(forest))
+    leaves = leaf_rows(forest)
+    if not leaves:
+        zero = F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*[F.lit(0.0)] * len(names)))
+        return df.withColumns({values: zero, base: base_value})
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "attributed-rows")
+    x = rows.select("_row", F.array(*[F.col(c).cast("double") for c in names]).alias("x"))
+    each = x.select("_row", "x", F.explode(F.sequence(F.lit(0), F.lit(forest.n_trees - 1))).alias("tree"))
+    table = spark.createDataFrame(leaves, LEAF_SCHEMA)
+    if sum(len(p) for _, _, p in leaves) <= BROADCAST_ENTRIES:
+        table = F.broadcast(table)
+    agreed, products, shares = _shapley(max(len(p) for _, _, p in leaves))
+    hit = each.join(table, "tree").withColumn("terms", F.expr(agreed)).withColumn("products", F.expr(products))
+    parts = hit.select("_row", F.inline(F.expr(shares)))
+    sums = parts.groupBy("_row", "feature").agg(F.sum("v").alias("v"))
+    by_row = sums.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("feature", "v"))).alias("_found"))
+    keys = F.array(*[F.lit(c) for c in names])
+    full = F.array(*[F.coalesce(F.col("_found")[i], F.lit(0.0)) for i in range(len(names))])
+    return rows.join(by_row, "_row", "left").withColumns(
+        {values: F.map_from_arrays(keys, full), base: base_value}).drop("_row", "_found")

@@ -11,15 +11,15 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.periods import next_period, parse_period, period_label
+from panelcast.ml import artifacts as artefacts
 from panelcast.ml import registry as reg
 from panelcast.ml import scoring as sc
-from panelcast.ml.linear import fit_ridge, with_val_std
-from panelcast.ml.training import train_and_evaluate, wide_scores
+from panelcast.ml.linear import ALPHAS, fit_ridge, with_val_std
+from panelcast.ml.training import KNOWN_MODELS, train_and_evaluate, wide_scores
 from panelcast.operators import features as feat
 from panelcast.operators import reports as rep
 from panelcast.operators import requestlog as rl
@@ -31,7 +31,7 @@ from panelcast.operators.splits import (
     SplitConfig, distinct_periods_list, plan_folds, split_rows, tag_folds, with_split,
 )
 from panelcast.plans.present import round6
-from panelcast.session import cut_lineage, scratch_path
+from panelcast.session import scratch_path, stored
 from panelcast.sources import ingest as ing
 from panelcast.sources import sheets as sh
 from panelcast.sources import testdata as td
@@ -459,15 +459,17 @@ def q_cv_summary(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
-#: concurrent fits of the registered search, which has the library's whole budget; changes wall time only
-ML_PARALLELISM = 8
 TOP_K = 15
 
 
+#: queries about the second boosted model train it alone
+LEAF_FIRST = ("gbt_es",)
+
+
 def ml_inputs(spark, sf_dir):
-    """Checkpointed training matrix (lineage cut before the iterative fits)."""
+    """Stored training matrix (lineage cut before the iterative fits)."""
     features, vocab = features_of(spark, sf_dir)
-    return cut_lineage(features), feat.feature_columns(vocab)
+    return stored(features, "training-matrix"), feat.feature_columns(vocab)
 
 
 def ridge_of(features, cols):
@@ -516,16 +518,12 @@ def q_ridge_attribution(spark, sf_dir):
 
 @query("ridge_explain")
 def q_ridge_explain(spark, sf_dir):
-    """Per-row additive contributions (map) and base; sum + base = prediction."""
+    """Additive contributions of every test row and feature, and the base value; their sum is the prediction."""
     features, cols = ml_inputs(spark, sf_dir)
     model = ridge_of(features, cols)
-    contrib, base = model.attribution()
-    test = split_rows(features, "test", TESTDATA_SPLIT)
-    out = test.select(
-        "entity", "period", model.prediction().alias("pred"), base.alias("base_value"),
-        F.transform_values(contrib, lambda k, v: F.round(v, 6)).alias("contributions"),
-    )
-    return round6(out)
+    test = model.attributions(model.transform(split_rows(features, "test", TESTDATA_SPLIT)), "contributions")
+    return round6(test.select("entity", "period", "pred", "base_value",
+                              F.explode("contributions").alias("feature", "contribution")))
 
 
 def _ridge_folds(spark, sf_dir):
@@ -557,19 +555,18 @@ def _input_mark(spark, sf_dir):
     return every.agg(F.expr("hex(bit_xor(xxhash64(path, length, modificationTime)))")).first()[0]
 
 
-def _trained(spark, sf_dir):
+def _trained(spark, sf_dir, models=KNOWN_MODELS):
     """Folder of the training job's results in the shared folder: the registry
-    (``models``) and the prediction frame (``frame``, written last). They are
-    made once for the tables as they are and read back by every query."""
-    root = scratch_path(spark, f"training-whole-budget-{_input_mark(spark, sf_dir)}")
-    try:
-        spark.read.text(f"{root}/frame/_SUCCESS")
-    except AnalysisException:
+    (``models``) and the prediction frame (``frame``). Made once for the
+    tables as they are, the models asked for and the code, and read back by every query."""
+    key = artefacts.artefact_key(_input_mark(spark, sf_dir), {"models": list(models)})
+
+    def make(folder):
         features, cols = ml_inputs(spark, sf_dir)
-        done = train_and_evaluate(
-            features, TESTDATA_SPLIT, cols, registry_root=f"{root}/models", parallelism=ML_PARALLELISM)
-        done.frame.write.mode("overwrite").parquet(f"{root}/frame")
-    return root
+        done = train_and_evaluate(features, TESTDATA_SPLIT, cols, models, registry_root=f"{folder}/models")
+        done.frame.write.parquet(f"{folder}/frame")
+
+    return artefacts.artefact(scratch_path(spark, "training"), key, make)
 
 
 def _training_frame(spark, sf_dir):
@@ -585,7 +582,7 @@ def q_training_metrics(spark, sf_dir):
 
 @query("training_frame")
 def q_training_frame(spark, sf_dir):
-    """M13 long prediction frame with intervals (conformal for trees)."""
+    """M13 long prediction frame with intervals."""
     return round6(_training_frame(spark, sf_dir))
 
 
@@ -599,7 +596,7 @@ def q_training_coverage(spark, sf_dir):
 @query("gbt_importance")
 def q_gbt_importance(spark, sf_dir):
     """M10/A21 for the early-stopped boosted trees, loaded from the registry."""
-    model, _ = reg.load(spark, f"{_trained(spark, sf_dir)}/models", "gbt_es", "1")
+    model, _ = reg.load(spark, f"{_trained(spark, sf_dir, LEAF_FIRST)}/models", "gbt_es", "1")
     return round6(_top_k(spark, model.importance()))
 
 
@@ -700,17 +697,24 @@ def q_raw_request_errors(spark, sf_dir):
 
 
 def _scoring_model(spark, sf_dir):
-    """The registry's best model, checked and dry-run as a service would load it."""
-    vocab = vocabulary(spark, sf_dir)
-    model, _ = reg.load_best(spark, f"{_trained(spark, sf_dir)}/models", feat.feature_columns(vocab))
-    return model, vocab
+    """The best model of a registry of fitted ridges (alphas of the whole grid and one alone), checked and
+    dry-run as a service would load it."""
+    features, cols = ml_inputs(spark, sf_dir)
+    train, val, test = (split_rows(features, s, TESTDATA_SPLIT) for s in ("train", "val", "test"))
+    root = scratch_path(spark, f"serving-{uuid.uuid4().hex[:12]}")
+    for name, alphas in (("ridge", ALPHAS), ("ridge_stiff", (max(ALPHAS),))):
+        model = replace(with_val_std(fit_ridge(train, cols, alphas=alphas), val), name=name)
+        rmse = test.agg(F.sqrt(F.avg(F.pow(F.col("target") - model.prediction(), 2)))).first()[0]
+        reg.save(spark, root, model, "1", {"test": {"rmse": rmse}})
+    best, _ = reg.load_best(spark, root, cols)
+    return best, vocabulary(spark, sf_dir)
 
 
 @query("score_vector_requests")
 def q_score_vector_requests(spark, sf_dir):
     """Valid vector requests scored (next quarter, interval, direction)."""
     model, vocab = _scoring_model(spark, sf_dir)
-    preds, _ = sc.score_vector_requests(td.vector_requests(spark, sf_dir), model, vocab)
+    preds, _ = sc.score_vector_requests(td.vector_requests(spark, sf_dir), model, vocab, model_name=model.name)
     return preds
 
 
@@ -726,7 +730,7 @@ def q_batch_counts(spark, sf_dir):
 def q_score_raw_requests(spark, sf_dir):
     """Raw histories -> features per request -> last row -> prediction."""
     model, vocab = _scoring_model(spark, sf_dir)
-    preds, _ = sc.score_raw_requests(td.raw_requests(spark, sf_dir), model, vocab)
+    preds, _ = sc.score_raw_requests(td.raw_requests(spark, sf_dir), model, vocab, model_name=model.name)
     return preds
 
 
@@ -743,7 +747,8 @@ def q_explain_vector_requests(spark, sf_dir):
     """M20 (vector): per-request contributions and base value."""
     model, vocab = _scoring_model(spark, sf_dir)
     valid, _ = rq.split_valid(rq.validate_vector(td.vector_requests(spark, sf_dir), vocab))
-    return sc.explain(rq.map_vector_request(valid, vocab), model, ["request_id", "entity"])
+    keys = ["request_id", "entity"]
+    return round6(sc.contribution_rows(sc.explain(rq.map_vector_request(valid, vocab), model, keys), keys))
 
 
 @query("explain_raw_requests")
@@ -752,7 +757,8 @@ def q_explain_raw_requests(spark, sf_dir):
     model, vocab = _scoring_model(spark, sf_dir)
     valid, _ = rq.split_valid(rq.validate_raw(td.raw_requests(spark, sf_dir), vocab))
     latest = rq.raw_latest_features(valid, vocab)
-    return sc.explain(latest, model, ["request_id", "entity", "predict_period"])
+    keys = ["request_id", "entity", "predict_period"]
+    return round6(sc.contribution_rows(sc.explain(latest, model, keys), keys))
 
 
 @query("link_discovery")
@@ -804,7 +810,7 @@ def q_stream_scoring(spark, sf_dir):
     reqs.write.mode("overwrite").parquet(src)
     preds, errors = sj.scoring_stream(
         spark, src, reqs.schema, out, ckpt,
-        lambda batch: sc.score_vector_requests(batch, model, vocab),
+        lambda batch: sc.score_vector_requests(batch, model, vocab, model_name=model.name),
     )
     return preds.drop("batch_id").unionByName(
         errors.select("request_id", "entity", "detail"), allowMissingColumns=True)
@@ -868,23 +874,21 @@ def q_sheet_headers(spark, sf_dir):
 
 def _es_tree(spark, sf_dir):
     features, _ = features_of(spark, sf_dir)
-    return features, reg.load(spark, f"{_trained(spark, sf_dir)}/models", "gbt_es", "1")[0]
+    return features, reg.load(spark, f"{_trained(spark, sf_dir, LEAF_FIRST)}/models", "gbt_es", "1")[0]
 
 
 @query("gbt_explain")
 def q_gbt_explain(spark, sf_dir):
     """Tree SHAP contributions of the boosted trees for every test row."""
     features, model = _es_tree(spark, sf_dir)
-    return sc.explain_trees(split_rows(features, "test", TESTDATA_SPLIT), model, ["entity", "period"])
+    return sc.explain(split_rows(features, "test", TESTDATA_SPLIT), model, ["entity", "period"])
 
 
 @query("gbt_attribution")
 def q_gbt_attribution(spark, sf_dir):
     """A22 for the boosted trees: mean |contribution| over all test rows, top 15."""
-    from panelcast.ml.treeshap import explain_gbt
-
     features, model = _es_tree(spark, sf_dir)
-    ex = explain_gbt(split_rows(features, "test", TESTDATA_SPLIT), model.model, model.feature_cols, ["entity", "period"])
+    ex = model.attributions(split_rows(features, "test", TESTDATA_SPLIT))
     long = ex.select(F.explode("shap_values").alias("feature", "value"))
     agg = long.groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs_attribution"))
     return round6(agg.orderBy(F.desc("mean_abs_attribution"), "feature").limit(TOP_K))
@@ -892,17 +896,11 @@ def q_gbt_attribution(spark, sf_dir):
 
 @query("quantile_intervals")
 def q_quantile_intervals(spark, sf_dir):
-    """M7: 5 % / 95 % quantile boosting (pinball loss) fitted on the training
+    """M7: 5 % / 95 % quantile boosting (pinball loss) with all settings of the searched model, fitted on the training
     rows; coverage and mean width of the interval per split."""
-    from panelcast.ml.quantile import fit_interval_models
-
-    features, cols = ml_inputs(spark, sf_dir)
-    tuned = reg.load(spark, f"{_trained(spark, sf_dir)}/models", "gbt_es", "1")[0].params
-    lo, hi = fit_interval_models(split_rows(features, "train", TESTDATA_SPLIT), cols, n_rounds=int(tuned["maxIter"]),
-                                 max_depth=int(tuned["maxDepth"]), learning_rate=float(tuned["stepSize"]))
-    scored = hi.transform(lo.transform(features, "lo"), "hi")
+    features, model = _es_tree(spark, sf_dir)
     inside = ((F.col("target") >= F.col("lo")) & (F.col("target") <= F.col("hi"))).cast("double")
-    return round6(with_split(scored, TESTDATA_SPLIT).groupBy("split").agg(
+    return round6(with_split(model.with_interval(features), TESTDATA_SPLIT).groupBy("split").agg(
         F.avg(inside).alias("coverage"), F.avg(F.col("hi") - F.col("lo")).alias("mean_width"),
         F.avg((F.col("lo") > F.col("hi")).cast("double")).alias("crossing_share"),
         F.count(F.lit(1)).alias("n"),

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
+import re
 
 from panelcast.operators.features import NUMERIC_FEATURES, dummy_name
-from panelcast.plans.sqlgen import NATION_VOCAB, r6, with_features, with_panel
+from panelcast.plans.sqlgen import NATION_VOCAB, feature_ctes, r6, with_features, with_panel
 
 ORACLES: dict[str, str] = {}
 
@@ -710,3 +711,100 @@ FROM m"""
 ORACLES["panel_union"] = " UNION ALL ".join(
     f"SELECT * FROM ({with_panel('SELECT ' + repr(level) + ' AS level, entity, period, ' + cols6('price', 'cash_rate', 'cpi', 'unemployment_rate') + ' FROM panel', level)})"
     for level in ("nation", "region"))
+
+# ---------------------------------------------------------------------------
+# Scoring with the best of two ridges: the one chosen by CV and the stiffest one
+# ---------------------------------------------------------------------------
+
+_INPUT = {**_MAPPED, "quarter": "quarter", **{dummy_name(v): f"entity = '{v}'" for v in NATION_VOCAB}}
+_SERVING = """,
+cand AS (
+  SELECT 'ridge' AS name, w, b0 FROM rm
+  UNION ALL SELECT 'ridge_stiff', w, b0 FROM sol WHERE held = -1 AND alpha = 1000.0
+),
+rated AS (
+  SELECT name, sqrt(avg((y - b0 - list_dot_product(w, z)) ** 2) FILTER (WHERE split = 'test')) AS rmse,
+         stddev_pop(y - b0 - list_dot_product(w, z)) FILTER (WHERE split = 'val') AS sd
+  FROM cand, zx GROUP BY name
+),
+serving AS (SELECT name, sd, w, b0 FROM rated JOIN cand USING (name) ORDER BY rmse, name LIMIT 1)"""
+
+
+def _vector_x() -> str:
+    return ", ".join(f"CAST({_INPUT[c]} AS DOUBLE)" for c in FEATURE_COLS)
+
+
+def _valid(source: str, rules: list[str], name: str) -> str:
+    return (f",\n{name} AS (SELECT * FROM (SELECT *, list_filter([\n    " + ",\n    ".join(rules)
+            + f"\n  ], lambda x: x IS NOT NULL) AS e FROM {source}) WHERE len(e) = 0)")
+
+
+def _scored(rows: str) -> str:
+    """(request_id, entity, year, quarter, z, pred) of prepared inputs ``(.., x)``."""
+    return f""",
+inputs AS ({rows}),
+answered AS (
+  SELECT request_id, entity, year, quarter, name, sd, w, b0, z, b0 + list_dot_product(w, z) AS pred
+  FROM (SELECT inputs.*, list_transform(x, lambda e, j: (e - mu[j]) / sd[j]) AS z FROM inputs, ms), serving
+)"""
+
+
+_ANSWER = f"""
+SELECT request_id, entity, year, quarter, round(pred, 4) AS predicted_qoq_pct_change,
+       CASE WHEN pred > 0 THEN 'up' WHEN pred < 0 THEN 'down' ELSE 'flat' END AS direction,
+       round(pred - {Z90!r} * sd, 4) AS lower, round(pred + {Z90!r} * sd, 4) AS upper,
+       CAST(0.9 AS DOUBLE) AS confidence, name AS model_name, '1' AS model_version"""
+
+_EXPLAINED = f"""
+SELECT request_id, entity, feature, {r6('w[j] * z[j]', 'contribution')}, round(b0, 4) AS base_value,
+       round(pred, 4) AS predicted_qoq_pct_change, CAST(0.0 AS DOUBLE) AS gap"""
+
+_VECTOR_ROWS = f"""
+  SELECT request_id, entity, CAST(year + quarter // 4 AS INTEGER) AS year, CAST(quarter % 4 + 1 AS INTEGER) AS quarter,
+         [{_vector_x()}] AS x FROM okvec"""
+
+
+def with_vector_scores(body: str) -> str:
+    ctes = RIDGE_CTES + _SERVING + VR_CTE + _valid("vr", _VEC_RULES, "okvec") + _scored(_VECTOR_ROWS)
+    return with_features("," + ctes + body).replace("\n,\nsp AS", ",\nsp AS").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+ORACLES["score_vector_requests"] = with_vector_scores(_ANSWER + " FROM answered")
+ORACLES["explain_vector_requests"] = with_vector_scores(_EXPLAINED + " FROM answered, names")
+ORACLES["stream_scoring"] = with_vector_scores(
+    _ANSWER + ", CAST(NULL AS VARCHAR) AS detail FROM answered UNION ALL BY NAME SELECT * FROM ("
+    + "SELECT request_id, entity, array_to_string(e, '; ') AS detail FROM (SELECT *, list_filter([\n    "
+    + ",\n    ".join(_VEC_RULES) + "\n  ], lambda x: x IS NOT NULL) AS e FROM vr) WHERE len(e) > 0)")
+
+# raw histories: the same feature CTEs over the rows of each request
+_RAW_FEATURES = re.sub(r"\b(f[1-4]|feat_all|feat)\b", r"raw_\1", feature_ctes()).replace("FROM panel", "FROM rawpanel")
+_RAW_INPUT = {**{c: c for c in FEATURE_COLS},
+              **{dummy_name(v): f"split_part(entity, ':', 1) = '{v}'" for v in NATION_VOCAB}}
+_RAW_X = ", ".join(f"CAST({_RAW_INPUT[c]} AS DOUBLE)" for c in FEATURE_COLS)
+_RAW_ROWS = f"""
+  SELECT entity AS request_id, split_part(entity, ':', 1) AS entity, CAST((period + 1) // 4 AS INTEGER) AS year,
+         CAST((period + 1) % 4 + 1 AS INTEGER) AS quarter, [{_RAW_X}] AS x
+  FROM raw_feat_all WHERE {" AND ".join(f"{c} IS NOT NULL" for c in NUMERIC_FEATURES)}
+  QUALIFY row_number() OVER (PARTITION BY entity ORDER BY period DESC) = 1"""
+
+
+def with_raw_scores(body: str) -> str:
+    rows = """,
+rawrows AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY period) AS rn FROM panel),
+rawpanel AS (
+  SELECT a.entity || ':' || CAST(a.period AS VARCHAR) AS entity, CAST(b.period + 40 AS INTEGER) AS period,
+         b.price, b.cash_rate, b.cpi, b.unemployment_rate
+  FROM rawrows a JOIN rawrows b ON a.entity = b.entity AND b.rn BETWEEN a.rn - 5 AND a.rn
+  WHERE a.entity || ':' || CAST(a.period AS VARCHAR) IN (SELECT request_id FROM okraw)
+),"""
+    ctes = (RIDGE_CTES + _SERVING + RAW_CTE + _valid("rawreq", _RAW_RULES, "okraw") + rows + _RAW_FEATURES
+            + _scored(_RAW_ROWS))
+    return with_features("," + ctes + body).replace("\n,\nsp AS", ",\nsp AS").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+ORACLES["score_raw_requests"] = with_raw_scores(_ANSWER + " FROM answered")
+ORACLES["explain_raw_requests"] = with_raw_scores(
+    _EXPLAINED + ", CAST(year * 4 + quarter - 1 AS INTEGER) AS predict_period FROM answered, names")
+ORACLES["ridge_explain"] = with_ridge(f"""
+SELECT entity, period, feature, {r6('w[j] * z[j]', 'contribution')}, {r6('b0', 'base_value')}, {r6('pred', 'pred')}
+FROM rp, rm, names WHERE split = 'test'""")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,6 +93,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read back.
+
+    Like a checkpoint it survives lost executors and cuts the lineage. It also
+    leaves behind the constraints that a checkpointed frame keeps of its old plan, which the
+    optimizer multiplies for every renamed column (50 s of planning over 44 features).
+    """
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

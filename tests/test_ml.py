@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelcast.ml import registry as reg
+from panelcast.ml.boosting import Setting
 from panelcast.ml.linear import ALPHAS, fit_ridge, with_val_std
 from panelcast.ml.training import train_and_evaluate
-from panelcast.ml.trees import best_prefix, fit_gbt_early_stopping
+from panelcast.ml.trees import fit_bounds, fit_gbt_early_stopping
 from panelcast.operators import features as feat
 from panelcast.operators.evaluation import z_value
 from panelcast.operators.splits import SplitConfig, split_rows
@@ -85,17 +86,11 @@ def test_ridge_interval_and_attribution(matrix):
     assert imp[0][1] == max(abs(c) for c in model.coef)
 
 
-def test_best_prefix_patience():
-    errs = [5, 4, 3, 3.5, 3.6, 3.7, 2.0]
-    assert best_prefix(errs, patience=3) == 3
-    assert best_prefix(errs, patience=10) == 7
-
-
 def test_gbt_early_stopping_and_registry(spark, matrix, tmp_path):
     cols = feat.feature_columns(ENTITIES)
     train, val = split_rows(matrix, "train", CFG), split_rows(matrix, "val", CFG)
-    tree = fit_gbt_early_stopping(train, val, cols, params={"maxIter": 8, "maxDepth": 3, "stepSize": 0.3}, patience=3)
-    assert 1 <= tree.params["maxIter"] <= 8
+    tree = fit_gbt_early_stopping(train, val, cols, setting=Setting(rounds=8, depth=3, step=0.3, patience=3))
+    assert 1 <= tree.forest.n_trees <= 8
     imp = tree.importance()
     assert sum(v for _, v in imp) == pytest.approx(1.0)
 
@@ -117,11 +112,10 @@ def test_gbt_early_stopping_and_registry(spark, matrix, tmp_path):
 
 def test_training_job(matrix):
     cols = feat.feature_columns(ENTITIES)
-    res = train_and_evaluate(matrix, CFG, cols, n_trials=1,
-                             space={"max_iter": (3, 5), "max_depth": (2, 3), "step_size": (0.1, 0.3),
-                                    "subsampling_rate": (0.8, 1.0), "feature_fraction": (0.8, 1.0),
-                                    "min_instances_per_node": (1, 2)},
-                             es_params={"maxIter": 5, "maxDepth": 2, "stepSize": 0.3}, patience=2)
+    space = {"rounds": (3, 5), "depth": (2, 3), "step": (0.1, 0.3), "row_share": (0.8, 1.0),
+             "feature_share": (0.8, 1.0), "least_rows": (1, 2)}
+    res = train_and_evaluate(matrix, CFG, cols, n_trials=2, level_space=space, leaf_space={**space, "leaves": (3, 5)},
+                             patience=2)
     assert set(res.models) == {"ridge", "gbt", "gbt_es"}
     assert sum(res.weights.values()) == pytest.approx(1.0)
     models = {r.model for r in res.metrics.select("model").distinct().collect()}
@@ -130,72 +124,6 @@ def test_training_job(matrix):
         train_and_evaluate(matrix, CFG, cols, models=["svm"])
 
 
-def _random_tree(rng, depth, n_features):
-    from panelcast.ml.treeshap import FlatTree
-
-    left, right, feat, thr, val, cov = [], [], [], [], [], []
-
-    def build(d, n):
-        i = len(val)
-        left.append(-1), right.append(-1), feat.append(-1), thr.append(0.0), val.append(float(rng.normal())), cov.append(n)
-        if d < depth and n >= 2:
-            f = int(rng.integers(n_features))
-            nl = max(1.0, float(rng.integers(1, int(n))))
-            feat[i], thr[i] = f, float(rng.normal())
-            left[i] = build(d + 1, nl)
-            right[i] = build(d + 1, max(1.0, n - nl))
-        return i
-
-    build(0, 100.0)
-    return FlatTree(*(np.array(a) for a in (left, right, feat, thr, val, cov)), weight=1.0)
-
-
-def _value(tree, x, subset, j=0):
-    if tree.left[j] < 0:
-        return tree.value[j]
-    f = tree.feature[j]
-    if f in subset:
-        nxt = tree.left[j] if x[f] <= tree.threshold[j] else tree.right[j]
-        return _value(tree, x, subset, nxt)
-    lc, rc = tree.left[j], tree.right[j]
-    return (tree.cover[lc] * _value(tree, x, subset, lc) + tree.cover[rc] * _value(tree, x, subset, rc)) / tree.cover[j]
-
-
-def test_tree_shap_equals_brute_force_shapley():
-    import itertools
-    import math
-
-    from panelcast.ml.treeshap import expected_value, tree_shap
-
-    rng = np.random.default_rng(7)
-    d = 4
-    for _ in range(5):
-        tree = _random_tree(rng, depth=3, n_features=d)
-        x = rng.normal(size=d)
-        phi = np.zeros(d)
-        tree_shap(x, tree, phi)
-        brute = np.zeros(d)
-        for i in range(d):
-            others = [k for k in range(d) if k != i]
-            for size in range(d):
-                for s in itertools.combinations(others, size):
-                    wgt = math.factorial(size) * math.factorial(d - size - 1) / math.factorial(d)
-                    brute[i] += wgt * (_value(tree, x, set(s) | {i}) - _value(tree, x, set(s)))
-        assert np.allclose(phi, brute, atol=1e-10)
-        assert phi.sum() + expected_value(tree) == pytest.approx(_value(tree, x, set(range(d))))
-
-
-def test_quantile_booster_coverage(matrix):
-    from panelcast.ml.quantile import fit_quantile_booster
-
-    cols = feat.feature_columns(ENTITIES)
-    train = split_rows(matrix, "train", CFG)
-    q = fit_quantile_booster(train, cols, 0.9, n_rounds=8, max_depth=2, learning_rate=0.3)
-    share = q.transform(train, "q").agg(F.avg((F.col("target") <= F.col("q")).cast("double"))).first()[0]
-    assert 0.75 <= share <= 1.0
-    assert len(q.trees) == 8 and all(len(v) >= 1 for v in q.leaf_values)
-
-
 def test_walk_forward_cv_pluggable(matrix):
     from panelcast.ml.cv import forecaster, walk_forward_cv
 
@@ -208,17 +136,15 @@ def test_walk_forward_cv_pluggable(matrix):
 
 
 def test_registry_keeps_quantile_interval_models(spark, matrix, tmp_path):
-    from panelcast.ml.quantile import fit_interval_models
-
     cols = feat.feature_columns(ENTITIES)
     train, val = split_rows(matrix, "train", CFG), split_rows(matrix, "val", CFG)
-    tree = fit_gbt_early_stopping(train, val, cols, params={"maxIter": 4, "maxDepth": 2, "stepSize": 0.3}, patience=2)
-    tree.lower, tree.upper = fit_interval_models(train, cols, n_rounds=3, max_depth=2)
+    tree = fit_gbt_early_stopping(train, val, cols, setting=Setting(rounds=4, depth=2, step=0.3, patience=2))
+    fit_bounds(train, [tree])
     root = str(tmp_path / "reg")
     reg.save(spark, root, tree, "2")
     loaded, _ = reg.load(spark, root, tree.name, "2")
-    a = tree.with_bounds(tree.transform(val, "p"), "p", "lo", "hi").select("lo", "hi").collect()
-    b = loaded.with_bounds(loaded.transform(val, "p"), "p", "lo", "hi").select("lo", "hi").collect()
+    a = tree.with_interval(val).select("pred", "lo", "hi").collect()
+    b = loaded.with_interval(val).select("pred", "lo", "hi").collect()
     assert a == b
 
 
@@ -229,13 +155,13 @@ def test_blend_is_saved_and_scores_alike_after_loading(spark, sample_panel, tmp_
     from panelcast.ml import registry as reg
     from panelcast.ml.blend import BlendModel
     from panelcast.ml.linear import RidgeModel
-    from panelcast.ml.scoring import _predict, explain
+    from panelcast.ml.scoring import explain
     from panelcast.ml.trees import fit_gbt_early_stopping
 
     rng = np.random.default_rng(0)
     rows = [(i, float(a), float(b), float(2 * a - b)) for i, (a, b) in enumerate(rng.normal(size=(120, 2)))]
     data = spark.createDataFrame(rows, "key int, a double, b double, target double").cache()
-    tree = fit_gbt_early_stopping(data, data, ["a", "b"], params={"maxIter": 5, "maxDepth": 2, "stepSize": 0.3})
+    tree = fit_gbt_early_stopping(data, data, ["a", "b"], setting=Setting(rounds=5, depth=2, step=0.3))
     ridge = RidgeModel(["a", "b"], [0.0, 0.0], [1.0, 1.0], [1.9, -1.1], 0.05, 1.0, val_residual_std=0.2)
     blend = BlendModel.fit([tree, ridge], data)
     assert abs(sum(blend.weights) - 1) < 1e-9 and blend.weights[1] > blend.weights[0]
@@ -245,7 +171,7 @@ def test_blend_is_saved_and_scores_alike_after_loading(spark, sample_panel, tmp_
     loaded, meta = reg.load_best(spark, root, ["a", "b"])
     assert meta["kind"] == "blend" and loaded.weights == blend.weights
     for model in (blend, loaded):
-        out = _predict(data, model, 0.9).select("key", "pred", "lo", "hi").orderBy("key").collect()
+        out = model.with_interval(data).select("key", "pred", "lo", "hi").orderBy("key").collect()
         first = out if model is blend else first
         assert out == first and all(r["lo"] <= r["hi"] for r in out)
     ex = explain(data, loaded, ["key"])
@@ -276,6 +202,7 @@ def test_fold_offsets_match_plain_numbering(spark):
 
 def test_registered_training_has_the_whole_budget(spark, monkeypatch, tmp_path):
     from panelcast.ml import cv
+    from panelcast.ml import trees as tr
     from panelcast.plans import catalog
 
     class Called(Exception):
@@ -289,8 +216,14 @@ def test_registered_training_has_the_whole_budget(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: str(tmp_path / name))
     monkeypatch.setattr(catalog, "train_and_evaluate", caught)
     monkeypatch.setattr(cv, "walk_forward_cv", caught)
-    cuts = {"n_trials", "space", "es_params", "patience", "quantile_rounds", "timeout_seconds", "params"}
-    for query in (catalog.q_training_metrics, catalog.q_gbt_walk_forward):
+    cuts = {"n_trials", "level_space", "leaf_space", "patience", "settings"}
+    for query in (catalog.q_training_metrics, catalog.q_gbt_importance, catalog.q_gbt_walk_forward):
         with pytest.raises(Called) as e:
             query(spark, "nowhere")
         assert not cuts & set(e.value.args[0])
+    level, leaf = tr.level_settings(), tr.leaf_settings()
+    assert len(level) == len(leaf) == 50
+    assert all(100 <= s.rounds <= 800 and 3 <= s.depth <= 7 and s.leaves is None and s.patience is None for s in level)
+    assert all(100 <= s.rounds <= 1000 and 3 <= s.depth <= 8 and 15 <= s.leaves <= 127 and 5 <= s.least_rows <= 50
+               and s.patience == 50 for s in leaf)
+    assert max(s.rounds for s in level) > 700 and max(s.rounds for s in leaf) > 900

@@ -109,5 +109,9 @@ def test_raw_pairing_is_positional(spark):
 
 def test_explain_additive(spark, model):
     inputs = rq.map_vector_request(rq.with_defaults(vector_df(spark, [("Alpha", {})])), ENTITIES)
-    r = sc.explain_ridge(inputs, model).first()
-    assert sum(r.shap_values.values()) + r.base_value == pytest.approx(r.pred, abs=1e-3)
+    twice = inputs.unionAll(inputs)  # repeated request ids stay rows of their own
+    rows = sc.explain(twice, model, ["request_id"]).collect()
+    assert len(rows) == 2
+    for r in rows:
+        assert sum(r.shap_values.values()) + r.base_value == pytest.approx(r.predicted_qoq_pct_change, abs=1e-3)
+        assert r.gap == 0.0
