@@ -29,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
                for c in range(256))
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
-CHUNK_SCHEMA = "n_docs long, n_terms long, vectors binary"
+CHUNK_SCHEMA = "chunk long, n_docs long, n_terms long, vectors binary"
 HIT_SCHEMA = "item int, doc_id long, score long"
 
 
@@ -75,14 +76,14 @@ def _slices(text: bytes, size: int = 4 << 20) -> Iterator[bytes]:
 # -- stored vectors -----------------------------------------------------------
 
 
-def _pack(ids: list[int], sizes: list[int], terms: list[np.ndarray], counts: list[np.ndarray]) -> dict:
+def _pack(number: int, ids: list[int], sizes: list[int], terms: list[np.ndarray], counts: list[np.ndarray]) -> dict:
     n = np.array(sizes, np.int64)
     ends = np.cumsum([len(t) for t in terms], dtype=np.int64)
     head = np.array([len(ids)], np.int64)
     body = b"".join([head.tobytes(), np.array(ids, np.int64).tobytes(), n.tobytes(), ends.tobytes(),
                      np.concatenate([np.zeros(0, np.int32), *terms]).astype(np.int32).tobytes(),
                      np.concatenate([np.zeros(0, np.int32), *counts]).astype(np.int32).tobytes()])
-    return {"n_docs": [int((n > 0).sum())], "n_terms": [int(n.sum())], "vectors": [zstandard.compress(body, 3)]}
+    return {"chunk": [number], "n_docs": [int((n > 0).sum())], "n_terms": [int(n.sum())], "vectors": [zstandard.compress(body, 3)]}
 
 
 @dataclass
@@ -109,6 +110,7 @@ def _chunks(docs: DataFrame, vocabulary: dict[bytes, int], name: str) -> DataFra
     """Vectors of all documents over the vocabulary, written."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = vocabulary.get
+        number = TaskContext.get().partitionId() << 32
         held: tuple[list, list, list, list] = ([], [], [], [])
         entries = 0
         for batch in batches:
@@ -126,10 +128,10 @@ def _chunks(docs: DataFrame, vocabulary: dict[bytes, int], name: str) -> DataFra
                     column.append(value)
                 entries += len(both)
                 if len(held[0]) == CHUNK_DOCS or entries >= CHUNK_ENTRIES:
-                    yield pa.RecordBatch.from_pydict(_pack(*held))
-                    held, entries = ([], [], [], []), 0
+                    yield pa.RecordBatch.from_pydict(_pack(number, *held))
+                    held, entries, number = ([], [], [], []), 0, number + 1
         if held[0]:
-            yield pa.RecordBatch.from_pydict(_pack(*held))
+            yield pa.RecordBatch.from_pydict(_pack(number, *held))
 
     rows = docs.select("doc_id", "text")
     return materialize(arrow_map(rows, step, CHUNK_SCHEMA), name)
@@ -318,11 +320,14 @@ def rank(docs: DataFrame, items: DataFrame, *, k: int = 50) -> DataFrame:
         number = {w.encode(): i for i, w in enumerate(words)}
         vectors = [np.array(sorted(number[t.encode()] for t in terms), np.int64) for terms in lists]
         chunks = _chunks(docs, number, "lexical-vectors")
-        n_docs, n_terms = (int(v or 0) for v in chunks.agg(F.sum("n_docs"), F.sum("n_terms")).first())
+        n_docs, n_terms, n_chunks = (int(v or 0) for v in chunks.agg(
+            F.sum("n_docs"), F.sum("n_terms"), F.count("chunk")).first())
         weights = _weights(n_docs, _frequencies(chunks, len(words)))
         searcher = Searcher(vectors, weights, n_docs, n_terms, k, np.ones(len(vectors), np.int64))
         by_item = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-        first = _hits(chunks.limit(THRESHOLD_CHUNKS), searcher, longest_only=True)
+        # some THRESHOLD_CHUNKS chunks, wherever they are stored
+        some = chunks.where(F.pmod(F.xxhash64("chunk"), F.lit(max(1, n_chunks // THRESHOLD_CHUNKS))) == 0)
+        first = _hits(some, searcher, longest_only=True)
         first = first.withColumn("rank", F.row_number().over(by_item)).where(F.col("rank") == k)
         for row in first.select("item", "score").collect():  # one row per item of the block
             searcher.floors[row["item"]] = row["score"]

@@ -239,7 +239,7 @@ def test_pruned_search_loses_nothing(focus, bucket, monkeypatch):
                               lexical._weights(n_docs, df), n_docs, n_terms, 7, np.ones(12, np.int64))
     for part in (rows[:60], rows[60:61], rows[61:]):
         entries = [[(words.index(w), n) for w, n in c.items()] for _, c in part]
-        packed = lexical._pack([d for d, _ in part], [sum(c.values()) for _, c in part],
+        packed = lexical._pack(0, [d for d, _ in part], [sum(c.values()) for _, c in part],
                                [np.array([t for t, _ in e], np.int32) for e in entries],
                                [np.array([n for _, n in e], np.int32) for e in entries])
         search.search(lexical._Chunk.unpack(packed["vectors"][0]))
