@@ -32,6 +32,8 @@ LEAST_REVISIT = 100
 ARCHIVE_BYTES = 256 << 20
 #: bytes of an archive that one task reads
 RANGE_BYTES = 16 << 20
+#: tasks of a read
+MOST_TASKS = 100_000
 #: bytes fetched at a time
 FETCH_BYTES = 1 << 20
 MAGIC = b"\x1f\x8b\x08"
@@ -255,6 +257,8 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame | None =
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long")))
     ranges = files.where("length > 0").select("path", "length", starts.alias("start"))
     ranges = ranges.select("path", "start", F.least(F.col("start") + range_bytes, "length").alias("end"))
-    # the ranges are dealt out evenly, whatever file they are of
-    dealt = ranges.repartition(F.xxhash64("path", "start"))
+    # a task per range (several where there are very many): their number is given, so they are
+    # not merged for being few bytes to shuffle
+    tasks = files.agg(F.sum(F.ceil(F.col("length") / range_bytes))).first()[0] or 1
+    dealt = ranges.repartition(min(int(tasks), MOST_TASKS))
     return arrow_map(dealt, _read_ranges, PAGE_SCHEMA)

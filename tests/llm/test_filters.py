@@ -8,6 +8,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from panelcast.llm import decontaminate, quality, toxicity, warc
 from tests.llm.conftest import EDGE_SCHEMA
 
@@ -171,6 +173,10 @@ def test_warc_round_trip_in_any_ranges(spark):
     for size in (300, 5000, 1 << 24):
         rows = warc.read_archives(spark, folder, manifest, range_bytes=size).collect()
         assert len(rows) == len(html)
+        if size == 5000:  # the ranges are read by more than one task
+            tasks = warc.read_archives(spark, folder, manifest, range_bytes=size).select(
+                F.spark_partition_id().alias("t")).distinct().count()
+            assert tasks > 2
         digests = {r["payload_digest"]: bytes(r["payload"]).decode() for r in rows if r["payload"] is not None}
         assert sorted(((r["page_id"], digests[r["payload_digest"]]) for r in rows), key=str) == html
         by_id = {}
@@ -184,6 +190,15 @@ def test_warc_round_trip_in_any_ranges(spark):
     assert warc.read_archives(spark, folder, manifest).count() == 0
 
 
+def test_warc_clashing_columns_and_a_very_long_payload(spark):
+    long = "".join(f"{i} " for i in range(900_000))
+    rows = [(1, "u", "x" * 200, "d", 9), (2, "u", "x" * 200, "d", 9), (3, "u", long, None, None), (4, None, None, None, None)]
+    folder, manifest = warc.write_archives(spark.createDataFrame(rows, PAGE))
+    got = {r["page_id"]: r for r in warc.read_archives(spark, folder, manifest, range_bytes=100_000).collect()}
+    assert [got[i]["record_type"] for i in (1, 2, 3, 4)] == ["response", "revisit", "response", "response"]
+    assert got[2]["refers_to"] == 1 and bytes(got[3]["payload"]).decode() == long and got[4]["payload_bytes"] == 0
+
+
 def test_warc_reader_passes_over_false_magic(tmp_path):
     good = [warc.page_record(i, None, b"p" * (50 + i), "d", None, False) for i in range(3)]
     noise = b"junk" + warc.MAGIC + b"not a member" + warc.MAGIC
