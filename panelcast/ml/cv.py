@@ -3,8 +3,8 @@
 A forecaster factory takes the feature columns and returns an object with
 ``fit(train, val) -> FittedModel``. ``FORECASTERS`` maps model names to
 factories (unknown names raise); ``register_forecaster`` adds one. A forecaster may also have
-``fit_folds(features, folds) -> models``, which fits all folds at once: the
-boosted trees of all folds grow in one call. Others are fitted fold by fold (at
+``fit_folds(features, folds) -> models``, which fits all folds at once: ridges from moments
+that are summed once, boosted trees in one call. Others are fitted fold by fold (at
 most ``n_splits``, a driver loop over a bounded plan). Validation metrics of all folds
 are one DataFrame.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from panelcast.ml import trees
 from panelcast.ml.boosting import Setting, grow
-from panelcast.ml.linear import fit_ridge
+from panelcast.ml.linear import fit_ridge, fit_ridge_folds
 from panelcast.ml.model import FittedModel
 from panelcast.operators.evaluation import metric_exprs
 from panelcast.operators.splits import Fold, SplitConfig, distinct_periods_list, plan_folds, split_rows
@@ -33,6 +33,9 @@ class RidgeForecaster:
     def fit(self, train: DataFrame, val: DataFrame) -> FittedModel:
         return fit_ridge(train, self.cols, self.target)
 
+    def fit_folds(self, features: DataFrame, folds: Sequence[Fold], period: str = "period") -> list[FittedModel]:
+        return fit_ridge_folds(features, self.cols, folds, self.target, period=period)
+
 
 @dataclass
 class BoostedForecaster:

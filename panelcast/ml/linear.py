@@ -2,7 +2,7 @@
 
 Fit: feature means and population stds come from one aggregate over the
 training rows (zero variance -> scale 1); K-fold moment matrices come from
-:func:`panelcast.ml.moments.gram_by_group`. For every alpha and held-out
+:func:`panelcast.ml.moments.gram_by_group`, summed in the JVM. For every alpha and held-out
 fold the centred normal equations of the other folds are solved on the
 driver (d x d) and the held-out R^2 is evaluated from the held-out moments,
 so CV never re-reads the data. The best mean R^2 (first on ties) picks
@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.ml.model import FittedModel, model_kind
-from panelcast.ml.moments import gram_by_group
+from panelcast.ml.moments import gram_by_group, moments_by_period, pooled, restandardised
 from panelcast.operators.evaluation import z_value
-from panelcast.session import cut_lineage
+from panelcast.operators.offsets import entity_offsets
+from panelcast.operators.splits import Fold
 
 # Regularisation grid and number of CV folds.
 ALPHAS = (0.01, 0.1, 1.0, 10.0, 100.0, 1000.0)
@@ -104,6 +105,16 @@ def standardisation(df: DataFrame, cols: Sequence[str]) -> tuple[list[float], li
     return mean, scale, int(row["n"])
 
 
+def _fold_of(index: Column, total: int, n_folds: int) -> Column:
+    """Contiguous block of a row's index: the first ``total % n_folds`` blocks are one row larger."""
+    sizes = [total // n_folds + (1 if k < total % n_folds else 0) for k in range(n_folds)]
+    bounds = np.cumsum(sizes).tolist()
+    fold = F.lit(n_folds - 1)
+    for k in reversed(range(n_folds - 1)):
+        fold = F.when(index < bounds[k], F.lit(k)).otherwise(fold)
+    return fold.cast("int")
+
+
 def contiguous_folds(
     df: DataFrame, n_folds: int = N_FOLDS, *, entity: str = "entity", period: str = "period",
     total: int | None = None,
@@ -111,29 +122,14 @@ def contiguous_folds(
     """``fold`` column: K contiguous blocks of the rows in (entity, period) order,
     sizes as unshuffled K-fold (the first n % K blocks one row larger).
 
-    The global row index is a row number inside each entity plus the entity's
-    offset. Offsets are a prefix sum in two levels: entities are dealt into
-    sorted ranges, each range adds up its own entities, and only the totals of
-    the ranges (a row per partition) are added up in one place.
+    The global row index is a row number inside each entity plus the entity's offset.
     """
-    counts = df.groupBy(entity).agg(F.count(F.lit(1)).alias("cnt"))
-    ranged = cut_lineage(counts.repartitionByRange(entity).withColumn("range", F.spark_partition_id()))
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranged.groupBy("range").agg(F.sum("cnt").alias("range_cnt")).select(
-        "range", F.coalesce(F.sum("range_cnt").over(before.orderBy("range")), F.lit(0)).alias("range_offset"))
-    inside = F.coalesce(F.sum("cnt").over(before.partitionBy("range").orderBy(entity)), F.lit(0))
-    offsets = ranged.withColumn("inside", inside).join(ranges, "range").select(
-        entity, "cnt", (F.col("range_offset") + F.col("inside")).alias("offset"))
+    offsets = entity_offsets(df.groupBy(entity).agg(F.count(F.lit(1)).alias("n")), entity)
     if total is None:
-        total = offsets.agg(F.sum("cnt")).first()[0] or 0
-    sizes = [total // n_folds + (1 if k < total % n_folds else 0) for k in range(n_folds)]
-    bounds = np.cumsum(sizes).tolist()
-    idx = F.row_number().over(Window.partitionBy(entity).orderBy(period)) - 1 + F.col("offset")
-    fold = F.lit(n_folds - 1)
-    for k in reversed(range(n_folds - 1)):
-        fold = F.when(F.col("_idx") < bounds[k], F.lit(k)).otherwise(fold)
-    tagged = df.join(offsets.select(entity, "offset"), entity).withColumn("_idx", idx)
-    return tagged.withColumn("fold", fold.cast("int")).drop("_idx", "offset")
+        total = df.count()
+    index = F.row_number().over(Window.partitionBy(entity).orderBy(period)) - 1 + F.col("offset_n")
+    tagged = df.join(offsets, entity).withColumn("_idx", index)
+    return tagged.withColumn("fold", _fold_of(F.col("_idx"), total, n_folds)).drop("_idx", "offset_n")
 
 
 def _solve(g: np.ndarray, alpha: float) -> tuple[np.ndarray, float]:
@@ -174,15 +170,19 @@ def fit_ridge(
     )
     zcols = [f"z{j}" for j in range(len(cols))]
     grams = gram_by_group(contiguous_folds(z, n_folds, entity=entity, period=period, total=n_rows), zcols, target, "fold")
+    return _chosen(cols, mean, scale, grams, alphas)
+
+
+def _chosen(cols: list[str], mean: list[float], scale: list[float], grams: dict[int, np.ndarray],
+            alphas: Sequence[float]) -> RidgeModel:
+    """The ridge of the best alpha, from the moments of each inner fold on standardised features."""
     total = sum(grams.values())
     scores = {}
     for a in alphas:
         r2s = []
-        for k in range(n_folds):
-            if k not in grams:
-                continue
-            w, b0 = _solve(total - grams[k], a)
-            r2s.append(_r2(grams[k], w, b0))
+        for g in grams.values():
+            w, b0 = _solve(total - g, a)
+            r2s.append(_r2(g, w, b0))
         scores[a] = float(np.mean(r2s))
     best = max(alphas, key=lambda a: (scores[a], -list(alphas).index(a)))
     w, b0 = _solve(total, best)
@@ -190,6 +190,48 @@ def fit_ridge(
                       {str(a): s for a, s in scores.items()})
 
 
+def fit_ridge_folds(
+    features: DataFrame, feature_cols: Sequence[str], folds: Sequence[Fold], target: str = "target", *,
+    alphas: Sequence[float] = ALPHAS, n_folds: int = N_FOLDS, entity: str = "entity", period: str = "period",
+) -> list[RidgeModel]:
+    """The ridge of every expanding fold, in as many reads of the features as one fit takes.
+
+    Means and deviations come from moments per period, pooled over each fold's training periods. Rows are
+    standardised once, by those of all training rows; a row's index in a fold's training rows is its number inside
+    its entity plus the fold's offset of the entity, so its inner block of every fold is known at once, and
+    one aggregation sums the moments of all (fold, block). They are then turned to each fold's own standardisation.
+    """
+    cols = list(feature_cols)
+    last = max(f.train_end for f in folds)
+    rows = features.where(F.col(period) <= last)
+    by_period = moments_by_period(rows, cols, period)
+
+    def standard(end: int) -> tuple[int, np.ndarray, np.ndarray]:
+        n, mean, square = pooled([by_period[p] for p in sorted(by_period) if p <= end])
+        scale = np.sqrt(square / n)
+        return n, mean, np.where(scale > 0, scale, 1.0)
+
+    own = [standard(f.train_end) for f in folds]
+    _, mean, scale = standard(last)
+    inside = [F.sum((F.col(period) <= f.train_end).cast("long")).alias(f"n{i}") for i, f in enumerate(folds)]
+    offsets = entity_offsets(rows.groupBy(entity).agg(*inside), entity)
+    number = F.row_number().over(Window.partitionBy(entity).orderBy(period)) - 1
+    z = rows.select(entity, period, target, *[
+        ((F.col(c) - F.lit(float(mean[j]))) / F.lit(float(scale[j]))).alias(f"z{j}") for j, c in enumerate(cols)])
+    tagged = z.withColumn("_rn", number).join(offsets, entity)
+    groups = [F.when(F.col(period) <= f.train_end,
+                     _fold_of(F.col("_rn") + F.col(f"offset_n{i}"), own[i][0], n_folds) + i * n_folds)
+              for i, f in enumerate(folds)]
+    each = tagged.withColumn("_group", F.explode(F.array_compact(F.array(*groups))))
+    grams = gram_by_group(each, [f"z{j}" for j in range(len(cols))], target, "_group")
+    out = []
+    for i, (_, own_mean, own_scale) in enumerate(own):
+        mine = {k: restandardised(grams[i * n_folds + k], mean, scale, own_mean, own_scale)
+                for k in range(n_folds) if i * n_folds + k in grams}
+        out.append(_chosen(cols, own_mean.tolist(), own_scale.tolist(), mine, alphas))
+    return out
+
+
 def with_val_std(model: RidgeModel, val: DataFrame, target: str = "target") -> RidgeModel:
     """Population std of validation residuals (the interval width)."""
     r = F.col(target) - model.prediction()

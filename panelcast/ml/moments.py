@@ -1,46 +1,18 @@
-"""Per-group moment matrices of (1, x, y) computed on the executors.
+"""Moment matrices of (1, x, y) per group, as built-in sums of products.
 
-Each task folds its rows into numpy partial sums (one (d+2)x(d+2) Gram
-matrix of ``[1, x..., y]`` per group key), emits them as long
-``(group, i, j, value)`` rows, and a ``groupBy`` adds the partials. Only the
-merged matrices (groups x (d+2)^2 numbers, independent of the row count)
-reach the driver.
+Each row is a vector ``v = [1, x..., y]``; it is exploded into its places, and per
+(group, place) one sum of products with every place is kept. Partial sums are made
+before the shuffle, so it carries (groups x (d + 2)) rows per task; the driver gets groups x (d + 2)^2
+numbers, independent of the row count. No row leaves the JVM.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
-
-PARTIAL_SCHEMA = StructType([
-    StructField("grp", IntegerType(), False),
-    StructField("i", IntegerType(), False),
-    StructField("j", IntegerType(), False),
-    StructField("v", DoubleType(), False),
-])
-
-
-def _partials(cols: list[str], y: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict[int, np.ndarray] = {}
-        for b in batches:
-            if b.empty:
-                continue
-            m = np.column_stack([np.ones(len(b)), b[cols].to_numpy(dtype=float), b[y].to_numpy(dtype=float)])
-            for g, idx in b.groupby("grp").indices.items():
-                rows = m[idx]
-                part = rows.T @ rows
-                acc[int(g)] = acc[int(g)] + part if int(g) in acc else part
-        for g, mat in acc.items():
-            k = mat.shape[0]
-            ii, jj = np.triu_indices(k)
-            yield pd.DataFrame({"grp": g, "i": ii.astype("int32"), "j": jj.astype("int32"), "v": mat[ii, jj]})
-    return run
 
 
 def gram_by_group(df: DataFrame, cols: Sequence[str], y: str, group: str | None = None) -> dict[int, np.ndarray]:
@@ -48,17 +20,42 @@ def gram_by_group(df: DataFrame, cols: Sequence[str], y: str, group: str | None
 
     Rows with a null in ``cols`` or ``y`` must be removed by the caller.
     """
-    from panelcast.session import ship_package
-
-    ship_package(df.sparkSession)
-    g = F.col(group).cast("int") if group else F.lit(0)
-    data = df.select(g.alias("grp"), *[F.col(c).cast("double").alias(c) for c in cols], F.col(y).cast("double").alias(y))
-    parts = data.mapInPandas(_partials(list(cols), y), PARTIAL_SCHEMA)
-    merged = parts.groupBy("grp", "i", "j").agg(F.sum("v").alias("v")).collect()
     k = len(cols) + 2
+    g = F.col(group).cast("int") if group else F.lit(0)
+    vector = F.array(F.lit(1.0), *[F.col(c).cast("double") for c in (*cols, y)])
+    places = df.select(g.alias("grp"), vector.alias("v")).select("grp", "v", F.posexplode("v").alias("i", "e"))
+    sums = places.groupBy("grp", "i").agg(*[F.sum(F.col("e") * F.col("v")[j]).alias(f"s{j}") for j in range(k)])
     out: dict[int, np.ndarray] = {}
-    for r in merged:
-        mat = out.setdefault(r.grp, np.zeros((k, k)))
-        mat[r.i, r.j] = r.v
-        mat[r.j, r.i] = r.v
+    for r in sums.collect():
+        out.setdefault(r["grp"], np.zeros((k, k)))[r["i"]] = [r[f"s{j}"] for j in range(k)]
     return out
+
+
+def moments_by_period(df: DataFrame, cols: Sequence[str], period: str = "period") -> dict[int, tuple[int, np.ndarray, np.ndarray]]:
+    """{period: (rows, means, sums of squared deviations)}, in one aggregate; bounded by the calendar."""
+    rows = df.groupBy(period).agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+        *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(cols)]).collect()
+    d = range(len(cols))
+    return {r[period]: (r["n"], np.array([float(r[f"m{i}"]) for i in d]),
+                        r["n"] * np.array([float(r[f"v{i}"]) for i in d])) for r in rows}
+
+
+def pooled(parts: Sequence[tuple[int, np.ndarray, np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, means and sums of squared deviations of several parts together."""
+    n, mean, square = parts[0]
+    for n_b, mean_b, square_b in parts[1:]:
+        shift, total = mean_b - mean, n + n_b
+        square = square + square_b + shift * shift * (n * n_b / total)
+        mean, n = mean + shift * (n_b / total), total
+    return n, mean, square
+
+
+def restandardised(g: np.ndarray, mean: np.ndarray, scale: np.ndarray, to_mean: np.ndarray,
+                   to_scale: np.ndarray) -> np.ndarray:
+    """The moment matrix of rows standardised by (mean, scale), as if by (to_mean, to_scale)."""
+    t = np.eye(len(g))
+    for j in range(len(mean)):
+        t[j + 1, j + 1] = scale[j] / to_scale[j]
+        t[j + 1, 0] = (mean[j] - to_mean[j]) / to_scale[j]
+    return t @ g @ t.T

@@ -21,7 +21,7 @@ from pyspark.sql.types import (
     ArrayType, DoubleType, MapType, StringType, StructField, StructType,
 )
 
-from panelcast.ml import blend, linear, trees  # noqa: F401 - their model kinds
+from panelcast.ml import blend, effects, linear, trees  # noqa: F401 - their model kinds
 from panelcast.ml.model import KINDS, FittedModel
 from panelcast.session import scratch_path
 

@@ -188,13 +188,18 @@ def add_entity_dummies(
 def add_sparse_entity(df: DataFrame, *, entity: str = "entity", out: str = "entity_vec") -> DataFrame:
     """The same one-hot code as one sparse vector column, for any number of
     entities: a row carries one index, however wide the code is. Indices follow
-    the names' order; NULL gives the empty vector."""
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-
-    at, known = f"_{out}_at", df.where(F.col(entity).isNotNull())
-    indexer = StringIndexer(inputCol=entity, outputCol=at, stringOrderType="alphabetAsc", handleInvalid="keep")
-    indexed = indexer.fit(known).transform(df)
-    encoder = OneHotEncoder(inputCols=[at], outputCols=[out], dropLast=True)  # the last is "none of them"
+    the names' order; NULL gives the empty vector. Entities are numbered in
+    sorted ranges; no label reaches the driver."""
+    from pyspark.ml.feature import OneHotEncoder
+
+    from panelcast.operators.offsets import entity_index
+
+    at, index = f"_{out}_at", entity_index(df, entity).select(F.col(entity).alias("_name"), "idx")
+    n = index.count()
+    joined = df.join(index, F.col(entity) == F.col("_name"), "left").drop("_name")
+    wide = {"ml_attr": {"type": "nominal", "name": at, "num_vals": n + 1}}  # the last value is "none of them"
+    indexed = joined.withColumn(at, F.coalesce(F.col("idx"), F.lit(n)).cast("double").alias(at, metadata=wide)).drop("idx")
+    encoder = OneHotEncoder(inputCols=[at], outputCols=[out], dropLast=True)
     return encoder.fit(indexed).transform(indexed).drop(at)
 
 

@@ -209,9 +209,8 @@ def correlation_matrix(df: DataFrame, features: Sequence[str], method: str = "gr
 
     ``gram`` (default, for complete-row inputs such as the training matrix):
     rows with a null feature are dropped, column means come from one
-    aggregate, and the centred d x d cross-product matrix from per-partition
-    numpy partials merged by one grouped sum; only d x d numbers reach the
-    driver. ``pairwise``: one aggregate of pairwise-complete Pearson terms
+    aggregate, and the centred d x d cross-product matrix from built-in sums of
+    products (no Python on the rows); only d x d numbers reach the driver. ``pairwise``: one aggregate of pairwise-complete Pearson terms
     (upper triangle, mirrored) - exact NULL handling, but 3 d^2/2 aggregates.
     Constant columns give NULL correlations.
     """

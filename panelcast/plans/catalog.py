@@ -18,6 +18,7 @@ from panelcast.functions.periods import next_period, parse_period, period_label
 from panelcast.ml import artifacts as artefacts
 from panelcast.ml import registry as reg
 from panelcast.ml import scoring as sc
+from panelcast.ml.effects import fit_effect_ridge
 from panelcast.ml.linear import ALPHAS, fit_ridge, with_val_std
 from panelcast.ml.training import KNOWN_MODELS, train_and_evaluate, wide_scores
 from panelcast.operators import features as feat
@@ -26,6 +27,7 @@ from panelcast.operators import requestlog as rl
 from panelcast.operators import requests as rq
 from panelcast.operators.align import union_panels
 from panelcast.operators.evaluation import metric_exprs
+from panelcast.operators.offsets import entity_index
 from panelcast.operators.forecasts import BASELINES, ENSEMBLE, baseline_frame, stack
 from panelcast.operators.splits import (
     SplitConfig, distinct_periods_list, plan_folds, split_rows, tag_folds, with_split,
@@ -929,3 +931,35 @@ def q_gbt_walk_forward(spark, sf_dir):
 
     features, cols = ml_inputs(spark, sf_dir)
     return round6(walk_forward_cv(features, cols, "gbt_es", n_splits=CV_SPLITS, min_train=CV_MIN_TRAIN, val=CV_VAL))
+
+
+# ---------------------------------------------------------------------------
+# Many entities, stored panels
+# ---------------------------------------------------------------------------
+
+
+@query("entity_index")
+def q_entity_index(spark, sf_dir):
+    """customers with orders, numbered in name order without a window over all of them."""
+    return entity_index(testdata_panel(spark, sf_dir, "customer"))
+
+
+@query("customer_ridge")
+def q_customer_ridge(spark, sf_dir):
+    """Ridge with an effect per customer (no column per customer), alpha by validation RMSE; every row's
+    prediction and its customer's effect."""
+    features = stored(feat.build_features(testdata_panel(spark, sf_dir, "customer"), []), "customer-matrix")
+    train, val = split_rows(features, "train", TESTDATA_SPLIT), split_rows(features, "val", TESTDATA_SPLIT)
+    model = fit_effect_ridge(train, val, feat.feature_columns([]))
+    scored = model.attributions(model.transform(with_split(features, TESTDATA_SPLIT), "pred"))
+    return round6(scored.select("entity", "period", "split", F.col("target").alias("y"), "pred",
+                                F.col("shap_values")["entity"].alias("effect")))
+
+
+@query("stored_panel_features")
+def q_stored_panel_features(spark, sf_dir):
+    """The training matrix from a panel stored in buckets of entities: its windows need no exchange."""
+    panel, vocab = panel_and_vocab(spark, sf_dir)
+    name = f"panel_{uuid.uuid4().hex[:12]}"
+    table = ing.store_panel(panel, name, scratch_path(spark, f"stored-{name}"))
+    return round6(feat.build_features(table, vocab).select("entity", "period", "target", *feat.feature_columns(vocab)))

@@ -808,3 +808,72 @@ ORACLES["explain_raw_requests"] = with_raw_scores(
 ORACLES["ridge_explain"] = with_ridge(f"""
 SELECT entity, period, feature, {r6('w[j] * z[j]', 'contribution')}, {r6('b0', 'base_value')}, {r6('pred', 'pred')}
 FROM rp, rm, names WHERE split = 'test'""")
+
+# ---------------------------------------------------------------------------
+# Many entities: ridge with an effect per customer, eliminated from the normal equations
+# ---------------------------------------------------------------------------
+
+ORACLES["entity_index"] = with_panel(
+    "SELECT entity, row_number() OVER (ORDER BY entity) - 1 AS idx FROM (SELECT DISTINCT entity FROM panel)", "customer")
+
+_N = len(NUMERIC_FEATURES)
+ORACLES["customer_ridge"] = with_features(f""",
+sp AS (SELECT *, {split_case()} AS split FROM feat),
+allx AS (
+  SELECT entity, period, split, target AS y,
+         list_value({", ".join(f"CAST({c} AS DOUBLE)" for c in NUMERIC_FEATURES)}) AS x FROM sp
+),
+one AS (
+  SELECT j, avg(x[j]) AS mu, stddev_pop(x[j]) AS sd FROM allx, range(1, {_N + 1}) t(j) WHERE split = 'train' GROUP BY j
+),
+ms AS (SELECT list(mu ORDER BY j) AS mu, list(CASE WHEN sd > 0 THEN sd ELSE 1.0 END ORDER BY j) AS sd FROM one),
+zx AS (
+  SELECT entity, period, split, y, list_concat([1.0], list_transform(x, lambda e, j: (e - mu[j]) / sd[j])) AS z FROM allx, ms
+),
+zt AS (SELECT entity, list_concat(z, [y]) AS r FROM zx WHERE split = 'train'),
+gr AS (
+  SELECT i, j, sum(r[i] * r[j]) AS s FROM zt, range(1, {_N + 3}) a(i), range(1, {_N + 3}) b(j) GROUP BY i, j
+),
+ev AS (
+  SELECT entity, max(g) FILTER (WHERE i = 1) AS n, list(g ORDER BY i) AS g
+  FROM (SELECT entity, i, sum(r[i]) AS g FROM zt, range(1, {_N + 3}) a(i) GROUP BY entity, i) GROUP BY entity
+),
+sh AS (
+  SELECT entity, n, g, CASE WHEN n < tot THEN n / tot * (1 - n / tot) ELSE 1.0 END AS s2 FROM ev, (SELECT count(*) AS tot FROM zt)
+),
+al AS (SELECT CAST(unnest([0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]) AS DOUBLE) AS alpha, unnest(range(6)) AS pos),
+tk AS (
+  SELECT alpha, pos, i, j, sum(g[i] * g[j] / (n + alpha * s2)) AS s
+  FROM sh, al, range(1, {_N + 3}) a(i), range(1, {_N + 3}) b(j) GROUP BY alpha, pos, i, j
+),
+gm AS (
+  SELECT alpha, pos, list(line ORDER BY i) AS g
+  FROM (SELECT alpha, pos, i, list(gr.s - tk.s ORDER BY j) AS line FROM gr JOIN tk USING (i, j) GROUP BY alpha, pos, i)
+  GROUP BY alpha, pos
+),
+gj(alpha, pos, k, m) AS (
+  SELECT alpha, pos, CAST(1 AS BIGINT),
+         list_transform(range(1, {_N + 2}), lambda i: list_concat(
+           list_transform(range(1, {_N + 2}), lambda j: g[i][j] + CASE WHEN i = j AND i > 1 THEN alpha ELSE 0.0 END),
+           [g[i][{_N + 2}]]))
+  FROM gm
+  UNION ALL
+  SELECT alpha, pos, k + 1,
+         list_transform(m, lambda line, i: CASE WHEN i = k THEN p
+           ELSE list_transform(line, lambda e, j: e - line[k] * p[j]) END)
+  FROM (SELECT *, list_transform(m[k], lambda e: e / m[k][k]) AS p FROM gj WHERE k <= {_N + 1})
+),
+sol AS (SELECT alpha, pos, list_transform(m, lambda line: line[{_N + 2}]) AS w FROM gj WHERE k = {_N + 2}),
+ef AS (
+  SELECT pos, entity, (g[{_N + 2}] - list_dot_product(w, g[1 : {_N + 1}])) / (n + alpha * s2) AS effect FROM sh, sol
+),
+pr AS (
+  SELECT sol.pos, zx.entity, period, split, y, list_dot_product(w, z) + coalesce(effect, 0.0) AS pred,
+         coalesce(effect, 0.0) AS effect
+  FROM zx CROSS JOIN sol LEFT JOIN ef ON ef.entity = zx.entity AND ef.pos = sol.pos
+),
+best AS (SELECT pos FROM pr WHERE split = 'val' GROUP BY pos ORDER BY sqrt(avg((y - pred) ** 2)), pos LIMIT 1)
+SELECT entity, period, split, {cols6('y', 'pred', 'effect')} FROM pr JOIN best USING (pos)""",
+    vocab=[], level="customer").replace("\n,\nsp AS", ",\nsp AS").replace("WITH ", "WITH RECURSIVE ", 1)
+
+ORACLES["stored_panel_features"] = ORACLES["feature_matrix"]

@@ -29,6 +29,8 @@ def panel_ctes(level: str = "nation") -> str:
     if level == "nation":
         cust = """SELECT c.c_custkey, n.n_name AS entity
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+    elif level == "customer":
+        cust = "SELECT c_custkey, 'CUSTOMER_' || CAST(c_custkey AS VARCHAR) AS entity FROM customer"
     else:
         cust = """SELECT c.c_custkey, r.r_name AS entity
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"""
@@ -90,8 +92,8 @@ panel AS (
 
 def feature_ctes(vocab: Sequence[str] = NATION_VOCAB) -> str:
     """CTEs f1..f4 (all derived columns), feat_all (+dummies) and feat (complete rows)."""
-    dummies = ",\n         ".join(
-        f"CAST(entity = '{v}' AS INTEGER) AS {dummy_name(v)}" for v in vocab
+    dummies = "".join(
+        f",\n         CAST(entity = '{v}' AS INTEGER) AS {dummy_name(v)}" for v in vocab
     )
     required = " AND ".join(f"{c} IS NOT NULL" for c in ["target"] + NUMERIC_FEATURES + [dummy_name(v) for v in vocab])
     return f"""
@@ -150,8 +152,7 @@ f4 AS (
 feat_all AS (
   SELECT *,
          sin(2 * pi() * quarter / 4) AS quarter_sin,
-         cos(2 * pi() * quarter / 4) AS quarter_cos,
-         {dummies}
+         cos(2 * pi() * quarter / 4) AS quarter_cos{dummies}
   FROM f4
 ),
 feat AS (
@@ -159,8 +160,8 @@ feat AS (
 )"""
 
 
-def with_features(body: str, vocab: Sequence[str] = NATION_VOCAB) -> str:
-    return f"WITH {panel_ctes()},{feature_ctes(vocab)}\n{body}"
+def with_features(body: str, vocab: Sequence[str] = NATION_VOCAB, level: str = "nation") -> str:
+    return f"WITH {panel_ctes(level)},{feature_ctes(vocab)}\n{body}"
 
 
 def with_panel(body: str, level: str = "nation") -> str:

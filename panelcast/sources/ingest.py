@@ -58,3 +58,15 @@ def load_panel(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(path)
     except Exception as e:  # noqa: BLE001 - a missing path is an analysis error
         raise FileNotFoundError(path) from e
+
+
+def store_panel(panel: DataFrame, name: str, path: str, buckets: int = 8, *, entity: str = "entity",
+                period: str = "period") -> DataFrame:
+    """The panel as a table bucketed by entity and sorted by (entity, period) inside the buckets; the table, read back.
+
+    Windows per entity over it need no exchange. ``path`` is a folder on shared storage. All rows of an entity
+    are in one bucket: its periods, which the calendar bounds.
+    """
+    rows = panel.repartition(buckets, entity).sortWithinPartitions(entity, period)
+    rows.write.bucketBy(buckets, entity).sortBy(entity, period).option("path", path).mode("overwrite").saveAsTable(name)
+    return panel.sparkSession.table(name)

@@ -66,7 +66,11 @@ def vocabulary(spark: SparkSession, sf_dir: str, level: str = "nation") -> list[
 
 def customer_entities(spark: SparkSession, sf_dir: str, level: str = "nation") -> DataFrame:
     """(c_custkey, entity). nation/region are fixed-size dimensions; Spark's
-    size statistics broadcast them, customer itself is never broadcast."""
+    size statistics broadcast them, customer itself is never broadcast. At level
+    ``customer`` each customer is an entity of its own."""
+    if level == "customer":
+        return table(spark, sf_dir, "customer").select(
+            "c_custkey", F.concat(F.lit("CUSTOMER_"), F.col("c_custkey").cast("string")).alias("entity"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation")
     if level == "nation":
