@@ -21,13 +21,15 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import arrow_map
+from panelcast.llm.common import arrow_map, materialize
 
 SHINGLE = 5
 OVERLAP = 0.8
@@ -74,13 +76,43 @@ def shingles(words: list[int]) -> set[tuple[int, ...]]:
     return {tuple(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
 
 
+def part_edges(n_words: int) -> list[int]:
+    """Where the parts begin by which an item is retrieved, and its end."""
+    parts = -(-n_words // PART_WORDS)
+    return [n_words * i // parts for i in range(parts + 1)]
+
+
+@dataclass
+class Statistics:
+    """What all items say: number of indexed parts, their mean length, the longest one, and in how many parts
+    a word occurs (for the words of one group of items)."""
+
+    parts: int
+    mean: float
+    longest: int
+    held: dict[str, int]
+
+    @classmethod
+    def of(cls, items: list[tuple[int, str]]) -> Statistics:
+        held, lengths = Counter(), []
+        for _, text in items:
+            if words := words_of(text):
+                edges = part_edges(len(words))
+                for start, stop in zip(edges[:-1], edges[1:], strict=True):
+                    lengths.append(stop - start)
+                    held.update(set(words[start:stop]))
+        return cls(len(lengths), sum(lengths) / max(1, len(lengths)), max([0, *lengths]), dict(held))
+
+
 class ItemIndex:
     """Inverted index of one group of items with block bounds.
 
-    ``items`` are ``(item_id, text)``. Items without words are left out.
+    ``items`` are ``(item_id, text)``. Items without words are left out. ``statistics`` are those
+    of all items, of which these may be some.
     """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], statistics: Statistics | None = None):
+        statistics = statistics or Statistics.of(items)
         self.terms: dict[str, int] = {}
         self.item_ids: list[int] = []
         self.checks: list[tuple[frozenset, frozenset]] = []
@@ -92,23 +124,22 @@ class ItemIndex:
             if not words:
                 continue
             both = tuple(frozenset(shingles([self._term(w) for w in x])) for x in (question, answer))
-            parts = -(-len(words) // PART_WORDS)
-            edges = [len(words) * i // parts for i in range(parts + 1)]
+            edges = part_edges(len(words))
+            parts = len(edges) - 1
             for start, stop in zip(edges[:-1], edges[1:], strict=True):
                 texts.append([self._term(w) for w in words[start:stop]])
                 self.item_ids.append(item_id)
                 self.checks.append(both)
                 self.spans.append((start, len(words)) if parts > 1 else None)
-        self.tile = max([SHINGLE, *map(len, texts)])
-        self._impacts(texts)
+        self.tile = max(SHINGLE, statistics.longest)
+        self._impacts(texts, statistics)
 
     def _term(self, word: str) -> int:
         return self.terms.setdefault(word, len(self.terms))
 
-    def _impacts(self, texts: list[list[int]]) -> None:
-        n = len(texts)
-        held = Counter(t for words in texts for t in set(words))
-        mean = sum(map(len, texts)) / max(1, n)
+    def _impacts(self, texts: list[list[int]], statistics: Statistics) -> None:
+        n, every, mean = len(texts), statistics.parts, statistics.mean
+        held = [statistics.held.get(word, 0) for word in self.terms]
         # items that share their commonest term stand together: blocks of one language bound tighter
         order = sorted(range(n), key=lambda i: (max(set(texts[i]), key=lambda t: (held[t], t)), i))
         self.item_ids = [self.item_ids[i] for i in order]
@@ -120,7 +151,7 @@ class ItemIndex:
         for at, i in enumerate(order):
             counts = Counter(texts[i])
             length = K1 * (1 - B + B * len(texts[i]) / mean)
-            parts = {t: math.log(1 + (n - held[t] + 0.5) / (held[t] + 0.5)) * f * (K1 + 1) / (f + length)
+            parts = {t: math.log(1 + (every - held[t] + 0.5) / (held[t] + 0.5)) * f * (K1 + 1) / (f + length)
                      for t, f in counts.items()}
             whole = sum(parts.values())
             block = at // self.block
@@ -255,10 +286,53 @@ def _search(batches: Iterator[pa.RecordBatch], index, threshold: float, overlap:
             ], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
 
+def _part_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each part of each item: its group, its length and its distinct words."""
+    for batch in batches:
+        rows = []
+        for group, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if words := words_of(text):
+                edges = part_edges(len(words))
+                rows += [(group, stop - start, sorted(set(words[start:stop])))
+                         for start, stop in zip(edges[:-1], edges[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+             pa.array([r[2] for r in rows], pa.list_(pa.string()))], ["grp", "size", "words"])
+
+
+def _indexes(benchmark: DataFrame) -> Iterator[Broadcast]:
+    """Indexes of all distinct items, in groups of about ``GROUP_CHARS`` characters, with the statistics of all."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text"))
+    items = materialize(items.where("item_id is not null and text <> ''").distinct(), "benchmark-items")
+    groups = int(items.agg(F.sum(F.length("text"))).first()[0] or 0) // GROUP_CHARS + 1
+    items = items.withColumn("grp", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)))
+    parts = materialize(arrow_map(items.select("grp", "text"), _part_words, "grp long, size long, words array<string>"),
+                        "benchmark-parts")
+    whole = parts.agg(F.count("size").alias("n"), F.avg("size").alias("mean"), F.max("size").alias("longest")).first()
+    word = parts.select("grp", F.explode("words").alias("word"))
+    held = word.groupBy("word").agg(F.count(F.lit(1)).alias("held"))
+    if groups > 1:
+        held = materialize(held, "benchmark-words")
+    for g in range(groups if whole["n"] else 0):
+        rows = items.where(F.col("grp") == g).select("item_id", "text").collect()  # about GROUP_CHARS characters
+        if not rows:
+            continue
+        own = held if groups == 1 else held.join(word.where(F.col("grp") == g).select("word").distinct(), "word")
+        statistics = Statistics(whole["n"], whole["mean"], whole["longest"],
+                                {r["word"]: r["held"] for r in own.collect()})  # the words of those items
+        index = ItemIndex(sorted((r["item_id"], r["text"]) for r in rows), statistics)
+        if index.item_ids:
+            yield spark.sparkContext.broadcast(index)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """Pairs of a document and a test item that it holds.
 
+    Equal items (id and text) count once. Document frequencies and lengths are those of all items, however they
+    are grouped for the indexes.
+
     ``benchmark`` has ``item_id, text``. Returns ``doc_id, item_id, score,
     question_overlap, answer_overlap``, a row per pair with its best passage:
     the BM25 score as a share of the item's own, and the shares of the
@@ -269,31 +343,40 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     is widened by where the part stands in the item, so that all of it is
     looked for. Null or empty texts and items match
     nothing; rows without an id are reported with a null id; repeated
-    documents or items are each reported; empty tables give an empty table.
+    documents are each reported; empty tables give an empty table.
     Other columns are not read.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text"))
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    groups = chars // GROUP_CHARS + 1
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     found = None
-    for g in range(groups):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).collect() if chars else []
-        index = ItemIndex(sorted((r["item_id"], r["text"]) for r in rows if r["item_id"] is not None and r["text"]))
-        if not index.item_ids and g + 1 < groups:
-            continue
-        step = functools.partial(_search, index=spark.sparkContext.broadcast(index), threshold=threshold,
-                                 overlap=overlap)
+    for index in _indexes(benchmark):
+        step = functools.partial(_search, index=index, threshold=threshold, overlap=overlap)
         part = arrow_map(slim, step, schema)
         found = part if found is None else found.unionByName(part)
+    if found is None:
+        return docs.sparkSession.createDataFrame([], schema)
     # a repeated or split item may be found more than once for a document
     best = F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
+def _clean_rows(batches: Iterator[pa.RecordBatch], index, place: int) -> Iterator[pa.RecordBatch]:
+    index = index.value
+    ids = _TokenIds(index.terms)
+    for batch in batches:
+        keep = np.ones(len(batch), bool)
+        for start in range(0, len(batch), 1000):
+            texts = batch.column(place).slice(start, 1000).to_pylist()
+            for found in find_in_texts(index, ids, texts, THRESHOLD, OVERLAP):
+                keep[start + found[0]] = False
+        yield batch.filter(pa.array(keep))
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (columns unchanged) that hold no test item."""
-    leaks = contaminated(docs, benchmark).where("doc_id is not null").select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` (columns unchanged) whose own text holds no test item.
+
+    Each row is judged by itself, with or without an id, also where ids repeat."""
+    place = docs.columns.index("text")
+    for index in _indexes(benchmark):
+        docs = arrow_map(docs, functools.partial(_clean_rows, index=index, place=place), docs.schema)
+    return docs

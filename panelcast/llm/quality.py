@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import arrow_map
-from panelcast.llm.toxicity import fold
+from panelcast.llm.toxicity import fold, learned_texts
 
 SAMPLE = 2500
 BUCKETS = 1 << 18
@@ -179,14 +179,14 @@ def _score_batches(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.Reco
 def train(docs: DataFrame, labels: DataFrame, held_out_fold: int = 0, folds: int = 5) -> QualityModel:
     """Fit on labelled documents outside the held-out fold.
 
-    Rows without an id or a label are not learned from; of several labels of a
-    document the largest counts. Empty tables give a model that scores 0.5.
+    Rows without an id or a label are not learned from; a repeated id is one document with the smallest of its
+    texts, and of several labels the largest counts. Empty tables give a model that scores 0.5.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
     known = known.where(fold("doc_id", folds) != held_out_fold)
     sample = known.orderBy(F.xxhash64("doc_id")).limit(SAMPLE)  # at most SAMPLE ids
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+    texts = learned_texts(docs, sample)
     rows = arrow_map(texts.select(F.col("quality").cast("int"), "text"), _feature_batches,
                      "quality int, rows binary, shares binary").toArrow()
     found = sorted(zip(*(rows.column(c).to_pylist() for c in ("rows", "shares", "quality")), strict=True))

@@ -42,23 +42,39 @@ SHARD_IDS = 1 << 21
 ROUND_PAIRS, LEAST_COUNT = 2048, 16
 
 
-def replaced_pairs(seq: np.ndarray, barrier: int, limit: int, least: int) -> np.ndarray:
-    """Codes ``left << 32 | right`` of the most frequent pairs, ascending; no
-    symbol is a left in one and a right in another, so that only a symbol
-    doubled can overlap itself."""
-    bits, kind = (16, np.uint32) if int(seq.max()) >> 16 == 0 else (32, np.uint64)
-    left, right = seq[:-1], seq[1:]
-    codes = np.sort(((left.astype(kind) << kind(bits)) | right)[(left != barrier) & (right != barrier)])
+def _codes(left: np.ndarray, right: np.ndarray, barrier: int) -> np.ndarray:
+    """Codes ``left << 32 | right`` of pairs, without those that hold ``barrier``."""
+    plain = (left != barrier) & (right != barrier)
+    return (left[plain].astype(np.int64) << 32) | right[plain]
+
+
+def _counted(codes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes that occur ``least`` times, ascending, and how often."""
+    codes = np.sort(codes)
     first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, np.int64)
     counts = np.diff(np.append(first, len(codes)))
-    often = np.flatnonzero(counts >= least)
-    order = often[np.lexsort((codes[first[often]], -counts[often]))]
+    often = counts >= least
+    return codes[first[often]], counts[often]
+
+
+def _all_counts(seq: np.ndarray, barrier: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a whole sequence; 16-bit symbols are sorted as 32-bit codes."""
+    if not len(seq) or int(seq.max()) >> 16:
+        return _counted(_codes(seq[:-1], seq[1:], barrier), least)
+    left, right = seq[:-1].astype(np.uint32), seq[1:].astype(np.uint32)
+    codes, counts = _counted(((left << np.uint32(16)) | right)[(left != barrier) & (right != barrier)], least)
+    codes = codes.astype(np.int64)
+    return ((codes >> 16) << 32) | (codes & 0xFFFF), counts
+
+
+def chosen_pairs(codes: np.ndarray, counts: np.ndarray, limit: int) -> np.ndarray:
+    """The most frequent of the pairs, ascending; no symbol is a left in one and a right in
+    another, so that only a symbol doubled can overlap itself."""
     lefts, rights, doubled, chosen = set(), set(), set(), []
-    for packed in codes[first[order]].tolist():
+    for code in codes[np.lexsort((codes, -counts))].tolist():
         if len(chosen) == limit:
             break
-        a, b = packed >> bits, packed & ((1 << bits) - 1)
-        code = a << 32 | b
+        a, b = code >> 32, code & 0xFFFFFFFF
         if a == b:
             if a in lefts or a in rights or a in doubled:
                 continue
@@ -72,29 +88,52 @@ def replaced_pairs(seq: np.ndarray, barrier: int, limit: int, least: int) -> np.
     return np.sort(np.array(chosen, np.int64))
 
 
-def replace_pairs(seq: np.ndarray, pairs: np.ndarray, first_symbol: int) -> np.ndarray:
-    """``seq`` with pair ``i`` of ``pairs`` replaced by symbol ``first_symbol + i``, from the left."""
-    top = int(max(seq.max(), pairs[-1] >> 32, (pairs & 0xFFFFFFFF).max())) + 1
-    may_left, may_right = np.zeros(top, bool), np.zeros(top, bool)
-    may_left[pairs >> 32] = True
-    may_right[pairs & 0xFFFFFFFF] = True
-    at = np.flatnonzero(may_left[seq[:-1]] & may_right[seq[1:]])
-    codes = (seq[at].astype(np.int64) << 32) | seq[at + 1]
-    rule = np.searchsorted(pairs, codes)
-    found = pairs[np.minimum(rule, len(pairs) - 1)] == codes
-    at, rule = at[found], rule[found]
+def replaced_places(seq: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places at which a pair is replaced, from the left, and which pair."""
+    lefts, rights = np.unique(pairs >> 32), np.unique(pairs & 0xFFFFFFFF)
+    top = int(max(seq.max(), lefts[-1], rights[-1])) + 1
+    row, column = np.full(top, -1, np.int32), np.full(top, -1, np.int32)
+    row[lefts], column[rights] = np.arange(len(lefts)) * len(rights), np.arange(len(rights))
+    table = np.full(len(lefts) * len(rights), -1, np.int32)  # at most a round's pairs squared
+    table[row[pairs >> 32] + column[pairs & 0xFFFFFFFF]] = np.arange(len(pairs))
+    begins = row[seq[:-1]]
+    at = np.flatnonzero(begins >= 0)
+    ends = column[seq[at + 1]]
+    at, ends = at[ends >= 0], ends[ends >= 0]
+    rule = table[begins[at] + ends]
+    at, rule = at[rule >= 0], rule[rule >= 0]
     if len(at):  # of overlapping places (a symbol doubled) every second one from the left
         run = np.cumsum(np.r_[True, np.diff(at) != 1]) - 1
         begin = np.flatnonzero(np.r_[True, np.diff(at) != 1])
         even = (np.arange(len(at)) - begin[run]) % 2 == 0
         at, rule = at[even], rule[even]
+    return at, rule
+
+
+def _replaced(seq: np.ndarray, at: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """``seq`` with ``symbols`` for the pairs at the places ``at``."""
     out = seq.copy()
-    out[at] = first_symbol + rule
+    out[at] = symbols
     keep = np.ones(len(seq), bool)
     keep[at + 1] = False
     return out[keep]
 
 
+def replace_pairs(seq: np.ndarray, pairs: np.ndarray, first_symbol: int) -> np.ndarray:
+    """``seq`` with pair ``i`` of ``pairs`` replaced by symbol ``first_symbol + i``, from the left."""
+    at, rule = replaced_places(seq, pairs)
+    return _replaced(seq, at, first_symbol + rule)
+
+
+def _near(at: np.ndarray, length: int, offsets: tuple[int, ...]) -> np.ndarray:
+    """Places of pairs around ``at`` in a sequence, each once."""
+    near = np.zeros(max(0, length - 1), bool)
+    for k in offsets:
+        place = at + k
+        near[place[(place >= 0) & (place < len(near))]] = True
+    return np.flatnonzero(near)
+
+
 @dataclass
 class Grammar:
     """Rules ``first + i -> rules[i]``, ids that each rule expands to, and the final symbols."""
@@ -153,17 +192,31 @@ def compress(ids: np.ndarray, barrier: int, first: int, round_pairs: int = ROUND
              least: int = LEAST_COUNT) -> Grammar:
     """Grammar of ``ids``; no rule holds ``barrier``. ``first`` exceeds all ids.
 
-    Rounds go on until no pair occurs ``least`` times or the symbols' width is full."""
+    Rounds go on until no pair occurs ``least`` times or the symbols' width is full. Pairs
+    are counted once; after a round only those at replaced places change: old ones lose
+    counts, new ones hold a new symbol and are counted for themselves. A pair that
+    is too rare stays so."""
     seq = ids.astype(np.uint32)
     rules, lengths = [], np.zeros(0, np.int64)
     room = max(0, (1 << 16) - first)  # symbols stay in 16 bits where the ids do
+    codes, counts = _all_counts(seq, barrier, least)
     while True:
         count = sum(map(len, rules))
         limit = min(round_pairs, room - count) if room else round_pairs
-        pairs = replaced_pairs(seq, barrier, limit, least) if len(seq) > 1 and limit > 0 else []
+        pairs = chosen_pairs(codes, counts, limit) if limit > 0 else []
         if not len(pairs):
             break
-        seq = replace_pairs(seq, pairs, first + count)
+        at, rule = replaced_places(seq, pairs)
+        old = _near(at, len(seq), (-1, 0, 1))
+        gone = np.sort(_codes(seq[old], seq[old + 1], barrier))
+        counts = counts - (np.searchsorted(gone, codes, "right") - np.searchsorted(gone, codes, "left"))
+        seq = _replaced(seq, at, first + count + rule)
+        new = _near(at - np.arange(len(at)), len(seq), (-1, 0))
+        more, often = _counted(_codes(seq[new], seq[new + 1], barrier), least)
+        stay = counts >= least
+        codes, counts = np.concatenate([codes[stay], more]), np.concatenate([counts[stay], often])
+        order = np.argsort(codes)
+        codes, counts = codes[order], counts[order]
         both = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1)
         known = np.concatenate([np.ones(first, np.int64), lengths])
         lengths = np.concatenate([lengths, known[both].sum(1)])

@@ -184,6 +184,15 @@ def links_within(classes: DataFrame, k: int = 3) -> DataFrame:
     return probe.join(index, near).select("a", "b")
 
 
+def _components(fps: DataFrame, least: Column, k: int) -> DataFrame:
+    """``fp`` and ``least``: each fingerprint with the smallest ``least`` of its near-duplicate group."""
+    classes = materialize(fps.groupBy("fp").agg(F.min(least).alias("least")), "simhash-classes")
+    roots = connected_components(links_within(classes, k)).withColumnRenamed("node", "fp")
+    rooted = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    groups = rooted.groupBy("root").agg(F.min("least").alias("least"))
+    return rooted.drop("least").join(groups, "root").select("fp", "least")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, k: int = 3) -> DataFrame:
     """Fingerprint and near-duplicate group of every row of ``docs``.
@@ -197,19 +206,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows stay; an empty table gives an empty table.
     """
     fps = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash-fingerprints")
-    classes = materialize(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes")
-    roots = connected_components(links_within(classes, k)).withColumnRenamed("node", "fp")
-    rooted = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = rooted.join(groups, "root").select("fp", "component_id")
+    labels = _components(fps, F.col("id"), k).withColumnRenamed("least", "component_id")
     return fps.join(labels, "fp").select(
         F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, k: int = 3) -> DataFrame:
-    """The rows of ``docs`` (columns unchanged) without those whose group holds a smaller ``doc_id``.
+    """One row of ``docs`` (columns unchanged) of each group of near duplicates.
 
-    Rows without an id always stay.
+    The row with the smallest ``doc_id`` stays; rows without an id come after all others, and of
+    rows with equal ids one stays. Rows are numbered and stored once, so each is judged by itself.
     """
-    gone = near_duplicates(docs, shingle=shingle, k=k).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    fps = materialize(fingerprints(numbered, "_row", "text", shingle), "simhash-fingerprints")
+    by_id = fps.withColumnRenamed("id", "_row").join(numbered.select("_row", F.col("doc_id").cast("long").alias("doc")), "_row")
+    by_id = materialize(by_id, "simhash-numbered")
+    least = F.struct(F.col("doc").isNull().alias("none"), F.col("doc"), F.col("_row"))
+    stay = _components(by_id, least, k).select(F.col("least._row").alias("_row")).distinct()
+    return numbered.join(stay, "_row", "left_semi").select(*docs.columns)

@@ -5,7 +5,8 @@ characters. The two tokenizers in use (byte-level BPE with its usual pattern,
 and word BPE that drops white space) never join characters across such a
 place, so the ids of a text are those of its pieces one after the other, and
 each distinct piece needs the tokenizers library only once. A text with any
-two neighbouring white-space characters goes to the library whole.
+two neighbouring white-space characters, or with the string of a special token, goes to
+the library whole.
 """
 
 from __future__ import annotations
@@ -44,12 +45,15 @@ class _Pieces(dict):
 
 
 class TextEncoder:
-    """Encodes texts to ids, as arrays of unsigned 32-bit integers; strings of
-    special tokens are ordinary text."""
+    """Encodes texts to ids, as arrays of unsigned 32-bit integers, as the library does by
+    default: a special token's string in a text becomes its id."""
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.pieced = Tokenizer.from_str(vocabulary)  # pieces hold no special token: not looked for again
+        self.pieced.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(added) or r"(?!)")
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.width = int(self.kind[-1])
         self.pieces = _Pieces()
@@ -58,8 +62,8 @@ class TextEncoder:
             raise ValueError("a comma must be one id of the vocabulary")
         self.comma = comma[0]
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _library(self, texts: list[str], whole: bool = False) -> list[bytes]:
+        found = (self.tokenizer if whole else self.pieced).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
     def _words(self, words: list[str]) -> list[bytes]:
@@ -113,7 +117,8 @@ class TextEncoder:
             if not text:
                 continue
             spaced = text.replace("\n", " ")
-            if "  " in spaced or not spaced.isprintable():  # neighbouring or other white space, control characters
+            # neighbouring or other white space, control characters, strings of special tokens
+            if "  " in spaced or not spaced.isprintable() or self.special.search(text):
                 whole.append(i)
                 continue
             if not _JOINED_STOP.search(text) and "\u0130" not in text:
@@ -121,7 +126,7 @@ class TextEncoder:
                 for stop in ". ", ", ", ".\n", ",\n":
                     text = text.replace(stop, f"\x00{stop}")
             held.append((i, list(map(known, text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")))))
-        out = list(zip(whole, self._library([texts[i] for i in whole]), strict=True))
+        out = list(zip(whole, self._library([texts[i] for i in whole], True), strict=True))
         self._learn()
         return out + [(i, b"".join(ids)) for i, ids in held]
 

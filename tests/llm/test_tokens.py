@@ -18,9 +18,8 @@ BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.pa
 
 
 def plain(path: str) -> Tokenizer:
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    """The library as it is by default."""
+    return Tokenizer.from_file(path)
 
 
 @pytest.mark.parametrize("path", [BYTES, WORDS])
@@ -36,6 +35,37 @@ def test_pieces_give_the_library_ids(path):
             assert ids.tolist() == w.ids, repr(text)
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_strings_of_special_tokens_as_the_library_has_them(path):
+    library = plain(path)
+    names = [t.content for t in library.get_added_tokens_decoder().values()]
+    assert names
+    texts = [f"hello {n} world" for n in names] + [f"a{n}b{n}" for n in names] + names + ["plain < | text"]
+    found = TextEncoder(open(path, encoding="utf-8").read()).encode(texts)
+    assert [f.tolist() for f in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_pair_counts_kept_up_equal_counting_anew():
+    def anew(seq, barrier, first, limit, least):
+        rules = []
+        while True:
+            codes = repair._all_counts(seq, barrier, least)
+            pairs = repair.chosen_pairs(*codes, limit)
+            if not len(pairs):
+                return rules, seq
+            seq = repair.replace_pairs(seq, pairs, first + len(rules))
+            rules += [(int(p >> 32), int(p & 0xFFFFFFFF)) for p in pairs]
+
+    rng = np.random.default_rng(8)
+    for _ in range(150):
+        ids = rng.integers(0, rng.integers(2, 6), int(rng.integers(2, 250))).astype(np.uint32)
+        barrier, limit, least = int(rng.integers(0, 8)), int(rng.integers(1, 5)), int(rng.integers(2, 4))
+        rules, symbols = anew(ids, barrier, 10, limit, least)
+        grammar = repair.compress(ids, barrier, 10, limit, least)
+        assert grammar.rules.tolist() == [list(r) for r in rules] and grammar.symbols.tolist() == symbols.tolist()
+        assert grammar.expand(grammar.symbols).tolist() == ids.tolist()
+
+
 def test_piece_memory_is_bounded(monkeypatch):
     from panelcast.llm import tokens
 
