@@ -4,17 +4,23 @@ Texts are cut before each single white space that stands between two other
 characters. The two tokenizers in use (byte-level BPE with its usual pattern,
 and word BPE that drops white space) never join characters across such a
 place, so the ids of a text are those of its pieces one after the other, and
-each distinct piece needs the tokenizers library only once. A text with any
-two neighbouring white-space characters, or with the string of a special token, goes to
-the library whole.
+each distinct piece needs the tokenizers library only once. A piece of Latin
+letters goes to the library's BPE model itself, in the form that normaliser and
+pre-tokenizer would give it; the form is held against the whole tokenizer when an
+encoder is made. A text with any two neighbouring white-space characters, or
+with the string of a special token, goes to the library whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import struct
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks in parallel
 
@@ -31,14 +37,39 @@ CALL_CHARS = 2 << 20
 _JOINED_STOP = re.compile(r"[.,](?<=[\W_].)")
 
 
+#: the letters that stand for the bytes of UTF-8 in byte-level BPE: a byte's own character if it can be printed,
+#: the others count on from 256
+_BYTE_LETTERS = dict(zip((b for b in range(256) if b <= 32 or 127 <= b <= 160 or b == 173), range(256, 512), strict=False))
+
+
+def _byte_letters(piece: str) -> str:
+    if piece.isascii():
+        return piece.replace(" ", "\u0120")
+    return piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+
+
+#: what the BPE model is given for a piece of letters, after one blank at most: all of it (byte-level BPE), or
+#: lower-case words without the blank (word BPE)
+_MODEL_FORMS = (_byte_letters, lambda piece: _byte_letters(piece.lstrip(" ").lower()))
+#: words of the vocabulary on which a form is tried, also with accents
+PROBES = 400
+_ACCENTS = str.maketrans("aeiounscz", "àéîøüñßčž")
+
+
 class _Pieces(dict):
-    """Ids of known pieces. A new piece gets an empty array of bytes, to be filled, and is noted."""
+    """Ids of known pieces. A new piece of Latin letters (one code point each, none that changes its number in
+    lower case) is encoded at once if there is a way (``direct``); any other gets an empty array of bytes, to be filled, and is noted."""
 
-    def __init__(self):
+    def __init__(self, direct: Callable[[str], bytes] | None):
         super().__init__()
         self.new: list[str] = []
+        self.direct = direct
 
-    def __missing__(self, piece: str) -> bytearray:
+    def __missing__(self, piece: str) -> bytes | bytearray:
+        if self.direct is not None and piece.lstrip(" ").isalpha() and (
+                piece.isascii() or (max(piece) < "\u0250" and "\u0130" not in piece)):
+            value = self[piece] = self.direct(piece)
+            return value
         value = self[piece] = bytearray()
         self.new.append(piece)
         return value
@@ -56,12 +87,31 @@ class TextEncoder:
         self.special = re.compile("|".join(added) or r"(?!)")
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.width = int(self.kind[-1])
-        self.pieces = _Pieces()
+        self.pieces = _Pieces(self._direct())
         comma = self.tokenizer.encode(",", add_special_tokens=False).ids
         if len(comma) != 1:
             raise ValueError("a comma must be one id of the vocabulary")
         self.comma = comma[0]
 
+    def _direct(self) -> Callable[[str], bytes] | None:
+        """Ids of a piece of Latin letters by the BPE model alone, if one of the forms gives the tokenizer's ids."""
+        tokenize, code = self.pieced.model.tokenize, {2: "H", 4: "I"}[self.width]
+        letters = sorted({t for t in self.pieced.get_vocab() if t.isascii() and t.isalpha()})
+        words = letters[:: max(1, len(letters) // PROBES)]
+        words += [a + b for a, b in zip(words, reversed(words), strict=True)]
+        words += [w.translate(_ACCENTS) for w in words]
+        probes = [f"{blank}{case(w)}" for w in words for blank in ("", " ") for case in (str, str.upper, str.title)]
+        want = self._library(probes)
+        for form in _MODEL_FORMS:
+
+            def direct(piece: str, form=form) -> bytes:
+                ids = [t.id for t in tokenize(form(piece))]
+                return struct.pack(f"<{len(ids)}{code}", *ids)
+
+            if probes and [direct(p) for p in probes] == want:
+                return direct
+        return None
+
     def _library(self, texts: list[str], whole: bool = False) -> list[bytes]:
         found = (self.tokenizer if whole else self.pieced).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
@@ -101,17 +151,15 @@ class TextEncoder:
             while end < len(texts) and (end == start or held < CALL_CHARS):
                 held += len(texts[end] or "")
                 end += 1
-            for i, raw in self._encode_some(texts, start, end):
-                out[i] = np.frombuffer(raw, self.kind).astype("<u4")
+            for i, ids in self._encode_some(texts, start, end):
+                out[i] = ids.astype("<u4")
             start = end
         return out
 
-    def _encode_some(self, texts: list[str | None], start: int, end: int) -> list[tuple[int, bytes]]:
+    def _encode_some(self, texts: list[str | None], start: int, end: int) -> list[tuple[int, np.ndarray]]:
         if len(self.pieces) > PIECE_CACHE:
             self.pieces.clear()
-        known = self.pieces.__getitem__
-        held: list[tuple[int, list[bytes]]] = []
-        whole = []
+        held, marked, whole = [], [], []
         for i in range(start, end):
             text = texts[i]
             if not text:
@@ -125,10 +173,29 @@ class TextEncoder:
                 # stops and commas follow letters or digits only, and so are pieces of their own
                 for stop in ". ", ", ", ".\n", ",\n":
                     text = text.replace(stop, f"\x00{stop}")
-            held.append((i, list(map(known, text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")))))
-        out = list(zip(whole, self._library([texts[i] for i in whole], True), strict=True))
+            held.append(i)
+            marked.append(text.replace(" ", "\x00 ").replace("\n", "\x00\n"))
+        raw = self._library([texts[i] for i in whole], True)
+        out = [(i, np.frombuffer(ids, self.kind)) for i, ids in zip(whole, raw, strict=True)]
+        return out + list(zip(held, self._joined(marked), strict=True))
+
+    def _joined(self, marked: list[str]) -> list[np.ndarray]:
+        """The ids of texts whose pieces are separated by zero characters: each distinct piece is looked up once."""
+        if not marked:
+            return []
+        split = pc.split_pattern(pa.array(marked, pa.large_string()), "\x00")
+        coded = split.flatten().dictionary_encode()
+        known = list(map(self.pieces.__getitem__, coded.dictionary.to_pylist()))
         self._learn()
-        return out + [(i, b"".join(ids)) for i, ids in held]
+        own = np.fromiter(map(len, known), np.int64, len(known)) // self.width
+        flat = np.frombuffer(b"".join(known), self.kind)
+        place = coded.indices.to_numpy()
+        size = own[place]
+        after = np.concatenate([[0], np.cumsum(size)])
+        # where a piece's ids begin among the distinct ones, counted on from where they stand in the texts
+        shift = (np.cumsum(own) - own)[place] - after[:-1]
+        ids = flat[np.arange(after[-1]) + np.repeat(shift, size)]
+        return np.split(ids, after[split.offsets.to_numpy()[1:-1]])
 
 
 _encoders: dict[int, TextEncoder] = {}

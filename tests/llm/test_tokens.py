@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
 from panelcast.llm import packing, repair, unigram
 from panelcast.llm.tokens import TextEncoder
@@ -45,6 +45,26 @@ def test_strings_of_special_tokens_as_the_library_has_them(path):
     assert [f.tolist() for f in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_by_the_model_alone(path):
+    library, rnd = plain(path), random.Random(12)
+    encoder = TextEncoder(open(path, encoding="utf-8").read())
+    assert encoder.pieces.direct is not None
+    letters = "etaoinshrdlucmETAOINSxqzJéÈçßøæŁœŽªºµſǅɏ"
+    words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 25))) for _ in range(4000)] + ["a" * 5000]
+    pieces = [*words, *(f" {w}" for w in words)]
+    want = [np.array(e.ids, encoder.kind).tobytes() for e in library.encode_batch(pieces, add_special_tokens=False)]
+    assert [bytes(encoder.pieces[p]) for p in pieces] == want and not encoder.pieces.new
+
+
+def test_a_tokenizer_without_a_known_form_is_asked_whole():
+    other = plain(BYTES)
+    other.normalizer = normalizers.Replace("e", "o")
+    encoder = TextEncoder(other.to_str())
+    assert encoder.pieces.direct is None
+    assert encoder.encode(["the end, here"])[0].tolist() == other.encode("the end, here", add_special_tokens=False).ids
+
+
 def test_pair_counts_kept_up_equal_counting_anew():
     def anew(seq, barrier, first, limit, least):
         rules = []
