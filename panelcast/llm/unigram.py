@@ -33,6 +33,8 @@ WORD_START = "▁"
 SCORE_BITS = 20
 #: nodes that a worker's trie holds before it starts anew
 TRIE_NODES = 1_000_000
+#: a longer word (in characters) does not enter the trie: only the scores that a piece can still reach are held
+LONG_WORD = 1024
 
 
 def unigram_scores(model: bytes) -> dict[str, int]:
@@ -67,8 +69,26 @@ class PretokenTrie(dict):
         raw = char.encode("utf-8", "surrogatepass")
         return sum(self.byte_scores[b] for b in raw), len(raw)
 
+    def _long_word(self, word: str) -> int:
+        """The token count of a word of any length in memory for ``longest`` prefixes; it is not remembered."""
+        token, scores, ring = WORD_START + word, self.scores, self.longest + 1
+        best, count = [0] * ring, [0] * ring
+        for end in range(1, len(token) + 1):
+            own, n = (scores[token[end - 1]], 1) if token[end - 1] in scores else self._fallback(token[end - 1])
+            before = (end - 1) % ring
+            found = best[before] + own, -count[before] - n
+            for start in range(max(0, end - self.longest), end - 1):
+                own = scores.get(token[start:end])
+                if own is not None:
+                    before = start % ring
+                    found = max(found, (best[before] + own, -count[before] - 1))
+            best[end % ring], count[end % ring] = found[0], -found[1]
+        return count[len(token) % ring]
+
     def __missing__(self, word: str) -> int:
         """Insert a pre-token; nodes of prefixes that are there already are not computed again."""
+        if len(word) > LONG_WORD:
+            return self._long_word(word)
         if len(self.best) > TRIE_NODES:
             self._reset()
         token, path, node = WORD_START + word, [0], 0

@@ -297,3 +297,15 @@ def test_trie_shares_prefixes_and_starts_anew(monkeypatch):
     assert [trie[w] for w in words] == [slow_count(scores, w) for w in words]
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     assert trie["a"] == len(sp.encode("a"))
+
+
+def test_very_long_words_leave_no_nodes(monkeypatch):
+    scores = unigram.unigram_scores(open(public_tokenizers.path("piece_bpe_32k.model"), "rb").read())
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice(["ing", "a", "é", "中", "the", "🎉", "x", "walk"]) for _ in range(n)) for n in (1, 3, 30, 400)]
+    want = [slow_count(scores, w) for w in words]
+    trie = unigram.PretokenTrie(scores)
+    assert [trie[w] for w in words] == want
+    monkeypatch.setattr(unigram, "LONG_WORD", 0)
+    trie = unigram.PretokenTrie(scores)
+    assert [trie[w] for w in words] == want and len(trie.best) == 1 and not trie
